@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from tablework.catalog.registry import query, rounded, table
-from tablework.functions import semantics as sem
 from tablework.operators import order, select
 
 
@@ -152,9 +151,3 @@ FROM (SELECT count(*) AS n FROM lineitem), (VALUES ('l_orderkey', 'bigint', 8),
   ('l_quantity', 'double', 8)) AS c(column_name, type_name, w)""")
 def _(spark, sf):
     return select.byte_sizes(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
-
-
-@query("clip_values", "SELECT o_orderkey, greatest(50000.0::DOUBLE, least(300000.0::DOUBLE, o_totalprice)) AS o_totalprice FROM orders")
-def _(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return orders.withColumn("o_totalprice", sem.clip("o_totalprice", 50000.0, 300000.0))
