@@ -210,8 +210,31 @@ def positions_between(df: DataFrame, order_by, start: int, stop: int, direct_lim
     return placed.filter((F.col("_idx") >= start) & (F.col("_idx") < stop)).drop("_idx")
 
 
-def average_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
-    """One row per distinct value with its average 1-based rank (ties share the mean rank)."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    ranked = prefix_sum(counts, [value], {"_before": "_n"})
-    return ranked.select(value, (F.col("_before") + (F.col("_n") + 1) / 2).alias(out))
+def average_ranks(df: DataFrame, columns) -> DataFrame:
+    """Average 1-based rank of every distinct value of each column: ``(column number, value, rank)``.
+
+    Ties share their mean rank. All columns go through one ordering of distinct values.
+    """
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)
+    ])
+    counts = df.select(F.inline(entries)).filter("_v IS NOT NULL").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
+    placed = prefix_sum(counts, ["_c", "_v"], {"_before": "_n"})
+    starts = {r["_c"]: r["s"] for r in placed.groupBy("_c").agg(F.min("_before").alias("s")).collect()}
+    start = F.lit(0)
+    for c, s in starts.items():
+        start = F.when(F.col("_c") == c, F.lit(s)).otherwise(start)
+    return placed.select("_c", "_v", (F.col("_before") - start + (F.col("_n") + 1) / 2).alias("_rank"))
+
+
+def with_average_ranks(df: DataFrame, columns, names) -> DataFrame:
+    """Add the average rank of each column; a missing value has no rank.
+
+    Each column is one join with its table of distinct values: a broadcast when that table is
+    small, and otherwise a join whose hot values adaptive execution splits.
+    """
+    ranks = average_ranks(df, columns)
+    for i, (c, name) in enumerate(zip(columns, names)):
+        own = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_rank").alias(name))
+        df = df.join(own, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+    return df

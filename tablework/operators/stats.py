@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import flag, numeric_names, pearson_expr
 from tablework.operators.clean import most_frequent
-from tablework.operators.order import average_ranks, prefix_sum
+from tablework.operators.order import prefix_sum, with_average_ranks
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
 _PAIR_BATCH = 300
@@ -216,19 +216,33 @@ def corr_matrix(df: DataFrame, columns=None) -> DataFrame:
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation with mean ranks for ties.
+    """Rank correlation of two numeric columns over complete rows, with mean ranks for ties."""
+    complete = df.select(F.col(x).alias("x"), F.col(y).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    ranked = with_average_ranks(complete, ["x", "y"], ["rx", "ry"])
+    return ranked.agg(pearson_expr("rx", "ry").alias("rho"), F.count("*").alias("n"))
+
+
+def rank_correlations(df: DataFrame, columns) -> dict[tuple[str, str], tuple]:
+    """``{(a, b): (rho, n)}`` for every pair.
 
-    Rows are first counted per (x, y) value pair, so repeated values are not moved as rows;
-    ranks come from distributed running totals over distinct values.
+    Columns without gaps share one ranking and one aggregation pass; a pair with gaps is
+    ranked over its own complete rows.
     """
-    complete = df.select(F.col(x).alias("x"), F.col(y).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
-    counts = complete.groupBy("x", "y").agg(F.count("*").cast("double").alias("w"))
-    ranked = counts.join(average_ranks(complete, "x", "rx"), "x").join(average_ranks(complete, "y", "ry"), "y")
-    n = complete.count()
-    mid = (n + 1) / 2
-    a, b, w = F.col("rx") - mid, F.col("ry") - mid, F.col("w")
-    moments = ranked.agg(F.sum(w * a * b).alias("ab"), F.sum(w * a * a).alias("aa"), F.sum(w * b * b).alias("bb"))
-    return moments.select(F.try_divide("ab", F.sqrt(F.col("aa")) * F.sqrt(F.col("bb"))).alias("rho"), F.lit(n).cast("bigint").alias("n"))
+    columns = list(columns)
+    holes = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    full = [c for c in columns if not holes[c]]
+    out: dict = {}
+    if len(full) > 1:
+        names = [f"_r{i}" for i in range(len(full))]
+        ranked = with_average_ranks(df.select(*full), full, names)
+        label = dict(zip(names, full))
+        for r in pair_correlations(ranked, names).collect():
+            out[(label[r["column_a"]], label[r["column_b"]])] = (r["r"], holes["_n"])
+    for a, b in combinations(columns, 2):
+        if (a, b) not in out:
+            row = spearman(df, a, b).first()
+            out[(a, b)] = (row["rho"], row["n"])
+    return out
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -283,10 +297,9 @@ def corr_report(df: DataFrame, columns=None) -> DataFrame:
     """Pearson, Spearman and p-value of every pair of numeric columns, strongest first."""
     columns = list(columns or numeric_names(df, skip_ids=True))
     pearsons = {(r["column_a"], r["column_b"]): r["r"] for r in pair_correlations(df, columns).collect()}
-    rows = []
-    for (a, b), r in pearsons.items():
-        rank = spearman(df, a, b).first()
-        rows.append((a, b, r, rank["rho"], correlation_pvalue(rank["rho"], rank["n"])))
+    rows = [
+        (a, b, pearsons[(a, b)], rho, correlation_pvalue(rho, n)) for (a, b), (rho, n) in rank_correlations(df, columns).items()
+    ]
     out = df.sparkSession.createDataFrame(
         rows, "column_a string, column_b string, pearson double, spearman double, p_value double")
     return out.orderBy(F.desc(F.abs("pearson")), "column_a", "column_b")

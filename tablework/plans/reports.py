@@ -170,19 +170,14 @@ def student_report(df: DataFrame, id_col: str, subjects, threshold: float = 60.0
 
 
 def student_lines(report: dict[str, DataFrame], id_col: str) -> DataFrame:
-    """The printed form: a line per subject, per best row, and the number at risk.
-
-    Lines are built on Spark with their place in the report as ``line_no``.
-    """
-    subjects = report["subjects"].select(
-        F.lit(1).alias("part"), F.col("axis").alias("k"),
-        F.format_string("%s mean=%.2f median=%.2f std=%.2f min=%.2f max=%.2f", "axis", "mean", "median", "std", "min", "max").alias("line"))
-    best = report["top"].select(
-        F.lit(2).alias("part"), F.format_string("%020d", 10**6 - F.floor(F.col("average") * 1000)).alias("k"),
-        F.format_string("top %d average %.2f", F.col(id_col), F.col("average")).alias("line"))
-    risk = report["at_risk"].agg(F.count("*").alias("n")).select(
-        F.lit(3).alias("part"), F.lit("").alias("k"), F.format_string("at risk: %d", "n").alias("line"))
-    return subjects.unionByName(best).unionByName(risk)
+    """The printed form: a line per subject and per best row, and the number of rows at risk."""
+    lines = [
+        f"{r['axis']}: mean {r['mean']:.2f}, median {r['median']:.2f}, std {r['std']:.2f}, min {r['min']:.2f}, max {r['max']:.2f}"
+        for r in report["subjects"].orderBy("axis").collect()
+    ]
+    lines += [f"top {i + 1}: {r[id_col]} with {r['average']:.2f}" for i, r in enumerate(report["top"].collect())]
+    lines.append(f"at risk: {report['at_risk'].count()}")
+    return lines_table(report["top"].sparkSession, lines)
 
 
 def full_report(df: DataFrame, path: str, value: str, quantity: str, columns, category: str, date: str, id_col: str) -> DataFrame:
