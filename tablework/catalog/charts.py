@@ -18,31 +18,25 @@ def _(spark, sf):
     return rounded(charts.hist_data(gappy_orders(spark, sf), "o_totalprice"), 4)
 
 
-_BOX = f"""WITH v AS (SELECT o_orderkey, o_orderpriority, (o_totalprice / 1000) ** 2 AS x FROM {GAPPY_ORDERS_SQL}
-  WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL),
-q AS (SELECT o_orderpriority, quantile_cont(x, 0.25) AS q1, median(x) AS md, quantile_cont(x, 0.75) AS q3 FROM v GROUP BY 1)"""
+_BOX = """WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, median(value) AS md, quantile_cont(value, 0.75) AS q3
+  FROM events GROUP BY 1)"""
 
 
-def _squared(spark, sf):
-    x = F.col("o_totalprice") / 1000
-    return gappy_orders(spark, sf).select("o_orderkey", "o_orderpriority", (x * x).alias("x"))
-
-
-@query("box_data", f"""{_BOX}
-SELECT v.o_orderpriority, round(any_value(q1), 4) AS q1, round(any_value(md), 4) AS median, round(any_value(q3), 4) AS q3,
-  round(min(x) FILTER (x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_low,
-  round(max(x) FILTER (x BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_high,
-  count(*) FILTER (x NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
-FROM v JOIN q ON v.o_orderpriority = q.o_orderpriority GROUP BY 1""")
+@query("box_data", _BOX + """
+SELECT v.event_type, round(any_value(q1), 4) AS q1, round(any_value(md), 4) AS median, round(any_value(q3), 4) AS q3,
+  round(min(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_low,
+  round(max(value) FILTER (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)), 4) AS whisker_high,
+  count(*) FILTER (value NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM events v JOIN q ON v.event_type = q.event_type GROUP BY 1""")
 def _(spark, sf):
-    return rounded(charts.box_data(_squared(spark, sf), "x", "o_orderpriority"), 4)
+    return rounded(charts.box_data(table(spark, sf, "events"), "value", "event_type"), 4)
 
 
-@query("box_outliers", f"""{_BOX}
-SELECT o_orderkey, v.o_orderpriority, round(x, 4) AS x FROM v JOIN q ON v.o_orderpriority = q.o_orderpriority
-WHERE x NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
+@query("box_outliers", _BOX + """
+SELECT event_id, v.event_type, value FROM events v JOIN q ON v.event_type = q.event_type
+WHERE value NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
 def _(spark, sf):
-    return rounded(charts.box_outliers(_squared(spark, sf), "x", "o_orderpriority"), 4)
+    return charts.box_outliers(table(spark, sf, "events").select("event_id", "event_type", "value"), "value", "event_type")
 
 
 @query("scatter_data", """

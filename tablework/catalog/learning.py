@@ -1 +1,537 @@
+import functools
 
+from pyspark.sql import functions as F
+
+from tablework.catalog.registry import SCORED_DOCS_SQL, query, rounded, scored_docs, table
+from tablework.ml import baseline, knn, linear, metrics, models, preprocess, split
+from tablework.operators import aggregate
+from tablework.operators.order import scratch_path
+
+
+def _hash(key: str, seed: int = 42) -> str:
+    return f"substr(md5({key} || ':{seed}'), 1, 13)"
+
+
+def _test_sql(source: str, key: str, share: str = "0.2", columns: str = "*") -> str:
+    """Rows with the exact-size split marked by hash rank."""
+    return f"""(SELECT {columns}, row_number() OVER (ORDER BY {_hash(key)}, {key}) <= ceil(count(*) OVER () * {share}) AS is_test FROM {source})"""
+
+
+@query("train_test_split", f"SELECT o_orderkey, is_test FROM {_test_sql('orders', 'o_orderkey')}")
+def _(spark, sf):
+    return split.mark_test(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", "is_test")
+
+
+# Quotas of the stratified split: shares of the total quota by largest remainder, ties by class.
+_STRATIFIED = f"""(WITH c AS (SELECT quality, count(*) AS n, ceil((SELECT count(*) FROM labels) * 0.2) AS q, (SELECT count(*) FROM labels) AS t FROM labels GROUP BY 1),
+f AS (SELECT *, floor(q * n / t) AS base, q * n / t - floor(q * n / t) AS rest FROM c),
+g AS (SELECT *, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, quality) <= q - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM f)
+SELECT l.doc_id, l.quality, row_number() OVER (PARTITION BY l.quality ORDER BY {_hash('doc_id')}, doc_id) <= quota AS is_test
+FROM labels l JOIN g ON l.quality = g.quality)"""
+
+
+@query("stratified_split", f"SELECT doc_id, quality, is_test FROM {_STRATIFIED}")
+def _(spark, sf):
+    return split.mark_test(table(spark, sf, "labels"), "doc_id", stratify="quality").select("doc_id", "quality", "is_test")
+
+
+@query("compare_shares", f"""
+SELECT quality, round(f, 9) AS full, round(a, 9) AS train, round(b, 9) AS test, round(greatest(abs(a - f), abs(b - f)), 9) AS max_gap FROM (
+  SELECT quality, count(*) / (SELECT count(*) FROM labels) AS f,
+    count(*) FILTER (NOT is_test) / (SELECT count(*) FROM {_STRATIFIED} WHERE NOT is_test) AS a,
+    count(*) FILTER (is_test) / (SELECT count(*) FROM {_STRATIFIED} WHERE is_test) AS b FROM {_STRATIFIED} GROUP BY 1)""")
+def _(spark, sf):
+    labels = table(spark, sf, "labels")
+    train, test = split.train_test_split(labels, "doc_id", stratify="quality")
+    return rounded(aggregate.compare_shares(labels, train, test, "quality"), 9)
+
+
+@query("infer_task", """
+SELECT 'o_orderstatus' AS target, 'classification' AS task UNION ALL SELECT 'o_totalprice', 'regression'
+UNION ALL SELECT 'o_custkey', CASE WHEN count(DISTINCT o_custkey) <= 20 THEN 'classification' ELSE 'regression' END FROM orders""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    rows = [(c, split.infer_task(orders, c)) for c in ("o_orderstatus", "o_totalprice", "o_custkey")]
+    return spark.createDataFrame(rows, "target string, task string")
+
+
+# Line items per order, the regression table of this section.
+_ORDER_X = """(SELECT o_orderkey, any_value(o_totalprice) AS price, count(*)::DOUBLE AS n_lines, sum(l_quantity) AS quantity,
+  sum(l_extendedprice) AS amount, avg(l_discount) AS discount FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)"""
+
+
+def _order_x(spark, sf):
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("price"))
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").cast("double").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
+        F.sum("l_extendedprice").alias("amount"), F.avg("l_discount").alias("discount"))
+    return orders.join(lines, "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
+
+
+@query("baseline_regression", f"""
+WITH d AS {_test_sql('orders', 'o_orderkey')}, m AS (SELECT avg(o_totalprice) AS p FROM d WHERE NOT is_test),
+t AS (SELECT avg(abs(o_totalprice - p)) AS mae, avg((o_totalprice - p) ** 2) AS mse, var_pop(o_totalprice) AS v FROM d, m WHERE is_test)
+SELECT round(p, 4) AS baseline_prediction, 0.0::DOUBLE AS train_r2, round(mae, 4) AS test_mae, round(sqrt(mse), 4) AS test_rmse,
+  round(1 - mse / v, 6) + 0.0 AS test_r2 FROM t, m""")
+def _(spark, sf):
+    out = baseline.baseline_regression(*split.train_test_split(table(spark, sf, "orders"), "o_orderkey"), "o_totalprice")
+    out = rounded(out, 4, test_r2=6)
+    return out.withColumns({"train_r2": F.abs(F.round("train_r2", 6)), "test_r2": F.col("test_r2") + 0.0})
+
+
+@query("baseline_classification", f"""
+WITH m AS (SELECT quality AS p FROM {_STRATIFIED} WHERE NOT is_test GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT any_value(p) AS majority_class, round(avg(CASE WHEN quality = p THEN 1 ELSE 0 END) FILTER (NOT is_test), 9) AS train_accuracy,
+  round(avg(CASE WHEN quality = p THEN 1 ELSE 0 END) FILTER (is_test), 9) AS test_accuracy,
+  round(coalesce(CASE WHEN any_value(p) = 1 THEN 2.0 * count(*) FILTER (is_test AND quality = 1) /
+    (count(*) FILTER (is_test) + count(*) FILTER (is_test AND quality = 1)) END, 0), 9)::DOUBLE AS test_f1
+FROM {_STRATIFIED}, m""")
+def _(spark, sf):
+    train, test = split.train_test_split(table(spark, sf, "labels"), "doc_id", stratify="quality")
+    return rounded(baseline.baseline_classification(train, test, "quality"), 9)
+
+
+@query("leakage_gap", f"""
+WITH d AS {_test_sql(_ORDER_X, 'o_orderkey')}
+SELECT round(greatest({', '.join(f"abs(avg({c}) - avg({c}) FILTER (NOT is_test)) / stddev_pop({c}) FILTER (NOT is_test)" for c in ('n_lines', 'quantity', 'amount', 'discount'))}), 6) AS scaler_mean_gap
+FROM d""")
+def _(spark, sf):
+    data = _order_x(spark, sf)
+    train, _ = split.train_test_split(data, "o_orderkey")
+    gap = baseline.scaler_mean_gap(data, train, ["n_lines", "quantity", "amount", "discount"])
+    return rounded(spark.createDataFrame([(gap,)], "scaler_mean_gap double"))
+
+
+@query("leakage_check")
+def _(spark, sf):
+    docs = scored_docs(spark, sf).select("doc_id", "quality", "n_chars", "score")
+    return baseline.leakage_check(docs, "doc_id", "quality", ["n_chars", "score"])
+
+
+def _embedding_split(spark, sf):
+    return split.train_test_split(table(spark, sf, "embeddings"), "vec_id")
+
+
+_NEAR = f"""(WITH d AS {_test_sql('embeddings', 'vec_id')}
+SELECT q.vec_id, t.vec_id AS neighbour, t.label, list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]) AS distance
+FROM d q, d t WHERE q.is_test AND NOT t.is_test
+QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]), t.vec_id) <= 5)"""
+
+
+@query("knn_join", f"SELECT vec_id, neighbour, round(distance, 6) AS distance FROM {_NEAR}")
+def _(spark, sf):
+    train, test = _embedding_split(spark, sf)
+    return rounded(knn.knn_join(train, test, "vec_id", "embedding").drop("rank"))
+
+
+@query("knn_predict", f"""
+SELECT vec_id, label AS prediction FROM (SELECT vec_id, label, count(*) AS n FROM {_NEAR} GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, label) = 1""")
+def _(spark, sf):
+    train, test = _embedding_split(spark, sf)
+    return knn.knn_predict(train, test, "vec_id", "embedding", "label")
+
+
+@query("experiment_run")
+def _(spark, sf):
+    labels = scored_docs(spark, sf).select("doc_id", "n_chars", "score", "quality")
+    run = models.Experiment("quality", labels, "doc_id", "quality", "classification").run()
+    fitted = models.fit_model(run.train, ["score"], "quality", "classification", "logistic_regression")
+    run.record_model("logistic_regression", fitted.metrics(run.test, "quality").first()["accuracy"])
+    return run.runs(spark)
+
+
+# A churn-like table: customers with tenure in months, monthly and total charges, contract and payment.
+def _churn(spark, sf):
+    c = table(spark, sf, "customer")
+    key = F.col("c_custkey")
+    tenure = (key * 7 % 73).cast("bigint")
+    monthly = F.round(F.abs("c_acctbal") / 100 + 20, 2)
+    return c.select(
+        key.alias("customer_id"), tenure.alias("tenure"), monthly.alias("monthly"),
+        F.when(tenure == 0, " ").otherwise(F.round(monthly * tenure, 2).cast("string")).alias("total"),
+        F.element_at(F.array(*[F.lit(x) for x in preprocess.CONTRACT_ORDER]), (key % 3 + 1).cast("int")).alias("contract"),
+        F.col("c_mktsegment").alias("segment"),
+        F.when((key * 7 % 73 < 20) & (F.col("c_acctbal") > 3000), "Yes").otherwise("No").alias("churn"))
+
+
+_CHURN_SQL = """(SELECT c_custkey AS customer_id, c_custkey * 7 % 73 AS tenure, round(abs(c_acctbal) / 100 + 20, 2) AS monthly,
+  CASE WHEN c_custkey * 7 % 73 = 0 THEN NULL ELSE round(round(abs(c_acctbal) / 100 + 20, 2) * (c_custkey * 7 % 73), 2) END AS total,
+  CASE c_custkey % 3 WHEN 0 THEN 'Month-to-month' WHEN 1 THEN 'One year' ELSE 'Two year' END AS contract, c_mktsegment AS segment,
+  CASE WHEN c_custkey * 7 % 73 < 20 AND c_acctbal > 3000 THEN 1 ELSE 0 END AS churn FROM customer)"""
+
+
+def _clean_churn(spark, sf):
+    keyed = _churn(spark, sf).withColumn("id", F.col("customer_id"))
+    return preprocess.load_raw_churn(keyed, "customer_id", "total", "churn").withColumnRenamed("id", "customer_id")
+
+
+@query("load_raw_churn", f"""
+SELECT id, tenure, round(monthly, 2) AS monthly, round(total, 2) AS total, contract, CASE WHEN k <= greatest(1, n // 50) THEN NULL ELSE segment END AS segment, churn
+FROM (SELECT *, customer_id AS id, row_number() OVER (ORDER BY {_hash('customer_id')}, customer_id) AS k, count(*) OVER () AS n FROM {_CHURN_SQL})""")
+def _(spark, sf):
+    keyed = _churn(spark, sf).withColumn("id", F.col("customer_id"))
+    return rounded(preprocess.load_raw_churn(keyed, "customer_id", "total", "churn", blank="segment"), 2)
+
+
+@query("engineer_features", f"""
+SELECT customer_id, round(tenure / 12, 6) AS tenure_years, round(total / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 4) AS avg_monthly_spend,
+  CASE WHEN tenure <= 12 THEN '0-1yr' WHEN tenure <= 24 THEN '1-2yr' WHEN tenure <= 48 THEN '2-4yr' WHEN tenure <= 60 THEN '4-5yr' ELSE '5yr+' END AS tenure_bucket,
+  round(monthly * tenure, 2) AS monthly_charge_x_tenure FROM {_CHURN_SQL}""")
+def _(spark, sf):
+    out = preprocess.engineer_features(_clean_churn(spark, sf), "tenure", "monthly", "total")
+    out = out.select("customer_id", "tenure_years", "avg_monthly_spend", "tenure_bucket", "monthly_charge_x_tenure")
+    return rounded(out, 6, avg_monthly_spend=4, monthly_charge_x_tenure=2)
+
+
+_TRAIN_ROWS = f"(SELECT * FROM {_test_sql(_CHURN_SQL, 'customer_id')} WHERE NOT is_test)"
+_TEST_ROWS = f"(SELECT * FROM {_test_sql(_CHURN_SQL, 'customer_id')} WHERE is_test)"
+
+
+def _churn_split(spark, sf):
+    return split.train_test_split(_clean_churn(spark, sf), "customer_id")
+
+
+@query("impute_median_mode", f"""
+SELECT customer_id, round(coalesce(total, (SELECT median(total) FROM {_TRAIN_ROWS})), 4) AS total,
+  coalesce(CASE WHEN customer_id % 5 <> 2 THEN segment END, (SELECT segment FROM {_TRAIN_ROWS} WHERE customer_id % 5 <> 2 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS segment
+FROM {_TEST_ROWS}""")
+def _(spark, sf):
+    gap = lambda d: d.withColumn("segment", F.when(F.col("customer_id") % 5 != 2, F.col("segment"))).select("customer_id", "total", "segment")
+    train, test = (gap(d) for d in _churn_split(spark, sf))
+    return rounded(preprocess.impute_median_mode(train, test, ["total"], ["segment"]), 4)
+
+
+@query("scale_standard", f"""
+SELECT customer_id, round((tenure - (SELECT avg(tenure) FROM {_TRAIN_ROWS})) / (SELECT stddev_pop(tenure) FROM {_TRAIN_ROWS}), 6) AS tenure,
+  round((monthly - (SELECT avg(monthly) FROM {_TRAIN_ROWS})) / (SELECT stddev_pop(monthly) FROM {_TRAIN_ROWS}), 6) AS monthly FROM {_TEST_ROWS}""")
+def _(spark, sf):
+    train, test = (d.select("customer_id", "tenure", "monthly") for d in _churn_split(spark, sf))
+    return rounded(preprocess.scale_columns(train, test, ["tenure", "monthly"], "standard"))
+
+
+@query("scale_minmax", f"""
+SELECT customer_id, round((tenure - (SELECT min(tenure) FROM {_TRAIN_ROWS})) / (SELECT max(tenure) - min(tenure) FROM {_TRAIN_ROWS}), 6) AS tenure,
+  round((monthly - (SELECT min(monthly) FROM {_TRAIN_ROWS})) / (SELECT max(monthly) - min(monthly) FROM {_TRAIN_ROWS}), 6) AS monthly FROM {_TEST_ROWS}""")
+def _(spark, sf):
+    train, test = (d.select("customer_id", "tenure", "monthly") for d in _churn_split(spark, sf))
+    return rounded(preprocess.scale_columns(train, test, ["tenure", "monthly"], "minmax"))
+
+
+_LEVELS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query("encode_onehot", "SELECT c_custkey, " + ", ".join(
+    f"CASE WHEN c_mktsegment = '{v}' THEN 1 ELSE 0 END AS c_mktsegment_{v}" for v in _LEVELS if v != "FURNITURE") + " FROM customer")
+def _(spark, sf):
+    """Learned without one segment, which then gives all zeros."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return preprocess.encode_onehot(c.filter("c_mktsegment <> 'FURNITURE'"), c, ["c_mktsegment"])
+
+
+@query("encode_ordinal", """
+SELECT o_orderkey, CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '3-MEDIUM' THEN 1 WHEN '1-URGENT' THEN 2 ELSE -1 END AS code FROM orders""")
+def _(spark, sf):
+    out = preprocess.encode_ordinal(table(spark, sf, "orders"), "o_orderpriority", ["5-LOW", "3-MEDIUM", "1-URGENT"], "code")
+    return out.select("o_orderkey", "code")
+
+
+def _preprocessor():
+    return preprocess.Preprocessor(["tenure", "monthly", "total"], ["segment"], {"contract": preprocess.CONTRACT_ORDER})
+
+
+def _scaled_sql(c: str) -> str:
+    filled = f"coalesce({c}, (SELECT median({c}) FROM {_TRAIN_ROWS}))"
+    source = f"(SELECT {filled} AS v FROM {_TRAIN_ROWS})"
+    return f"round(({filled} - (SELECT avg(v) FROM {source})) / (SELECT stddev_pop(v) FROM {source}), 6) AS {c}"
+
+
+_PREPROCESSED = f"""SELECT customer_id, {_scaled_sql('tenure')}, {_scaled_sql('monthly')}, {_scaled_sql('total')},
+  {', '.join(f"CASE WHEN segment = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS segment_{v}" for v in _LEVELS)},
+  CASE contract WHEN 'Month-to-month' THEN 0.0 WHEN 'One year' THEN 1.0 ELSE 2.0 END::DOUBLE AS contract FROM {_TEST_ROWS}"""
+
+
+@query("preprocess_fit_transform", _PREPROCESSED)
+def _(spark, sf):
+    train, test = _churn_split(spark, sf)
+    return rounded(_preprocessor().fit(train).transform(test, ["customer_id"]))
+
+
+@query("save_load_transformer", _PREPROCESSED)
+def _(spark, sf):
+    train, test = _churn_split(spark, sf)
+    path = scratch_path(spark, "transformer")
+    _preprocessor().fit(train).save(spark, path)
+    return rounded(preprocess.Preprocessor.load(spark, path).transform(test, ["customer_id"]))
+
+
+_X = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("anova_f", "\nUNION ALL ".join(f"""
+SELECT '{c}' AS feature, round((sum(n * (m - g) ** 2) / (count(*) - 1)) / (sum(n * s) / (sum(n) - count(*))), 6) AS score
+FROM (SELECT count(*) AS n, avg({c}) AS m, var_pop({c}) AS s FROM lineitem GROUP BY l_returnflag), (SELECT avg({c}) AS g FROM lineitem)""" for c in _X))
+def _(spark, sf):
+    return rounded(preprocess.anova_f(table(spark, sf, "lineitem"), _X, "l_returnflag"))
+
+
+@query("f_regression", "\nUNION ALL ".join(f"""
+SELECT '{c}' AS feature, round(corr({c}, l_extendedprice) ** 2 / (1 - corr({c}, l_extendedprice) ** 2) * (count(*) - 2), 4) AS score FROM lineitem"""
+                                              for c in ("l_quantity", "l_discount", "l_tax")))
+def _(spark, sf):
+    return rounded(preprocess.f_regression(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"), 4)
+
+
+@query("select_top_features", f"""
+SELECT feature, round(score, 4) AS score FROM ({' UNION ALL '.join(
+    f"SELECT '{c}' AS feature, corr({c}, l_extendedprice) ** 2 / (1 - corr({c}, l_extendedprice) ** 2) * (count(*) - 2) AS score FROM lineitem"
+    for c in ('l_quantity', 'l_discount', 'l_tax'))}) ORDER BY score DESC LIMIT 2""")
+def _(spark, sf):
+    out = preprocess.select_top_features(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", 2, "regression")
+    return rounded(out, 4)
+
+
+_FEATURES = ["n_lines", "quantity", "amount", "discount"]
+
+
+@query("ols_normal_equation", """
+SELECT 'intercept' AS feature, round(regr_intercept(l_extendedprice, l_quantity), 4) AS weight FROM lineitem
+UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 4) FROM lineitem""")
+def _(spark, sf):
+    return rounded(linear.ols_normal_equation(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice").table(spark), 4)
+
+
+@query("ols_many")
+def _(spark, sf):
+    return linear.ols_normal_equation(_order_x(spark, sf), _FEATURES, "price").table(spark)
+
+
+@query("predict_linear", """
+SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 3) AS prediction FROM lineitem,
+  (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)""")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem")
+    model = linear.ols_normal_equation(li, ["l_quantity"], "l_extendedprice")
+    return rounded(model.predict(li).select("l_orderkey", "l_linenumber", "prediction"), 3)
+
+
+_UNIT = "(SELECT l_quantity / 50 AS x, l_extendedprice / 100000 AS y FROM lineitem)"
+
+
+def _unit(spark, sf):
+    return table(spark, sf, "lineitem").select((F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 100000).alias("y"))
+
+
+@query("gd_linear", f"""
+WITH RECURSIVE m AS (SELECT avg(x) AS x, avg(y) AS y, avg(x * x) AS xx, avg(x * y) AS xy, avg(y * y) AS yy FROM {_UNIT}),
+g AS (SELECT 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b
+  UNION ALL SELECT k + 1, a - 0.1 * 2 * (a + b * x - y), b - 0.1 * 2 * (a * x + b * xx - xy) FROM g, m WHERE k < 200)
+SELECT k::BIGINT AS epoch, round(a * a + 2 * a * b * x + b * b * xx - 2 * a * y - 2 * b * xy + yy, 6) AS loss FROM g, m""")
+def _(spark, sf):
+    return rounded(linear.gd_linear(_unit(spark, sf), ["x"], "y", lr=0.1, epochs=200).loss_table(spark))
+
+
+@query("fit_ridge", f"""
+SELECT 'intercept' AS feature, round(avg(y) - covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1) * avg(x), 6) AS weight FROM {_UNIT}
+UNION ALL SELECT 'x', round(covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1), 6) FROM {_UNIT}""")
+def _(spark, sf):
+    return rounded(linear.fit_ridge(_unit(spark, sf), ["x"], "y", 1.0).table(spark))
+
+
+@query("fit_lasso", f"""
+SELECT 'intercept' AS feature, round(avg(y) - greatest(covar_pop(x, y) - 0.01, 0) / var_pop(x) * avg(x), 6) AS weight FROM {_UNIT}
+UNION ALL SELECT 'x', round(greatest(covar_pop(x, y) - 0.01, 0) / var_pop(x), 6) FROM {_UNIT}""")
+def _(spark, sf):
+    return rounded(linear.fit_lasso(_unit(spark, sf), ["x"], "y", 0.01).table(spark))
+
+
+@query("fit_linear", f"""
+SELECT 'intercept' AS feature, round(regr_intercept(y, x), 6) AS weight FROM {_UNIT}
+UNION ALL SELECT 'x', round(regr_slope(y, x), 6) FROM {_UNIT}""")
+def _(spark, sf):
+    return rounded(linear.fit_linear(_unit(spark, sf), ["x"], "y").table(spark))
+
+
+def _linear_models(spark, sf):
+    data = _order_x(spark, sf)
+    return data, {
+        "ols": linear.ols_normal_equation(data, _FEATURES, "price"), "ridge": linear.fit_ridge(data, _FEATURES, "price", 1.0),
+        "lasso": linear.fit_lasso(data, _FEATURES, "price", 0.5), "library": linear.fit_linear(data, _FEATURES, "price")}
+
+
+@query("coef_table")
+def _(spark, sf):
+    return linear.coef_table(spark, _linear_models(spark, sf)[1])
+
+
+@query("model_table")
+def _(spark, sf):
+    data, fitted = _linear_models(spark, sf)
+    return models.model_table({n: m.predict(data) for n, m in fitted.items()}, "price", "regression")
+
+
+@query("regression_metrics", """
+SELECT round(avg(abs(e)), 4) AS mae, round(avg(e * e), 2) AS mse, round(sqrt(avg(e * e)), 4) AS rmse,
+  round(1 - avg(e * e) / var_pop(l_extendedprice), 6) AS r2 FROM (SELECT l_extendedprice, l_extendedprice - l_quantity * 2100 AS e FROM lineitem)""")
+def _(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("guess", F.col("l_quantity") * 2100)
+    return rounded(metrics.regression_metrics(li, "l_extendedprice", "guess"), 4, mse=2, r2=6)
+
+
+@query("sigmoid", "SELECT event_id, round(CASE WHEN z >= 0 THEN 1 / (1 + exp(-z)) ELSE exp(z) / (1 + exp(z)) END, 9) AS p FROM (SELECT event_id, (value - 50) / 4 AS z FROM events)")
+def _(spark, sf):
+    e = table(spark, sf, "events").select("event_id", ((F.col("value") - 50) / 4).alias("z"))
+    return rounded(e.select("event_id", linear.sigmoid(F.col("z")).alias("p")), 9)
+
+
+@query("gd_logistic")
+def _(spark, sf):
+    return linear.gd_logistic(scored_docs(spark, sf), ["score"], "quality", lr=0.3, epochs=15).loss_table(spark)
+
+
+@query("loss_curve_data")
+def _(spark, sf):
+    return linear.gd_linear(_unit(spark, sf), ["x"], "y", lr=0.05, epochs=500).loss_table(spark)
+
+
+@query("predict_logistic", f"""
+SELECT doc_id, round(1 / (1 + exp(-(4 * score - 1.5))), 9) AS probability, CASE WHEN 1 / (1 + exp(-(4 * score - 1.5))) >= 0.5 THEN 1 ELSE 0 END AS prediction
+FROM {SCORED_DOCS_SQL}""")
+def _(spark, sf):
+    model = linear.LinearModel(["score"], -1.5, [4.0])
+    return rounded(linear.predict_logistic(scored_docs(spark, sf), model).select("doc_id", "probability", "prediction"), 9)
+
+
+def _docs_x(spark, sf):
+    docs = scored_docs(spark, sf)
+    return docs.select("doc_id", "quality", "score", F.log1p(F.col("n_chars").cast("double")).alias("size"))
+
+
+@query("fit_logistic")
+def _(spark, sf):
+    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score", "size"], "quality")
+    return linear.as_linear_model(fitted, ["score", "size"]).table(spark)
+
+
+@query("fit_logistic_balanced")
+def _(spark, sf):
+    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score", "size"], "quality", balanced=True)
+    return linear.as_linear_model(fitted, ["score", "size"]).table(spark)
+
+
+@query("class_weights", "SELECT quality, round((SELECT count(*) FROM labels) / (2 * count(*)), 9) AS class_weight FROM labels GROUP BY 1")
+def _(spark, sf):
+    return rounded(linear.class_weights(table(spark, sf, "labels"), "quality"), 9)
+
+
+@query("agreement", f"""
+SELECT round(avg(CASE WHEN (score >= 0.5) = (n_chars >= 1500) THEN 1 ELSE 0 END), 9) AS agreement FROM {SCORED_DOCS_SQL}""")
+def _(spark, sf):
+    docs = scored_docs(spark, sf).withColumns({"a": F.col("score") >= 0.5, "b": F.col("n_chars") >= 1500})
+    return rounded(metrics.agreement(docs, "a", "b"), 9)
+
+
+_GUESS = f"(SELECT quality AS y, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS p, score FROM {SCORED_DOCS_SQL})"
+
+
+@query("classification_metrics", f"""
+WITH c AS (SELECT count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 0 AND p = 1) AS fp,
+  count(*) FILTER (y = 1 AND p = 0) AS fn, count(*) FILTER (y = 1 AND p = 1) AS tp FROM {_GUESS}),
+a AS (SELECT (sum(rk) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0) / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS auc
+  FROM (SELECT y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM {_GUESS}))
+SELECT tn, fp, fn, tp, round((tp + tn) / (tp + tn + fp + fn), 9) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision,
+  round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1, round(auc::DOUBLE, 9) AS roc_auc FROM c, a""")
+def _(spark, sf):
+    docs = scored_docs(spark, sf).withColumn("p", (F.col("score") >= 0.5).cast("int"))
+    return rounded(metrics.classification_metrics(docs, "quality", "p", "score"), 9)
+
+
+@query("threshold_table", f"""
+SELECT t AS threshold, round(coalesce(tp / nullif(tp + fp, 0), 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 9) AS recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1
+FROM (SELECT t, count(*) FILTER (score >= t AND y = 1) AS tp, count(*) FILTER (score >= t AND y = 0) AS fp, count(*) FILTER (score < t AND y = 1) AS fn
+  FROM {_GUESS}, (VALUES (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE)) AS v(t) GROUP BY 1)""")
+def _(spark, sf):
+    return rounded(metrics.threshold_table(scored_docs(spark, sf), "quality", "score", [0.3, 0.5, 0.7]), 9)
+
+
+def _tree(spark, sf, name: str, **options):
+    data = _order_x(spark, sf)
+    return data, models.fit_model(data, _FEATURES, "price", "regression", name, **options)
+
+
+@query("fit_tree")
+def _(spark, sf):
+    data, model = _tree(spark, sf, "decision_tree")
+    return model.metrics(data, "price")
+
+
+@query("fit_forest")
+def _(spark, sf):
+    docs = _docs_x(spark, sf)
+    return models.fit_model(docs, ["score", "size"], "quality", "classification", "random_forest").metrics(docs, "quality")
+
+
+@query("feature_importance")
+def _(spark, sf):
+    return models.feature_importance(_tree(spark, sf, "decision_tree")[1], spark)
+
+
+@query("importance_data")
+def _(spark, sf):
+    return models.feature_importance(_tree(spark, sf, "decision_tree")[1], spark, top=2)
+
+
+@query("tree_data")
+def _(spark, sf):
+    model = _tree(spark, sf, "decision_tree", depth=3)[1]
+    return models.tree_nodes(model, spark, scratch_path(spark, "tree"))
+
+
+def _depths(spark, sf):
+    train, test = split.train_test_split(_order_x(spark, sf), "o_orderkey")
+    return models.depth_analysis(train, test, _FEATURES, "price", "regression", [1, 3, 5, None])
+
+
+@query("depth_analysis")
+def _(spark, sf):
+    return _depths(spark, sf)
+
+
+@query("depth_curve_data")
+def _(spark, sf):
+    return _depths(spark, sf).unpivot(["max_depth"], ["train_score", "test_score"], "part", "score")
+
+
+def _experiment(spark, sf):
+    engineer = functools.partial(preprocess.engineer_features, tenure="tenure", monthly="monthly", total="total")
+    prep = preprocess.Preprocessor(["tenure", "monthly", "total", "tenure_years", "avg_monthly_spend", "monthly_charge_x_tenure"], ["segment"],
+                                   {"contract": preprocess.CONTRACT_ORDER, "tenure_bucket": preprocess.TENURE_BUCKETS})
+    return models.experiment_data(_clean_churn(spark, sf), "customer_id", "churn", "classification", prep, engineer)
+
+
+@query("experiment_data")
+def _(spark, sf):
+    data = _experiment(spark, sf)
+    part = lambda d, n: d.withColumn("part", F.lit(n))
+    return part(data["train"], "train").unionByName(part(data["test"], "test"))
+
+
+@query("model_compare")
+def _(spark, sf):
+    data = _experiment(spark, sf)
+    return models.compare_models(data["train"], data["test"], data["features"], "churn", "classification")
+
+
+@query("fit_preprocessed_model")
+def _(spark, sf):
+    train, test = split.train_test_split(_clean_churn(spark, sf), "customer_id", stratify="churn")
+    fitted = models.fit_with_preprocessing(train, _preprocessor(), "churn", "classification", "logistic_regression")
+    return fitted.metrics(test, "churn")
+
+
+@query("model_bundle")
+def _(spark, sf):
+    data, path = _experiment(spark, sf), scratch_path(spark, "bundle")
+    models.train_and_save(data, "churn", "decision_tree", path)
+    return spark.read.text(f"{path}/metrics")

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.operators.pick import sample_rows
 
@@ -53,7 +54,8 @@ def knn_join(train: DataFrame, test: DataFrame, id_col: str, vector: str, k: int
                 part["_d"] = d.min(axis=1)
                 yield part
 
-    placed = base.mapInPandas(place, base.schema.add("_cell", "long").add("_d", "double"))
+    placed_schema = T.StructType([*base.schema.fields, T.StructField("_cell", T.LongType()), T.StructField("_d", T.DoubleType())])
+    placed = base.mapInPandas(place, placed_schema)
     near = Window.partitionBy("_cell").orderBy("_d", "_n")
     summary = {r["_cell"]: r for r in placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_d").alias("radius")).collect()}
     closest = {}
@@ -81,7 +83,8 @@ def knn_join(train: DataFrame, test: DataFrame, id_col: str, vector: str, k: int
                     "_cells": [[names[c] for c in np.flatnonzero(row)] for row in need],
                 })
 
-    visits = queries.mapInPandas(visit, queries.schema.add("_cells", "array<long>")).select(
+    visit_schema = T.StructType([*queries.schema.fields, T.StructField("_cells", T.ArrayType(T.LongType()))])
+    visits = queries.mapInPandas(visit, visit_schema).select(
         "_q", "_x", F.explode("_cells").alias("_cell"))
     load = {r["_cell"]: r["n"] for r in visits.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
     plan = F.broadcast(spark.createDataFrame(

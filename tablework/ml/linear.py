@@ -179,7 +179,7 @@ def coef_table(spark, models: dict[str, LinearModel]) -> DataFrame:
     """One row per feature and model, with the number of zero weights of that model."""
     rows = []
     for name, m in models.items():
-        zero = sum(w == 0 for w in m.weights)
+        zero = sum(1 for w in m.weights if w == 0)
         rows += [(name, c, round(float(w), 3), zero) for c, w in zip(m.features, m.weights)]
     return spark.createDataFrame(rows, "model string, feature string, weight double, zeroed long")
 

@@ -170,11 +170,11 @@ def anova_f(df: DataFrame, features, target: str) -> DataFrame:
     rows = df.select(F.col(target).alias("_t"), F.inline(entries)).filter("_t IS NOT NULL AND v IS NOT NULL")
     per = rows.groupBy("feature", "_t").agg(F.count("*").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s"))
     whole = per.groupBy("feature").agg(
-        F.sum("n").alias("N"), F.count("*").alias("k"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
+        F.sum("n").alias("rows"), F.count("*").alias("k"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"))
     return per.join(whole, "feature").groupBy("feature").agg(
         F.try_divide(
             F.sum(F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean"))) / (F.any_value("k") - 1),
-            F.sum(F.col("n") * F.col("s")) / (F.any_value("N") - F.any_value("k")),
+            F.sum(F.col("n") * F.col("s")) / (F.any_value("rows") - F.any_value("k")),
         ).alias("score"))
 
 

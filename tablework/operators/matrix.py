@@ -100,21 +100,33 @@ def det_inverse(matrices: DataFrame, id_col: str = "matrix_id") -> DataFrame:
     )
     checked = size.withColumn("error", bad)
     good = matrices.join(checked.filter("error IS NULL").select(id_col, "rows"), id_col)
+    # at most 512 x 512 cells per row, as checked above
+    packed = good.groupBy(id_col).agg(
+        F.first("rows").cast("int").alias("n"), F.collect_list("i").alias("i"), F.collect_list("j").alias("j"), F.collect_list("v").alias("v"))
 
-    def solve(key, pdf):
-        n = int(pdf["rows"].iloc[0])
-        m = np.zeros((n, n))
-        m[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["v"].to_numpy()
-        det = float(np.linalg.det(m))
-        scale = float(np.prod(np.linalg.norm(m, axis=1)))
-        if abs(det) <= 1e-12 * scale or scale == 0:
-            return pd.DataFrame({id_col: [key[0]], "det": [0.0], "i": [None], "j": [None], "v": [None], "error": ["not invertible"]})
-        inv = np.linalg.inv(m)
-        i, j = np.indices((n, n))
-        return pd.DataFrame({id_col: key[0], "det": det, "i": i.ravel(), "j": j.ravel(), "v": inv.ravel(), "error": None})
-
-    schema = f"{id_col} {kind}, det double, i long, j long, v double, error string"
-    solved = good.groupBy(id_col).applyInPandas(solve, schema)
+    def solve(batches):
+        for pdf in batches:
+            out: dict = {c: [] for c in (id_col, "det", "i", "j", "v", "error")}
+
+            def put(key, det, i, j, v, error):
+                for c, x in zip(out, (key, det, i, j, v, error)):
+                    out[c].append(x)
+
+            for key, n, i, j, v in zip(pdf[id_col], pdf["n"], pdf["i"], pdf["j"], pdf["v"]):
+                m = np.zeros((n, n))
+                m[i, j] = v
+                det = float(np.linalg.det(m))
+                scale = float(np.prod(np.linalg.norm(m, axis=1)))
+                if scale == 0 or abs(det) <= 1e-12 * scale:
+                    put(key, 0.0, None, None, None, "not invertible")
+                    continue
+                inverse = np.linalg.inv(m)
+                for a in range(n):
+                    for b in range(n):
+                        put(key, det, a, b, float(inverse[a, b]), None)
+            yield pd.DataFrame({c: pd.Series(x, dtype="Int64" if c in ("i", "j") else None) for c, x in out.items()})
+
+    solved = packed.mapInPandas(solve, f"{id_col} {kind}, det double, i long, j long, v double, error string")
     refused = checked.filter("error IS NOT NULL").select(
         id_col, F.lit(None).cast("double").alias("det"), F.lit(None).cast("long").alias("i"),
         F.lit(None).cast("long").alias("j"), F.lit(None).cast("double").alias("v"), "error")

@@ -16,50 +16,65 @@ from tablework.operators.quantiles import values_at_ranks
 _MAX_TIES = 100_000
 
 
-def pick_smallest(df: DataFrame, id_col: str, seed: int, size_of, by=()) -> Column:
-    """Predicate that is true for exactly ``size_of(group, n)`` rows of each group.
+def pick_many(df: DataFrame, id_col: str, picks: dict, by=()) -> dict[str, Column]:
+    """One predicate per entry of ``picks = {name: (seed, size_of)}``.
 
-    The rows are those with the smallest (hash, id); ``id_col`` must be unique. The number of
-    groups must be small (class labels), which ``values_at_ranks`` checks.
+    A predicate is true for exactly ``size_of(group, n)`` rows of each group: those with the
+    smallest (hash, id). ``id_col`` must be unique. The number of groups must be small (class
+    labels), which ``values_at_ranks`` checks. All picks share the same passes.
     """
     by = list(by)
-    u = hash_uniform(id_col, seed)
-    keyed = df.withColumn("_u", u)
+    uniform = {name: hash_uniform(id_col, seed) for name, (seed, _) in picks.items()}
+    keyed = df.select(id_col, *by, *[u.alias(f"_u_{name}") for name, u in uniform.items()])
     sizes: dict = {}
 
     def last_rank(key, n):
-        k = sizes[key[0]] = size_of(key[0], n)
+        group, name = key[0], key[1][3:]
+        k = sizes[(group, name)] = picks[name][1](group, n)
         return {k - 1} if k > 0 else set()
 
-    info, found = values_at_ranks(keyed, ["_u"], last_rank, by)
-    chosen = F.lit(False)
-    limits = {g: found[((g, "_u"), k - 1)] for g, k in sizes.items() if k > 0}
-    if not limits:
-        return chosen
-    # equal 52-bit hashes are rare; the ids break such ties
-    cutoff = _cutoff_ids(keyed, id_col, by, limits, sizes)
-    for g, limit in limits.items():
-        inside = (u < F.lit(limit)) | ((u == F.lit(limit)) & (F.col(id_col) <= F.lit(cutoff[g])))
-        for name, value in zip(by, g):
-            inside = inside & (F.col(name) == F.lit(value))
-        chosen = chosen | inside
-    return F.coalesce(chosen, F.lit(False))
+    _, found = values_at_ranks(keyed, [f"_u_{name}" for name in picks], last_rank, by)
+    limits = {(g, name): found[((g, f"_u_{name}"), k - 1)] for (g, name), k in sizes.items() if k > 0}
+    cutoff = _cutoff_ids(keyed, id_col, by, limits, sizes) if limits else {}
+    out = {name: F.lit(False) for name in picks}
+    for (g, name), limit in limits.items():
+        u = uniform[name]
+        inside = (u < F.lit(limit)) | ((u == F.lit(limit)) & (F.col(id_col) <= F.lit(cutoff[(g, name)])))
+        for column, value in zip(by, g):
+            inside = inside & (F.col(column) == F.lit(value))
+        out[name] = out[name] | inside
+    return {name: F.coalesce(p, F.lit(False)) for name, p in out.items()}
+
+
+def pick_smallest(df: DataFrame, id_col: str, seed: int, size_of, by=()) -> Column:
+    """Predicate for exactly ``size_of(group, n)`` random rows of each group."""
+    return pick_many(df, id_col, {"one": (seed, size_of)}, by)["one"]
 
 
 def _cutoff_ids(keyed: DataFrame, id_col: str, by, limits, sizes) -> dict:
-    schema = T.StructType([keyed.schema[b] for b in by] + [T.StructField("_limit", T.DoubleType())])
-    bounds = F.broadcast(keyed.sparkSession.createDataFrame([(*g, v) for g, v in limits.items()], schema))
+    """Largest id still picked among the rows whose hash equals the limit (nearly always one row)."""
+    names = sorted({name for _, name in limits})
+    schema = T.StructType([keyed.schema[b] for b in by] + [T.StructField("_name", T.StringType()), T.StructField("_limit", T.DoubleType())])
+    bounds = F.broadcast(keyed.sparkSession.createDataFrame([(*g, name, v) for (g, name), v in limits.items()], schema))
     base = keyed.filter(all_not_null(by)) if by else keyed
-    joined = base.join(bounds, by) if by else base.join(bounds, F.col("_u") <= F.col("_limit"))
-    ahead = joined.groupBy(*by).agg(F.count_if(F.col("_u") < F.col("_limit")).alias("n")).collect()
-    before = {tuple(r[b] for b in by): r["n"] for r in ahead}
-    ties = joined.filter(F.col("_u") == F.col("_limit")).select(*by, id_col).limit(_MAX_TIES + 1).collect()
-    if len(ties) > _MAX_TIES:
-        raise ValueError(f"{id_col} is not unique enough to break ties")
+    cells = base.select(id_col, *by, F.inline(F.array(*[F.struct(F.lit(n).alias("_name"), F.col(f"_u_{n}").alias("_u")) for n in names])))
+    near = cells.join(bounds, [*by, "_name"]).filter(F.col("_u") <= F.col("_limit"))
+    tie = F.col("_u") == F.col("_limit")
     out = {}
-    for g in limits:
-        ids = sorted(r[id_col] for r in ties if tuple(r[b] for b in by) == g)
-        out[g] = ids[sizes[g] - before[g] - 1]
+    for r in near.groupBy(*by, "_name").agg(
+        F.count_if(~tie).alias("before"), F.count_if(tie).alias("ties"), F.min(F.when(tie, F.col(id_col))).alias("id")
+    ).collect():
+        key = (tuple(r[b] for b in by), r["_name"])
+        if r["ties"] == 1:
+            out[key] = r["id"]
+            continue
+        if r["ties"] > _MAX_TIES:
+            raise ValueError(f"{id_col} is not unique enough to break ties")
+        same = near.filter(tie & (F.col("_name") == key[1]))
+        for column, value in zip(by, key[0]):
+            same = same.filter(F.col(column) == F.lit(value))
+        ids = sorted(x[id_col] for x in same.select(id_col).collect())
+        out[key] = ids[sizes[key] - r["before"] - 1]
     return out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import clip, hash_normal, hash_uniform
-from tablework.operators.pick import pick_smallest, sample_rows
+from tablework.operators.pick import pick_many, pick_smallest, sample_rows
 
 
 def gen_range(spark: SparkSession, start: int, stop: int, step: int = 1) -> DataFrame:
@@ -110,9 +110,8 @@ def compare_moments(samples: DataFrame) -> DataFrame:
 def inject_dirty(df: DataFrame, id_col: str, null_share: float, duplicates: int, seed: int = 42) -> DataFrame:
     """Blank exactly ``int(n * null_share)`` cells of every other column and append repeated rows."""
     others = [c for c in df.columns if c != id_col]
-    picks = {
-        c: pick_smallest(df, id_col, seed + k, lambda _, n: int(n * null_share)) for k, c in enumerate(others)
-    }
+    share = lambda _, n: int(n * null_share)
+    picks = pick_many(df, id_col, {c: (seed + k, share) for k, c in enumerate(others)})
     dirty = df.withColumns({c: F.when(~p, F.col(c)) for c, p in picks.items()})
     if not duplicates:
         return dirty

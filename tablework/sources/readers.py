@@ -99,13 +99,11 @@ def _sheet_rows(content: bytes) -> Iterator[list]:
                 row.clear()
 
 
-def read_excel(spark: SparkSession, path, schema: str | T.StructType, date_columns=()) -> DataFrame:
-    """First sheet of .xlsx workbooks, one workbook per task, columns matched by header.
+def parse_workbooks(files: DataFrame, schema: str | T.StructType, date_columns=()) -> DataFrame:
+    """Rows of the first sheet of every workbook in a ``content`` column, columns matched by header.
 
     Numbers in date columns count days from 1899-12-30; what does not fit its type is NULL.
     """
-    if str(path).lower().endswith(".xls"):
-        raise ValueError("the binary .xls format is not supported; save as .xlsx")
     types = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = types.fieldNames()
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -124,13 +122,14 @@ def read_excel(spark: SparkSession, path, schema: str | T.StructType, date_colum
                         pending = []
                 yield pd.DataFrame(pending, columns=names, dtype="object")
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    raw = files.mapInPandas(parse, text)
+    raw = files.select("content").mapInPandas(parse, text)
     out = {}
     for f in types.fields:
         if f.name in date_columns:
-            serial = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(F.col(f.name).try_cast("double")).cast("int"))
-            out[f.name] = F.coalesce(F.col(f.name).try_cast("date"), serial)
+            days = F.floor(F.col(f.name).try_cast("double")).try_cast("int")
+            serial = F.date_add(F.lit("1899-12-30").cast("date"), days)
+            # a bare number would also parse as a year
+            out[f.name] = F.when(days.isNull(), F.col(f.name).try_cast("date")).otherwise(serial)
         elif isinstance(f.dataType, T.IntegralType):
             out[f.name] = F.col(f.name).try_cast("double").try_cast(f.dataType)
         else:
@@ -138,6 +137,13 @@ def read_excel(spark: SparkSession, path, schema: str | T.StructType, date_colum
     return raw.withColumns(out)
 
 
+def read_excel(spark: SparkSession, path, schema: str | T.StructType, date_columns=()) -> DataFrame:
+    """First sheet of .xlsx workbooks; files spread over tasks, a sheet is read as a stream."""
+    if str(path).lower().endswith(".xls"):
+        raise ValueError("the binary .xls format is not supported; save as .xlsx")
+    return parse_workbooks(spark.read.format("binaryFile").load(path), schema, date_columns)
+
+
 def load_table(spark: SparkSession, path: str, schema=None, date_columns=()) -> DataFrame:
     """Read by file extension; a missing file and an unknown extension raise before any job."""
     suffix = "." + path.rstrip("/").rsplit(".", 1)[-1].lower() if "." in path else ""
