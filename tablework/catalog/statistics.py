@@ -265,7 +265,7 @@ def _(spark, sf):
     li = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_returnflag")
     s = reports.stats_summary(li, ["l_quantity", "l_extendedprice"], "l_extendedprice", "l_quantity", "l_returnflag")
     v = s.central["l_extendedprice"]
-    row = (s.counts[0][0], s.counts[0][1], s.medians[0][0], s.medians[0][1], v["mean"], v["median"], s.outliers)
+    row = (*s.busiest, *s.dearest, v["mean"], v["median"], s.outliers)
     out = spark.createDataFrame([row], "busiest string, busiest_rows long, dearest string, dearest_median double, mean double, median double, outliers long")
     return rounded(out, 4)
 

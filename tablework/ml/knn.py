@@ -58,10 +58,10 @@ def knn_join(train: DataFrame, test: DataFrame, id_col: str, vector: str, k: int
     placed = base.mapInPandas(place, placed_schema)
     near = Window.partitionBy("_cell").orderBy("_d", "_n")
     summary = {r["_cell"]: r for r in placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_d").alias("radius")).collect()}
-    closest = {}
-    ranked = placed.select("_cell", "_d", "_n").withColumn("rk", F.row_number().over(near))
-    for r in ranked.filter(F.col("rk") == k).select("_cell", "_d").collect():
-        closest[r["_cell"]] = r["_d"]
+    # each task keeps k rows per cell before the shuffle
+    ranked = placed.select("_cell", "_d", "_n").withColumn("rk", F.row_number().over(near)).filter(F.col("rk") <= k)
+    ends = ranked.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_d").alias("d")).collect()
+    closest = {r["_cell"]: r["d"] for r in ends if r["n"] == k}
     cells = sorted(summary)
     radius = np.array([summary[c]["radius"] for c in cells])
     kth = np.array([closest.get(c, np.inf) for c in cells])
@@ -103,14 +103,20 @@ def knn_join(train: DataFrame, test: DataFrame, id_col: str, vector: str, k: int
         if not len(qs) or not len(ts):
             return pd.DataFrame({"_q": [], "_n": [], "distance": [], **{c: [] for c in extra}})
         ts = ts.sort_values("_n", kind="stable")
-        y, ids = np.stack(ts["_y"].to_numpy()), ts["_n"].to_numpy()
-        found = []
-        for q, x in zip(qs["_q"], qs["_x"]):
+        y, keep = np.stack(ts["_y"].to_numpy()), min(k, len(ts))
+        picks, distances = [], []
+        for x in qs["_x"]:
             diff = y - x
             d = np.sqrt((diff * diff).sum(axis=1))
-            best = np.argsort(d, kind="stable")[:k]
-            found.append(pd.DataFrame({"_q": q, "_n": ids[best], "distance": d[best], **{c: ts[c].to_numpy()[best] for c in extra}}))
-        return pd.concat(found)
+            near_enough = np.flatnonzero(d <= np.partition(d, keep - 1)[keep - 1])
+            best = near_enough[np.argsort(d[near_enough], kind="stable")[:keep]]
+            picks.append(best)
+            distances.append(d[best])
+        at = np.concatenate(picks)
+        return pd.DataFrame({
+            "_q": np.repeat(qs["_q"].to_numpy(), keep), "_n": ts["_n"].to_numpy()[at], "distance": np.concatenate(distances),
+            **{c: ts[c].to_numpy()[at] for c in extra},
+        })
 
     keys = ["_cell", "_b", "_s"]
     candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, out)

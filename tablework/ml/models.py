@@ -153,14 +153,18 @@ def depth_analysis(train: DataFrame, test: DataFrame, features, target: str, tas
 
 def compare_models(train: DataFrame, test: DataFrame, features, target: str, task: str, names=None, **options) -> DataFrame:
     """One row of rounded test metrics per model, all on the same split."""
-    out, train, test = None, train.persist(), test.persist()
-    for name in names or (CLASSIFIERS if task == "classification" else REGRESSORS):
-        got = fit_model(train, features, target, task, name, **options).metrics(test, target)
-        digits = {"mae": 3, "rmse": 3}
-        keep = ["accuracy", "precision", "recall", "f1", "roc_auc"] if task == "classification" else ["mae", "rmse", "r2"]
-        row = got.select(F.lit(name).alias("model"), *[F.round(c, digits.get(c, 4)).alias(c) for c in keep])
-        out = row if out is None else out.unionByName(row)
-    return out
+    keep = ["accuracy", "precision", "recall", "f1", "roc_auc"] if task == "classification" else ["mae", "rmse", "r2"]
+    digits = {"mae": 3, "rmse": 3}
+    rows, spark = [], train.sparkSession
+    train, test = train.persist(), test.persist()
+    try:
+        for name in names or (CLASSIFIERS if task == "classification" else REGRESSORS):
+            got = fit_model(train, features, target, task, name, **options).metrics(test, target).first()
+            rows.append((name, *[round(float(got[c]), digits.get(c, 4)) for c in keep]))
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "model string, " + ", ".join(f"{c} double" for c in keep))
 
 
 def model_table(scored: dict[str, DataFrame], target: str, task: str) -> DataFrame:

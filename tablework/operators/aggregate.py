@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import all_not_null, col, cut, flag, require_columns, sum0
-from tablework.operators.order import ordered_index
+from tablework.operators.order import materialize, ordered_index
 from tablework.operators.quantiles import column_quantiles, group_quantiles
 
+_PLANNED_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
+_SALTS = 256
+
 # Aggregates by name; first and last follow an explicit order, median is an exact quantile.
 AGGREGATES = {
     "sum": sum0, "mean": F.avg, "count": F.count, "min": F.min, "max": F.max,
@@ -58,17 +61,26 @@ def group_median(df: DataFrame, by, column: str, out: str) -> DataFrame:
 def group_transform(df: DataFrame, by: str, column: str, mean: str, deviation: str) -> DataFrame:
     """Group mean on every row and the deviation from it.
 
-    The group table is small and joined back, so that a hot group stays spread over tasks.
+    The table of means is written first, so that its size is known when the join is planned:
+    a small one is broadcast and no row moves; a large one is joined by key, where adaptive
+    execution splits a hot group. A window would put each group into one task.
     """
     means = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.avg(column).alias(mean))
-    return df.join(means, by, "left").withColumn(deviation, F.col(column) - F.col(mean))
+    return df.join(materialize(means, "means"), by, "left").withColumn(deviation, F.col(column) - F.col(mean))
 
 
 def top_n_per_group(df: DataFrame, by: str, sort: str, n: int, id_col: str) -> DataFrame:
-    """The ``n`` largest rows per group; each task cuts its groups to ``n`` before the shuffle."""
-    order = Window.partitionBy(by).orderBy(F.desc_nulls_last(sort), F.col(id_col))
-    ranked = df.filter(F.col(by).isNotNull()).withColumn("_rn", F.row_number().over(order))
-    return ranked.filter(F.col("_rn") <= n).drop("_rn")
+    """The ``n`` largest rows per group; each task cuts its groups to ``n`` before the shuffle.
+
+    The planner makes that cut only for small ``n``; for larger ones a salted round first
+    spreads a hot group over tasks.
+    """
+    order = [F.desc_nulls_last(sort), F.col(id_col)]
+    rows = df.filter(F.col(by).isNotNull())
+    keep = lambda d, keys: d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_rn") <= n).drop("_rn")
+    if n > _PLANNED_LIMIT:
+        rows = keep(rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(_SALTS))), [by, "_salt"]).drop("_salt")
+    return keep(rows, [by])
 
 
 def top_k(df: DataFrame, by: str, k: int, id_col: str) -> DataFrame:
@@ -123,7 +135,7 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
 def value_share(df: DataFrame, column: str, out: str = "share") -> DataFrame:
     """Share of every value among non-missing ones."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    total = df.agg(F.count(column)).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select(column, (F.col("n") / total).alias(out))
 
 
@@ -183,7 +195,8 @@ def resample_sum(df: DataFrame, date: str, value: str, freq: str = "month") -> D
     if freq not in label:
         raise ValueError(f"freq must be one of {sorted(label)}")
     rows = df.select(label[freq].alias("period"), F.col(value).alias("_v")).filter(all_not_null(["period", "_v"]))
-    sums = rows.groupBy("period").agg(F.sum("_v").alias("total"))
+    # one row per period, read twice below
+    sums = materialize(rows.groupBy("period").agg(F.sum("_v").alias("total")), "periods")
     step = {"month": "interval 1 month", "week": "interval 7 days", "day": "interval 1 day"}[freq]
     spine = sums.agg(F.min("period").alias("a"), F.max("period").alias("b")).filter(F.col("a").isNotNull())
     first = F.trunc("a", "month") if freq == "month" else F.col("a")

@@ -10,13 +10,10 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import all_not_null, numeric_names, pearson_expr, sum0
 from tablework.operators.aggregate import resample_sum
-from tablework.operators.pick import sample_rows
+from tablework.operators.order import materialize
 from tablework.operators.quantiles import group_quantiles
 from tablework.operators.stats import corr_matrix
 
-_SCATTER_LIMIT = 1_000_000
-_KDE_CELLS = 2048
-
 
 def histogram_bins(n: int) -> int:
     return min(20, max(5, n // 3))
@@ -69,17 +66,12 @@ def box_outliers(df: DataFrame, value: str, by: str) -> DataFrame:
     return df.join(fences, by).filter(~F.col(value).between(F.col("lo"), F.col("hi"))).select(*df.columns)
 
 
-def scatter_data(df: DataFrame, x: str, y: str, id_col: str, limit: int = _SCATTER_LIMIT) -> DataFrame:
-    """Complete (x, y) points with r on every row; more than ``limit`` points are thinned by id hash.
-
-    With fewer than two points the result is empty.
-    """
+def scatter_data(df: DataFrame, x: str, y: str, id_col: str) -> DataFrame:
+    """Complete (x, y) points with r on every row; empty with fewer than two points."""
     points = df.select(id_col, x, y).filter(all_not_null([x, y]))
     stats = points.agg(F.count("*").alias("n"), pearson_expr(x, y).alias("r")).first()
     if stats["n"] < 2:
         points = points.limit(0)
-    elif stats["n"] > limit:
-        points = sample_rows(points, limit, id_col)
     return points.withColumn("r", F.lit(stats["r"]).cast("double"))
 
 
@@ -114,12 +106,10 @@ def heatmap_data(df: DataFrame, columns=None) -> DataFrame:
     return corr_matrix(df, columns).withColumn("r", F.round("r", 2))
 
 
-def pairplot_points(df: DataFrame, columns, hue: str, id_col: str, limit: int = _SCATTER_LIMIT) -> DataFrame:
+def pairplot_points(df: DataFrame, columns, hue: str, id_col: str) -> DataFrame:
     """Points of every pair of columns (lower triangle), with their category."""
     columns = list(columns or numeric_names(df, skip_ids=True))
     rows = df.select(id_col, hue, *columns).filter(all_not_null([hue, *columns]))
-    if rows.count() > limit:
-        rows = sample_rows(rows, limit, id_col)
     pairs = F.array(*[
         F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"),
                  F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
@@ -147,27 +137,21 @@ def pairplot_hist(df: DataFrame, columns, hue: str, bins: int = 10) -> DataFrame
 def violin_data(df: DataFrame, value: str, by: str, points: int = 100) -> DataFrame:
     """Gaussian density per category on an even grid, two bandwidths past the data.
 
-    The bandwidth is Scott's (sample std x n^-1/5). Each category is first counted in
-    2,048 fine cells, whose mean values then carry the kernel: the work after the count does
-    not depend on the number of rows.
+    The bandwidth is Scott's (sample std x n^-1/5). Equal values are counted first, by category
+    and value, so that a hot category stays spread; kernel sums are combined before they move.
     """
     rows = df.select(by, F.col(value).cast("double").alias("v")).filter(all_not_null([by, "v"]))
-    stats = rows.groupBy(by).agg(
+    stats = materialize(rows.groupBy(by).agg(
         F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
         (F.stddev_samp("v") * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("h"),
-    ).filter("h > 0")
-    width = (F.col("hi") - F.col("lo")) / _KDE_CELLS
-    cell = _bin_index(F.col("v"), F.col("lo"), width, F.lit(_KDE_CELLS))
-    cells = rows.join(stats.select(by, "lo", "hi"), by).groupBy(by, cell.alias("cell")).agg(
-        F.count("*").alias("c"), F.avg("v").alias("m"))
-    grid = stats.select(by, "n", "h", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(points - 1)),
-        lambda k: (F.col("lo") - 2 * F.col("h")) + k * ((F.col("hi") - F.col("lo") + 4 * F.col("h")) / (points - 1)),
-    )).alias("point", "x"))
-    z = (F.col("x") - F.col("m")) / F.col("h")
-    kernel = F.col("c") * F.exp(-0.5 * z * z)
-    return cells.join(grid, by).groupBy(by, "point", "x").agg(
-        (F.sum(kernel) / (F.any_value("n") * F.any_value("h") * math.sqrt(2 * math.pi))).alias("density"))
+    ), "violin").filter("h > 0")
+    start, step = F.col("lo") - 2 * F.col("h"), (F.col("hi") - F.col("lo") + 4 * F.col("h")) / (points - 1)
+    grid = stats.select(by, "n", "h", F.posexplode(
+        F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: start + k * step)).alias("point", "x"))
+    z = (F.col("x") - F.col("v")) / F.col("h")
+    counts = rows.groupBy(by, "v").agg(F.count("*").alias("c"))
+    return counts.join(grid, by).groupBy(by, "point", "x").agg(
+        (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (F.any_value("n") * F.any_value("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def regression_line_data(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:

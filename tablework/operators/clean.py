@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.functions.semantics import clip, is_numeric, nan_to_null, numeric_names, require_columns, text_bar
-from tablework.operators.order import carry_fill
+from tablework.operators.order import carry_fill, materialize
 from tablework.operators.quantiles import column_quantiles
 from tablework.operators.select import TYPE_WIDTH
 
@@ -99,6 +99,16 @@ def most_frequent(df: DataFrame, column: str):
     return top[0] if top else None
 
 
+def numeric_modes(df: DataFrame, columns) -> dict:
+    """Most frequent value of each numeric column, all from one grouped count."""
+    columns = list(columns)
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    counts = cells.filter("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b")).collect()
+    found = {columns[r["c"]]: r["b"]["v"] for r in best}
+    return {c: found.get(c) for c in columns}
+
+
 def _fill(df: DataFrame, column: str, value) -> DataFrame:
     if value is None:
         return df
@@ -213,7 +223,8 @@ def duplicate_rows(df: DataFrame, id_col: str, subset=None) -> DataFrame:
     for k in keys:
         part = F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
         same = part if same is None else same & part
-    pairs = rows.alias("l").join(firsts.alias("r"), same)
+    # written first, so that a short list of repeated keys is broadcast by its known size
+    pairs = rows.alias("l").join(materialize(firsts, "repeated").alias("r"), same)
     return pairs.filter(F.col(f"l.{id_col}") > F.col("first_id")).select(F.col(f"l.{id_col}"), "first_id")
 
 
@@ -228,20 +239,17 @@ def duplicate_report(df: DataFrame, id_col: str, subset=None) -> DataFrame:
 
 
 def remove_duplicates(df: DataFrame, order_col: str | None = None, subset=None) -> DataFrame:
-    """Keep the first row (by ``order_col``) of every set of equal rows.
+    """Keep the first row (by the unique ``order_col``) of every set of equal rows.
 
-    The minimum is combined before the shuffle: a value that fills a third of the table
-    leaves each task as a single row.
+    Only digests and ids are compared; the rows themselves meet the list of repeated ids, which
+    is broadcast when small, so that long rows usually do not move at all.
     """
     if subset is None:
         return df.dropDuplicates()
-    require_columns(df, subset)
     if order_col is None:
         raise ValueError("a subset needs order_col to know which row is first")
-    return (
-        df.groupBy(*_row_key(df, subset)).agg(F.min_by(F.struct(*df.columns), order_col).alias("_row"))
-        .select("_row.*")
-    )
+    repeated = materialize(duplicate_rows(df, order_col, subset).select(order_col), "repeats")
+    return df.join(repeated, order_col, "left_anti").select(*df.columns)
 
 
 def fix_types(df: DataFrame, spec: dict) -> DataFrame:

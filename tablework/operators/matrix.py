@@ -14,7 +14,7 @@ from tablework.functions.semantics import col, numeric_names, words
 from tablework.operators.order import ordered_index
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
-_BROADCAST_VECTORS = 20_000
+_BROADCAST_VALUES = 4_000_000
 _BLOCK_ROWS = 2_000
 _INVERSE_LIMIT = 512
 
@@ -137,7 +137,7 @@ def reshape_rows(df: DataFrame, order_by, value: str, width: int) -> DataFrame:
     """Row-major regrouping of a sequence into cells of rows of ``width``."""
     if width <= 0 or df.count() % width:
         raise ValueError(f"the number of values is not a multiple of {width}")
-    placed = ordered_index(df.select(*[c for c in {*order_by, value}]), order_by, "idx")
+    placed = ordered_index(df.select(*dict.fromkeys([*order_by, value])), order_by, "idx")
     return placed.select(
         F.floor(F.col("idx") / width).alias("i"), (F.col("idx") % width).alias("j"), F.col(value).alias("v"))
 
@@ -151,7 +151,7 @@ def chunk_rows(df: DataFrame, order_by, value: str, size: int) -> DataFrame:
     """Consecutive batches of ``size`` values; only the last one may be shorter."""
     if size <= 0:
         raise ValueError("size must be positive")
-    placed = ordered_index(df.select(*[c for c in {*order_by, value}]), order_by, "idx")
+    placed = ordered_index(df.select(*dict.fromkeys([*order_by, value])), order_by, "idx")
     item = F.struct("idx", F.col(value).alias("v"))
     chunks = placed.groupBy(F.floor(F.col("idx") / size).alias("chunk")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     return chunks.select("chunk", F.transform("items", lambda x: x["v"]).alias("items"))
@@ -182,8 +182,9 @@ def _dimension(df: DataFrame, vector: str) -> int | None:
 def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: str, b_vec: str) -> DataFrame:
     """Euclidean distance of every row of ``a`` to every row of ``b``.
 
-    ``b`` travels to the tasks in blocks: as one array when a count shows it to be small,
-    otherwise block by block, each block of ``b`` meeting each slice of ``a`` in its own task.
+    The result has one row per pair by definition. A ``b`` of at most four million numbers goes
+    to the tasks as one array; otherwise each block of ``b`` meets each slice of ``a`` in its
+    own task.
     """
     da, db = _dimension(a, a_vec), _dimension(b, b_vec)
     if da is not None and db is not None and da != db:
@@ -191,10 +192,11 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
     spark = a.sparkSession
     left = a.select(F.col(a_id).alias("_a"), F.col(a_vec).cast("array<double>").alias("_x"))
     right = b.select(F.col(b_id).alias("_b"), F.col(b_vec).cast("array<double>").alias("_y"))
-    small = right.limit(_BROADCAST_VECTORS + 1).collect()
+    limit = _BROADCAST_VALUES // max(db or 1, 1)
+    small = right.limit(limit + 1).collect()
     a_kind, b_kind = a.schema[a_id].dataType.simpleString(), b.schema[b_id].dataType.simpleString()
     schema = f"{a_id} {a_kind}, {b_id} {b_kind}, distance double"
-    if len(small) <= _BROADCAST_VECTORS:
+    if len(small) <= limit:
         packed = spark.sparkContext.broadcast(([r["_b"] for r in small], np.array([r["_y"] for r in small], dtype="float64")))
 
         def measure(batches):
@@ -206,8 +208,8 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
                         yield _distances(part["_a"].to_numpy(), np.stack(part["_x"].to_numpy()), ids, ys, a_id, b_id)
 
         return left.mapInPandas(measure, schema)
-    blocks = -(-b.count() // _BROADCAST_VECTORS)
-    slices = -(-a.count() // _BROADCAST_VECTORS)
+    # a task holds one block of each side and their distances
+    blocks, slices = -(-b.count() // _BLOCK_ROWS), -(-a.count() // _BLOCK_ROWS)
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
     left = left.withColumn("_s", block("_a", slices)).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = right.withColumn("_k", block("_b", blocks).cast("int")).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
@@ -215,12 +217,7 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
     def meet(key, xs, ys):
         if not len(xs) or not len(ys):
             return pd.DataFrame({a_id: [], b_id: [], "distance": []})
-        y = np.stack(ys["_y"].to_numpy())
-        step = max(1, 4_000_000 // (len(ys) * y.shape[1]))
-        return pd.concat([
-            _distances(part["_a"].to_numpy(), np.stack(part["_x"].to_numpy()), ys["_b"].to_numpy(), y, a_id, b_id)
-            for part in (xs.iloc[s:s + step] for s in range(0, len(xs), step))
-        ])
+        return _distances(xs["_a"].to_numpy(), np.stack(xs["_x"].to_numpy()), ys["_b"].to_numpy(), np.stack(ys["_y"].to_numpy()), a_id, b_id)
 
     return left.groupBy("_s", "_k").cogroup(right.groupBy("_s", "_k")).applyInPandas(meet, schema)
 

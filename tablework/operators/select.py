@@ -123,7 +123,7 @@ def select_rows_by_index(df: DataFrame, order_by, positions) -> DataFrame:
         rows.append((number, p % n))
     wanted = df.sparkSession.createDataFrame(rows, "ord long, _idx long")
     placed = ordered_index(df, order_by, "_idx")
-    return placed.join(F.broadcast(wanted), "_idx").drop("_idx").orderBy("ord")
+    return placed.join(wanted, "_idx").drop("_idx").orderBy("ord")
 
 
 def filter_mean_deviation(df: DataFrame, column: str, threshold: float) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import flag, numeric_names, pearson_expr
-from tablework.operators.clean import most_frequent
+from tablework.operators.clean import numeric_modes
 from tablework.operators.order import prefix_sum, with_average_ranks
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
@@ -40,9 +40,8 @@ def central_tendency(df: DataFrame, columns) -> DataFrame:
     columns = list(columns)
     info = exact_quantiles(df, columns, [0.5])
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    rows = [
-        (c, float(means[c]), _require_rows(info, c)["q"][0], float(most_frequent(df, c))) for c in columns
-    ]
+    modes = numeric_modes(df, columns)
+    rows = [(c, float(means[c]), _require_rows(info, c)["q"][0], modes[c]) for c in columns]
     return df.sparkSession.createDataFrame(rows, "column_name string, mean double, median double, mode double")
 
 
@@ -146,12 +145,26 @@ def zscore_normalize(df: DataFrame, columns) -> DataFrame:
 
 def zscore_outliers(df: DataFrame, column: str, thresholds=(2.0, 3.0)) -> DataFrame:
     """Rows beyond each threshold of |z|, with z; one pass for the moments, one filtered scan."""
+    levels = F.filter(F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: F.abs(F.col("z")) > t)
+    return zscores(df, column).filter(F.abs("z") > min(thresholds)).withColumn("threshold", F.explode(levels))
+
+
+def zscores(df: DataFrame, column: str, out: str = "z") -> DataFrame:
+    """z of every value, on population moments; a constant column raises."""
     stats = df.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s")).first()
     if not stats["s"]:
         raise ValueError(f"{column} has no spread")
-    z = (F.col(column) - F.lit(stats["m"])) / F.lit(stats["s"])
-    levels = F.filter(F.array(*[F.lit(float(t)) for t in thresholds]), lambda t: F.abs(F.col("z")) > t)
-    return df.withColumn("z", z).filter(F.abs("z") > min(thresholds)).withColumn("threshold", F.explode(levels))
+    return df.withColumn(out, (F.col(column) - F.lit(stats["m"])) / F.lit(stats["s"]))
+
+
+def zscore_counts(df: DataFrame, columns, threshold: float) -> DataFrame:
+    """Values beyond ``threshold`` per column: one pass for the moments, one for the counts."""
+    m = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in columns]).first()
+    for c in columns:
+        if not m[c]["s"]:
+            raise ValueError(f"{c} has no spread")
+    beyond = lambda c: F.abs((F.col(c) - F.lit(m[c]["m"])) / F.lit(m[c]["s"])) > threshold
+    return df.agg(*[F.count_if(beyond(c)).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "n_outliers")
 
 
 def iqr_bounds(df: DataFrame, columns, factor: float = 1.5) -> dict:

@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 from tablework.functions.semantics import numeric_names
 from tablework.operators import charts, stats
 from tablework.operators.aggregate import (
-    at_risk, bin_terciles, category_pct, group_extremes, group_median, pivot_summary, rank_rows, row_mean, top_k,
-    value_counts,
+    at_risk, bin_terciles, category_pct, group_extremes, pivot_summary, rank_rows, row_mean, top_k, value_counts,
 )
 from tablework.operators.clean import describe
 from tablework.operators.matrix import axis_stats
+from tablework.operators.quantiles import group_quantiles
 from tablework.sources.writers import write_json, write_report
 
 
@@ -90,7 +90,7 @@ def eda_insights(df: DataFrame, value: str, category: str, status: str, done: st
 
 @dataclass
 class StatsSummary:
-    """Bounded-size statistics of one table: a row per column, pair or category."""
+    """Bounded-size statistics of one table: a row per column or pair, and the extreme categories."""
 
     n_rows: int
     central: dict
@@ -98,25 +98,32 @@ class StatsSummary:
     pairs: list
     normality: dict
     outliers: int
-    counts: list
-    medians: list
+    busiest: tuple
+    quietest: tuple
+    dearest: tuple
+    cheapest: tuple
+
+
+def _ends(groups: DataFrame, key: str, size: str) -> tuple[tuple, tuple]:
+    """First and last group in the order (size descending, key ascending), as (key, size)."""
+    place = F.struct((-F.col(size)).alias("s"), F.col(key).alias("k"))
+    row = groups.agg(F.min(place).alias("a"), F.max(place).alias("b")).first()
+    return (row["a"]["k"], -row["a"]["s"]), (row["b"]["k"], -row["b"]["s"])
 
 
 def stats_summary(df: DataFrame, columns, value: str, quantity: str, category: str) -> StatsSummary:
     columns = list(columns)
     by_name = lambda d: {r["column_name"]: r.asDict() for r in d.collect()}
-    beyond = 0
-    for c in columns:
-        beyond += stats.zscore_outliers(df, c, (2.0,)).count()
+    beyond = stats.zscore_counts(df, columns, 2.0).agg(F.sum("n_outliers")).first()[0]
+    busiest, quietest = _ends(charts.bar_data(df, category), category, "height")
+    dearest, cheapest = _ends(group_quantiles(df, [category], value, [0.5], ["m"]), category, "m")
     return StatsSummary(
         n_rows=df.count(),
         central=by_name(stats.central_tendency(df, columns)),
         spread=by_name(stats.spread(df, columns)),
         pairs=[r.asDict() for r in stats.pair_correlations(df, columns).orderBy(F.desc(F.abs("r")), "column_a", "column_b").collect()],
         normality={c: stats.normality_test(df, c).first().asDict() for c in (quantity, value)},
-        outliers=beyond,
-        counts=[(r[0], r[1]) for r in charts.bar_data(df, category).limit(1000).collect()],
-        medians=[(r[0], r[1]) for r in group_median(df, category, value, "m").limit(1000).collect()],
+        outliers=beyond, busiest=busiest, quietest=quietest, dearest=dearest, cheapest=cheapest,
     )
 
 
@@ -126,8 +133,7 @@ def business_insights(s: StatsSummary, value: str, quantity: str, category: str,
     strong, faint = s.pairs[0], s.pairs[-1]
     rejected = sorted(c for c, t in s.normality.items() if not t["is_normal"])
     related = abs(strong["r"]) >= weak
-    top, low = s.counts[0], s.counts[-1]
-    dear, cheap = s.medians[0], s.medians[-1]
+    top, low, dear, cheap = s.busiest, s.quietest, s.dearest, s.cheapest
     findings = [
         f"{value} averages {v['mean']:.2f} (median {v['median']:.2f}, sample std {s.spread[value]['stddev_samp']:.2f}, "
         f"range {s.spread[value]['value_range']:.2f}).",
