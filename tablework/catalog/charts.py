@@ -127,10 +127,15 @@ def _(spark, sf):
     return rounded(out.drop("band_low", "band_high"), 4, x=6, r=6)
 
 
-@query("regression_band")
+@query("regression_band", """
+WITH s AS (SELECT count(*) AS n, avg(l_quantity) AS mx, var_pop(l_quantity) AS vx, var_pop(l_extendedprice) AS vy, covar_pop(l_quantity, l_extendedprice) AS c,
+  regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a, min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem),
+p AS (SELECT k, lo + (hi - lo) * k / 99 AS x, a, b, mx, vx, n, sqrt((vy - b * c) * n / (n - 2)) AS e FROM s, (SELECT unnest(range(100)) AS k))
+SELECT k AS point, round(x, 6) AS x, round(a + b * x - 1.959963984540054 * e * sqrt(1 / n + (x - mx) ** 2 / (n * vx)), 4) AS band_low,
+  round(a + b * x + 1.959963984540054 * e * sqrt(1 / n + (x - mx) ** 2 / (n * vx)), 4) AS band_high FROM p""")
 def _(spark, sf):
     out = charts.regression_line_data(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
-    return out.select("point", "x", "band_low", "band_high")
+    return rounded(out.select("point", "x", "band_low", "band_high"), 4, x=6)
 
 
 @query("residual_data", """

@@ -212,7 +212,7 @@ def _(spark, sf):
 _SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
-@query("clean_churn", f"""
+@query("clean_telco", f"""
 SELECT CASE WHEN c_custkey % 12 = 5 THEN 0.0 ELSE c_acctbal END AS amount, c_nationkey AS nation,
   CASE WHEN c_custkey % 4 = 1 THEN 1 ELSE 0 END AS target,
   {', '.join(f"CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END AS segment_{s}" for s in _SEGMENTS)} FROM customer""")

@@ -166,7 +166,7 @@ def _clean_churn(spark, sf):
     return preprocess.load_raw_churn(keyed, "customer_id", "total", "churn").withColumnRenamed("id", "customer_id")
 
 
-@query("load_raw_churn", f"""
+@query("load_raw_telco", f"""
 SELECT id, tenure, round(monthly, 2) AS monthly, round(total, 2) AS total, contract, CASE WHEN k <= greatest(1, n // 50) THEN NULL ELSE segment END AS segment, churn
 FROM (SELECT *, customer_id AS id, row_number() OVER (ORDER BY {_hash('customer_id')}, customer_id) AS k, count(*) OVER () AS n FROM {_CHURN_SQL})""")
 def _(spark, sf):
@@ -257,7 +257,20 @@ def _(spark, sf):
     return rounded(_preprocessor().fit(train).transform(test, ["customer_id"]))
 
 
-@query("save_load_transformer", _PREPROCESSED)
+_PARAMS = "\nUNION ALL ".join(f"""
+SELECT '{c}' AS feature, round(median({c}), 6) AS median, round((SELECT avg(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 6) AS center,
+  round((SELECT stddev_pop(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 6) AS scale FROM t""" for c in ("tenure", "monthly", "total"))
+
+
+@query("save_transformer", f"WITH t AS {_TRAIN_ROWS}\n{_PARAMS}")
+def _(spark, sf):
+    """The numeric parameters of the saved transformer, read back."""
+    path = scratch_path(spark, "transformer")
+    _preprocessor().fit(_churn_split(spark, sf)[0]).save(spark, path)
+    return rounded(preprocess.Preprocessor.load(spark, path).numeric_params(spark))
+
+
+@query("load_transformer", _PREPROCESSED)
 def _(spark, sf):
     train, test = _churn_split(spark, sf)
     path = scratch_path(spark, "transformer")
@@ -322,11 +335,15 @@ def _unit(spark, sf):
     return table(spark, sf, "lineitem").select((F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 100000).alias("y"))
 
 
-@query("gd_linear", f"""
+def _descent_sql(lr: float, epochs: int) -> str:
+    return f"""
 WITH RECURSIVE m AS (SELECT avg(x) AS x, avg(y) AS y, avg(x * x) AS xx, avg(x * y) AS xy, avg(y * y) AS yy FROM {_UNIT}),
 g AS (SELECT 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b
-  UNION ALL SELECT k + 1, a - 0.1 * 2 * (a + b * x - y), b - 0.1 * 2 * (a * x + b * xx - xy) FROM g, m WHERE k < 200)
-SELECT k::BIGINT AS epoch, round(a * a + 2 * a * b * x + b * b * xx - 2 * a * y - 2 * b * xy + yy, 6) AS loss FROM g, m""")
+  UNION ALL SELECT k + 1, a - {lr} * 2 * (a + b * x - y), b - {lr} * 2 * (a * x + b * xx - xy) FROM g, m WHERE k < {epochs})
+SELECT k::BIGINT AS epoch, round(a * a + 2 * a * b * x + b * b * xx - 2 * a * y - 2 * b * xy + yy, 6) AS loss FROM g, m"""
+
+
+@query("gd_linear", _descent_sql(0.1, 200))
 def _(spark, sf):
     return rounded(linear.gd_linear(_unit(spark, sf), ["x"], "y", lr=0.1, epochs=200).loss_table(spark))
 
@@ -384,14 +401,24 @@ def _(spark, sf):
     return rounded(e.select("event_id", linear.sigmoid(F.col("z")).alias("p")), 9)
 
 
-@query("gd_logistic")
+def _logistic_sql(lr: float, epochs: int) -> str:
+    """The same descent, one common table expression per epoch."""
+    p = "1 / (1 + exp(-(a + b * score)))"
+    steps = ["w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for k in range(epochs):
+        steps.append(f"w{k + 1} AS MATERIALIZED (SELECT any_value(a) - {lr} * avg({p} - quality) AS a, any_value(b) - {lr} * avg(({p} - quality) * score) AS b FROM d, w{k})")
+    losses = [f"SELECT {k}::BIGINT AS epoch, round(-avg(quality * ln({p}) + (1 - quality) * ln(1 - {p})), 6) AS loss FROM d, w{k}" for k in range(epochs + 1)]
+    return f"WITH d AS MATERIALIZED (SELECT score, quality FROM {SCORED_DOCS_SQL}),\n" + ",\n".join(steps) + "\n" + "\nUNION ALL ".join(losses)
+
+
+@query("gd_logistic", _logistic_sql(0.3, 15))
 def _(spark, sf):
-    return linear.gd_logistic(scored_docs(spark, sf), ["score"], "quality", lr=0.3, epochs=15).loss_table(spark)
+    return rounded(linear.gd_logistic(scored_docs(spark, sf), ["score"], "quality", lr=0.3, epochs=15).loss_table(spark))
 
 
-@query("loss_curve_data")
+@query("loss_curve_data", _descent_sql(0.05, 500))
 def _(spark, sf):
-    return linear.gd_linear(_unit(spark, sf), ["x"], "y", lr=0.05, epochs=500).loss_table(spark)
+    return rounded(linear.gd_linear(_unit(spark, sf), ["x"], "y", lr=0.05, epochs=500).loss_table(spark))
 
 
 @query("predict_logistic", f"""
@@ -535,3 +562,15 @@ def _(spark, sf):
     data, path = _experiment(spark, sf), scratch_path(spark, "bundle")
     models.train_and_save(data, "churn", "decision_tree", path)
     return spark.read.text(f"{path}/metrics")
+
+
+@query("train_job")
+def _(spark, sf):
+    """The training command on the churn-like table, written as CSV first."""
+    from jobs import train
+
+    source, out = scratch_path(spark, "train-input"), scratch_path(spark, "train-output")
+    _churn(spark, sf).write.option("header", True).csv(source)
+    code = train.main(["--task", "classification", "--model", "logistic_regression", "--input", source, "--output-dir", out,
+                       "--id", "customer_id", "--target", "churn", "--numeric", "tenure,monthly,total", "--nominal", "segment,contract"])
+    return spark.read.text(f"{out}/metrics").withColumn("exit_code", F.lit(code))

@@ -169,7 +169,21 @@ def _(spark, sf):
     return rounded(generate.gen_scores(table(spark, sf, "customer"), "c_custkey", ["math", "science", "english"]))
 
 
-@query("gen_orders")
+def _choice(values, seed: int) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"([{listed}])[CAST(floor({_UNIFORM.format(id='k', seed=seed)} * {len(values)}) AS INTEGER) + 1]"
+
+
+@query("gen_orders", f"""
+WITH n AS (SELECT count(*) AS n FROM orders), g AS (SELECT unnest(range((SELECT n FROM n))) AS k)
+SELECT k + 1 AS order_id,
+  CASE WHEN row_number() OVER (ORDER BY substr(md5((k + 1) || ':49'), 1, 13), k) > 5
+    THEN 'Customer ' || (CAST(floor({_UNIFORM.format(id='k', seed=43)} * greatest(n // 3, 1)) AS BIGINT) + 1) END AS customer_name,
+  {_choice(generate.CATEGORIES, 44)} AS product_category, CAST(floor({_UNIFORM.format(id='k', seed=45)} * 9) AS BIGINT) + 1 AS quantity,
+  round(5 + {_UNIFORM.format(id='k', seed=47)} * 495, 2) AS unit_price,
+  CAST(DATE '2024-01-01' + CAST(floor(k * (365.0::DOUBLE / n)) AS INTEGER) AS DATE) AS order_date, {_choice(generate.REGIONS, 48)} AS region,
+  CASE WHEN s < 0.55 THEN 'Delivered' WHEN s < 0.7 THEN 'Shipped' WHEN s < 0.8 THEN 'Cancelled' ELSE 'Pending' END AS status
+FROM (SELECT k, {_UNIFORM.format(id='k', seed=46)} AS s FROM g), n""")
 def _(spark, sf):
     return generate.gen_orders(spark, _size(spark, sf, "orders"))
 
@@ -184,9 +198,14 @@ def _(spark, sf):
     return rounded(moments.filter("distribution <> 'poisson'"))
 
 
-@query("gen_poisson")
+@query("gen_poisson", f"""
+WITH c AS (SELECT i, sum(exp(-4) * 4.0 ** i / gamma(i + 1)) OVER (ORDER BY i) AS p FROM (SELECT unnest(range(41)) AS i)),
+d AS (SELECT u, (SELECT count(*) FROM c WHERE c.p <= u) AS v FROM (SELECT {_UNIFORM.format(id='k', seed=242)} AS u
+  FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS k)))
+SELECT 'poisson' AS distribution, 4.0::DOUBLE AS mean_theory, round(avg(v), 6) AS mean_sample, 4.0::DOUBLE AS var_theory, round(var_pop(v), 6) AS var_sample FROM d""")
 def _(spark, sf):
-    return generate.compare_moments(generate.gen_distributions(spark, _size(spark, sf, "customer"))).filter("distribution = 'poisson'")
+    moments = generate.compare_moments(generate.gen_distributions(spark, _size(spark, sf, "customer")))
+    return rounded(moments.filter("distribution = 'poisson'"))
 
 
 _DIRTY_COLUMNS = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")

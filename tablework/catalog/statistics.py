@@ -79,6 +79,11 @@ def _(spark, sf):
     return rounded(stats.zscore_normalize(part, ["p_size", "p_retailprice"]))
 
 
+@query("zscores", "SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 6) AS z FROM events")
+def _(spark, sf):
+    return rounded(stats.zscores(table(spark, sf, "events"), "value").select("event_id", "z"))
+
+
 @query("zscore_outliers", """
 WITH z AS (SELECT event_id, value, (value - avg(value) OVER ()) / stddev_pop(value) OVER () AS z FROM events)
 SELECT event_id, value, round(z, 6) AS z, t AS threshold FROM z, (VALUES (2.0::DOUBLE), (3.0::DOUBLE)) AS v(t) WHERE abs(z) > t""")
@@ -292,7 +297,16 @@ def _(spark, sf):
     return rounded(report["ranks"])
 
 
-@query("full_report")
+@query("full_report", """
+WITH o AS (SELECT *, datediff('day', CAST(o_orderdate AS DATE), DATE '2003-01-01')::DOUBLE AS age FROM orders),
+e AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b, min(age) AS c, max(age) AS d FROM o),
+n AS (SELECT count(*) AS n, count(DISTINCT o_orderpriority) AS k, date_diff('month', min(o_orderdate), max(o_orderdate)) + 1 AS m FROM orders),
+h AS (SELECT count(*) AS c FROM (SELECT DISTINCT o_orderpriority, 0 AS f, least(floor((o_totalprice - a) / ((b - a) / 10)), 9) AS bin FROM o, e
+  UNION SELECT DISTINCT o_orderpriority, 1, least(floor((age - c) / ((d - c) / 10)), 9) FROM o, e))
+SELECT part, CASE v WHEN -1 THEN n WHEN -2 THEN k WHEN -3 THEN m WHEN -4 THEN h.c WHEN -5 THEN 100 * k ELSE v END AS n_rows
+FROM n, h, (VALUES ('dashboard_histogram', 15), ('dashboard_box', -2), ('dashboard_scatter', -1), ('dashboard_bar', -2), ('heatmap', 4),
+  ('histogram', 20), ('boxplot', -2), ('violin', -5), ('scatter', -1), ('regression', 100), ('bar', -2), ('count', -2), ('line', -3),
+  ('pairplot', -4), ('summary', 2), ('insights', 10)) AS p(part, v)""")
 def _(spark, sf):
     from tablework.operators.order import scratch_path
 

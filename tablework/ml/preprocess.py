@@ -127,6 +127,12 @@ class Preprocessor:
         """``keep`` columns followed by the feature columns: one narrow projection."""
         return df.select(*keep, *[e.alias(n) for n, e in self._expressions()])
 
+    def numeric_params(self, spark: SparkSession) -> DataFrame:
+        """Median, centre and scale of every numeric feature."""
+        p = self._fitted()
+        rows = [(c, float(p["median"][c]), float(p["center"][c]), float(p["scale"][c])) for c in self.numeric]
+        return spark.createDataFrame(rows, "feature string, median double, center double, scale double")
+
     def save(self, spark: SparkSession, path: str) -> None:
         state = json.dumps({"numeric": self.numeric, "nominal": self.nominal, "ordinal": self.ordinal,
                             "scaler": self.scaler, "params": self._fitted()})
