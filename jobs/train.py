@@ -57,9 +57,10 @@ def main(argv=None) -> int:
         table = table.withColumn(args.target, is_yes(args.target))
     data = models.experiment_data(table, args.id, args.target, args.task, Preprocessor(args.numeric, args.nominal, scaler=args.scaler))
     metrics = models.train_and_save(data, args.target, args.model, args.output_dir, trees=args.trees)
-    print(json.dumps(metrics))
+    log.info("metrics: %s", json.dumps(metrics))
     return 0
 
 
 if __name__ == "__main__":
+    logging.basicConfig(level=logging.INFO)
     sys.exit(main())

@@ -314,9 +314,14 @@ def _(spark, sf):
     return rounded(linear.ols_normal_equation(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice").table(spark), 4)
 
 
-@query("ols_many")
+@query("ols_many", f"""
+WITH s AS (SELECT var_pop(quantity) AS v1, var_pop(discount) AS v2, covar_pop(quantity, discount) AS c, covar_pop(quantity, price) AS y1,
+  covar_pop(discount, price) AS y2, avg(quantity) AS m1, avg(discount) AS m2, avg(price) AS my FROM {_ORDER_X}),
+w AS (SELECT *, (y1 * v2 - y2 * c) / (v1 * v2 - c * c) AS a, (y2 * v1 - y1 * c) / (v1 * v2 - c * c) AS b FROM s)
+SELECT 'intercept' AS feature, round(my - a * m1 - b * m2, 4) AS weight FROM w
+UNION ALL SELECT 'quantity', round(a, 4) FROM w UNION ALL SELECT 'discount', round(b, 4) FROM w""")
 def _(spark, sf):
-    return linear.ols_normal_equation(_order_x(spark, sf), _FEATURES, "price").table(spark)
+    return rounded(linear.ols_normal_equation(_order_x(spark, sf), ["quantity", "discount"], "price").table(spark), 4)
 
 
 @query("predict_linear", """
@@ -369,22 +374,33 @@ def _(spark, sf):
     return rounded(linear.fit_linear(_unit(spark, sf), ["x"], "y").table(spark))
 
 
+_SLOPES = {
+    "ols": "covar_pop(x, y) / var_pop(x)", "ridge": "covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1)",
+    "lasso": "greatest(covar_pop(x, y) - 0.5, 0) / var_pop(x)", "library": "regr_slope(y, x)"}
+
+
 def _linear_models(spark, sf):
-    data = _order_x(spark, sf)
+    data = _unit(spark, sf)
     return data, {
-        "ols": linear.ols_normal_equation(data, _FEATURES, "price"), "ridge": linear.fit_ridge(data, _FEATURES, "price", 1.0),
-        "lasso": linear.fit_lasso(data, _FEATURES, "price", 0.5), "library": linear.fit_linear(data, _FEATURES, "price")}
+        "ols": linear.ols_normal_equation(data, ["x"], "y"), "ridge": linear.fit_ridge(data, ["x"], "y", 1.0),
+        "lasso": linear.fit_lasso(data, ["x"], "y", 0.5), "library": linear.fit_linear(data, ["x"], "y")}
 
 
-@query("coef_table")
+@query("coef_table", "\nUNION ALL ".join(
+    f"SELECT '{m}' AS model, 'x' AS feature, round({slope}, 3) AS weight, CASE WHEN {slope} = 0 THEN 1::BIGINT ELSE 0 END AS zeroed FROM {_UNIT}"
+    for m, slope in _SLOPES.items()))
 def _(spark, sf):
     return linear.coef_table(spark, _linear_models(spark, sf)[1])
 
 
-@query("model_table")
+@query("model_table", "\nUNION ALL ".join(f"""
+SELECT '{m}' AS model, round(avg(abs(e)), 6) AS mae, round(avg(e * e), 6) AS mse, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(1 - avg(e * e) / var_pop(y), 6) + 0.0 AS r2
+FROM (SELECT y, y - (my + s * (x - mx)) AS e FROM {_UNIT}, (SELECT {slope} AS s, avg(x) AS mx, avg(y) AS my FROM {_UNIT}))""" for m, slope in _SLOPES.items()))
 def _(spark, sf):
     data, fitted = _linear_models(spark, sf)
-    return models.model_table({n: m.predict(data) for n, m in fitted.items()}, "price", "regression")
+    out = rounded(models.model_table({n: m.predict(data) for n, m in fitted.items()}, "y", "regression"))
+    return out.withColumn("r2", F.when(F.col("r2") == 0, 0.0).otherwise(F.col("r2")))
 
 
 @query("regression_metrics", """
@@ -434,16 +450,29 @@ def _docs_x(spark, sf):
     return docs.select("doc_id", "quality", "score", F.log1p(F.col("n_chars").cast("double")).alias("size"))
 
 
-@query("fit_logistic")
+def _newton_sql(weight: str, rounds: int = 8) -> str:
+    """Newton steps on the penalised log-loss with one feature, one common table expression each."""
+    p = "(1 / (1 + exp(-(a + b * score))))"
+    steps = [f"d AS MATERIALIZED (SELECT score, quality, {weight} AS w FROM {SCORED_DOCS_SQL})", "n0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for k in range(rounds):
+        steps.append(f"""s{k} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(w * ({p} - quality)) AS g0,
+  sum(w * ({p} - quality) * score) + any_value(b) AS g1, sum(w * {p} * (1 - {p})) AS h00, sum(w * {p} * (1 - {p}) * score) AS h01,
+  sum(w * {p} * (1 - {p}) * score * score) + 1 AS h11 FROM d, n{k})""")
+        steps.append(f"n{k + 1} AS (SELECT a - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS a, b - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b FROM s{k})")
+    last = f"n{rounds}"
+    return "WITH " + ",\n".join(steps) + f"\nSELECT 'intercept' AS feature, round(a, 3) AS weight FROM {last} UNION ALL SELECT 'score', round(b, 3) FROM {last}"
+
+
+@query("fit_logistic", _newton_sql("1.0"))
 def _(spark, sf):
-    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score", "size"], "quality")
-    return linear.as_linear_model(fitted, ["score", "size"]).table(spark)
+    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score"], "quality")
+    return rounded(linear.as_linear_model(fitted, ["score"]).table(spark), 3)
 
 
-@query("fit_logistic_balanced")
+@query("fit_logistic_balanced", _newton_sql("count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY quality))"))
 def _(spark, sf):
-    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score", "size"], "quality", balanced=True)
-    return linear.as_linear_model(fitted, ["score", "size"]).table(spark)
+    fitted = linear.fit_logistic(_docs_x(spark, sf), ["score"], "quality", balanced=True)
+    return rounded(linear.as_linear_model(fitted, ["score"]).table(spark), 3)
 
 
 @query("class_weights", "SELECT quality, round((SELECT count(*) FROM labels) / (2 * count(*)), 9) AS class_weight FROM labels GROUP BY 1")
@@ -537,11 +566,32 @@ def _experiment(spark, sf):
     return models.experiment_data(_clean_churn(spark, sf), "customer_id", "churn", "classification", prep, engineer)
 
 
-@query("experiment_data")
+_EXPERIMENT_ROWS = """(SELECT *, CASE WHEN row_number() OVER (PARTITION BY churn ORDER BY {h}, customer_id) <= quota THEN 'test' ELSE 'train' END AS part
+FROM (SELECT c.*, tenure / 12 AS tenure_years, total / greatest(tenure, 1) AS avg_monthly_spend, monthly * tenure AS monthly_charge_x_tenure FROM {c} c)
+JOIN (WITH k AS (SELECT churn AS label, count(*) AS n, ceil(0.2 * any_value(t)) AS q, any_value(t) AS t FROM {c}, (SELECT count(*) AS t FROM {c}) GROUP BY 1)
+  SELECT label, floor(q * n / t) + CASE WHEN row_number() OVER (ORDER BY q * n / t - floor(q * n / t) DESC, label) <= q - sum(floor(q * n / t)) OVER ()
+    THEN 1 ELSE 0 END AS quota FROM k) ON churn = label)""".format(c=_CHURN_SQL, h=_hash("customer_id"))
+
+
+def _experiment_feature(c: str, name: str) -> str:
+    return f"""round((coalesce({c}, (SELECT median({c}) FROM tr)) - (SELECT avg(coalesce({c}, m)) FROM tr, (SELECT median({c}) AS m FROM tr)))
+  / (SELECT stddev_pop(coalesce({c}, m)) FROM tr, (SELECT median({c}) AS m FROM tr)), 5) AS {name}"""
+
+
+_ENGINEERED = ("tenure", "monthly", "total", "tenure_years", "avg_monthly_spend", "monthly_charge_x_tenure")
+
+
+@query("experiment_data", f"""
+WITH e AS MATERIALIZED (SELECT * FROM {_EXPERIMENT_ROWS}), tr AS (SELECT * FROM e WHERE part = 'train')
+SELECT customer_id, churn, {', '.join(_experiment_feature(c, f'f{i}') for i, c in enumerate(_ENGINEERED))},
+  {', '.join(f"CASE WHEN segment = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS f{6 + i}" for i, v in enumerate(_LEVELS))},
+  CASE contract WHEN 'Month-to-month' THEN 0.0 WHEN 'One year' THEN 1.0 ELSE 2.0 END::DOUBLE AS f11,
+  CASE WHEN tenure <= 12 THEN 0.0 WHEN tenure <= 24 THEN 1.0 WHEN tenure <= 48 THEN 2.0 WHEN tenure <= 60 THEN 3.0 ELSE 4.0 END::DOUBLE AS f12, part
+FROM e""")
 def _(spark, sf):
     data = _experiment(spark, sf)
     part = lambda d, n: d.withColumn("part", F.lit(n))
-    return part(data["train"], "train").unionByName(part(data["test"], "test"))
+    return rounded(part(data["train"], "train").unionByName(part(data["test"], "test")), 5)
 
 
 @query("model_compare")

@@ -155,7 +155,7 @@ def _(spark, sf):
 
 @query("spearman_pvalue")
 def _(spark, sf):
-    return stats.spearman_pvalue(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    return stats.spearman_pvalue(table(spark, sf, "lineitem"), "l_discount", "l_tax")
 
 
 @query("normal_fit", "\nUNION ALL ".join(
@@ -251,7 +251,45 @@ def _(spark, sf):
     return reports.eda_insights(orders, "o_totalprice", "o_orderpriority", "o_orderstatus", "F", "P")
 
 
-@query("business_insights")
+def _outlier_sql(c: str) -> str:
+    return f"(SELECT count(*) FROM lineitem, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM lineitem) WHERE abs(({c} - m) / s) > 2)"
+
+
+def _bera_sql(c: str) -> str:
+    """Whether the Jarque-Bera test, which the table is large enough for, rejects normality."""
+    return f"""(SELECT exp(-(n / 6 * ((m3 / m2 ** 1.5) ** 2 + (m4 / m2 ** 2 - 3) ** 2 / 4)) / 2) <= 0.05
+  FROM (SELECT count(*) AS n, avg(({c} - a) ** 2) AS m2, avg(({c} - a) ** 3) AS m3, avg(({c} - a) ** 4) AS m4
+    FROM lineitem, (SELECT avg({c}) AS a FROM lineitem)))"""
+
+
+_FINDING_PAIRS = [("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_extendedprice", "l_discount")]
+
+
+@query("business_insights", f"""
+WITH v AS (SELECT avg(l_extendedprice) AS m, median(l_extendedprice) AS md, stddev_samp(l_extendedprice) AS s, max(l_extendedprice) - min(l_extendedprice) AS r,
+  avg(l_quantity) AS qm, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS qi FROM lineitem),
+qmode AS (SELECT l_quantity AS x FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+p AS ({' UNION ALL '.join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM lineitem" for a, b in _FINDING_PAIRS)}),
+hi AS (SELECT * FROM p ORDER BY abs(r) DESC LIMIT 1), lo AS (SELECT * FROM p ORDER BY abs(r) LIMIT 1),
+rej AS (SELECT string_agg(c, ' and ' ORDER BY c) AS names FROM (SELECT 'l_quantity' AS c, {_bera_sql('l_quantity')} AS x
+  UNION ALL SELECT 'l_extendedprice', {_bera_sql('l_extendedprice')}) WHERE x),
+o AS (SELECT {' + '.join(_outlier_sql(c) for c in ('l_quantity', 'l_extendedprice', 'l_discount'))} AS n),
+g AS (SELECT l_returnflag AS k, count(*) AS n, median(l_extendedprice) AS m FROM lineitem GROUP BY 1),
+g1 AS (SELECT * FROM g ORDER BY n DESC, k LIMIT 1), g2 AS (SELECT * FROM g ORDER BY n, k DESC LIMIT 1),
+d1 AS (SELECT * FROM g ORDER BY m DESC, k LIMIT 1), d2 AS (SELECT * FROM g ORDER BY m, k DESC LIMIT 1)
+SELECT 1::BIGINT AS line_no, printf('Finding 1: l_extendedprice averages %.2f (median %.2f, sample std %.2f, range %.2f).', m, md, s, r) AS line FROM v
+UNION ALL SELECT 2, printf('Finding 2: l_quantity averages %.1f (mode %.0f, interquartile range %.2f).', qm, x, qi) FROM v, qmode
+UNION ALL SELECT 3, printf('Finding 3: Strongest pair: %s and %s (r %+.3f); weakest: %s and %s (r %+.3f). %s', hi.a, hi.b, hi.r, lo.a, lo.b, lo.r,
+  CASE WHEN abs(hi.r) >= 0.3 THEN 'At least one pair is clearly related.' ELSE 'No pair is clearly related.' END) FROM hi, lo
+UNION ALL SELECT 4, coalesce('Finding 4: Normality is rejected for ' || names || '.', 'Finding 4: Normality is not rejected for any tested column.') FROM rej
+UNION ALL SELECT 5, printf('Finding 5: %d values lie more than 2 standard deviations from their mean%s', n, CASE WHEN n > 0 THEN ', worth a review.' ELSE '.' END) FROM o
+UNION ALL SELECT 6, printf('Finding 6: l_returnflag %s has the most rows (%d), %s the fewest (%d), a factor of %.1f.', g1.k, g1.n, g2.k, g2.n, g1.n / g2.n) FROM g1, g2
+UNION ALL SELECT 7, printf('Finding 7: l_returnflag %s has the highest median l_extendedprice (%.2f), %s the lowest (%.2f), %.2f apart.', d1.k, d1.m, d2.k, d2.m, d1.m - d2.m) FROM d1, d2
+UNION ALL SELECT 8, CASE WHEN abs(r) >= 0.3 THEN printf('Recommendation 1: Use %s and %s together in a model.', a, b)
+  ELSE 'Recommendation 1: Collect further features before modelling: the numeric columns hardly explain one another.' END FROM hi
+UNION ALL SELECT 9, coalesce('Recommendation 2: Use rank-based tests for ' || names || ', or transform them first.',
+  'Recommendation 2: Tests that assume a normal distribution are acceptable here.') FROM rej
+UNION ALL SELECT 10, printf('Recommendation 3: Find out why %s has %d rows against %d of %s.', g2.k, g2.n, g1.n, g1.k) FROM g1, g2""")
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     summary = reports.stats_summary(li, ["l_quantity", "l_extendedprice", "l_discount"], "l_extendedprice", "l_quantity", "l_returnflag")
