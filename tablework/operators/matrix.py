@@ -210,9 +210,10 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
         return left.mapInPandas(measure, schema)
     # a task holds one block of each side and their distances
     blocks, slices = -(-b.count() // _BLOCK_ROWS), -(-a.count() // _BLOCK_ROWS)
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
-    left = left.withColumn("_s", block("_a", slices)).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = right.withColumn("_k", block("_b", blocks).cast("int")).withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = left.withColumn("_s", block("_a", slices)).withColumn("_k", every(blocks))
+    right = right.withColumn("_k", block("_b", blocks)).withColumn("_s", every(slices))
 
     def meet(key, xs, ys):
         if not len(xs) or not len(ys):

@@ -51,7 +51,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def _offsets(spark: SparkSession, totals: list[tuple], dtypes: list[str]) -> DataFrame:
     """Exclusive running totals per partition; ``totals`` has one row per partition."""
-    rows, run = [], [0] * len(dtypes)
+    rows, run = [], [0.0 if t == "double" else 0 for t in dtypes]
     for pid, *values in sorted(totals):
         rows.append((pid, *run))
         run = [r + v for r, v in zip(run, values)]

@@ -41,8 +41,8 @@ def central_tendency(df: DataFrame, columns) -> DataFrame:
     info = exact_quantiles(df, columns, [0.5])
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
     modes = numeric_modes(df, columns)
-    rows = [(c, float(means[c]), _require_rows(info, c)["q"][0], modes[c]) for c in columns]
-    return df.sparkSession.createDataFrame(rows, "column_name string, mean double, median double, mode double")
+    rows = [(c, _require_rows(info, c)["q"][0], modes[c], float(means[c])) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column_name string, median double, mode double, mean double")
 
 
 def spread(df: DataFrame, columns) -> DataFrame:
