@@ -90,7 +90,7 @@ def _(spark, sf):
     return agg.sort_rows(gappy_orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey").limit(200)
 
 
-@query("sample_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY substr(md5(o_orderkey || ':42'), 1, 13), o_orderkey LIMIT 250")
+@query("sample_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 250")
 def _(spark, sf):
     return pick.sample_rows(table(spark, sf, "orders"), 250, "o_orderkey", 42).select("o_orderkey", "o_totalprice")
 

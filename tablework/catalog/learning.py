@@ -9,7 +9,7 @@ from tablework.operators.order import scratch_path
 
 
 def _hash(key: str, seed: int = 42) -> str:
-    return f"substr(md5({key} || ':{seed}'), 1, 13)"
+    return f"md5({key} || ':{seed}')"
 
 
 def _test_sql(source: str, key: str, share: str = "0.2", columns: str = "*") -> str:

@@ -177,7 +177,7 @@ def _choice(values, seed: int) -> str:
 @query("gen_orders", f"""
 WITH n AS (SELECT count(*) AS n FROM orders), g AS (SELECT unnest(range((SELECT n FROM n))) AS k)
 SELECT k + 1 AS order_id,
-  CASE WHEN row_number() OVER (ORDER BY substr(md5((k + 1) || ':49'), 1, 13), k) > 5
+  CASE WHEN row_number() OVER (ORDER BY md5((k + 1) || ':49'), k) > 5
     THEN 'Customer ' || (CAST(floor({_UNIFORM.format(id='k', seed=43)} * greatest(n // 3, 1)) AS BIGINT) + 1) END AS customer_name,
   {_choice(generate.CATEGORIES, 44)} AS product_category, CAST(floor({_UNIFORM.format(id='k', seed=45)} * 9) AS BIGINT) + 1 AS quantity,
   round(5 + {_UNIFORM.format(id='k', seed=47)} * 495, 2) AS unit_price,
@@ -212,13 +212,13 @@ _DIRTY_COLUMNS = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority
 
 
 def _pick_rank(seed: int) -> str:
-    return f"row_number() OVER (ORDER BY substr(md5(o_orderkey || ':{seed}'), 1, 13), o_orderkey)"
+    return f"row_number() OVER (ORDER BY md5(o_orderkey || ':{seed}'), o_orderkey)"
 
 
 @query("inject_dirty", f"""
 WITH d AS (SELECT o_orderkey, {', '.join(f"CASE WHEN {_pick_rank(42 + k)} > n // 20 THEN {c} END AS {c}" for k, c in enumerate(_DIRTY_COLUMNS))}
   FROM orders, (SELECT count(*) AS n FROM orders))
-SELECT * FROM d UNION ALL SELECT * FROM (SELECT * FROM d ORDER BY substr(md5(o_orderkey || ':46'), 1, 13), o_orderkey LIMIT 37)""")
+SELECT * FROM d UNION ALL SELECT * FROM (SELECT * FROM d ORDER BY md5(o_orderkey || ':46'), o_orderkey LIMIT 37)""")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", *_DIRTY_COLUMNS)
     return generate.inject_dirty(orders, "o_orderkey", 0.05, 37)

@@ -1,7 +1,8 @@
 """Exact-size random picks without a shuffle.
 
-Every row carries a hash of its id. The k-th smallest hash is found by histogram narrowing,
-after which the pick is a plain filter: a narrow, recomputable projection of the table.
+Every row carries a hash of its id. The k-th smallest hash is found digit by digit: counts per
+leading hex digits, then counts inside the one prefix that holds the rank. After that the pick
+is a plain filter, a narrow and recomputable projection of the table.
 """
 
 from __future__ import annotations
@@ -10,74 +11,90 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablework.functions.semantics import all_not_null, hash_uniform
-from tablework.operators.quantiles import values_at_ranks
+from tablework.functions.semantics import all_not_null, hash_key
 
-_MAX_TIES = 100_000
+_MAX_GROUPS = 2000
+_FINISH_ROWS = 20_000
+_MAX_CELLS = 400_000
+_HASH_DIGITS = 32
 
 
 def pick_many(df: DataFrame, id_col: str, picks: dict, by=()) -> dict[str, Column]:
     """One predicate per entry of ``picks = {name: (seed, size_of)}``.
 
     A predicate is true for exactly ``size_of(group, n)`` rows of each group: those with the
-    smallest (hash, id). ``id_col`` must be unique. The number of groups must be small (class
-    labels), which ``values_at_ranks`` checks. All picks share the same passes.
+    smallest (hash, id). ``id_col`` must be unique. Groups must be few (class labels); more
+    than 2,000 raise. All picks share the same passes.
     """
     by = list(by)
-    uniform = {name: hash_uniform(id_col, seed) for name, (seed, _) in picks.items()}
-    keyed = df.select(id_col, *by, *[u.alias(f"_u_{name}") for name, u in uniform.items()])
-    sizes: dict = {}
-
-    def last_rank(key, n):
-        group, name = key[0], key[1][3:]
-        k = sizes[(group, name)] = picks[name][1](group, n)
-        return {k - 1} if k > 0 else set()
-
-    _, found = values_at_ranks(keyed, [f"_u_{name}" for name in picks], last_rank, by)
-    limits = {(g, name): found[((g, f"_u_{name}"), k - 1)] for (g, name), k in sizes.items() if k > 0}
-    cutoff = _cutoff_ids(keyed, id_col, by, limits, sizes) if limits else {}
+    hashes = {name: hash_key(id_col, seed) for name, (seed, _) in picks.items()}
+    base = df.filter(all_not_null(by)) if by else df
+    if by and base.select(*by).distinct().limit(_MAX_GROUPS + 1).count() > _MAX_GROUPS:
+        raise ValueError(f"more than {_MAX_GROUPS} groups")
+    cells = base.select(id_col, *by, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_name"), h.alias("_h")) for name, h in hashes.items()])))
+    limits = _limits(cells, id_col, by, {name: size_of for name, (_, size_of) in picks.items()})
     out = {name: F.lit(False) for name in picks}
-    for (g, name), limit in limits.items():
-        u = uniform[name]
-        inside = (u < F.lit(limit)) | ((u == F.lit(limit)) & (F.col(id_col) <= F.lit(cutoff[(g, name)])))
+    for (g, name), (limit, last_id) in limits.items():
+        h = hashes[name]
+        inside = (h < F.lit(limit)) | ((h == F.lit(limit)) & (F.col(id_col) <= F.lit(last_id)))
         for column, value in zip(by, g):
             inside = inside & (F.col(column) == F.lit(value))
         out[name] = out[name] | inside
     return {name: F.coalesce(p, F.lit(False)) for name, p in out.items()}
 
 
+def _limits(cells: DataFrame, id_col: str, by, sizes: dict) -> dict:
+    """``{(group, name): (hash, id)}`` of the last picked row."""
+    digits = 3 if len(sizes) == 1 and not by else 2
+    first = cells.groupBy(*by, "_name", F.substring("_h", 1, digits).alias("_p")).agg(F.count("*").alias("n")).collect()
+    counts: dict = {}
+    for r in first:
+        counts.setdefault((tuple(r[b] for b in by), r["_name"]), []).append((r["_p"], r["n"]))
+    targets = {}
+    for key, parts in counts.items():
+        k = min(sizes[key[1]](key[0], sum(n for _, n in parts)), sum(n for _, n in parts))
+        if k > 0:
+            targets[key] = _descend(parts, k - 1)
+    schema = T.StructType([cells.schema[b] for b in by] + [
+        T.StructField("_name", T.StringType()), T.StructField("_k", T.IntegerType()), T.StructField("_prefix", T.StringType())])
+    out = {}
+    while targets:
+        keys = list(targets)
+        rows = [(*g, name, i, targets[(g, name)][0]) for i, (g, name) in enumerate(keys)]
+        open_prefixes = F.broadcast(cells.sparkSession.createDataFrame(rows, schema))
+        inside = cells.join(open_prefixes, [*by, "_name"]).filter(F.startswith("_h", "_prefix"))
+        seen = max(len(p) for p, _, _ in targets.values())
+        if sum(n for _, _, n in targets.values()) <= _FINISH_ROWS or seen >= _HASH_DIGITS:
+            found: dict = {}
+            for r in inside.select("_k", "_h", id_col).collect():
+                found.setdefault(r["_k"], []).append((r["_h"], r[id_col]))
+            for i, key in enumerate(keys):
+                out[key] = sorted(found[i])[targets[key][1]]
+            return out
+        step = 3 if len(targets) * 16**3 <= _MAX_CELLS else 1
+        finer = inside.groupBy("_k", F.expr(f"substring(_h, 1, {seen + step})").alias("_p")).agg(F.count("*").alias("n")).collect()
+        parts: dict = {}
+        for r in finer:
+            parts.setdefault(r["_k"], []).append((r["_p"], r["n"]))
+        targets = {key: _descend(parts[i], targets[key][1]) for i, key in enumerate(keys)}
+    return out
+
+
+def _descend(parts, rank: int) -> tuple[str, int, int]:
+    """(prefix that holds the rank, rank inside it, rows in it)."""
+    for prefix, n in sorted(parts):
+        if rank < n:
+            return prefix, rank, n
+        rank -= n
+    raise AssertionError("rank beyond the rows")
+
+
 def pick_smallest(df: DataFrame, id_col: str, seed: int, size_of, by=()) -> Column:
     """Predicate for exactly ``size_of(group, n)`` random rows of each group."""
     return pick_many(df, id_col, {"one": (seed, size_of)}, by)["one"]
 
 
-def _cutoff_ids(keyed: DataFrame, id_col: str, by, limits, sizes) -> dict:
-    """Largest id still picked among the rows whose hash equals the limit (nearly always one row)."""
-    names = sorted({name for _, name in limits})
-    schema = T.StructType([keyed.schema[b] for b in by] + [T.StructField("_name", T.StringType()), T.StructField("_limit", T.DoubleType())])
-    bounds = F.broadcast(keyed.sparkSession.createDataFrame([(*g, name, v) for (g, name), v in limits.items()], schema))
-    base = keyed.filter(all_not_null(by)) if by else keyed
-    cells = base.select(id_col, *by, F.inline(F.array(*[F.struct(F.lit(n).alias("_name"), F.col(f"_u_{n}").alias("_u")) for n in names])))
-    near = cells.join(bounds, [*by, "_name"]).filter(F.col("_u") <= F.col("_limit"))
-    tie = F.col("_u") == F.col("_limit")
-    out = {}
-    for r in near.groupBy(*by, "_name").agg(
-        F.count_if(~tie).alias("before"), F.count_if(tie).alias("ties"), F.min(F.when(tie, F.col(id_col))).alias("id")
-    ).collect():
-        key = (tuple(r[b] for b in by), r["_name"])
-        if r["ties"] == 1:
-            out[key] = r["id"]
-            continue
-        if r["ties"] > _MAX_TIES:
-            raise ValueError(f"{id_col} is not unique enough to break ties")
-        same = near.filter(tie & (F.col("_name") == key[1]))
-        for column, value in zip(by, key[0]):
-            same = same.filter(F.col(column) == F.lit(value))
-        ids = sorted(x[id_col] for x in same.select(id_col).collect())
-        out[key] = ids[sizes[key] - r["before"] - 1]
-    return out
-
-
 def sample_rows(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows at random without replacement (all rows when there are fewer)."""
     return df.filter(pick_smallest(df, id_col, seed, lambda _, total: min(n, total)))

@@ -96,11 +96,21 @@ def test_picks_are_exact_and_stable(skewed):
 
 
 def test_equal_hashes_are_cut_by_id(skewed, monkeypatch):
-    monkeypatch.setattr(pick, "hash_uniform", lambda i, seed: F.floor(F.col(i) / 50) / 1000)
+    monkeypatch.setattr(pick, "hash_key", lambda i, seed: F.lpad(F.floor(F.col(i) / 50).cast("string"), 32, "0"))
     got = sorted(r["id"] for r in pick.sample_rows(skewed, 120, "id").collect())
     assert got == list(range(120))
 
 
+def test_picks_narrow_digit_by_digit(skewed, monkeypatch):
+    want = sorted(r["id"] for r in pick.sample_rows(skewed, 700, "id", 3).collect())
+    monkeypatch.setattr(pick, "_FINISH_ROWS", 0)
+    assert sorted(r["id"] for r in pick.sample_rows(skewed, 700, "id", 3).collect()) == want
+    by_group = skewed.filter(pick.pick_smallest(skewed, "id", 5, lambda g, n: n // 2, by=["g"]))
+    halves = {r["g"]: r["count"] for r in by_group.groupBy("g").count().collect()}
+    sizes = {r["g"]: r["count"] for r in skewed.groupBy("g").count().collect()}
+    assert halves == {g: n // 2 for g, n in sizes.items() if n > 1}
+
+
 def test_average_ranks_against_pandas(skewed):
     got = order.with_average_ranks(skewed, ["v", "id"], ["a", "b"]).toPandas().sort_values("id")
     frame = skewed.toPandas().sort_values("id")
