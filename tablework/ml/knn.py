@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablework.operators.order import local_rows
 from tablework.operators.pick import sample_rows
 
 _MAX_PIVOTS = 256
@@ -87,9 +88,9 @@ def knn_join(train: DataFrame, test: DataFrame, id_col: str, vector: str, k: int
     visits = queries.mapInPandas(visit, visit_schema).select(
         "_q", "_x", F.explode("_cells").alias("_cell"))
     load = {r["_cell"]: r["n"] for r in visits.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
-    plan = F.broadcast(spark.createDataFrame(
-        [(int(c), int(b), max(1, math.ceil(load.get(c, 0) / _BLOCK))) for c, b in zip(cells, blocks)],
-        "_cell long, _blocks int, _slices int"))
+    plan = local_rows(
+        spark, [(int(c), int(b), max(1, math.ceil(load.get(c, 0) / _BLOCK))) for c, b in zip(cells, blocks)],
+        "_cell long, _blocks int, _slices int")
     spread = lambda column, count: F.pmod(F.xxhash64(column), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     left = visits.join(plan, "_cell").withColumn("_s", spread("_q", "_slices")).withColumn("_b", every("_blocks"))

@@ -39,7 +39,7 @@ def hist_data(df: DataFrame, column: str, bins: int | None = None) -> DataFrame:
         [(b, lo + b * width, lo + (b + 1) * width, s["mean"], s["mean"] - s["std"], s["mean"] + s["std"]) for b in range(bins)], schema)
     index = _bin_index(x, F.lit(lo), F.lit(width), F.lit(bins))
     counts = df.filter(x.isNotNull()).groupBy(index.alias("bin")).agg(F.count("*").alias("n"))
-    return F.broadcast(frame).join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return frame.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def _box_fences(df: DataFrame, value: str, by: str) -> DataFrame:

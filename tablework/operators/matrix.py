@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import col, numeric_names, words
-from tablework.operators.order import ordered_index
+from tablework.operators.order import local_rows, ordered_index
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
 _BROADCAST_VALUES = 4_000_000
@@ -47,8 +47,8 @@ def axis_stats(df: DataFrame, columns=None) -> DataFrame:
     per = column_quantiles(df, columns, [0.25, 0.5, 0.75])
     overall = exact_quantiles(cells, ["v"], [0.25, 0.5, 0.75]).get(((), "v"), {"q": [None] * 3})["q"]
     rows = [(c, *q) for c, q in per.items()] + [("*", *overall)]
-    quartiles = df.sparkSession.createDataFrame(rows, "axis string, p25 double, median double, p75 double")
-    return stats.join(F.broadcast(quartiles), "axis")
+    quartiles = local_rows(df.sparkSession, rows, "axis string, p25 double, median double, p75 double")
+    return stats.join(quartiles, "axis")
 
 
 def to_cells(df: DataFrame, row_id: str, vector: str) -> DataFrame:

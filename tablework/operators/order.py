@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tablework.functions.semantics import col
 
+_BROADCAST_ROWS = 1_000_000
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -49,6 +50,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """Rows held by the driver as a table, marked for broadcast up to a million of them.
+
+    Without the mark the planner would take such a table to be of unknown size.
+    """
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= _BROADCAST_ROWS else df
+
+
 def _offsets(spark: SparkSession, totals: list[tuple], dtypes: list[str]) -> DataFrame:
     """Exclusive running totals per partition; ``totals`` has one row per partition."""
     rows, run = [], [0.0 if t == "double" else 0 for t in dtypes]
@@ -56,7 +66,7 @@ def _offsets(spark: SparkSession, totals: list[tuple], dtypes: list[str]) -> Dat
         rows.append((pid, *run))
         run = [r + v for r, v in zip(run, values)]
     schema = "_pid long" + "".join(f", _off{i} {t}" for i, t in enumerate(dtypes))
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return local_rows(spark, rows, schema)
 
 
 def ordered_index(df: DataFrame, order_by, index_col: str = "idx") -> DataFrame:
@@ -186,7 +196,7 @@ def carry_fill(df: DataFrame, order_by, columns, by=(), backward: bool = False)
         [T.StructField("_pid", T.LongType()), T.StructField("_first", T.StringType())]
         + [T.StructField(f"_in{i}", df.schema[c].dataType) for i, c in enumerate(columns)]
     )
-    carry = F.broadcast(spark.createDataFrame(carried, schema))
+    carry = local_rows(spark, carried, schema)
     out = stored.withColumn("_pid", pid).join(carry, "_pid")
     out = out.withColumns({
         c: F.coalesce(F.col(c), F.when(F.col("_group") == F.col("_first"), F.col(f"_in{i}")))
@@ -210,8 +220,9 @@ def positions_between(df: DataFrame, order_by, start: int, stop: int, direct_lim
     return placed.filter((F.col("_idx") >= start) & (F.col("_idx") < stop)).drop("_idx")
 
 
-def average_ranks(df: DataFrame, columns) -> DataFrame:
-    """Average 1-based rank of every distinct value of each column: ``(column number, value, rank)``.
+def average_ranks(df: DataFrame, columns) -> tuple[DataFrame, dict[int, int]]:
+    """Average 1-based rank of every distinct value: ``(column number, value, rank)``, and the
+    number of distinct values by column number.
 
     Ties share their mean rank. All columns go through one ordering of distinct values.
     """
@@ -220,21 +231,24 @@ def average_ranks(df: DataFrame, columns) -> DataFrame:
     ])
     counts = df.select(F.inline(entries)).filter("_v IS NOT NULL").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
     placed = prefix_sum(counts, ["_c", "_v"], {"_before": "_n"})
-    starts = {r["_c"]: r["s"] for r in placed.groupBy("_c").agg(F.min("_before").alias("s")).collect()}
+    parts = placed.groupBy("_c").agg(F.min("_before").alias("start"), F.count("*").alias("size")).collect()
     start = F.lit(0)
-    for c, s in starts.items():
-        start = F.when(F.col("_c") == c, F.lit(s)).otherwise(start)
-    return placed.select("_c", "_v", (F.col("_before") - start + (F.col("_n") + 1) / 2).alias("_rank"))
+    for r in parts:
+        start = F.when(F.col("_c") == r["_c"], F.lit(r["start"])).otherwise(start)
+    ranks = placed.select("_c", "_v", (F.col("_before") - start + (F.col("_n") + 1) / 2).alias("_rank"))
+    return ranks, {r["_c"]: r["size"] for r in parts}
 
 
 def with_average_ranks(df: DataFrame, columns, names) -> DataFrame:
     """Add the average rank of each column; a missing value has no rank.
 
-    Each column is one join with its table of distinct values: a broadcast when that table is
-    small, and otherwise a join whose hot values adaptive execution splits.
+    Each column is one join with its distinct values: a broadcast when they are counted to be
+    few, and otherwise a join whose hot values adaptive execution splits.
     """
-    ranks = average_ranks(df, columns)
+    ranks, sizes = average_ranks(df, columns)
     for i, (c, name) in enumerate(zip(columns, names)):
         own = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_rank").alias(name))
+        if sizes.get(i, 0) <= _BROADCAST_ROWS:
+            own = F.broadcast(own)
         df = df.join(own, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
     return df

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.functions.semantics import all_not_null, hash_key
+from tablework.operators.order import local_rows
 
 _MAX_GROUPS = 2000
 _FINISH_ROWS = 20_000
@@ -62,7 +63,7 @@ def _limits(cells: DataFrame, id_col: str, by, sizes: dict) -> dict:
     while targets:
         keys = list(targets)
         rows = [(*g, name, i, targets[(g, name)][0]) for i, (g, name) in enumerate(keys)]
-        open_prefixes = F.broadcast(cells.sparkSession.createDataFrame(rows, schema))
+        open_prefixes = local_rows(cells.sparkSession, rows, schema)
         inside = cells.join(open_prefixes, [*by, "_name"]).filter(F.startswith("_h", "_prefix"))
         seen = max(len(p) for p, _, _ in targets.values())
         if sum(n for _, _, n in targets.values()) <= _FINISH_ROWS or seen >= _HASH_DIGITS:

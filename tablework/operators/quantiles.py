@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.functions.semantics import all_not_null
-from tablework.operators.order import prefix_sum
+from tablework.operators.order import local_rows, prefix_sum
 
 _BUCKETS = 1024
 _MAX_COLLECTED = 200_000
@@ -99,7 +99,7 @@ def values_at_ranks(df: DataFrame, columns, ranks_of, by=(), max_groups: int = 2
     )
     while open_intervals:
         rows = [(*iv[0][0], columns.index(iv[0][1]), k, iv[1], iv[2]) for k, iv in enumerate(open_intervals)]
-        bounds = F.broadcast(spark.createDataFrame(rows, schema))
+        bounds = local_rows(spark, rows, schema)
         inside = values.join(bounds, [*by, "_c"]).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         buckets = max(16, min(_BUCKETS, _MAX_COLLECTED // len(open_intervals)))
         if sum(iv[4] for iv in open_intervals) <= _FINISH_ROWS:
@@ -156,7 +156,7 @@ def group_quantiles(df: DataFrame, by, column: str, probs, names, max_groups: in
     schema = T.StructType(
         [T.StructField(b, df.schema[b].dataType) for b in by] + [T.StructField(n, T.DoubleType()) for n in names]
     )
-    return df.sparkSession.createDataFrame([(*k[0], *v["q"]) for k, v in got.items()], schema)
+    return local_rows(df.sparkSession, [(*k[0], *v["q"]) for k, v in got.items()], schema)
 
 
 def _ordered_group_quantiles(df: DataFrame, by, column, probs, names) -> DataFrame:

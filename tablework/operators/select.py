@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.functions.semantics import numeric_names, require_columns
-from tablework.operators.order import ordered_index, positions_between
+from tablework.operators.order import local_rows, ordered_index, positions_between
 
 # Bytes per value of the fixed-width types.
 TYPE_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 4,
@@ -121,7 +121,7 @@ def select_rows_by_index(df: DataFrame, order_by, positions) -> DataFrame:
         if not -n <= p < n:
             raise IndexError(f"position {p} is out of range for {n} rows")
         rows.append((number, p % n))
-    wanted = df.sparkSession.createDataFrame(rows, "ord long, _idx long")
+    wanted = local_rows(df.sparkSession, rows, "ord long, _idx long")
     placed = ordered_index(df, order_by, "_idx")
     return placed.join(wanted, "_idx").drop("_idx").orderBy("ord")
 
@@ -152,7 +152,7 @@ def map_values(df: DataFrame, column: str, mapping: dict, out: str) -> DataFrame
         return df.withColumn(out, F.try_element_at(table, F.col(column)))
     value_type = "string" if isinstance(next(iter(mapping.values())), str) else "double"
     schema = T.StructType([T.StructField("_key", df.schema[column].dataType)]).add(out, value_type)
-    lookup = df.sparkSession.createDataFrame(list(mapping.items()), schema)
+    lookup = local_rows(df.sparkSession, list(mapping.items()), schema)
     return df.join(lookup, F.col(column) == F.col("_key"), "left").drop("_key")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import flag, numeric_names, pearson_expr
 from tablework.operators.clean import numeric_modes
-from tablework.operators.order import prefix_sum, with_average_ranks
+from tablework.operators.order import local_rows, prefix_sum, with_average_ranks
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
 _PAIR_BATCH = 300
@@ -53,13 +53,13 @@ def spread(df: DataFrame, columns) -> DataFrame:
     for c in columns:
         got = _require_rows(info, c, 2)
         rows.append((c, got["max"] - got["min"], got["q"][1] - got["q"][0]))
-    extent = df.sparkSession.createDataFrame(rows, "column_name string, value_range double, iqr double")
+    extent = local_rows(df.sparkSession, rows, "column_name string, value_range double, iqr double")
     parts = ("var_pop", "var_samp", "stddev_pop", "stddev_samp")
     wide = df.agg(*[F.struct(*[getattr(F, p)(c).alias(p) for p in parts]).alias(c) for c in columns])
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}`.{p}").alias(p) for p in parts]) for c in columns
     ])))
-    return long.join(F.broadcast(extent), "column_name")
+    return long.join(extent, "column_name")
 
 
 def numeric_profile(df: DataFrame, columns=None) -> DataFrame:
