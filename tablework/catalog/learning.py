@@ -146,17 +146,17 @@ def _churn(spark, sf):
     c = table(spark, sf, "customer")
     key = F.col("c_custkey")
     tenure = (key * 7 % 73).cast("bigint")
-    monthly = F.round(F.abs("c_acctbal") / 100 + 20, 2)
+    monthly = F.abs("c_acctbal") / 100 + 20
     return c.select(
         key.alias("customer_id"), tenure.alias("tenure"), monthly.alias("monthly"),
-        F.when(tenure == 0, " ").otherwise(F.round(monthly * tenure, 2).cast("string")).alias("total"),
+        F.when(tenure == 0, " ").otherwise((monthly * tenure).cast("string")).alias("total"),
         F.element_at(F.array(*[F.lit(x) for x in preprocess.CONTRACT_ORDER]), (key % 3 + 1).cast("int")).alias("contract"),
         F.col("c_mktsegment").alias("segment"),
         F.when((key * 7 % 73 < 20) & (F.col("c_acctbal") > 3000), "Yes").otherwise("No").alias("churn"))
 
 
-_CHURN_SQL = """(SELECT c_custkey AS customer_id, c_custkey * 7 % 73 AS tenure, round(abs(c_acctbal) / 100 + 20, 2) AS monthly,
-  CASE WHEN c_custkey * 7 % 73 = 0 THEN NULL ELSE round(round(abs(c_acctbal) / 100 + 20, 2) * (c_custkey * 7 % 73), 2) END AS total,
+_CHURN_SQL = """(SELECT c_custkey AS customer_id, c_custkey * 7 % 73 AS tenure, abs(c_acctbal) / 100 + 20 AS monthly,
+  CASE WHEN c_custkey * 7 % 73 = 0 THEN NULL ELSE (abs(c_acctbal) / 100 + 20) * (c_custkey * 7 % 73) END AS total,
   CASE c_custkey % 3 WHEN 0 THEN 'Month-to-month' WHEN 1 THEN 'One year' ELSE 'Two year' END AS contract, c_mktsegment AS segment,
   CASE WHEN c_custkey * 7 % 73 < 20 AND c_acctbal > 3000 THEN 1 ELSE 0 END AS churn FROM customer)"""
 
@@ -167,21 +167,21 @@ def _clean_churn(spark, sf):
 
 
 @query("load_raw_telco", f"""
-SELECT id, tenure, round(monthly, 2) AS monthly, round(total, 2) AS total, contract, CASE WHEN k <= greatest(1, n // 50) THEN NULL ELSE segment END AS segment, churn
+SELECT id, tenure, round(monthly, 6) AS monthly, round(total, 6) AS total, contract, CASE WHEN k <= greatest(1, n // 50) THEN NULL ELSE segment END AS segment, churn
 FROM (SELECT *, customer_id AS id, row_number() OVER (ORDER BY {_hash('customer_id')}, customer_id) AS k, count(*) OVER () AS n FROM {_CHURN_SQL})""")
 def _(spark, sf):
     keyed = _churn(spark, sf).withColumn("id", F.col("customer_id"))
-    return rounded(preprocess.load_raw_churn(keyed, "customer_id", "total", "churn", blank="segment"), 2)
+    return rounded(preprocess.load_raw_churn(keyed, "customer_id", "total", "churn", blank="segment"))
 
 
 @query("engineer_features", f"""
-SELECT customer_id, round(tenure / 12, 6) AS tenure_years, round(total / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 4) AS avg_monthly_spend,
+SELECT customer_id, round(tenure / 12, 6) AS tenure_years, round(total / CASE WHEN tenure = 0 THEN 1 ELSE tenure END, 6) AS avg_monthly_spend,
   CASE WHEN tenure <= 12 THEN '0-1yr' WHEN tenure <= 24 THEN '1-2yr' WHEN tenure <= 48 THEN '2-4yr' WHEN tenure <= 60 THEN '4-5yr' ELSE '5yr+' END AS tenure_bucket,
-  round(monthly * tenure, 2) AS monthly_charge_x_tenure FROM {_CHURN_SQL}""")
+  round(monthly * tenure, 5) AS monthly_charge_x_tenure FROM {_CHURN_SQL}""")
 def _(spark, sf):
     out = preprocess.engineer_features(_clean_churn(spark, sf), "tenure", "monthly", "total")
     out = out.select("customer_id", "tenure_years", "avg_monthly_spend", "tenure_bucket", "monthly_charge_x_tenure")
-    return rounded(out, 6, avg_monthly_spend=4, monthly_charge_x_tenure=2)
+    return rounded(out, 6, monthly_charge_x_tenure=5)
 
 
 _TRAIN_ROWS = f"(SELECT * FROM {_test_sql(_CHURN_SQL, 'customer_id')} WHERE NOT is_test)"
@@ -258,8 +258,8 @@ def _(spark, sf):
 
 
 _PARAMS = "\nUNION ALL ".join(f"""
-SELECT '{c}' AS feature, round(median({c}), 6) AS median, round((SELECT avg(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 6) AS center,
-  round((SELECT stddev_pop(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 6) AS scale FROM t""" for c in ("tenure", "monthly", "total"))
+SELECT '{c}' AS feature, round(median({c}), 9) AS median, round((SELECT avg(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 9) AS center,
+  round((SELECT stddev_pop(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 9) AS scale FROM t""" for c in ("tenure", "monthly", "total"))
 
 
 @query("save_transformer", f"WITH t AS {_TRAIN_ROWS}\n{_PARAMS}")
@@ -267,7 +267,7 @@ def _(spark, sf):
     """The numeric parameters of the saved transformer, read back."""
     path = scratch_path(spark, "transformer")
     _preprocessor().fit(_churn_split(spark, sf)[0]).save(spark, path)
-    return rounded(preprocess.Preprocessor.load(spark, path).numeric_params(spark))
+    return rounded(preprocess.Preprocessor.load(spark, path).numeric_params(spark), 9)
 
 
 @query("load_transformer", _PREPROCESSED)
