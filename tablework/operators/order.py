@@ -9,6 +9,9 @@ partition ever reaches the driver.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -26,16 +29,22 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+@functools.cache
+def _local_root() -> str:
+    """One folder for this process, removed when it ends; only for local mode without a configured one."""
+    root = tempfile.mkdtemp(prefix="tablework-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a local one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tablework-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
