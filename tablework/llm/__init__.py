@@ -1,12 +1,13 @@
 """Operators of a training-data pipeline and their registered queries."""
 
-from tablework.llm import langid, mixing, neardup, packing, secrets
+from tablework.llm import langid, mixing, neardup, packing, secrets, spans
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op10_language_codes": langid.op10_language_codes,
+    "op7_repeated_spans": spans.op7_repeated_spans,
     "op6_lexical_packing": packing.op6_lexical_packing,
 }
-SQL = {"op2_mix_sources": mixing.OP2_SQL, "op8_near_duplicates": neardup.OP8_SQL}
+SQL = {"op2_mix_sources": mixing.OP2_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op7_repeated_spans": spans.OP7_SQL}

@@ -48,16 +48,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_ODD = 0x9E3779B97F4A7C15
+_INVERSE = pow(_ODD, -1, 1 << 64)
+
+
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of ``k`` consecutive words, in order; empty if there are fewer words."""
+    """Hash of every run of ``k`` consecutive words, in order; empty if there are fewer words.
+
+    A polynomial modulo 2**64, taken from running totals, so the cost does not depend on ``k``.
+    """
     n = len(hashes) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    odd = np.uint64(0x9E3779B97F4A7C15)
-    for i in range(k):
-        out = out * odd + mix(hashes[i:i + n] + np.uint64(i))
-    return mix(out)
+    falling = np.full(len(hashes), _INVERSE, np.uint64)
+    falling[0] = 1
+    rising = np.full(n, _ODD, np.uint64)
+    rising[0] = 1
+    total = np.r_[np.uint64(0), np.cumsum(mix(hashes) * np.cumprod(falling))]
+    return mix((total[k:] - total[:-k]) * np.cumprod(rising))
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
