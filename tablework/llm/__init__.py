@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline and their registered queries."""
 
-from tablework.llm import langid, mixing, neardup, packing, secrets, spans
+from tablework.llm import ann, chat, langid, licences, mixing, neardup, packing, secrets, spans, weak
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -8,6 +8,11 @@ QUERIES = {
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op10_language_codes": langid.op10_language_codes,
     "op7_repeated_spans": spans.op7_repeated_spans,
+    "op3_licence_rules": licences.op3_licence_rules,
+    "op4_quality_votes": weak.op4_quality_votes,
+    "op9_chat_formats": chat.op9_chat_formats,
+    "op5_learned_partitions": ann.op5_learned_partitions,
     "op6_lexical_packing": packing.op6_lexical_packing,
 }
-SQL = {"op2_mix_sources": mixing.OP2_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op7_repeated_spans": spans.OP7_SQL}
+SQL = {"op2_mix_sources": mixing.OP2_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op7_repeated_spans": spans.OP7_SQL,
+       "op3_licence_rules": licences.OP3_SQL, "op9_chat_formats": chat.OP9_SQL}
