@@ -9,12 +9,13 @@ Only half keys that a second text shares can be part of a shared pair, so the ot
 before pairs are formed; most texts are gone by then. Then, per table key:
 
 1. texts with equal sets form a class, its smallest id stands for it;
-2. every member is compared with its key's smallest id (a star, not all pairs), then in keys that
-   still span several components with another, hashed choice;
-3. in keys that still span components, members of different components are compared with each other.
+2. every member is compared with its key's smallest id (a star, not all pairs);
+3. in keys that still span components, texts with so many shingles of their own that no other text
+   there can reach the similarity are done; the others are compared with their key's most central text;
+4. what is still outside its key's largest component is compared with the key's other components.
 
-After step 3 every colliding pair is confirmed, refused or already connected, so no link between
-components is lost. Sets of the candidates alone are built and moved; a hot centre is dealt to
+After step 4 every colliding pair is confirmed, refused, impossible by its counts or connected already,
+so no link between components is lost. Sets of the candidates alone are built and moved; a hot centre is dealt to
 tasks in runs of ``_RUN`` members. All tables between the steps lie in the shared folder.
 
 A row with a null id is a document of its own: component null, kept. Rows that repeat an id are one
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +39,7 @@ M, R = 12, 2
 SIMILARITY = (75, 100)
 _RUN = 64
 _BROADCAST_IDS = 1_000_000
-_STAR_TURNS = 3
+_TURNS = ("least", "central", "outer")
 _CHUNK = 4096
 
 _SKETCH = "id long, n long, f1 long, f2 long, half array<long>"
@@ -161,6 +162,59 @@ def similar(x: np.ndarray, y: np.ndarray, part: int, whole: int) -> bool:
     return whole * common_size >= part * (small + large - common_size)
 
 
+def _fits(n: str, m: str, other_n: str, other_m: str) -> Column:
+    """Whether two sets can reach the similarity: of ``n`` shingles no more than ``m`` can be common."""
+    part, whole = SIMILARITY
+    return (whole + part) * F.least(m, other_m) >= part * (F.col(n) + F.col(other_n))
+
+
+def _spanning(known: DataFrame) -> DataFrame:
+    """Members (key, id, n, m, c) that fit the smallest set of their key, in keys that span components."""
+    least = known.groupBy("key").agg(F.min("n").alias("least_n"))
+    fit = known.join(least, "key").filter(_fits("n", "m", "least_n", "m")).drop("least_n")
+    spans = fit.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    return fit.join(spans, "key")
+
+
+def _open_keys(keys: DataFrame, grouped: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of keys that span components, with ``m``, the shingles that another such member has too.
+
+    A text whose own shingles are too many for any link leaves here, which is exact.
+    """
+    known = keys.select("key", "id", "n").join(grouped, "id", "left").select(
+        "key", "id", "n", F.col("n").alias("m"), F.coalesce("component", "id").alias("c"))
+    wide = common.materialize(_spanning(known), "open")
+    ids = wide.select("id").distinct()
+
+    def spread(batches):
+        for batch in batches:
+            own = [np.frombuffer(raw.as_buffer(), np.int64) for raw in batch.column(1)]
+            if own:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(batch.column(0).to_numpy(), [len(o) for o in own])), pa.array(np.concatenate(own))], names=["id", "s"])
+
+    shingles = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(spread, "id long, s long")
+    alone = shingles.groupBy("s").agg(F.min("id").alias("id"), F.max("id").alias("other")).filter("id = other").groupBy("id").agg(F.count("*").alias("u"))
+    counted = wide.drop("m").join(common.materialize(alone, "alone"), "id", "left").select(
+        "key", "id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("m"), "c")
+    return common.materialize(_spanning(counted), "open")
+
+
+def _central_pairs(open_keys: DataFrame) -> DataFrame:
+    """Every member with its key's most central text: the one with the smallest share of shingles of its own."""
+    best = F.min(F.struct((1 - F.col("m") / F.col("n")).alias("share"), "id", "c", "n", "m"))
+    central = open_keys.groupBy("key").agg(best.alias("b")).select("key", *[F.col(f"b.{x}").alias(f"b_{x}") for x in ("id", "c", "n", "m")])
+    return open_keys.join(central, "key").filter("c <> b_c").filter(_fits("n", "m", "b_n", "b_m")).select(F.col("b_id").alias("a"), F.col("id").alias("b"))
+
+
+def _outer_pairs(open_keys: DataFrame) -> DataFrame:
+    """Members outside their key's largest component with the members of other components."""
+    sizes = open_keys.groupBy("key", "c").count().groupBy("key").agg(F.max(F.struct("count", "c"))["c"].alias("main"))
+    outer = open_keys.join(sizes, "key").filter("c <> main")
+    other = open_keys.select("key", *[F.col(x).alias(f"b_{x}") for x in ("id", "c", "n", "m")])
+    return outer.join(other, "key").filter("c <> b_c").filter(_fits("n", "m", "b_n", "b_m")).select(F.col("id").alias("a"), F.col("b_id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept), one row for each row of ``docs``."""
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -173,28 +227,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     keys = _table_keys(sized.select("id", "n", "half").join(firsts, "id"))
     sets = _sets(narrow, keys.select("id").distinct())
 
-    links = copies
-    tested = None
-    for turn in range(_STAR_TURNS + 1):
-        if turn == 0:
-            open_keys = keys
-            pairs = keys.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    links, tested = copies, None
+    for turn in _TURNS:
+        if turn == "least":
+            pairs = keys.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
         else:
-            grouped = components(links)
-            known = keys.select("key", "id", "n").join(grouped, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-            spans = known.groupBy("key").agg(
-                F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("r"), "id", "c", "n")).alias("m")
-            ).filter("lo < hi")
-            open_keys = common.materialize(
-                known.join(spans.select("key", F.col("m.id").alias("m_id"), F.col("m.c").alias("m_c"), F.col("m.n").alias("m_n")), "key"), "open")
+            open_keys = _open_keys(keys, components(links), sets)
             if open_keys.isEmpty():
                 break
-            part, whole = SIMILARITY
-            if turn < _STAR_TURNS:
-                pairs = open_keys.filter(_sizes_fit("n", "m_n")).filter("c <> m_c").select(F.col("m_id").alias("a"), F.col("id").alias("b")).distinct()
-            else:
-                other = open_keys.select("key", F.col("id").alias("b"), F.col("c").alias("b_c"), F.col("n").alias("b_n"))
-                pairs = open_keys.join(other, "key").filter("c < b_c").filter(_sizes_fit("n", "b_n")).select(F.col("id").alias("a"), "b").distinct()
+            pairs = _central_pairs(open_keys) if turn == "central" else _outer_pairs(open_keys)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -209,11 +250,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def _sizes_fit(x: str, y: str):
-    part, whole = SIMILARITY
-    return whole * F.least(x, y) >= part * F.greatest(x, y)
-
-
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The same columns; of every group, and of rows that repeat an id, one row stays.
 
