@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for a large step: the driver then forgets the step's plan, so that Spark removes its
+    shuffle files from the executors' disks now and not at the next half-hourly collection."""
+    out = materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words as long; a null text has none."""
     column = F.col(text) if isinstance(text, str) else text

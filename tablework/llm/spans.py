@@ -45,6 +45,7 @@ _PIECE_WORDS = 4_000
 _CHUNK = 1 << 16
 _BROADCAST_ITEMS = 4_000_000
 
+_MET = ["shard", "run", "kind", "id", "f", "start", "words"]
 _REGION = "id long, f long, start long, words binary"
 
 
@@ -185,7 +186,7 @@ def _regions(docs: DataFrame, places: DataFrame, window: int, run: int) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["id", "f", "start", "words"])
 
-    return common.materialize(near.mapInArrow(cut, _REGION), "regions")
+    return common.settle(near.mapInArrow(cut, _REGION), "regions")
 
 
 def _owned_windows(regions: DataFrame, window: int) -> DataFrame:
@@ -206,7 +207,7 @@ def _owned_windows(regions: DataFrame, window: int) -> DataFrame:
 
     rows = regions.mapInArrow(spread, "w long, id long, place long")
     best = rows.groupBy("w").agg(F.min("id").alias("id"), F.max("id").alias("other"), F.min_by("place", "id").alias("place")).filter("id < other")
-    return common.materialize(best.groupBy("id").agg(F.collect_set("place").alias("places")), "owned")
+    return common.settle(best.groupBy("id").agg(F.collect_set("place").alias("places")), "owned")
 
 
 def _references(regions: DataFrame, owned: DataFrame, window: int, run: int) -> DataFrame:
@@ -226,12 +227,49 @@ def _references(regions: DataFrame, owned: DataFrame, window: int, run: int) ->
                         piece = words[at:min(e, at + _PIECE_WORDS + window - 1)]
                         rows.append((key, piece.tobytes(), anchors(piece, window, run)[1].view(np.int64).tolist()))
             columns = list(zip(*rows)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.list_(pa.int64())))], names=["id", "words", "hashes"])
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["id", "words", "hashes"])
 
     return common.materialize(both.mapInArrow(cut, "id long, words binary, hashes array<long>"), "references")
 
 
+def _sharded(references: DataFrame, least: DataFrame) -> DataFrame:
+    """References with a shard. Pieces of one family (the first document that has their first anchor) share
+    a shard as far as ``SHARD_WORDS`` goes, so that a document meets few shards; a larger family is split."""
+    pieces = references.withColumn("piece", F.xxhash64("id", "words"))
+    first = pieces.select("piece", F.explode("hashes").alias("h")).join(least.select("h", "least"), "h")
+    family = first.groupBy("piece").agg(F.min("least").alias("family"))
+    known = common.materialize(pieces.join(family, "piece"), "families")
+    words = F.octet_length("words") / 8
+    total = known.agg(F.sum(words)).first()[0] or 0
+    split = known.groupBy("family").agg(F.ceil(F.sum(words) / SHARD_WORDS).alias("split"))
+    part = F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("split")))
+    return common.materialize(
+        known.join(split, "family").withColumn("shard", F.pmod(part, F.lit(max(1, round(total / SHARD_WORDS)))).cast("int"))
+        .select("id", "words", "hashes", "shard"), "shards")
+
+
+def _near(met: DataFrame, window: int, run: int) -> DataFrame:
+    """Of each region only the windows around the places that its shard knows."""
+
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            shard, runs, ids, fs, starts = (batch.column(i).to_pylist() for i in range(5))
+            for i, start in enumerate(starts):
+                words = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
+                open_ = np.zeros(len(words) - window + 1, bool)
+                for p in batch.column(6)[i].as_py():
+                    open_[max(0, p - start + run - window):max(0, p - start + 1)] = True
+                rows += [(shard[i], runs[i], 1, ids[i], fs[i], start + s, words[s:e].tobytes())
+                         for s, e in joined_runs(np.flatnonzero(open_), window, len(words))]
+            columns = list(zip(*rows)) or [[]] * 7
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=_MET)
+
+    return met.mapInArrow(cut, "shard int, run int, kind int, id long, f long, start long, words binary")
+
+
 def _stream(met: DataFrame, window: int) -> DataFrame:
     """(id, f, first, last): covered stretches of the documents of each (shard, run)."""
 
@@ -262,24 +300,27 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR) ->
     """(id, f, spans): word ranges that a document of smaller id has; ``docs`` has id, f (hash of the text) and text."""
     known = docs.filter("id IS NOT NULL AND text IS NOT NULL")
     found = common.materialize(_anchor_rows(known, window, run), "anchors")
-    twice = found.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    shared = common.materialize(found.join(twice.select("h", "least"), "h"), "shared-anchors")
+    twice = common.settle(found.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most"), "twice")
+    shared = common.settle(found.join(twice.select("h", "least"), "h"), "shared-anchors")
     regions = _regions(known, shared.select("id", "place"), window, run)
     references = _references(regions, _owned_windows(regions, window), window, run)
 
-    size = references.agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
-    shards = max(1, round(size / SHARD_WORDS))
-    placed = references.withColumn("shard", F.pmod(F.xxhash64("id", "words"), F.lit(shards)).cast("int"))
+    placed = _sharded(references, twice)
     routes = placed.select(F.explode("hashes").alias("h"), "shard").distinct()
-    meets = common.materialize(shared.filter("id > least").join(routes, "h").select("id", "shard").distinct(), "routes")
+    bounds = regions.select(F.col("id").alias("_id"), "f", "start", (F.col("start") + F.octet_length("words") / 8).alias("stop"))
+    inside = (F.col("id") == F.col("_id")) & (F.col("place") >= F.col("start")) & (F.col("place") + run <= F.col("stop"))
+    meets = common.materialize(
+        shared.filter("id > least").join(routes, "h").join(bounds, inside)
+        .groupBy("id", "f", "start", "shard").agg(F.collect_set("place").alias("places")), "routes")
     runs = common.materialize(meets.groupBy("shard").agg(F.ceil(F.count("*") / _RUN).cast("int").alias("runs")), "runs")
-    dealt = meets.join(runs, "shard").select(F.col("id").alias("_id"), "shard", F.pmod(F.xxhash64("id"), F.col("runs")).cast("int").alias("run"))
-    queries = regions.join(dealt, F.col("id") == F.col("_id")).select("shard", "run", F.lit(1).alias("kind"), "id", "f", "start", "words")
+    dealt = meets.join(runs, "shard").select(
+        "id", "f", "start", "shard", F.pmod(F.xxhash64("id"), F.col("runs")).cast("int").alias("run"), "places")
+    queries = _near(regions.join(dealt, ["id", "f", "start"]).select("shard", "run", "id", "f", "start", "words", "places"), window, run)
     sources = placed.join(runs, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.lit(0).alias("kind"), "id",
         F.lit(0).cast("long").alias("f"), F.lit(0).cast("long").alias("start"), "words")
     met = sources.union(queries).repartition("shard", "run").sortWithinPartitions("shard", "run", "kind", "id")
-    return common.materialize(
+    return common.settle(
         _stream(met, window).groupBy("id", "f").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
 
 
