@@ -43,7 +43,8 @@ _TURNS = ("least", "central", "outer")
 _CHUNK = 4096
 
 _SKETCH = "id long, n long, f1 long, f2 long, half array<long>"
-_SETS = "id long, n long, shingles binary"
+_SETS = "id long, n long, bits array<long>, n_bits long, shingles binary"
+_BITS = 2048
 
 
 def shingle_set(raw: bytes | None, k: int = SHINGLE) -> np.ndarray:
@@ -56,6 +57,13 @@ def shingle_set(raw: bytes | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(grams + np.uint64(0 if len(hashes) >= k else k - len(hashes)))
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The shingles' places among ``_BITS`` bits, as words of 64."""
+    on = np.zeros(_BITS, np.uint8)
+    on[(shingles % np.uint64(_BITS)).astype(np.int64)] = 1
+    return np.packbits(on).view(np.uint64)
+
+
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     """Odd factors and offsets of the minhash functions, from a counter."""
     n = np.arange(1, 2 * M * R + 1, dtype=np.uint64)
@@ -117,8 +125,11 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def build(batches):
         for batch in batches:
             sets = [shingle_set(raw) for raw in common.raw_texts(batch.column(1))]
+            maps = [bitmap(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), common.binary(sets)], names=["id", "n", "shingles"])
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([m.view(np.int64) for m in maps], pa.list_(pa.int64())),
+                 pa.array([int(np.bitwise_count(m).sum()) for m in maps], pa.int64()), common.binary(sets)],
+                names=["id", "n", "bits", "n_bits", "shingles"])
 
     return common.materialize(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(build, _SETS), "sets")
 
@@ -207,12 +218,22 @@ def _central_pairs(open_keys: DataFrame) -> DataFrame:
     return open_keys.join(central, "key").filter("c <> b_c").filter(_fits("n", "m", "b_n", "b_m")).select(F.col("b_id").alias("a"), F.col("id").alias("b"))
 
 
-def _outer_pairs(open_keys: DataFrame) -> DataFrame:
-    """Members outside their key's largest component with the members of other components."""
+def _outer_pairs(open_keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members outside their key's largest component with the members of other components.
+
+    Two sets share no more shingles than their bitmaps share bits, plus what lies doubly on a bit; pairs
+    that cannot reach the similarity by that count are left out, which is exact.
+    """
+    part, whole = SIMILARITY
+    mapped = open_keys.join(sets.select("id", "bits", "n_bits").dropDuplicates(["id"]), "id")
     sizes = open_keys.groupBy("key", "c").count().groupBy("key").agg(F.max(F.struct("count", "c"))["c"].alias("main"))
-    outer = open_keys.join(sizes, "key").filter("c <> main")
-    other = open_keys.select("key", *[F.col(x).alias(f"b_{x}") for x in ("id", "c", "n", "m")])
-    return outer.join(other, "key").filter("c <> b_c").filter(_fits("n", "m", "b_n", "b_m")).select(F.col("id").alias("a"), F.col("b_id").alias("b"))
+    outer = mapped.join(sizes, "key").filter("c <> main")
+    other = mapped.select("key", *[F.col(x).alias(f"b_{x}") for x in ("id", "c", "n", "m", "bits", "n_bits")])
+    both = F.aggregate(F.zip_with("bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda a, x: a + x)
+    most = both + F.least(F.col("n") - F.col("n_bits"), F.col("b_n") - F.col("b_n_bits"))
+    reach = (whole + part) * most >= part * (F.col("n") + F.col("b_n"))
+    near = (outer["key"] == other["key"]) & (F.col("c") != F.col("b_c")) & _fits("n", "m", "b_n", "b_m") & reach
+    return outer.join(other, near).select(F.col("id").alias("a"), F.col("b_id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,7 +256,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             open_keys = _open_keys(keys, components(links), sets)
             if open_keys.isEmpty():
                 break
-            pairs = _central_pairs(open_keys) if turn == "central" else _outer_pairs(open_keys)
+            pairs = _central_pairs(open_keys) if turn == "central" else _outer_pairs(open_keys, sets)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
