@@ -72,11 +72,6 @@ def entropy_spans(text: str, start: int, window: int, bits: float) -> list[tuple
     counts: dict[str, int] = {}
     total, digits, letters, spans = 0.0, 0, 0, []
     for at, c in enumerate(text):
-        n = counts.get(c, 0)
-        counts[c] = n + 1
-        total += part[n + 1] - part[n]
-        digits += c.isdigit()
-        letters += c.isalpha()
         if at >= window:
             old = text[at - window]
             n = counts[old]
@@ -84,6 +79,11 @@ def entropy_spans(text: str, start: int, window: int, bits: float) -> list[tuple
             total += part[n - 1] - part[n]
             digits -= old.isdigit()
             letters -= old.isalpha()
+        n = counts.get(c, 0)
+        counts[c] = n + 1
+        total += part[n + 1] - part[n]
+        digits += c.isdigit()
+        letters += c.isalpha()
         if at >= window - 1 and total <= need and digits and letters:
             first = start + at - window + 1
             if spans and first <= spans[-1][1]:
