@@ -27,7 +27,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "events")
     writers.write_json(table(spark, sf, "events"), path)
-    return readers.read_json(spark, path, "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE", lines=True)
+    return readers.read_json(spark, path, "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
 
 
 @query("load_table", _ORDERS_SQL)

@@ -7,6 +7,8 @@ reaches the driver, where d-sized systems are solved.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,11 +41,26 @@ class Moments:
         return self.cov[:-1, -1]
 
 
+def require_complete(df: DataFrame, names) -> None:
+    """Models are not fitted on a part of the rows: missing values are the caller's to fill."""
+    gaps = [F.col(c).cast("double").isNull() | F.isnan(F.col(c).cast("double")) for c in names]
+    count = df.agg(F.count_if(reduce(lambda a, b: a | b, gaps))).first()[0]
+    if count:
+        raise ValueError(f"{count} row(s) lack a value in one of {list(names)}; fill or remove them before fitting")
+
+
+def only_complete(scored: DataFrame, features) -> DataFrame:
+    """Every row stays; one that lacks a feature has no prediction."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).cast("double").isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
+    return scored.withColumns({c: F.when(whole, F.col(c)) for c in ("prediction", "probability") if c in scored.columns})
+
+
 def moments(df: DataFrame, features, target: str) -> Moments:
     """Second moments in one pass of built-in aggregates, or, for many columns, in two passes
     with one dense block per task."""
     names = [*features, target]
-    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names)]).dropna()
+    require_complete(df, names)
+    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names)])
     d = len(names)
     means = [F.avg(f"_{i}").alias(f"m{i}") for i in range(d)]
     if d <= _EXPRESSION_WIDTH:
@@ -166,11 +183,12 @@ def fit_lasso(df: DataFrame, features, target: str, alpha: float = 0.5, tol: flo
 
 
 def _assembled(df: DataFrame, features) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep").transform(df)
 
 
 def fit_linear(df: DataFrame, features, target: str) -> LinearModel:
     """Ordinary least squares by the library solver."""
+    require_complete(df, [*features, target])
     fitted = LinearRegression(featuresCol="_features", labelCol=target, regParam=0.0).fit(_assembled(df, features))
     return LinearModel(list(features), fitted.intercept, list(fitted.coefficients))
 
@@ -204,7 +222,8 @@ def gd_logistic(df: DataFrame, features, target: str, lr: float = 0.1, epochs: i
     """
     _check_descent(lr, epochs)
     features = list(features)
-    rows = df.select(*[F.col(c).cast("double") for c in features], F.col(target).cast("double").alias("_y")).dropna()
+    require_complete(df, [*features, target])
+    rows = df.select(*[F.col(c).cast("double") for c in features], F.col(target).cast("double").alias("_y"))
     rows = rows.persist()
     try:
         seen = rows.agg(F.count("*").alias("n"), F.count_if(~F.col("_y").isin(0.0, 1.0)).alias("bad")).first()
@@ -256,6 +275,7 @@ def fit_logistic(df: DataFrame, features, target: str, c: float = 1.0, balanced:
 
     Returns the fitted library model; its input is the assembled column ``_features``.
     """
+    require_complete(df, [*features, target])
     rows = _assembled(df, features)
     n = rows.count()
     est = LogisticRegression(featuresCol="_features", labelCol=target, regParam=1.0 / (c * n), elasticNetParam=0.0,
@@ -279,6 +299,6 @@ def as_linear_model(fitted, features) -> LinearModel:
 def score_classifier(fitted, df: DataFrame, features) -> DataFrame:
     """Add ``probability`` of class 1 and ``prediction`` of a fitted library classifier."""
     scored = fitted.transform(_assembled(df, features))
-    return scored.withColumns({
+    return only_complete(scored.withColumns({
         "probability": vector_to_array("probability")[1], "prediction": F.col("prediction").cast("int"),
-    }).drop("_features", "rawPrediction")
+    }).drop("_features", "rawPrediction"), features)

@@ -75,9 +75,10 @@ def fit_model(df: DataFrame, features, target: str, task: str, name: str, depth:
         return FittedModel(name, task, features, lambda d: linear.score_classifier(fitted, d, features), fitted)
     if depth == -1:
         depth = 6 if name == "decision_tree" else 10
-    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
+    linear.require_complete(df, [*features, target])
+    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
     fitted = _tree(task, name, depth, trees).setLabelCol(target).fit(assembler.transform(df))
-    return FittedModel(name, task, features, lambda d: _tree_score(fitted, assembler.transform(d), task), fitted)
+    return FittedModel(name, task, features, lambda d: linear.only_complete(_tree_score(fitted, assembler.transform(d), task), features), fitted)
 
 
 def _tree_score(fitted, rows: DataFrame, task: str) -> DataFrame:

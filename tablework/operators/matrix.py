@@ -115,12 +115,10 @@ def det_inverse(matrices: DataFrame, id_col: str = "matrix_id") -> DataFrame:
             for key, n, i, j, v in zip(pdf[id_col], pdf["n"], pdf["i"], pdf["j"], pdf["v"]):
                 m = np.zeros((n, n))
                 m[i, j] = v
-                det = float(np.linalg.det(m))
-                scale = float(np.prod(np.linalg.norm(m, axis=1)))
-                if scale == 0 or abs(det) <= 1e-12 * scale:
+                if not np.linalg.cond(m) < 1 / np.finfo(float).eps:
                     put(key, 0.0, None, None, None, "not invertible")
                     continue
-                inverse = np.linalg.inv(m)
+                det, inverse = float(np.linalg.det(m)), np.linalg.inv(m)
                 for a in range(n):
                     for b in range(n):
                         put(key, det, a, b, float(inverse[a, b]), None)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tablework.functions.semantics import all_not_null
 from tablework.operators.order import local_rows, prefix_sum
 
+_LARGEST = 1.7976931348623157e308
 _BUCKETS = 1024
 _MAX_COLLECTED = 200_000
 _FINISH_ROWS = 50_000
@@ -106,8 +107,9 @@ def values_at_ranks(df: DataFrame, columns, ranks_of, by=(), max_groups: int = 2
             cells = inside.groupBy("_k", F.col("_v").alias("lo")).agg(F.count("*").alias("n"))
             cells = cells.withColumn("hi", F.col("lo"))
         else:
-            # halves first, so that the widest finite interval does not overflow
-            share = (F.col("_v") * 0.5 - F.col("_lo") * 0.5) / (F.col("_hi") * 0.5 - F.col("_lo") * 0.5)
+            # infinities count as the largest finite numbers, and halves come first, so that nothing overflows
+            low, high, at = (F.greatest(F.least(F.col(c), F.lit(_LARGEST)), F.lit(-_LARGEST)) for c in ("_lo", "_hi", "_v"))
+            share = F.when(high > low, (at * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)).otherwise((F.col("_v") == F.col("_hi")).cast("double"))
             bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1))
             cells = inside.groupBy("_k", bucket.alias("_b")).agg(
                 F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -38,8 +39,23 @@ def read_csv(spark: SparkSession, path, schema=None, date_columns=()) -> DataFra
     return nan_to_null(_dated(reader.csv(path), date_columns))
 
 
-def read_json(spark: SparkSession, path, schema=None, date_columns=(), lines: bool = False) -> DataFrame:
-    """An array of records per file, or one record per line (which can be split over tasks)."""
+def _one_record_per_line(spark: SparkSession, path) -> bool:
+    """Whether the first line that is not blank is a whole JSON value."""
+    head = spark.read.text(path).filter(F.length(F.trim("value")) > 0).first()
+    try:
+        json.loads(head["value"] if head else "[]")
+    except ValueError:
+        return False
+    return True
+
+
+def read_json(spark: SparkSession, path, schema=None, date_columns=(), lines: bool | None = None) -> DataFrame:
+    """One record per line (which can be split over tasks), or one array of records per file.
+
+    Without ``lines`` the first line decides: a line that is a whole value, be it a record or an
+    array of records, means lines.
+    """
+    lines = _one_record_per_line(spark, path) if lines is None else lines
     reader = spark.read.option("multiLine", not lines)
     if schema is not None:
         reader = reader.schema(schema)
