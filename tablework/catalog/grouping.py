@@ -85,9 +85,9 @@ def _(spark, sf):
     return agg.top_k(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_acctbal", 5, "c_custkey")
 
 
-@query("sort_rows", f"SELECT o_orderkey, o_totalprice FROM {GAPPY_ORDERS_SQL} ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 200")
+@query("sort_rows", f"SELECT o_orderkey, o_totalprice FROM {GAPPY_ORDERS_SQL}")
 def _(spark, sf):
-    return agg.sort_rows(gappy_orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey").limit(200)
+    return agg.sort_rows(gappy_orders(spark, sf).select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
 
 
 @query("sample_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey || ':42'), o_orderkey LIMIT 250")
@@ -173,7 +173,9 @@ def _(spark, sf):
     return agg.bin_terciles(gappy_orders(spark, sf), "o_totalprice")
 
 
-_SPARSE = "(SELECT CAST(o_orderdate AS DATE) AS d, o_totalprice FROM orders WHERE month(o_orderdate) <> 5 AND o_totalprice IS NOT NULL)"
+# Orders of May count a month later, so that periods without a row occur.
+_SPARSE = """(SELECT CAST(CASE WHEN month(o_orderdate) = 5 THEN o_orderdate + INTERVAL 1 MONTH ELSE o_orderdate END AS DATE) AS d, o_totalprice
+  FROM orders WHERE o_totalprice IS NOT NULL)"""
 
 
 def _resample_sql(label: str, first: str, step: str) -> str:
@@ -184,7 +186,8 @@ SELECT spine.period, round(coalesce(s.t, 0), 2) AS total FROM spine LEFT JOIN s
 
 
 def _sparse(spark, sf):
-    return table(spark, sf, "orders").filter(F.month("o_orderdate") != 5)
+    day = F.col("o_orderdate")
+    return table(spark, sf, "orders").withColumn("o_orderdate", F.when(F.month(day) == 5, day + F.expr("INTERVAL 1 MONTH")).otherwise(day))
 
 
 @query("resample_sum", f"""

@@ -4,10 +4,10 @@ from tablework.catalog.registry import query, table
 from tablework.operators import joins
 from tablework.sources.readers import load_merged
 
-# Orders lose the key of every ninth order; customers lose every fourth row and get one without key.
+# Every ninth order and one customer have no key; every fourth customer and some more have a key that no order has.
 _LEFT = "(SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 1 THEN NULL ELSE o_custkey END AS custkey, o_totalprice AS amount FROM orders)"
-_RIGHT = """(SELECT CASE WHEN c_custkey % 50 = 7 THEN NULL ELSE c_custkey END AS custkey, c_name, c_acctbal AS amount
-  FROM customer WHERE c_custkey % 4 <> 2 AND (c_custkey % 50 <> 7 OR c_custkey < 50))"""
+_RIGHT = """(SELECT CASE WHEN c_custkey = 7 THEN NULL WHEN c_custkey % 4 = 2 OR c_custkey % 50 = 7 THEN -c_custkey ELSE c_custkey END AS custkey,
+  c_name, c_acctbal AS amount FROM customer)"""
 
 
 def _sides(spark, sf):
@@ -15,9 +15,8 @@ def _sides(spark, sf):
     key = F.col("c_custkey")
     left = o.select("o_orderkey", F.when(F.col("o_orderkey") % 9 != 1, F.col("o_custkey")).alias("custkey"),
                     F.col("o_totalprice").alias("amount"))
-    right = c.filter((key % 4 != 2) & ((key % 50 != 7) | (key < 50))).select(
-        F.when(key % 50 != 7, key).alias("custkey"), "c_name", F.col("c_acctbal").alias("amount"))
-    return left, right
+    moved = F.when(key == 7, F.lit(None)).when((key % 4 == 2) | (key % 50 == 7), -key).otherwise(key)
+    return left, c.select(moved.alias("custkey"), "c_name", F.col("c_acctbal").alias("amount"))
 
 
 def _sql(kind: str) -> str:
@@ -63,20 +62,20 @@ def _(spark, sf):
 
 @query("load_merged", """
 SELECT s.s_nationkey AS nationkey, s.s_suppkey, s.s_acctbal, n.n_name, n.n_regionkey
-FROM supplier s LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) n ON s.s_nationkey = n.n_nationkey""")
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = CASE WHEN n_nationkey % 5 = 0 THEN n_nationkey + 1000 ELSE n_nationkey END""")
 def _(spark, sf):
     facts = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey", "s_acctbal")
-    lookup = table(spark, sf, "nation").filter("n_nationkey % 5 <> 0").withColumnRenamed("n_nationkey", "nationkey")
+    key = F.col("n_nationkey")
+    lookup = table(spark, sf, "nation").withColumn("n_nationkey", F.when(key % 5 == 0, key + 1000).otherwise(key)).withColumnRenamed("n_nationkey", "nationkey")
     return load_merged(facts, lookup, "nationkey")
 
 
 @query("concat_rows", """
-SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000
-UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+SELECT o_orderkey AS orderkey, o_totalprice AS price FROM orders UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem""")
 def _(spark, sf):
-    o = table(spark, sf, "orders")
-    pick = lambda d: d.select("o_orderkey", "o_totalprice")
-    return joins.concat_rows(pick(o.filter("o_totalprice > 250000")), pick(o.filter("o_orderstatus = 'F'")))
+    whole = table(spark, sf, "orders").select(F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("price"))
+    parts = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("orderkey"), F.col("l_extendedprice").alias("price"))
+    return joins.concat_rows(whole, parts)
 
 
 @query("concat_cols", """

@@ -135,10 +135,7 @@ def _(spark, sf):
 @query("experiment_run")
 def _(spark, sf):
     labels = scored_docs(spark, sf).select("doc_id", "n_chars", "score", "quality")
-    run = models.Experiment("quality", labels, "doc_id", "quality", "classification").run()
-    fitted = models.fit_model(run.train, ["score"], "quality", "classification", "logistic_regression")
-    run.record_model("logistic_regression", fitted.metrics(run.test, "quality").first()["accuracy"])
-    return run.runs(spark)
+    return models.compare_with_baseline("quality", labels, "doc_id", "quality", "classification", {"logistic_regression": ["score"]})
 
 
 # A churn-like table: customers with tenure in months, monthly and total charges, contract and payment.
@@ -548,7 +545,7 @@ def _(spark, sf):
 
 def _depths(spark, sf):
     train, test = split.train_test_split(_order_x(spark, sf), "o_orderkey")
-    return models.depth_analysis(train, test, _FEATURES, "price", "regression", [1, 3, 5, None])
+    return models.compare_depths(train, test, _FEATURES, "price", "regression", [1, 3, 5, None])
 
 
 @query("depth_analysis")

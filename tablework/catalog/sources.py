@@ -123,7 +123,7 @@ def _(spark, sf):
     return table(spark, sf, "orders").join(names, F.col("o_orderstatus") == F.col("code")).select("o_orderkey", "meaning")
 
 
-# Generated tables take their size from a given table, so that their work grows with it.
+# The two grids take their size from a given table; the other generated tables are functions of its ids.
 def _size(spark, sf, name: str) -> int:
     return table(spark, sf, name).count()
 
@@ -139,23 +139,23 @@ def _(spark, sf):
     return rounded(generate.gen_linspace(spark, -1.0, 10.0, _size(spark, sf, "orders")), 9)
 
 
-@query("gen_constant", "SELECT k // 3 AS i, k % 3 AS j, 1.0::DOUBLE AS v FROM (SELECT unnest(range(3 * (SELECT count(*) FROM orders))) AS k)")
+@query("gen_constant", "SELECT o_orderkey AS i, j, 1.0::DOUBLE AS v FROM orders, (SELECT unnest(range(3)) AS j)")
 def _(spark, sf):
-    return generate.gen_constant(spark, _size(spark, sf, "orders"), 3, 1.0)
+    return generate.gen_constant(table(spark, sf, "orders"), "o_orderkey", 3, 1.0)
 
 
-@query("gen_identity", "SELECT k AS i, k AS j, 1.0::DOUBLE AS v FROM (SELECT unnest(range((SELECT count(*) FROM part))) AS k)")
+@query("gen_identity", "SELECT p_partkey AS i, p_partkey AS j, 1.0::DOUBLE AS v FROM part")
 def _(spark, sf):
-    return generate.gen_identity(spark, _size(spark, sf, "part"))
+    return generate.gen_identity(table(spark, sf, "part"), "p_partkey")
 
 
 _UNIFORM = "(('0x' || substr(md5({id} || ':{seed}'), 1, 13))::BIGINT::DOUBLE / 4503599627370496)"
 
 
 @query("gen_uniform", f"""
-SELECT k // 4 AS i, k % 4 AS j, round({_UNIFORM.format(id='k', seed=42)}, 9) AS v FROM (SELECT unnest(range(4 * (SELECT count(*) FROM part))) AS k)""")
+SELECT i, j, round({_UNIFORM.format(id='(i * 4 + j)', seed=42)}, 9) AS v FROM (SELECT p_partkey AS i, unnest(range(4)) AS j FROM part)""")
 def _(spark, sf):
-    return rounded(generate.gen_uniform(spark, _size(spark, sf, "part"), 4), 9)
+    return rounded(generate.gen_uniform(table(spark, sf, "part"), "p_partkey", 4), 9)
 
 
 def _normal(key: str, seed: int) -> str:
@@ -169,43 +169,55 @@ def _(spark, sf):
     return rounded(generate.gen_scores(table(spark, sf, "customer"), "c_custkey", ["math", "science", "english"]))
 
 
-def _choice(values, seed: int) -> str:
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"([{listed}])[CAST(floor({_UNIFORM.format(id='k', seed=seed)} * {len(values)}) AS INTEGER) + 1]"
+_ORDER_DOMAINS = {
+    "status": {"O": 2, "F": 5, "P": 1},
+    "priority": {"1-URGENT": 1, "2-HIGH": 1, "3-MEDIUM": 4, "4-NOT SPECIFIED": 1, "5-LOW": 1},
+}
+
+
+def _domain_sql(column: str, seed: int) -> str:
+    weights, edge, cases = _ORDER_DOMAINS[column], 0, []
+    for value, weight in weights.items():
+        edge += weight
+        cases.append(f"WHEN {_UNIFORM.format(id='k', seed=seed)} < {edge} / {sum(weights.values())} THEN '{value}'")
+    return f"CASE {' '.join(cases)} END AS {column}"
 
 
 @query("gen_orders", f"""
-WITH n AS (SELECT count(*) AS n FROM orders), g AS (SELECT unnest(range((SELECT n FROM n))) AS k)
-SELECT k + 1 AS order_id,
-  CASE WHEN row_number() OVER (ORDER BY md5((k + 1) || ':49'), k) > 5
-    THEN 'Customer ' || (CAST(floor({_UNIFORM.format(id='k', seed=43)} * greatest(n // 3, 1)) AS BIGINT) + 1) END AS customer_name,
-  {_choice(generate.CATEGORIES, 44)} AS product_category, CAST(floor({_UNIFORM.format(id='k', seed=45)} * 9) AS BIGINT) + 1 AS quantity,
+SELECT k AS order_id,
+  CASE WHEN row_number() OVER (ORDER BY md5(k || ':49'), k) > 5
+    THEN 'Customer ' || (CAST(floor({_UNIFORM.format(id='k', seed=43)} * 500) AS BIGINT) + 1) END AS customer_name,
+  {_domain_sql("status", 52)}, {_domain_sql("priority", 53)}, CAST(floor({_UNIFORM.format(id='k', seed=45)} * 9) AS BIGINT) + 1 AS quantity,
   round(5 + {_UNIFORM.format(id='k', seed=47)} * 495, 2) AS unit_price,
-  CAST(DATE '2024-01-01' + CAST(floor(k * (365.0::DOUBLE / n)) AS INTEGER) AS DATE) AS order_date, {_choice(generate.REGIONS, 48)} AS region,
-  CASE WHEN s < 0.55 THEN 'Delivered' WHEN s < 0.7 THEN 'Shipped' WHEN s < 0.8 THEN 'Cancelled' ELSE 'Pending' END AS status
-FROM (SELECT k, {_UNIFORM.format(id='k', seed=46)} AS s FROM g), n""")
+  CAST(DATE '1995-01-01' + CAST(floor({_UNIFORM.format(id='k', seed=46)} * 2400) AS INTEGER) AS DATE) AS order_date
+FROM (SELECT o_orderkey AS k FROM orders)""")
 def _(spark, sf):
-    return generate.gen_orders(spark, _size(spark, sf, "orders"))
+    return generate.gen_orders(table(spark, sf, "orders"), "o_orderkey", _ORDER_DOMAINS, "1995-01-01", 2400, 500)
 
 
-@query("gen_distributions", f"""
+_NORMAL_AND_BINOMIAL_SQL = f"""
 WITH d AS (SELECT k, 50 + 10 * {_normal('k', 42)} AS x, {' + '.join(f"({_UNIFORM.format(id='k', seed=142 + i)} < 0.3)::INTEGER" for i in range(20))} AS b
-  FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS k))
+  FROM (SELECT c_custkey AS k FROM customer))
 SELECT 'normal' AS distribution, 50.0::DOUBLE AS mean_theory, round(avg(x), 6) AS mean_sample, 100.0::DOUBLE AS var_theory, round(var_pop(x), 6) AS var_sample FROM d
-UNION ALL SELECT 'binomial', 6.0, round(avg(b), 6), 4.2, round(var_pop(b), 6) FROM d""")
+UNION ALL SELECT 'binomial', 6.0, round(avg(b), 6), 4.2, round(var_pop(b), 6) FROM d"""
+_POISSON_SQL = f"""
+WITH c AS (SELECT i, sum(exp(-4) * 4.0 ** i / gamma(i + 1)) OVER (ORDER BY i) AS p FROM (SELECT unnest(range(41)) AS i)),
+d AS (SELECT u, (SELECT count(*) FROM c WHERE c.p <= u) AS v FROM (SELECT {_UNIFORM.format(id='c_custkey', seed=242)} AS u FROM customer))
+SELECT 'poisson' AS distribution, 4.0::DOUBLE AS mean_theory, round(avg(v), 6) AS mean_sample, 4.0::DOUBLE AS var_theory, round(var_pop(v), 6) AS var_sample FROM d"""
+
+
+def _moments(spark, sf):
+    return rounded(generate.compare_moments(generate.gen_distributions(table(spark, sf, "customer"), "c_custkey")))
+
+
+@query("gen_distributions", f"SELECT * FROM ({_NORMAL_AND_BINOMIAL_SQL}) UNION ALL SELECT * FROM ({_POISSON_SQL})")
 def _(spark, sf):
-    moments = generate.compare_moments(generate.gen_distributions(spark, _size(spark, sf, "customer")))
-    return rounded(moments.filter("distribution <> 'poisson'"))
+    return _moments(spark, sf)
 
 
-@query("gen_poisson", f"""
-WITH c AS (SELECT i, sum(exp(-4) * 4.0 ** i / gamma(i + 1)) OVER (ORDER BY i) AS p FROM (SELECT unnest(range(41)) AS i)),
-d AS (SELECT u, (SELECT count(*) FROM c WHERE c.p <= u) AS v FROM (SELECT {_UNIFORM.format(id='k', seed=242)} AS u
-  FROM (SELECT unnest(range((SELECT count(*) FROM customer))) AS k)))
-SELECT 'poisson' AS distribution, 4.0::DOUBLE AS mean_theory, round(avg(v), 6) AS mean_sample, 4.0::DOUBLE AS var_theory, round(var_pop(v), 6) AS var_sample FROM d""")
+@query("gen_poisson", _POISSON_SQL)
 def _(spark, sf):
-    moments = generate.compare_moments(generate.gen_distributions(spark, _size(spark, sf, "customer")))
-    return rounded(moments.filter("distribution = 'poisson'"))
+    return _moments(spark, sf).filter("distribution = 'poisson'")
 
 
 _DIRTY_COLUMNS = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")

@@ -55,10 +55,10 @@ WITH d AS (SELECT d.doc_id, l.toxic, list_distinct(regexp_extract_all(lower(d.te
 t AS (SELECT count(*) AS n, count(*) FILTER (toxic = 1) AS pos FROM d),
 w AS (SELECT word, count(*) AS docs, count(*) FILTER (toxic = 1) AS hits FROM (SELECT toxic, unnest(ws) AS word FROM d) GROUP BY 1)
 SELECT word, docs, round(pos / n, 9) AS prior, round(hits / pos, 9) AS likelihood, round(docs / n, 9) AS evidence,
-  round((hits / pos) * (pos / n) / (docs / n), 9) AS posterior FROM w, t WHERE docs >= 3""")
+  round((hits / pos) * (pos / n) / (docs / n), 9) AS posterior FROM w, t""")
 def _(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select("doc_id", "toxic", words("text").alias("ws"))
-    return rounded(stats.bayes_posterior(docs, "doc_id", "ws", "toxic", min_docs=3), 9)
+    return rounded(stats.bayes_posterior(docs, "doc_id", "ws", "toxic"), 9)
 
 
 @query("high_value_given_category", """

@@ -40,12 +40,12 @@ def numeric_names(df: DataFrame, skip_ids: bool = False) -> list[str]:
     ]
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing floats become NULL, so aggregates skip them."""
+def nan_to_null(df: DataFrame, columns=None) -> DataFrame:
+    """Missing floats (of ``columns``, by default of all) become NULL, so aggregates skip them."""
     floats = {
         f.name: F.when(F.isnan(f.name), None).otherwise(F.col(f.name))
         for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (columns is None or f.name in columns)
     }
     return df.withColumns(floats) if floats else df
 
@@ -59,6 +59,24 @@ def sum0(c: str | Column) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0))
 
 
+def require_number(name: str, value, above: float = 0, below: float | None = None, whole: bool = False) -> None:
+    """Refuse anything but a (whole) number between two open bounds."""
+    kinds = int if whole else (int, float)
+    fits = isinstance(value, kinds) and not isinstance(value, bool) and value > above and (below is None or value < below)
+    if not fits:
+        upper = "" if below is None else f" and below {below}"
+        raise ValueError(f"{name}: {value!r} is no {'whole ' if whole else ''}number above {above}{upper}")
+
+
+#: Kinds of prediction task.
+TASKS = ("classification", "regression")
+
+
+def require_choice(name: str, value, allowed) -> None:
+    if value not in allowed:
+        raise ValueError(f"{name}: {value!r} is none of {', '.join(allowed)}")
+
+
 def flag(predicate: Column) -> Column:
     """A predicate in which NULL counts as false."""
     return F.coalesce(predicate, F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablework.functions.semantics import TASKS, require_choice
 from tablework.ml.knn import knn_predict
 from tablework.ml.metrics import classification_metrics, regression_metrics
 from tablework.ml.split import infer_task, train_test_split
@@ -32,11 +33,10 @@ def baseline_classification(train: DataFrame, test: DataFrame, target: str) -> D
 
 
 def baseline(train: DataFrame, test: DataFrame, target: str, task: str) -> DataFrame:
+    require_choice("task", task, TASKS)
     if task == "regression":
         return baseline_regression(train, test, target)
-    if task == "classification":
-        return baseline_classification(train, test, target)
-    raise ValueError(f"task must be 'regression' or 'classification', got {task!r}")
+    return baseline_classification(train, test, target)
 
 
 def _moments(df: DataFrame, features) -> dict:

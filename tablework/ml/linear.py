@@ -20,6 +20,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablework.functions.semantics import require_number
+
 _EXPRESSION_WIDTH = 12
 
 
@@ -129,10 +131,8 @@ def ols_normal_equation(df: DataFrame, features, target: str) -> LinearModel:
 
 
 def _check_descent(lr, epochs) -> None:
-    if isinstance(lr, bool) or not isinstance(lr, (int, float)) or lr <= 0:
-        raise ValueError(f"lr must be a positive number, got {lr!r}")
-    if isinstance(epochs, bool) or not isinstance(epochs, int) or epochs < 1:
-        raise ValueError(f"epochs must be a positive whole number, got {epochs!r}")
+    require_number("learning rate", lr)
+    require_number("epochs", epochs, whole=True)
 
 
 def gd_linear(df: DataFrame, features, target: str, lr: float = 0.01, epochs: int = 1000) -> LinearModel:

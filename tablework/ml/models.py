@@ -1,9 +1,10 @@
-"""Trees, forests, model comparison, experiments and saved bundles."""
+"""Trees, forests, model comparison and saved bundles."""
 
 from __future__ import annotations
 
 import json
 import time
+from functools import reduce
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,12 +12,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tablework.functions.semantics import TASKS, require_choice
 from tablework.ml import linear
 from tablework.ml.baseline import baseline
 from tablework.ml.metrics import classification_metrics, regression_metrics
 from tablework.ml.split import train_test_split
 from tablework.operators.clean import most_frequent
+from tablework.operators.order import materialize
 
 SEED = 42
 MAX_DEPTH = 30
@@ -55,8 +59,7 @@ def _tree(task: str, name: str, depth: int | None, trees: int):
 def fit_model(df: DataFrame, features, target: str, task: str, name: str, depth: int | None = -1, trees: int = 200) -> FittedModel:
     """Fit one of the named models. ``depth`` -1 is the usual depth (tree 6, forest 10), None unlimited."""
     names = CLASSIFIERS if task == "classification" else REGRESSORS
-    if task not in ("classification", "regression"):
-        raise ValueError(f"task must be 'classification' or 'regression', got {task!r}")
+    require_choice("task", task, TASKS)
     if name not in names:
         raise ValueError(f"unknown model {name!r} for {task}; choose one of {names}")
     features = list(features)
@@ -127,29 +130,20 @@ def tree_nodes(model: FittedModel, spark: SparkSession, path: str) -> DataFrame:
         feature.alias("feature"), F.when(feature.isNotNull(), F.element_at("split.leftCategoriesOrThreshold", 1)).alias("threshold"))
 
 
-def depth_analysis(train: DataFrame, test: DataFrame, features, target: str, task: str, depths) -> DataFrame:
-    """Train and test score (accuracy or R2) and their gap per tree depth; None is unlimited."""
-    depths = list(depths)
-    if not depths:
-        raise ValueError("no depths given")
-    if task not in ("classification", "regression"):
-        raise ValueError(f"task must be 'classification' or 'regression', got {task!r}")
-    spark, rows = train.sparkSession, []
-    train, test = train.persist(), test.persist()
-    try:
-        for depth in depths:
-            model = fit_model(train, features, target, task, "decision_tree", depth)
-            metric = "accuracy" if task == "classification" else "r2"
-            a, b = (
-                (classification_metrics if task == "classification" else regression_metrics)(
-                    model.predict(d), target, "prediction").first()[metric]
-                for d in (train, test)
-            )
-            rows.append(("None" if depth is None else str(depth), float(a), float(b), float(a - b)))
-    finally:
-        train.unpersist()
-        test.unpersist()
-    return spark.createDataFrame(rows, "max_depth string, train_score double, test_score double, gap double")
+def compare_depths(train: DataFrame, test: DataFrame, features, target: str, task: str, depths) -> DataFrame:
+    """One row per tree depth (None: unlimited): score (accuracy or R2) on either part, and what is lost from train to test."""
+    require_choice("task", task, TASKS)
+    metric = "r2" if task == "regression" else "accuracy"
+    train, test, scored = materialize(train, "train"), materialize(test, "test"), []
+    for nth, depth in enumerate(depths):
+        tree = fit_model(train, features, target, task, "decision_tree", depth)
+        sides = [tree.metrics(part, target).select(F.col(metric).cast("double").alias(side))
+                 for part, side in ((train, "train_score"), (test, "test_score"))]
+        scored.append(sides[0].crossJoin(sides[1]).select(  # one row each
+            F.lit(nth).alias("_nth"), F.lit(str(depth)).alias("max_depth"), "*", (F.col("train_score") - F.col("test_score")).alias("gap")))
+    if not scored:
+        raise ValueError("at least one depth is needed")
+    return reduce(DataFrame.unionByName, scored).orderBy("_nth").drop("_nth")
 
 
 def compare_models(train: DataFrame, test: DataFrame, features, target: str, task: str, names=None, **options) -> DataFrame:
@@ -181,8 +175,7 @@ def model_table(scored: dict[str, DataFrame], target: str, task: str) -> DataFra
 
 def experiment_data(df: DataFrame, id_col: str, target: str, task: str, preprocessor, engineer=None, test_size=0.2) -> dict:
     """Split, engineer, and preprocess with parameters learned on the train part only."""
-    if task not in ("classification", "regression"):
-        raise ValueError(f"task must be 'classification' or 'regression', got {task!r}")
+    require_choice("task", task, TASKS)
     train, test = train_test_split(df, id_col, test_size, SEED, target if task == "classification" else None)
     if engineer:
         train, test = engineer(train), engineer(test)
@@ -193,55 +186,29 @@ def experiment_data(df: DataFrame, id_col: str, target: str, task: str, preproce
             "feature_names": list(names), "preprocessor": preprocessor}
 
 
-class Experiment:
-    """One dataset's split, its baseline, and recorded model scores."""
-
-    def __init__(self, name: str, df: DataFrame, id_col: str, target: str, task: str, test_size: float = 0.2):
-        self.name, self.task, self.test_size = name, task, test_size
-        self._df, self._id, self._target = df, id_col, target
-        self.baseline_score: float | None = None
-        self.scores: dict[str, float] = {}
-        self.preprocessor = None
-
-    def run(self) -> "Experiment":
-        stratify = self._target if self.task == "classification" else None
-        self.train, self.test = train_test_split(self._df, self._id, self.test_size, SEED, stratify)
-        self.n_train, self.n_test = self.train.count(), self.test.count()
-        self.n_features = len(self._df.columns) - 2
-        self.metric = "test_accuracy" if self.task == "classification" else "test_r2"
-        self.baseline_score = baseline(self.train, self.test, self._target, self.task).first()[self.metric]
-        return self
-
-    def set_preprocessor(self, preprocessor) -> None:
-        self.preprocessor = preprocessor
-
-    def record_model(self, name: str, score: float) -> None:
-        self.scores[name] = float(score)
-
-    def runs(self, spark: SparkSession) -> DataFrame:
-        """One row per recorded score, the baseline first."""
-        if self.baseline_score is None:
-            raise ValueError("run the experiment first")
-        base = [("baseline", self.baseline_score), *self.scores.items()]
-        rows = [(self.name, self.task, self.n_features, self.n_train, self.n_test, self.metric, m, float(s), float(s - self.baseline_score))
-                for m, s in base]
-        return spark.createDataFrame(
-            rows, "dataset string, task string, n_features long, n_train long, n_test long, metric string, model string, score double, over_baseline double")
-
-    def summary(self, spark: SparkSession) -> DataFrame:
-        """Numbered text lines, ready for ``write_report``."""
-        lines = [f"Experiment: {self.name} ({self.task})"]
-        if self.baseline_score is None:
-            lines.append("  (not run yet - call run() first)")
-        else:
-            kind = "stratified" if self.task == "classification" else "random"
-            lines.append(f"  Features: {self.n_features}")
-            lines.append(f"  Split: {self.n_train} train / {self.n_test} test (test_size={self.test_size}, {kind})")
-            lines.append(f"  Baseline: {self.metric} = {self.baseline_score:.4f}")
-            lines += [f"  {m}: {self.metric} = {s:.4f} ({s - self.baseline_score:+.4f} vs baseline)" for m, s in self.scores.items()]
-            if not self.scores:
-                lines.append("  Models: none recorded yet")
-        return spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")
+def compare_with_baseline(dataset: str, df: DataFrame, id_col: str, target: str, task: str, candidates: dict, test_size: float = 0.2) -> DataFrame:
+    """Test scores of candidate models ({model name: features}) on one split, each beside the score without features."""
+    by_class = task == "classification"
+    train, test = train_test_split(df, id_col, test_size, SEED, target if by_class else None)
+    train, test = materialize(train, "train"), materialize(test, "test")
+    plain = baseline(train, test, target, task)
+    metric, of_model = ("test_accuracy", "accuracy") if by_class else ("test_r2", "r2")
+    scores = plain.select(F.lit(0).alias("_nth"), F.lit("baseline").alias("model"), F.col(metric).cast("double").alias("score"))
+    for nth, (name, features) in enumerate(candidates.items(), 1):
+        got = fit_model(train, features, target, task, name).metrics(test, target)
+        scores = scores.unionByName(got.select(F.lit(nth).alias("_nth"), F.lit(name).alias("model"), F.col(of_model).cast("double").alias("score")))
+    parts = train.agg(F.count("*").alias("n_train")).crossJoin(test.agg(F.count("*").alias("n_test")))
+    base = F.max(F.when(F.col("_nth") == 0, F.col("score"))).over(Window.partitionBy())  # a row per candidate
+    facts = {"dataset": F.lit(dataset), "task": F.lit(task), "metric": F.lit(metric), "n_features": F.lit(len(df.columns) - 2).cast("long")}
+    return scores.crossJoin(parts).withColumns(facts).withColumn("over_baseline", F.col("score") - base).orderBy("_nth").select(
+        "dataset", "task", "n_features", "n_train", "n_test", "metric", "model", "score", "over_baseline")
+
+
+def score_lines(runs: DataFrame) -> DataFrame:
+    """A sentence per row of ``compare_with_baseline``, ready for ``write_report``."""
+    return runs.select(F.format_string(
+        "%s, %s on %d of %d rows: %s reaches %.4f, %+.4f against no features", "dataset", "metric", "n_test",
+        F.col("n_train") + F.col("n_test"), "model", "score", "over_baseline").alias("line"))
 
 
 def save_bundle(spark: SparkSession, model: FittedModel, metrics: dict, path: str) -> tuple[str, str]:

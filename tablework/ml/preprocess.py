@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.functions.semantics import cut, pearson_expr
+from tablework.functions.semantics import cut, pearson_expr, require_choice, require_number
 from tablework.operators.clean import is_yes
 from tablework.operators.pick import pick_smallest
 from tablework.operators.quantiles import column_quantiles
@@ -75,8 +75,7 @@ class Preprocessor:
     """Imputation, scaling and encoding learned from a train table."""
 
     def __init__(self, numeric, nominal=(), ordinal: dict | None = None, scaler: str = "standard"):
-        if scaler not in ("standard", "minmax"):
-            raise ValueError(f"scaler must be 'standard' or 'minmax', got {scaler!r}")
+        require_choice("scaler", scaler, ("standard", "minmax"))
         self.numeric, self.nominal = list(numeric), list(nominal)
         self.ordinal = {c: list(v) for c, v in (ordinal or {}).items()}
         self.scaler = scaler
@@ -199,7 +198,6 @@ def f_regression(df: DataFrame, features, target: str) -> DataFrame:
 
 def select_top_features(df: DataFrame, features, target: str, k: int, task: str) -> DataFrame:
     """The ``k`` features of highest F score, best first."""
-    if isinstance(k, bool) or not isinstance(k, int) or k < 1:
-        raise ValueError(f"k must be a positive whole number, got {k!r}")
+    require_number("k", k, whole=True)
     scores = anova_f(df, features, target) if task == "classification" else f_regression(df, features, target)
     return scores.orderBy(F.desc_nulls_last("score"), "feature").limit(k)

@@ -37,6 +37,7 @@ def _cells(columns, build) -> Column:
 def describe(df: DataFrame, columns=None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max per numeric column."""
     columns = list(columns or numeric_names(df))
+    df = nan_to_null(df, columns)
     quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
     stats = df.agg(*[
         F.struct(
@@ -110,6 +111,7 @@ def numeric_modes(df: DataFrame, columns) -> dict:
 
 
 def _fill(df: DataFrame, column: str, value) -> DataFrame:
+    df = nan_to_null(df, [column])
     if value is None:
         return df
     kind = df.schema[column].dataType
@@ -125,7 +127,7 @@ def _require_numeric(df: DataFrame, column: str, how: str) -> None:
 
 def fill_mean(df: DataFrame, column: str) -> DataFrame:
     _require_numeric(df, column, "mean")
-    return _fill(df, column, df.agg(F.avg(column)).first()[0])
+    return _fill(df, column, nan_to_null(df, [column]).agg(F.avg(column)).first()[0])
 
 
 def fill_median(df: DataFrame, column: str) -> DataFrame:
@@ -134,11 +136,11 @@ def fill_median(df: DataFrame, column: str) -> DataFrame:
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
-    return _fill(df, column, most_frequent(df, column))
+    return _fill(df, column, most_frequent(nan_to_null(df, [column]), column))
 
 
 def fill_constant(df: DataFrame, column: str, value) -> DataFrame:
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(value)))
+    return nan_to_null(df, [column]).withColumn(column, F.coalesce(F.col(column), F.lit(value)))
 
 
 def drop_nulls(df: DataFrame, *columns: str) -> DataFrame:
@@ -146,11 +148,11 @@ def drop_nulls(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def ffill(df: DataFrame, column: str, order_by, by=()) -> DataFrame:
-    return carry_fill(df, order_by, [column], by)
+    return carry_fill(nan_to_null(df, [column]), order_by, [column], by)
 
 
 def bfill(df: DataFrame, column: str, order_by, by=()) -> DataFrame:
-    return carry_fill(df, order_by, [column], by, backward=True)
+    return carry_fill(nan_to_null(df, [column]), order_by, [column], by, backward=True)
 
 
 _AGGREGATED = ("mean", "median", "mode")
@@ -170,6 +172,7 @@ def handle_missing(df: DataFrame, strategy: dict, order_by=None) -> DataFrame:
     for c, s in plan:
         if s in ("mean", "median"):
             _require_numeric(df, c, s)
+    df = nan_to_null(df, [c for c, _ in plan])
     pending: list = []
 
     def settle(frame):
@@ -180,8 +183,12 @@ def handle_missing(df: DataFrame, strategy: dict, order_by=None) -> DataFrame:
             values.update(frame.agg(*[F.avg(c).alias(c) for c in means]).first().asDict())
         if medians:
             values.update({c: q[0] for c, q in column_quantiles(frame, medians, [0.5]).items()})
-        for c, s in pending:
-            frame = _fill(frame, c, most_frequent(frame, c) if s == "mode" else values[c])
+        modes = [c for c, s in pending if s == "mode"]
+        countable = [c for c in modes if is_numeric(frame.schema[c].dataType) and not isinstance(frame.schema[c].dataType, (T.LongType, T.DecimalType))]
+        values.update(numeric_modes(frame, countable) if countable else {})  # all in one pass; others would lose digits as doubles
+        values.update({c: most_frequent(frame, c) for c in modes if c not in countable})
+        for c, _ in pending:
+            frame = _fill(frame, c, values[c])
         pending.clear()
         return frame
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.semantics import flag, numeric_names, pearson_expr
+from tablework.functions.semantics import flag, nan_to_null, numeric_names, pearson_expr
 from tablework.operators.clean import numeric_modes
 from tablework.operators.order import local_rows, prefix_sum, with_average_ranks
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
@@ -38,6 +38,7 @@ def percentile_linear(df: DataFrame, column: str, percents) -> DataFrame:
 def central_tendency(df: DataFrame, columns) -> DataFrame:
     """Mean, median and mode (smallest among equals) per column."""
     columns = list(columns)
+    df = nan_to_null(df, columns)
     info = exact_quantiles(df, columns, [0.5])
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
     modes = numeric_modes(df, columns)
@@ -48,6 +49,7 @@ def central_tendency(df: DataFrame, columns) -> DataFrame:
 def spread(df: DataFrame, columns) -> DataFrame:
     """Population and sample variance and std, range and interquartile range per column."""
     columns = list(columns)
+    df = nan_to_null(df, columns)
     info = exact_quantiles(df, columns, [0.25, 0.75])
     rows = []
     for c in columns:
@@ -65,6 +67,7 @@ def spread(df: DataFrame, columns) -> DataFrame:
 def numeric_profile(df: DataFrame, columns=None) -> DataFrame:
     """Mean, median, sample std, extremes and quartiles of every numeric column."""
     columns = list(columns or numeric_names(df))
+    df = nan_to_null(df, columns)
     info = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     stats = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in columns]).first()
     rows = []

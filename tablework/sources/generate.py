@@ -1,12 +1,14 @@
-"""Generated tables: a distributed range plus per-row expressions of the row number.
+"""Generated tables: per-row expressions of the ids of a given table.
 
-Random columns are functions of (row number, seed), so the same call gives the same table
+Random columns are functions of (id, seed), so the same call gives the same table
 whatever the partitioning and however often a task is retried.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import clip, hash_normal, hash_uniform
@@ -25,21 +27,24 @@ def gen_linspace(spark: SparkSession, start: float, stop: float, num: int) -> Da
     return spark.range(num).select(F.col("id").alias("idx"), (F.lit(float(start)) + F.col("id") * F.lit(step)).alias("value"))
 
 
-def gen_constant(spark: SparkSession, rows: int, cols: int, value: float) -> DataFrame:
-    """Matrix cells that all hold one value."""
-    return spark.range(rows * cols).select(
-        F.expr(f"id div {cols}").alias("i"), (F.col("id") % cols).alias("j"), F.lit(float(value)).alias("v"))
+def gen_constant(keys: DataFrame, id_col: str, cols: int, value: float) -> DataFrame:
+    """Matrix cells that all hold one value, a matrix row for each id."""
+    return _cells(keys, id_col, cols).withColumn("v", F.lit(float(value)))
+
+
+def _cells(keys: DataFrame, id_col: str, cols: int) -> DataFrame:
+    return keys.select(F.col(id_col).cast("long").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long"))).alias("j"))
 
 
-def gen_identity(spark: SparkSession, n: int) -> DataFrame:
-    """Identity matrix; cells that are 0 are left out."""
-    return spark.range(n).select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(1.0).alias("v"))
+def gen_identity(keys: DataFrame, id_col: str) -> DataFrame:
+    """Identity matrix over the ids; cells that are 0 are left out."""
+    key = F.col(id_col).cast("long")
+    return keys.select(key.alias("i"), key.alias("j"), F.lit(1.0).alias("v"))
 
 
-def gen_uniform(spark: SparkSession, rows: int, cols: int, seed: int = 42) -> DataFrame:
-    """Matrix cells uniform in [0, 1)."""
-    return spark.range(rows * cols).select(
-        F.expr(f"id div {cols}").alias("i"), (F.col("id") % cols).alias("j"), hash_uniform("id", seed).alias("v"))
+def gen_uniform(keys: DataFrame, id_col: str, cols: int, seed: int = 42) -> DataFrame:
+    """Matrix cells uniform in [0, 1), a matrix row for each id."""
+    return _cells(keys, id_col, cols).withColumn("v", hash_uniform(F.col("i") * cols + F.col("j"), seed))
 
 
 def gen_scores(keys: DataFrame, id_col: str, subjects, seed: int = 42, mean: float = 70.0, std: float = 15.0) -> DataFrame:
@@ -49,51 +54,42 @@ def gen_scores(keys: DataFrame, id_col: str, subjects, seed: int = 42, mean: flo
     ])
 
 
-# Order statuses with their weights, and the other domains of generated orders.
-STATUS_WEIGHTS = {"Delivered": 0.55, "Shipped": 0.15, "Cancelled": 0.10, "Pending": 0.20}
-CATEGORIES = ("Electronics", "Clothing", "Books", "Home & Kitchen", "Sports", "Beauty")
-REGIONS = ("North", "South", "East", "West", "Central")
-
-
-def gen_orders(spark: SparkSession, n: int, null_names: int = 5, seed: int = 42) -> DataFrame:
-    """Orders spread evenly over a year, weighted statuses, exactly ``null_names`` missing names."""
-    u = lambda k: hash_uniform("id", seed + k)
-    choice = lambda values, k: F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(u(k) * len(values)) + 1).cast("int"))
-    status, edge = None, 0.0
-    for name, weight in list(STATUS_WEIGHTS.items())[:-1]:
-        edge += weight
-        status = F.when(u(4) < edge, name) if status is None else status.when(u(4) < edge, name)
-    status = status.otherwise(list(STATUS_WEIGHTS)[-1])
-    day = F.floor(F.col("id") * F.lit(365 / max(n, 1))).cast("int")
-    rows = spark.range(n).select(
-        (F.col("id") + 1).alias("order_id"),
-        F.concat(F.lit("Customer "), (F.floor(u(1) * max(n // 3, 1)) + 1).cast("string")).alias("customer_name"),
-        choice(CATEGORIES, 2).alias("product_category"),
-        (F.floor(u(3) * 9) + 1).alias("quantity"),
-        F.round(F.lit(5.0) + u(5) * 495, 2).alias("unit_price"),
-        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("order_date"),
-        choice(REGIONS, 6).alias("region"),
-        status.alias("status"),
-    )
+def _weighted(weights: dict, u: Column) -> Column:
+    """The value in whose share of [0, 1) ``u`` falls; shares go by weight, in the given order."""
+    total, edge, out = sum(weights.values()), 0.0, F.when(F.lit(False), F.lit(None).cast("string"))
+    for value, weight in weights.items():
+        edge += weight / total
+        out = out.when(u < F.lit(edge), F.lit(value))
+    return out.otherwise(F.lit(list(weights)[-1]))  # the edges may end just below 1
+
+
+def gen_orders(keys: DataFrame, id_col: str, domains: dict, first_day: str, days: int, names: int, null_names: int = 5, seed: int = 42) -> DataFrame:
+    """An order per id: a customer out of ``names``, a value of each of ``domains`` ({column: {value: weight}}), a quantity,
+    a price and a day; exactly ``null_names`` customers are missing."""
+    u = lambda k: hash_uniform("order_id", seed + k)
+    rows = keys.select(F.col(id_col).cast("long").alias("order_id")).select(
+        "order_id", F.concat(F.lit("Customer "), (F.floor(u(1) * names) + 1).cast("string")).alias("customer_name"),
+        *[_weighted(weights, u(10 + k)).alias(c) for k, (c, weights) in enumerate(domains.items())],
+        (F.floor(u(3) * 9) + 1).alias("quantity"), F.round(F.lit(5.0) + u(5) * 495, 2).alias("unit_price"),
+        F.date_add(F.lit(first_day).cast("date"), F.floor(u(4) * days).cast("int")).alias("order_date"))
     blank = pick_smallest(rows, "order_id", seed + 7, lambda _, total: min(null_names, total))
     return rows.withColumn("customer_name", F.when(~blank, F.col("customer_name")))
 
 
-def gen_distributions(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
-    """Samples of Normal(50, 10), Binomial(20, 0.3) and Poisson(4), one row per draw."""
-    draws = [hash_uniform("id", seed + 100 + k) for k in range(20)]
-    binomial = sum(((d < 0.3).cast("int") for d in draws[1:]), (draws[0] < 0.3).cast("int"))
-    # Poisson by its inverse distribution function over counts up to 40
-    term, total, u = 2.718281828459045 ** -4, 0.0, F.col("_u")
-    poisson = None
+def gen_distributions(keys: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
+    """Samples of Normal(50, 10), Binomial(20, 0.3) and Poisson(4), a draw of each for every id."""
+    rows = keys.select(F.col(id_col).cast("long").alias("id")).withColumn("_u", hash_uniform("id", seed + 200))
+    successes = F.aggregate(
+        F.array(*[(hash_uniform("id", seed + 100 + k) < 0.3).cast("int") for k in range(20)]), F.lit(0), lambda a, x: a + x)
+    # Poisson by its inverse distribution function: the number of counts whose cumulated probability u has passed
+    cumulated, term = [], math.exp(-4)
     for k in range(41):
-        total += term
-        poisson = F.when(u < total, k) if poisson is None else poisson.when(u < total, k)
+        cumulated.append((cumulated[-1] if cumulated else 0.0) + term)
         term *= 4 / (k + 1)
-    rows = spark.range(n).withColumn("_u", hash_uniform("id", seed + 200))
+    passed = F.size(F.filter(F.array(*[F.lit(p) for p in cumulated]), lambda p: p <= F.col("_u")))
     return rows.select(
         "id", (F.lit(50.0) + 10.0 * hash_normal("id", seed)).alias("normal"),
-        binomial.cast("double").alias("binomial"), poisson.otherwise(41).cast("double").alias("poisson"))
+        successes.cast("double").alias("binomial"), passed.cast("double").alias("poisson"))
 
 
 def compare_moments(samples: DataFrame) -> DataFrame:

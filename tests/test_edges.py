@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablework.ml import models
-from tablework.operators import matrix, quantiles
+from tablework.operators import clean, matrix, quantiles, stats
 from tablework.sources import readers, writers
 
 
@@ -51,3 +51,17 @@ def test_quantile_search_ends_on_infinities(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "_FINISH_ROWS", 10)
     rows = spark.range(1000).select(F.when(F.col("id") == 999, float("inf")).when(F.col("id") == 0, float("-inf")).otherwise(F.col("id").cast("double")).alias("v"))
     assert quantiles.column_quantiles(rows, ["v"], [0.5, 0.25])["v"] == [499.5, 249.75]
+
+
+def test_nan_is_missing_in_fills_and_profiles(spark):
+    df = spark.createDataFrame([(1, 1.0, 7.0), (2, float("nan"), float("nan")), (3, 3.0, None), (4, None, 9.0)], "id long, x double, y double")
+    got = lambda d, c="x": [r[c] for r in d.orderBy("id").collect()]
+    assert got(clean.fill_mean(df, "x")) == got(clean.fill_median(df, "x")) == [1, 2, 3, 2]
+    assert got(clean.fill_mode(df, "x")) == [1, 1, 3, 1] and got(clean.fill_constant(df, "x", 5.0)) == [1, 5, 3, 5]
+    assert got(clean.ffill(df, "x", ["id"])) == [1, 1, 3, 3] and got(clean.bfill(df, "x", ["id"])) == [1, 3, 3, None]
+    both = clean.handle_missing(df, {"x": "mode", "y": "mode"})
+    assert got(both) == [1, 1, 3, 1] and got(both, "y") == [7, 7, 7, 9]
+    for row in (clean.describe(df, ["x"]).first(), stats.numeric_profile(df, ["x"]).first()):
+        assert (row["mean"], row["max"]) == (2.0, 3.0)
+    assert stats.central_tendency(df, ["x"]).first()["mean"] == 2.0
+    assert stats.spread(df, ["x"]).first()["stddev_samp"] == pytest.approx(2 ** 0.5)

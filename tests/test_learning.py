@@ -144,10 +144,12 @@ def test_logistic(two_class):
 
 
 def test_classification_metrics(spark):
-    df = spark.createDataFrame(list(zip([1, 1, 1, 1, 0, 0, 0, 0], [0.9, 0.8, 0.6, 0.2, 0.85, 0.4, 0.3, 0.1])), "y int, p double")
+    df = spark.range(24).select((F.col("id") % 3 == 0).cast("int").alias("y"), ((F.col("id") * 7 % 24 + 4 * (F.col("id") % 3 == 0).cast("int")) / 32).alias("p"))
     recalls = [r["recall"] for r in metrics.threshold_table(df, "y", "p", [0.3, 0.5, 0.7]).orderBy("threshold").collect()]
     assert recalls == sorted(recalls, reverse=True)
-    assert metrics.roc_auc(df, "y", "p").first()[0] == 11 / 16
+    points = df.collect()
+    pairs = [(a["p"] > b["p"]) + (a["p"] == b["p"]) / 2 for a in points for b in points if a["y"] > b["y"]]
+    assert metrics.roc_auc(df, "y", "p").first()[0] == pytest.approx(sum(pairs) / len(pairs))
     roc = metrics.roc_data(df, "y", "p").orderBy("fpr", "tpr").collect()
     assert (roc[0]["fpr"], roc[0]["tpr"], roc[-1]["fpr"], roc[-1]["tpr"]) == (0, 0, 1, 1)
     perfect = df.withColumns({"q": F.col("y"), "s": F.col("y").cast("double")})
@@ -166,9 +168,10 @@ def test_regression_metrics_of_constant_truth(spark):
 @pytest.fixture(scope="module")
 def raw_churn(spark):
     return spark.createDataFrame(
-        [(1, 1, 29.85, 29.85, "Month-to-month", "Check", 0), (2, 34, 56.95, 1889.5, "One year", "Mail", 0),
-         (3, 0, 53.85, None, "Two year", None, 1), (4, 45, 42.30, 1840.75, "One year", "Bank", 0),
-         (5, 70, 70.70, 4900.0, "Two year", "Check", 1), (6, 8, 99.65, 820.5, "Month-to-month", "Check", 1)],
+        [(n, months, 20.5 + 11 * n, (20.5 + 11 * n) * months if months else None, contract, payment, n % 2)
+         for n, (months, contract, payment) in enumerate([
+             (3, "Month-to-month", "Check"), (30, "One year", "Mail"), (0, "Two year", None), (41, "One year", "Bank"),
+             (66, "Two year", "Check"), (11, "Month-to-month", "Check")], 1)],
         "id long, tenure long, monthly double, total double, contract string, payment string, churn int")
 
 
@@ -266,12 +269,12 @@ def test_trees(spark, two_class, tmp_path):
     with pytest.raises(ValueError):
         models.fit_model(two_class, ["a"], "y", "classification", "linear_regression")
     train, test = split.train_test_split(two_class, "id", stratify="y")
-    table = models.depth_analysis(train, test, ["a", "b"], "y", "classification", [1, 4, None]).collect()
+    table = models.compare_depths(train, test, ["a", "b"], "y", "classification", [1, 4, None]).collect()
     scores = [r["train_score"] for r in table]
     assert [r["max_depth"] for r in table] == ["1", "4", "None"] and scores == sorted(scores)
     for bad in (([], "classification"), ([1], "ranking")):
         with pytest.raises(ValueError):
-            models.depth_analysis(train, test, ["a"], "y", bad[1], bad[0])
+            models.compare_depths(train, test, ["a"], "y", bad[1], bad[0])
 
 
 def test_comparison_and_bundle(spark, two_class, tmp_path):
@@ -288,15 +291,15 @@ def test_comparison_and_bundle(spark, two_class, tmp_path):
     assert stored == out and stored["n_train"] == 320 and 0 <= stored["f1"] <= 1
 
 
-def test_experiment(spark, two_class):
-    run = models.Experiment("demo", two_class, "id", "y", "classification")
-    assert "not run yet" in run.summary(spark).collect()[1]["line"]
+def test_scores_beside_the_baseline(spark, two_class):
+    runs = models.compare_with_baseline("demo", two_class, "id", "y", "classification", {"logistic_regression": ["a", "b"]})
+    plain, fitted = runs.collect()
+    assert (plain["model"], plain["over_baseline"], plain["n_train"], plain["n_test"]) == ("baseline", 0.0, 320, 80)
+    assert fitted["over_baseline"] == pytest.approx(fitted["score"] - plain["score"]) and fitted["score"] > plain["score"]
+    lines = [r["line"] for r in models.score_lines(runs).collect()]
+    assert len(lines) == 2 and "80 of 400 rows" in lines[1] and "logistic_regression" in lines[1]
     with pytest.raises(ValueError):
-        run.runs(spark)
-    run.run()
-    run.record_model("better", 0.99)
-    assert run.runs(spark).count() == 2
-    assert any("better" in r["line"] for r in run.summary(spark).collect())
+        models.compare_with_baseline("demo", two_class, "id", "y", "ranking", {})
 
 
 def test_train_command(spark, two_class, tmp_path):

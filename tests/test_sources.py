@@ -99,14 +99,16 @@ def test_dataset_catalog(spark):
 def test_generators(spark):
     assert [r["value"] for r in generate.gen_range(spark, 0, 10, 3).orderBy("value").collect()] == [0, 3, 6, 9]
     np.testing.assert_allclose([r["value"] for r in generate.gen_linspace(spark, 0, 1, 5).orderBy("idx").collect()], np.linspace(0, 1, 5))
-    assert generate.gen_constant(spark, 2, 3, 1).agg(F.sum("v"), F.count("*")).first()[:] == (6.0, 6)
-    u = generate.gen_uniform(spark, 100, 50).agg(F.min("v"), F.max("v"), F.avg("v")).first()
+    assert generate.gen_constant(spark.range(2), "id", 3, 1).agg(F.sum("v"), F.count("*")).first()[:] == (6.0, 6)
+    u = generate.gen_uniform(spark.range(100), "id", 50).agg(F.min("v"), F.max("v"), F.avg("v")).first()
     assert 0 <= u[0] and u[1] < 1 and u[2] == pytest.approx(0.5, abs=0.02)
     s = generate.gen_scores(spark.range(2000), "id", ["a", "b"]).agg(F.avg("a"), F.stddev("a"), F.min("b"), F.max("b")).first()
     assert s[0] == pytest.approx(70, abs=1.5) and s[1] == pytest.approx(15, abs=1.5) and s[2] >= 0 and s[3] <= 100
-    o = generate.gen_orders(spark, 150)
-    assert o.count() == 150 and o.filter("customer_name IS NULL").count() == 5
-    for r in generate.compare_moments(generate.gen_distributions(spark, 4000)).collect():
+    o = generate.gen_orders(spark.range(150), "id", {"kind": {"x": 3, "y": 1}}, "2001-03-01", 30, 40)
+    kinds = {r["kind"]: r["count"] for r in o.groupBy("kind").count().collect()}
+    assert sum(kinds.values()) == 150 and kinds["x"] > 2 * kinds["y"] > 0
+    assert o.filter("customer_name IS NULL").count() == 5
+    for r in generate.compare_moments(generate.gen_distributions(spark.range(4000), "id")).collect():
         assert r["mean_sample"] == pytest.approx(r["mean_theory"], rel=0.03) and r["var_sample"] == pytest.approx(r["var_theory"], rel=0.1)
 
 
