@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import all_not_null, col, cut, flag, require_columns, sum0
 from tablework.operators.order import materialize, ordered_index
-from tablework.operators.quantiles import column_quantiles, group_quantiles
+from tablework.operators.quantiles import column_quantiles, group_medians, group_quantiles
 
 _PLANNED_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
 _SALTS = 256
@@ -48,8 +48,8 @@ def group_aggregate(df: DataFrame, by, spec: dict, order_by: str | None = None)
             else:
                 raise ValueError(f"unknown aggregate {fn!r}")
     out = rows.groupBy(*by).agg(*exprs) if exprs else rows.select(*by).distinct()
-    for c in medians:
-        out = out.join(group_quantiles(rows, by, c, [0.5], [f"{c}_median"]), by, "left")
+    if medians:  # one search for all of them
+        out = out.join(group_medians(rows, by, medians), by, "left")
     return out.select(*by, *names)
 
 
@@ -170,14 +170,16 @@ def bin_cut(df: DataFrame, column: str, edges, labels, out: str | None = None) -
 
 
 def tercile_edges(df: DataFrame, column: str) -> list[float]:
-    """Bin edges at the extremes (widened by 1) and the .33 and .66 quantiles, without repeats."""
+    """Bin edges at the extremes (widened by 1) and the .33 and .66 quantiles, without repeats; none without values."""
     lo, q1, q2, hi = column_quantiles(df, [column], [0.0, 0.33, 0.66, 1.0])[column]
-    return sorted({lo - 1, q1, q2, hi + 1})
+    return [] if lo is None else sorted({lo - 1, q1, q2, hi + 1})
 
 
 def bin_terciles(df: DataFrame, column: str) -> DataFrame:
-    """How many rows fall into the Low, Medium and High third of a column."""
+    """How many rows fall into the Low, Medium and High third of a column; no rows for a column without values."""
     edges = tercile_edges(df, column)
+    if not edges:
+        return df.sparkSession.createDataFrame([], "tier string, n long")
     labels = ["Low", "Medium", "High"][: len(edges) - 1]
     binned = bin_cut(df, column, edges, labels, "tier")
     return binned.filter(F.col("tier").isNotNull()).groupBy("tier").agg(F.count("*").alias("n"))

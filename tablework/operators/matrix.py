@@ -118,10 +118,11 @@ def det_inverse(matrices: DataFrame, id_col: str = "matrix_id") -> DataFrame:
                 if not np.linalg.cond(m) < 1 / np.finfo(float).eps:
                     put(key, 0.0, None, None, None, "not invertible")
                     continue
-                det, inverse = float(np.linalg.det(m)), np.linalg.inv(m)
-                for a in range(n):
-                    for b in range(n):
-                        put(key, det, a, b, float(inverse[a, b]), None)
+                a, b = np.indices((n, n))
+                columns = ([key] * n * n, [float(np.linalg.det(m))] * n * n, a.ravel().tolist(), b.ravel().tolist(),
+                           np.linalg.inv(m).ravel().tolist(), [None] * n * n)
+                for c, x in zip(out, columns):
+                    out[c].extend(x)
             yield pd.DataFrame({c: pd.Series(x, dtype="Int64" if c in ("i", "j") else None) for c, x in out.items()})
 
     solved = packed.mapInPandas(solve, f"{id_col} {kind}, det double, i long, j long, v double, error string")

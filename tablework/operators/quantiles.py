@@ -9,6 +9,7 @@ keeps a value map, so a group holding a third of the table costs the same as any
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,6 +162,20 @@ def group_quantiles(df: DataFrame, by, column: str, probs, names, max_groups: in
     return local_rows(df.sparkSession, [(*k[0], *v["q"]) for k, v in got.items()], schema)
 
 
+def group_medians(df: DataFrame, by, columns, max_groups: int = 2000) -> DataFrame:
+    """One row per group: keys plus ``column_median`` of each column, all found in the same passes."""
+    by, columns = list(by), list(dict.fromkeys(columns))
+    try:
+        got = exact_quantiles(df, columns, [0.5], by, max_groups)
+    except TooManyGroups:
+        parts = [_ordered_group_quantiles(df, by, c, [0.5], [f"{c}_median"]) for c in columns]
+        return reduce(lambda a, b: a.join(b, by, "full"), parts)
+    schema = T.StructType([T.StructField(b, df.schema[b].dataType) for b in by] + [T.StructField(f"{c}_median", T.DoubleType()) for c in columns])
+    groups = dict.fromkeys(key for key, _ in got)
+    rows = [(*k, *[got[(k, c)]["q"][0] if (k, c) in got else None for c in columns]) for k in groups]
+    return local_rows(df.sparkSession, rows, schema)
+
+
 def _ordered_group_quantiles(df: DataFrame, by, column, probs, names) -> DataFrame:
     """Any number of groups: count distinct values per group, place them in one global order,
     and pick the rows that cover the wanted ranks."""

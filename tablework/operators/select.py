@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ TYPE_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8,
               "timestamp": 8, "timestamp_ntz": 8}
 
 _LITERAL_MAP_LIMIT = 500
+_VALUE_TYPES = ((str, "string"), (bool, "boolean"), (int, "long"), ((int, float), "double"))
 
 
 def select_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -146,11 +146,21 @@ def with_product(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 
 def map_values(df: DataFrame, column: str, mapping: dict, out: str) -> DataFrame:
-    """Substitute values; those without an entry become NULL. Long mappings are joined."""
+    """Substitute values; those without an entry become NULL. Long mappings are joined.
+
+    The new column has the common type of all entries (text, long, double or boolean), however many there are.
+    """
+    values = [v for v in mapping.values() if v is not None]
+    value_type = next((name for kinds, name in _VALUE_TYPES if all(isinstance(v, kinds) for v in values)), None)
+    if value_type is None:
+        raise TypeError("the values of a mapping need a common type")
     if len(mapping) <= _LITERAL_MAP_LIMIT:
-        table = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+        if not mapping:
+            return df.withColumn(out, F.lit(None).cast(value_type))
+        table = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v).cast(value_type))])
         return df.withColumn(out, F.try_element_at(table, F.col(column)))
-    value_type = "string" if isinstance(next(iter(mapping.values())), str) else "double"
+    if value_type == "double":
+        mapping = {k: None if v is None else float(v) for k, v in mapping.items()}
     schema = T.StructType([T.StructField("_key", df.schema[column].dataType)]).add(out, value_type)
     lookup = local_rows(df.sparkSession, list(mapping.items()), schema)
     return df.join(lookup, F.col(column) == F.col("_key"), "left").drop("_key")

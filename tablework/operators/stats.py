@@ -11,12 +11,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablework.functions.semantics import flag, nan_to_null, numeric_names, pearson_expr
+from tablework.functions.semantics import flag, nan_to_null, numeric_names, pearson_expr, require_choice
 from tablework.operators.clean import numeric_modes
 from tablework.operators.order import local_rows, prefix_sum, with_average_ranks
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
 _PAIR_BATCH = 300
+_NORMAL_TAIL = 1_000_000
 
 
 def _require_rows(info: dict, column: str, least: int = 1) -> dict:
@@ -267,7 +268,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     h = d
-    for m in range(1, 400):
+    for m in range(1, 100_000):
         for num in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -300,6 +301,9 @@ def correlation_pvalue(r: float, n: int) -> float | None:
         return 0.0
     df = n - 2
     t2 = r * r * df / (1 - r * r)
+    if df > _NORMAL_TAIL:  # the beta function loses its digits there; the corrected normal tail is exact to 1e-11
+        z = math.sqrt(t2) * (1 - 1 / (4 * df)) / math.sqrt(1 + t2 / (2 * df))
+        return math.erfc(z / math.sqrt(2))
     return incomplete_beta(df / 2, 0.5, df / (df + t2))
 
 
@@ -344,27 +348,33 @@ _P_SMALL_MEAN = (0.5440, -0.39978, 0.025054, -0.0006714)
 _P_SMALL_SD = (1.3822, -0.77857, 0.062767, -0.0020322)
 _P_LARGE_MEAN = (-1.5861, -0.31082, -0.083751, 0.0038915)
 _P_LARGE_SD = (-0.4803, -0.082676, 0.0030302)
-SHAPIRO_LIMIT = 5000
+NORMALITY_METHODS = ("shapiro-wilk", "jarque-bera")
+_RANK_RUN = 10_000
 
 
 def _poly(coefficients, x: float) -> float:
     return sum(c * x**k for k, c in enumerate(coefficients))
 
 
-def _shapiro_ends(n: int) -> tuple[float, float, float]:
-    """Outer weights and the divisor of the inner ones (second weight 0 for n <= 5)."""
-    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm, u = float(m @ m), 1 / math.sqrt(n)
+def _normal_score(i: int, n: int) -> float:
+    return NormalDist().inv_cdf((i - 0.375) / (n + 0.25))
+
+
+def _shapiro_ends(n: int, mm: float) -> tuple[float, float, float]:
+    """Outer weights and the divisor of the inner ones (second weight 0 for n <= 5); ``mm`` sums the squared normal scores."""
+    top, next_, u = _normal_score(n, n), _normal_score(n - 1, n), 1 / math.sqrt(n)
     if n == 3:
         return math.sqrt(0.5), 0.0, 1.0
-    last = _poly(_W_LAST, u) + m[-1] / math.sqrt(mm)
+    last = _poly(_W_LAST, u) + top / math.sqrt(mm)
     if n <= 5:
-        return last, 0.0, math.sqrt((mm - 2 * m[-1] ** 2) / (1 - 2 * last**2))
-    second = _poly(_W_SECOND, u) + m[-2] / math.sqrt(mm)
-    return last, second, math.sqrt((mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2))
+        return last, 0.0, math.sqrt((mm - 2 * top**2) / (1 - 2 * last**2))
+    second = _poly(_W_SECOND, u) + next_ / math.sqrt(mm)
+    return last, second, math.sqrt((mm - 2 * top**2 - 2 * next_**2) / (1 - 2 * last**2 - 2 * second**2))
 
 
 def _shapiro_p(w: float, n: int) -> float:
+    if w >= 1:
+        return 1.0
     if n == 3:
         return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
     if n <= 11:
@@ -377,40 +387,42 @@ def _shapiro_p(w: float, n: int) -> float:
 
 
 def _shapiro_w(df: DataFrame, column: str, n: int) -> float:
-    """W from per-value weight sums: ranks by running totals, weights by normal quantile."""
-    last, second, divisor = _shapiro_ends(n)
+    """W from the normal scores of each value's ranks, in runs of bounded length, so that a value of any
+    frequency is spread over tasks."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("c"))
     placed = prefix_sum(counts, ["v"], {"before": "c"})
-
-    @F.pandas_udf("double")
-    def weight_sum(before: pd.Series, c: pd.Series) -> pd.Series:
-        inv = NormalDist().inv_cdf
-
-        def one(i):
-            low = min(i, n + 1 - i)
-            sign = -1.0 if i <= n / 2 else 1.0
-            if low == 1:
-                return sign * last
-            if low == 2 and second:
-                return sign * second
-            if n == 3:
-                return 0.0
-            return inv((i - 0.375) / (n + 0.25)) / divisor
-
-        return pd.Series([sum(one(i) for i in range(b + 1, b + k + 1)) for b, k in zip(before, c)])
+    runs = placed.select("v", (F.col("before") + F.col("c")).alias("stop"),
+                         F.explode(F.sequence("before", F.col("before") + F.col("c") - 1, F.lit(_RANK_RUN))).alias("start"))
+    runs = runs.select("v", "start", F.least("stop", F.col("start") + _RANK_RUN).alias("stop")).repartition("start")
+    outer = 1 if n <= 5 else 2
+
+    @F.pandas_udf("inner double, squares double")
+    def scores(start: pd.Series, stop: pd.Series) -> pd.DataFrame:
+        out = []
+        for a, b in zip(start.tolist(), stop.tolist()):
+            m = [_normal_score(i, n) for i in range(a + 1, b + 1)]
+            out.append((sum(m[max(0, outer - a):max(0, n - outer - a)]), sum(x * x for x in m)))
+        return pd.DataFrame(out, columns=["inner", "squares"])
 
     mean = df.agg(F.avg(column)).first()[0]
-    v = F.col("v") - F.lit(mean)
-    got = placed.withColumn("a", weight_sum("before", "c")).agg(
-        F.sum(F.col("a") * v).alias("t"), F.sum(F.col("c") * v * v).alias("ss")).first()
-    return min(1.0, got["t"] ** 2 / got["ss"])
-
-
-def normality_test(df: DataFrame, column: str, alpha: float = 0.05) -> DataFrame:
-    """Shapiro-Wilk up to 5,000 rows; beyond, Jarque-Bera from one pass over the moments.
-
-    ``method`` says which test ran.
+    v, ranks = F.col("v") - F.lit(mean), F.col("stop") - F.col("start")
+    at = lambda rank: F.max(F.when((F.col("start") < rank) & (F.col("stop") >= rank), F.col("v")))
+    got = runs.withColumn("s", scores("start", "stop")).agg(
+        F.sum(F.col("s.inner") * v).alias("inner"), F.sum("s.squares").alias("mm"), F.sum(ranks * v * v).alias("ss"),
+        *[at(r).alias(name) for name, r in (("first", 1), ("second", 2), ("before_last", n - 1), ("last", n))]).first()
+    last, second, divisor = _shapiro_ends(n, got["mm"])
+    inner = 0.0 if n == 3 else got["inner"] / divisor
+    total = inner + last * (got["last"] - got["first"]) + second * (got["before_last"] - got["second"])
+    return min(1.0, total**2 / got["ss"])
+
+
+def normality_test(df: DataFrame, column: str, alpha: float = 0.05, method: str = "shapiro-wilk") -> DataFrame:
+    """Shapiro-Wilk, or Jarque-Bera by name, at any number of rows.
+
+    The p-value of Shapiro-Wilk is an approximation fitted up to 5,000 rows and carried on beyond;
+    Jarque-Bera takes one pass over the moments.
     """
+    require_choice("method", method, NORMALITY_METHODS)
     m = df.agg(F.count(column).alias("n"), F.stddev_pop(column).alias("s"), F.skewness(column).alias("skew"),
                F.kurtosis(column).alias("kurt")).first()
     n = m["n"]
@@ -418,12 +430,10 @@ def normality_test(df: DataFrame, column: str, alpha: float = 0.05) -> DataFrame
         raise ValueError("a normality test needs at least three values")
     if not m["s"]:
         raise ValueError(f"{column} is constant")
-    if n <= SHAPIRO_LIMIT:
-        method = "shapiro-wilk"
+    if method == "shapiro-wilk":
         statistic = _shapiro_w(df, column, n)
         p = _shapiro_p(statistic, n)
     else:
-        method = "jarque-bera"
         statistic = n / 6 * (m["skew"] ** 2 + m["kurt"] ** 2 / 4)
         p = math.exp(-statistic / 2)
     normal = p > alpha

@@ -311,3 +311,20 @@ def test_train_command(spark, two_class, tmp_path):
     assert train.main([*args, "--model", "no_such_model"]) == 2
     assert train.main([*args, "--model", "random_forest", "--trees", "3"]) == 0
     assert json.loads(spark.read.text(str(tmp_path / "out/metrics")).first()[0])["model"] == "random_forest"
+
+
+def test_train_command_features_and_targets(spark, two_class, tmp_path):
+    from jobs import train
+
+    source = str(tmp_path / "in.parquet")
+    two_class.withColumns({
+        "answer": F.when(F.col("y") == 1, " Yes").otherwise("no"), "word": F.when(F.col("y") == 1, "true").otherwise("false"),
+        "months": F.col("id") % 70, "paid": (F.col("id") % 70) * 20.0, "size": F.when(F.col("a") > 0, "big").otherwise("small"),
+    }).write.parquet(source)
+    args = ["--task", "classification", "--model", "decision_tree", "--input", source, "--output-dir", str(tmp_path / "out"), "--id", "id", "--numeric", "a,b"]
+    stay = ["--tenure", "months", "--monthly", "b"]
+    assert train.main([*args, "--target", "answer", *stay]) == 2
+    assert train.main([*args, "--target", "answer", *stay, "--total", "paid", "--ordinal", "size=small,big"]) == 0
+    assert json.loads(spark.read.text(str(tmp_path / "out/metrics")).first()[0])["n_features"] == 2 + 3 + 2
+    with pytest.raises(ValueError, match="yes and no"):
+        train.main([*args, "--target", "word"])

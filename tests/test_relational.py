@@ -144,9 +144,33 @@ def test_map_tier_cast(spark):
     assert [r["m"] for r in select.map_values(df, "k", {"a": 1}, "m").collect()] == [1, None, None]
     many = {f"k{i}": f"v{i}" for i in range(600)} | {"a": "found"}
     assert rows(select.map_values(df, "k", many, "m"), "k") == [(None, None, None), ("a", "1", "found"), ("b", "x", None)]
+    for n in (1, 500, 501):  # the same type and values on both sides of the join
+        whole = {f"k{i}": i for i in range(n - 1)} | {"a": 7}
+        assert [f.dataType.simpleString() for f in select.map_values(df, "k", whole, "m").schema if f.name == "m"] == ["bigint"]
+        assert rows(select.map_values(df, "k", whole, "m"), "k") == [(None, None, None), ("a", "1", 7), ("b", "x", None)]
+        mixed = whole | {"b": 0.5, "gone": None}
+        assert rows(select.map_values(df, "k", mixed, "m").select("m"), "m") == [(None,), (0.5,), (7.0,)]
+    with pytest.raises(TypeError):
+        select.map_values(df, "k", {"a": 1, "b": "x"}, "m")
     assert [r["t"] for r in select.cast_columns(df, {"t": "int"}).collect()] == [1, None, None]
 
 
+def test_medians_of_several_columns_at_once(spark):
+    df = spark.createDataFrame([("p", 1, 4.0), ("p", 3, None), ("q", 5, None), ("q", 8, None), (None, 9, 9.0)], "g string, a long, b double")
+    got = agg.group_aggregate(df, "g", {"a": ["median", "sum"], "b": "median"})
+    assert got.columns == ["g", "a_median", "a_sum", "b_median"]
+    assert rows(got, "g") == [("p", 2.0, 4, 4.0), ("q", 6.5, 13, None)]
+    from tablework.operators.quantiles import group_medians
+
+    assert rows(group_medians(df, ["g"], ["a", "b"], max_groups=1), "g") == [("p", 2.0, 4.0), ("q", 6.5, None)]
+    assert group_medians(df.limit(0), ["g"], ["a"]).count() == 0
+
+
+def test_terciles_without_values(spark):
+    empty = spark.createDataFrame([(None,), (None,)], "v double")
+    assert agg.bin_terciles(empty, "v").schema.names == ["tier", "n"] and agg.bin_terciles(empty, "v").count() == 0
+
+
 def test_bins(spark):
     df = spark.createDataFrame([(10.0,), (13.0,), (200.0,), (12.0,), (0.0,), (301.0,)], "v double")
     out = {r["v"]: r["c"] for r in agg.bin_cut(df, "v", [0, 12, 20, 300], ["Low", "Medium", "High"], "c").collect()}

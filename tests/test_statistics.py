@@ -140,6 +140,38 @@ def test_normality_of_generated_columns(spark):
             stats.normality_test(few, "normal")
 
 
+def test_normality_method_does_not_follow_the_row_count(spark):
+    """W against a direct evaluation, with ties that span several runs of ranks; the same test at any size."""
+    from statistics import NormalDist
+
+    for n, copies in ((5, 1), (9, 1), (4_990, 1), (36_000, 12_000)):
+        v = np.sort(np.array([(i // copies) ** 1.5 for i in range(n)]))
+        m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+        last, second, divisor = stats._shapiro_ends(n, float(m @ m))
+        a = m / divisor
+        a[0], a[-1] = -last, last
+        if second:
+            a[1], a[-2] = -second, second
+        got = stats.normality_test(spark.createDataFrame([(float(x),) for x in v], "v double"), "v").first()
+        assert got["method"] == "shapiro-wilk"
+        assert got["statistic"] == pytest.approx((a @ v) ** 2 / ((v - v.mean()) ** 2).sum(), rel=1e-9)
+    small = spark.range(50).select(F.sqrt("id").alias("v"))
+    assert stats.normality_test(small, "v", method="jarque-bera").first()["method"] == "jarque-bera"
+    with pytest.raises(ValueError):
+        stats.normality_test(small, "v", method="other")
+
+
+def test_correlation_pvalue_of_many_rows():
+    """Both routes agree where they meet, and the tail stays right far beyond."""
+    def tail(t):
+        return math.erfc(t / math.sqrt(2))
+
+    for t in (0.5, 1.3, 4.0):
+        below, above = (stats.correlation_pvalue(t / math.sqrt(n - 2 + t * t), n) for n in (1_000_002, 1_000_003))
+        assert below == pytest.approx(above, rel=1e-6)
+        assert stats.correlation_pvalue(t / math.sqrt(1e12 - 2 + t * t), 10**12) == pytest.approx(tail(t), rel=1e-4)
+
+
 def test_cross_check(spark):
     a = spark.createDataFrame([("m", 1.0), ("s", 2.0)], "metric string, value double")
     b = spark.createDataFrame([("m", 1.0000001), ("s", 2.5)], "metric string, value double")
