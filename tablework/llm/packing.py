@@ -18,6 +18,7 @@ itself; a null id stays null. An empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 
 import numpy as np
@@ -35,6 +36,7 @@ QUERY_TERMS = 32
 NEIGHBOURS = 16
 K1, B = 1.2, 0.75
 END_ID = 1
+_ROWS = 512  # pieces of an output batch, at most 4 MB of ids
 MERGES = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
 #: Letters and marks below this code point are old enough that both tokenizer libraries class them alike.
@@ -53,9 +55,15 @@ def encoder(json_path: str, ranks_path: str | None):
     import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(json_path)
+    @functools.cache
+    def file() -> Tokenizer:  # read at the first text that needs it
+        return Tokenizer.from_file(json_path)
+
+    def slow(text: str) -> np.ndarray:
+        return np.array(file().encode(text, add_special_tokens=False).ids, np.uint32)
+
     if ranks_path is None:
-        return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return slow
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -64,7 +72,7 @@ def encoder(json_path: str, ranks_path: str | None):
         if not text:
             return np.empty(0, np.uint32)
         if _SPECIAL in text or max(text) >= _COMMON:
-            return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+            return slow(text)
         return fast.encode_to_numpy(text, disallowed_special=())
 
     return encode
@@ -209,8 +217,8 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
 
         def rows():
             out, packer.pieces = packer.pieces, []
-            for at in range(0, len(out), 4096):
-                columns = zip(*out[at:at + 4096])
+            for at in range(0, len(out), _ROWS):
+                columns = zip(*out[at:at + _ROWS])
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields)], schema=arrow)
 
         for batch in batches:
@@ -223,6 +231,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
                     pack_block(packer, keys, held, query_terms, neighbours)
                     keys, held, size = [], [], 0
                     yield from rows()
+                    pa.default_memory_pool().release_unused()
         pack_block(packer, keys, held, query_terms, neighbours)
         packer.finish()
         yield from rows()
