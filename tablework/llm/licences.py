@@ -6,8 +6,13 @@ speaks of licences. The sequence of a document's identifiers is then read by ord
 sequence occurs names its licence and uses those identifiers up, so that a full licence text wins over
 a reference that is part of it. Identifiers that no rule uses are counted.
 
+A notice of rights is a licence sentence too: ``all rights reserved`` and copyright lines with a year.
+
 DataFrame functions on the row alone: one pass without a shuffle or Python. Texts without any of the
-words that every known sentence has are not cut.
+words that every known sentence and every notice has are not cut.
+
+``SENTENCES``, ``CUES``, ``RULES`` and ``_ENDS`` are what the SQL counterpart is made of; what the operator
+knows beyond them is in ``FURTHER``, ``MORE_CUES``, ``NOTICE`` and the rules around ``RULES``.
 
 A null or empty text has no licence. Repeated rows are recognised alike; an empty table gives no rows.
 """
@@ -61,6 +66,26 @@ RULES = (
     ("CC-BY-4.0", ("cc_by_ref",)),
     ("BSD", ("bsd_grant",)),
 )
+#: Known beyond the SQL counterpart.
+FURTHER = {
+    "all rights reserved": "reserved",
+    "all rights are reserved": "reserved",
+}
+#: Further words by which a sentence speaks of rights, and signs without which a text has no notice.
+MORE_CUES = ("copyright", "rights reserved", "rights are reserved")
+SIGNS = ("copyright", "reserved", "(c)", "©")
+#: A copyright line, normalised; the sign © is read as the word.
+NOTICE = r"^(?:copyright|c)(?: copyright| c)* (?:19|20)[0-9]{2}\b"
+RESERVED = r"^all rights (?:are )?reserved\b"
+_CLOSED = r"\ball rights (?:are )?reserved$"
+#: "All rights reserved" over a licence text is part of that text.
+ALL_RULES = (
+    ("BSD", ("reserved", "bsd_grant")),
+    *RULES,
+    ("All-Rights-Reserved", ("copyright", "reserved")),
+    ("All-Rights-Reserved", ("reserved",)),
+    ("Copyright-Notice", ("copyright",)),
+)
 UNKNOWN = "unknown"
 _ENDS = r"[.!?;:]+[\x20\x09-\x0D]|\n"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,14 +106,15 @@ def recognise(docs: DataFrame, text: str = "text", names=("licences", "n_sentenc
         raise ValueError(f"the input already has one of {names}; choose other names")
     ids, left, found = (common.fresh(n, [*docs.columns, *names]) for n in ("_ids", "_left", "_found"))
     value = F.col(f"`{text}`")
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    has_cue = lambda s: F.greatest(*[s.contains(c) for c in CUES])
-    cued = F.coalesce(has_cue(F.lower(value)), F.lit(False))
-    spoken = F.filter(_sentences(value), has_cue)
-    tokens = F.transform(spoken, lambda s: F.coalesce(F.try_element_at(known, s), F.lit(UNKNOWN)))
+    known = F.create_map(*[F.lit(x) for pair in (SENTENCES | FURTHER).items() for x in pair])
+    has = lambda s, cues: F.greatest(*[s.contains(c) for c in cues])
+    cued = F.coalesce(has(F.lower(value), CUES + SIGNS), F.lit(False))
+    spoken = F.filter(_sentences(F.replace(value, F.lit("©"), F.lit(" copyright "))), lambda s: has(s, CUES + MORE_CUES) | s.rlike(NOTICE))
+    notice = lambda s: F.when(s.rlike(RESERVED) | s.rlike(NOTICE) & s.rlike(_CLOSED), "reserved").when(s.rlike(NOTICE), "copyright")
+    tokens = F.transform(spoken, lambda s: F.coalesce(F.try_element_at(known, s), notice(s), F.lit(UNKNOWN)))
     listed = docs.withColumn(ids, F.when(cued, tokens).otherwise(F.array().cast("array<string>")))
 
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_sequence(seq)).alias("seq")) for name, seq in RULES])
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_sequence(seq)).alias("seq")) for name, seq in ALL_RULES])
     start = F.struct(
         F.concat_ws("", F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("left"), F.array().cast("array<string>").alias("names"))
 

@@ -286,6 +286,20 @@ def test_every_known_sentence_has_a_cue():
     assert [s for s in licences.SENTENCES if not any(c in s for c in licences.CUES)] == []
 
 
+def test_licence_notices(spark):
+    lines = ["This work is licensed under the GNU General Public License, version 3.", "All rights reserved.", "Licensed under CC BY-NC 4.0.",
+             "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."]  # those of documents
+    notices = ["© 2019 Foo GmbH", "(c) 2019 Foo", "Copyright (C) 2001 Foo. All rights reserved.", "Copyright 2001 Foo, all rights reserved", "Some rights reserved.",
+               "All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+               "the following conditions are met: a", "A table was reserved (c) in 2001."]
+    df = spark.createDataFrame([(i, f"One two\n{t}\nthree") for i, t in enumerate(lines + notices)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licences.recognise(df).collect()}
+    assert [(got[i]["licences"], got[i]["n_sentences"]) for i in range(5)] == [
+        ([name], 1) for name in ("GPL-3.0-only", "All-Rights-Reserved", "CC-BY-NC-4.0", "MIT", "Apache-2.0")]
+    assert [got[i]["licences"] for i in range(5, 12)] == [["Copyright-Notice"]] * 2 + [["All-Rights-Reserved"]] * 2 + [[], ["BSD"], []]
+    assert [got[i]["n_unknown"] for i in range(5, 12)] == [0, 0, 0, 0, 1, 0, 0]
+
+
 def test_neighbours(spark):
     draw = np.random.default_rng(1)
     x = draw.normal(size=(900, 8)) + 6 * np.eye(8)[draw.integers(0, 8, 900)]
