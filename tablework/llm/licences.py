@@ -1,6 +1,8 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences; a sentence in lower case with single blanks for all but letters and digits
+A text is cut into sentences at punctuation, blank lines, list items and around copyright lines; a single
+newline is a blank, whatever comment signs follow it, but a known sentence may begin or end there, as it
+may run over a colon or semicolon. A sentence in lower case with single blanks for all but letters and digits
 is looked up among known licence sentences and becomes their identifier, or ``unknown`` if it only
 speaks of licences. The sequence of a document's identifiers is then read by ordered rules: a rule whose
 sequence occurs names its licence and uses those identifiers up, so that a full licence text wins over
@@ -11,8 +13,8 @@ A notice of rights is a licence sentence too: ``all rights reserved`` and copyri
 DataFrame functions on the row alone: one pass without a shuffle or Python. Texts without any of the
 words that every known sentence and every notice has are not cut.
 
-``SENTENCES``, ``CUES``, ``RULES`` and ``_ENDS`` are what the SQL counterpart is made of; what the operator
-knows beyond them is in ``FURTHER``, ``MORE_CUES``, ``NOTICE`` and the rules around ``RULES``.
+``SENTENCES``, ``CUES``, ``RULES`` and ``_ENDS`` (a cut at every newline) are what the SQL counterpart is made of; what the operator
+knows beyond them is in ``FURTHER``, ``MORE_CUES``, ``NOTICE``, ``_MARKS`` and the rules around ``RULES``.
 
 A null or empty text has no licence. Repeated rows are recognised alike; an empty table gives no rows.
 """
@@ -70,7 +72,10 @@ RULES = (
 FURTHER = {
     "all rights reserved": "reserved",
     "all rights are reserved": "reserved",
+    "http www apache org licenses license 2 0": "apache_url",
+    "https www apache org licenses license 2 0": "apache_url",
 }
+KNOWN = SENTENCES | FURTHER
 #: Further words by which a sentence speaks of rights, and signs without which a text has no notice.
 MORE_CUES = ("copyright", "rights reserved", "rights are reserved")
 SIGNS = ("copyright", "reserved", "(c)", "©")
@@ -81,6 +86,8 @@ _CLOSED = r"\ball rights (?:are )?reserved$"
 #: "All rights reserved" over a licence text is part of that text.
 ALL_RULES = (
     ("BSD", ("reserved", "bsd_grant")),
+    ("Apache-2.0", ("apache_ref", "apache_use", "apache_copy", "apache_url", "apache_warranty", "apache_terms")),
+    ("Apache-2.0", ("apache_ref", "apache_use", "apache_copy", "apache_url")),
     *RULES,
     ("All-Rights-Reserved", ("copyright", "reserved")),
     ("All-Rights-Reserved", ("reserved",)),
@@ -88,6 +95,20 @@ ALL_RULES = (
 )
 UNKNOWN = "unknown"
 _ENDS = r"[.!?;:]+[\x20\x09-\x0D]|\n"
+#: Marks for an end of any sentence, an end that a known sentence may run over, and a newline within a sentence.
+_HARD, _SOFT, _LINE = "\x01", "\x02", "\x03"
+_YEAR = r"(?:copyright|©|\(c\))[^\p{L}\n]*(?:\(c\)[^\p{L}\n]*)?(?:19|20)[0-9]{2}\b"
+#: A star before a small letter is a comment sign.
+_ITEM = r"[^\p{L}\p{N}\n]*?(?:[-+•][\x20\t]|\*[\x20\t]+(?=\p{Lu})|\(?(?:[0-9]{1,2}|[A-Za-z])[.)][\x20\t])"
+#: In this order.
+_MARKS = (
+    (rf"(?im)^([^\p{{L}}\p{{N}}\n©]*{_YEAR}[^\n]*)$", f"{_SOFT}$1{_SOFT}"),
+    (r"\n[^\p{L}\p{N}\n\x02]*(?=\n)", _HARD),
+    (rf"\n(?={_ITEM})", _SOFT),
+    (r"(?<![.!?])[.!?][.!?;:]*+(?=[\x20\x09-\x0D])", _HARD),
+    (r"(?<![;:])[;:]++(?=[\x20\x09-\x0D])", _SOFT),
+    (r"\n", _LINE),
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -95,9 +116,25 @@ def _sequence(ids) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
+def _known_run() -> str:
+    """A known sentence between two marks, the longest first."""
+    gap = r"[\x20\x02\x03]+"
+    longest = sorted(KNOWN, key=len, reverse=True)
+    return rf"(?:^|(?<=[\x01-\x03]))(\x20?)({'|'.join(s.replace(' ', gap) for s in longest)})(?=\x20?(?:[\x01-\x03]|$))"
+
+
 def _sentences(text: Column) -> Column:
-    plain = lambda s: F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), "[^a-z0-9]+", " "))
-    return F.transform(F.split(text, _ENDS), plain)
+    """Sentences in lower case, only letters, digits and single blanks."""
+    marked = F.translate(text, _HARD + _SOFT + _LINE, "   ")
+    for pattern, mark in _MARKS:
+        marked = F.regexp_replace(marked, pattern, mark)
+    low = F.translate(F.replace(marked, F.lit("©"), F.lit(" copyright ")), _UPPER, _LOWER)
+    low = F.regexp_replace(low, r"[^a-z0-9\x01-\x03]+", " ")
+    alone = F.regexp_replace(low, _known_run(), f"{_HARD}$2{_HARD}")
+    plain = lambda s: F.trim(F.regexp_replace(s, r"[\x20\x02\x03]+", " "))
+    known = F.array(*map(F.lit, KNOWN))
+    parts = F.transform(F.split(alone, _HARD), lambda p: F.when(F.array_contains(known, plain(p)), F.array(plain(p))).otherwise(F.transform(F.split(p, _SOFT), plain)))
+    return F.flatten(parts)
 
 
 def recognise(docs: DataFrame, text: str = "text", names=("licences", "n_sentences", "n_unknown", "n_unused")) -> DataFrame:
@@ -106,10 +143,10 @@ def recognise(docs: DataFrame, text: str = "text", names=("licences", "n_sentenc
         raise ValueError(f"the input already has one of {names}; choose other names")
     ids, left, found = (common.fresh(n, [*docs.columns, *names]) for n in ("_ids", "_left", "_found"))
     value = F.col(f"`{text}`")
-    known = F.create_map(*[F.lit(x) for pair in (SENTENCES | FURTHER).items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
     has = lambda s, cues: F.greatest(*[s.contains(c) for c in cues])
     cued = F.coalesce(has(F.lower(value), CUES + SIGNS), F.lit(False))
-    spoken = F.filter(_sentences(F.replace(value, F.lit("©"), F.lit(" copyright "))), lambda s: has(s, CUES + MORE_CUES) | s.rlike(NOTICE))
+    spoken = F.filter(_sentences(value), lambda s: has(s, CUES + MORE_CUES) | s.rlike(NOTICE))
     notice = lambda s: F.when(s.rlike(RESERVED) | s.rlike(NOTICE) & s.rlike(_CLOSED), "reserved").when(s.rlike(NOTICE), "copyright")
     tokens = F.transform(spoken, lambda s: F.coalesce(F.try_element_at(known, s), notice(s), F.lit(UNKNOWN)))
     listed = docs.withColumn(ids, F.when(cued, tokens).otherwise(F.array().cast("array<string>")))

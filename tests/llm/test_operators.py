@@ -300,6 +300,56 @@ def test_licence_notices(spark):
     assert [got[i]["n_unknown"] for i in range(5, 12)] == [0, 0, 0, 0, 1, 0, 0]
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD_TEXT = """Copyright (c) 1998, Foo
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+
+1. Redistributions of source code must retain this list
+2. Redistributions in binary form must reproduce this list"""
+
+
+@pytest.mark.parametrize("sign", ["", "# ", " * ", "// ", "> "])
+def test_wrapped_licences(spark, sign):
+    texts = [MIT_TEXT, APACHE_TEXT, GPL_TEXT, BSD_TEXT, "A title\nReleased under the MIT License\nand more words", "SPDX-License-Identifier: MIT\n",
+             "Nobody has a licence here but\nyour permission is\nasked for.", "Copyright 2020 Foo\nLicensed under CC BY 4.0\n\nwords"]
+    wrapped = [end.join(sign + x for x in t.split("\n")) for t in texts for end in ("\n", "\r\n")]
+    got = sorted(licences.recognise(spark.createDataFrame(list(enumerate(wrapped)), "doc_id long, text string")).collect())
+    want = [(["MIT"], 0), (["Apache-2.0"], 0), (["GPL-3.0-or-later"], 0), (["BSD", "Copyright-Notice"], 2), (["MIT"], 0), (["MIT"], 0), ([], 1),
+            (["CC-BY-4.0", "Copyright-Notice"], 0)]
+    assert [(r["licences"], r["n_unknown"], r["n_unused"]) for r in got] == [(names, n, 0) for names, n in want for _ in range(2)]
+
+
 def test_neighbours(spark):
     draw = np.random.default_rng(1)
     x = draw.normal(size=(900, 8)) + 6 * np.eye(8)[draw.integers(0, 8, 900)]
