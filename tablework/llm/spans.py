@@ -235,7 +235,8 @@ def _references(regions: DataFrame, owned: DataFrame, window: int, run: int) ->
 
 def _sharded(references: DataFrame, least: DataFrame) -> DataFrame:
     """References with a shard. Pieces of one family (the first document that has their first anchor) share
-    a shard as far as ``SHARD_WORDS`` goes, so that a document meets few shards; a larger family is split."""
+    a shard as far as ``SHARD_WORDS`` goes, so that a document meets few shards; a larger family is split by piece,
+    as one document can be all of it. Pieces overlap, so every window lies in one of them."""
     pieces = references.withColumn("piece", F.xxhash64("id", "words"))
     first = pieces.select("piece", F.explode("hashes").alias("h")).join(least.select("h", "least"), "h")
     family = first.groupBy("piece").agg(F.min("least").alias("family"))
@@ -243,7 +244,7 @@ def _sharded(references: DataFrame, least: DataFrame) -> DataFrame:
     words = F.octet_length("words") / 8
     total = known.agg(F.sum(words)).first()[0] or 0
     split = known.groupBy("family").agg(F.ceil(F.sum(words) / SHARD_WORDS).alias("split"))
-    part = F.xxhash64("family", F.pmod(F.xxhash64("id"), F.col("split")))
+    part = F.xxhash64("family", F.pmod("piece", F.col("split")))
     return common.materialize(
         known.join(split, "family").withColumn("shard", F.pmod(part, F.lit(max(1, round(total / SHARD_WORDS)))).cast("int"))
         .select("id", "words", "hashes", "shard"), "shards")

@@ -117,6 +117,21 @@ def test_repeated_spans(corpus, nothing, window, run):
     assert spans.remove_repeats(nothing).count() == 0
 
 
+def test_one_long_repeated_document_fills_many_shards(spark):
+    draw = np.random.default_rng(6)
+    text = " ".join(map(str, draw.integers(0, 10**9, 1_000_000).tolist()))
+    w = spans.common.hash_words(text.encode().split())
+    step, window = spans._PIECE_WORDS, spans.WINDOW
+    pieces = [w[at:at + step + window - 1] for at in range(0, len(w) - window + 1, step)]
+    rows = [(1, p.tobytes(), spans.anchors(p)[1].view(np.int64).tolist()) for p in pieces]
+    references = spark.createDataFrame(rows, "id long, words binary, hashes array<long>")
+    least = spark.createDataFrame([(h,) for h in {h for *_, hs in rows for h in hs}], "h long").withColumn("least", F.lit(1).cast("long"))
+    placed = spans._sharded(references, least)
+    assert placed.count() == len(pieces)
+    sizes = [r["n"] for r in placed.groupBy("shard").agg((F.sum(F.octet_length("words")) / 8).alias("n")).collect()]
+    assert max(sizes) <= 5 * spans.SHARD_WORDS, sizes
+
+
 def test_automaton_against_search():
     draw = random.Random(2)
     pieces = [([draw.randrange(3) for _ in range(30)], k) for k in (9, 4, 7)]
