@@ -5,7 +5,8 @@ character class is read with a window of fixed length; counts per character chan
 step, and with them the sum of n * log2(n), so a step costs the same for any window. Windows that
 reach the class's bits and hold both a letter and a digit are joined to spans. A span goes if the
 allow-list knows it (identifiers, labelled digests, placeholders, counting sequences) or if it lies
-inside a pattern's span. Spans are in code points, end exclusive.
+inside a pattern's span. What the allow-list knows of a span is cut out and the rest is read again, so that
+a key beside an identifier or a placeholder stays a finding. Spans are in code points, end exclusive.
 
 Rows are independent: one pass, no shuffle, a lost executor costs its own tasks only. A null text
 counts as empty and has no findings; an empty table gives an empty table; repeated rows are scanned
@@ -49,7 +50,7 @@ CLASSES = (
 _SHORTEST = 16
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{_SHORTEST},}}")
 
-#: What a candidate may be although it looks random; read on the candidate and a little text before it.
+#: What a span may be although it looks random; read on its candidate and a little text before it.
 ALLOW = (
     re.compile(r"\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b"),
     re.compile(r"(?i)(?:sha-?(?:1|256|384|512)|md5|integrity|checksum|commit|digest)[\s:=\"'-]{1,3}[A-Za-z0-9+/=]+$"),
@@ -58,6 +59,8 @@ ALLOW = (
     re.compile(r"(?i)data:[a-z]+/[a-z0-9.+-]+;base64,"),
 )
 _CONTEXT = 24
+_PART = re.compile(r"[A-Za-z0-9+]*")
+_LABELLED = re.compile(r"[A-Za-z0-9+/]*={0,2}")
 
 FINDING = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -104,28 +107,57 @@ def pattern_findings(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def _joined_spans(text: str, start: int, stop: int, classes, known) -> list[tuple[int, int]]:
+    """Entropy spans of all classes between two places, joined, outside the known ones."""
+    spans = []
+    for cls in classes:
+        for run in cls.run.finditer(text, start, stop):
+            spans += entropy_spans(run.group(), run.start(), cls.window, cls.bits)
+    joined: list[list[int]] = []
+    for s, e in sorted(spans):
+        if joined and s <= joined[-1][1]:
+            joined[-1][1] = max(e, joined[-1][1])
+        else:
+            joined.append([s, e])
+    return [(s, e) for s, e in joined if not any(a <= s and e <= b for a, _, b in known)]
+
+
+def _allowed(text: str, start: int, stop: int, allow) -> list[tuple[int, int]]:
+    """Stretches of a candidate that the allow-list knows: matches with the rest of their part, and what a label stands before."""
+    first, found = max(0, start - _CONTEXT), []
+    around = text[first:stop]
+    for p in allow:
+        for m in p.finditer(around):
+            s, e = m.span()
+            if first + e == start:
+                e = _LABELLED.match(around, e).end()
+            elif e and _PART.fullmatch(around[e - 1]):
+                e = _PART.match(around, e).end()
+            while s and _PART.fullmatch(around, s - 1, s + 1):
+                s -= 1
+            if first + e > start:
+                found.append((first + s, first + e))
+    return sorted(found)
+
+
 def entropy_findings(text: str, known: list[tuple[int, int, int]], classes=CLASSES, allow=ALLOW):
     """Entropy spans outside the known ones, and how many the allow-list took away."""
     found, suppressed = [], 0
     for m in _CANDIDATE.finditer(text):
-        spans = []
-        for cls in classes:
-            for run in cls.run.finditer(text, m.start(), m.end()):
-                spans += entropy_spans(run.group(), run.start(), cls.window, cls.bits)
-        joined: list[list[int]] = []
-        for s, e in sorted(spans):
-            if joined and s <= joined[-1][1]:
-                joined[-1][1] = max(e, joined[-1][1])
+        joined = _joined_spans(text, m.start(), m.end(), classes, known)
+        allowed = _allowed(text, m.start(), m.end(), allow) if joined else []
+        for s, e in joined:
+            left, at = [], s
+            for a, b in allowed:
+                if a < e and b > s:
+                    left += _joined_spans(text, at, max(at, a), classes, known)
+                    at = max(at, min(b, e))
+            if at > s or left:
+                left += _joined_spans(text, at, e, classes, known)
             else:
-                joined.append([s, e])
-        joined = [(s, e) for s, e in joined if not any(a <= s and e <= b for a, _, b in known)]
-        if not joined:
-            continue
-        around = text[max(0, m.start() - _CONTEXT):m.end()]
-        if any(p.search(around) for p in allow):
-            suppressed += len(joined)
-        else:
-            found += [(s, 3, e) for s, e in joined]
+                left = [(s, e)]
+            found += [(a, 3, b) for a, b in left]
+            suppressed += not left
     return found, suppressed
 
 

@@ -162,6 +162,18 @@ def test_secrets(spark):
         secrets.scan_secrets(df.withColumn("Findings", F.lit(1)))
 
 
+def test_allowed_neighbours_hide_no_secret():
+    uuid, key = "123e4567-e89b-42d3-a456-426614174000", "q8Zr3TnB7vKx2Lw9Yd5Hs6Jf4Gp1Mc0R"
+    for before in ("for example ", "sample: ", "/srv/example/", "dummy/", f"{uuid}-", f"{uuid}/", f"id={uuid}=", "your-", "placeholder=", "commit of "):
+        for after in ("", f"/{uuid}", " example", "-sample"):
+            found, suppressed = secrets.findings(f"x {before}{key}{after} y")
+            start = 2 + len(before)
+            assert any(f["kind"] == "entropy" and f["start"] <= start and start + len(key) <= f["end"] for f in found), (before, after)
+            assert "example" in before or uuid in before or not suppressed
+    for text in (uuid, f"{key}EXAMPLEKEY", f"sha256-{key}=", f"commit {key}", f"data:image/png;base64,{key}/{key}==", f"/srv/{uuid}/"):
+        assert secrets.findings(f"x {text} y")[0] == [], text
+
+
 def test_window_entropy_equals_direct_count():
     draw = random.Random(1)
     text = "".join(draw.choice("abc123XYZ789qrst") for _ in range(300))
