@@ -10,7 +10,6 @@ partition ever reaches the driver.
 from __future__ import annotations
 
 import atexit
-import functools
 import shutil
 import tempfile
 import uuid
@@ -29,12 +28,15 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-@functools.cache
+_local_roots: list[str] = []
+
+
 def _local_root() -> str:
     """One folder for this process, removed when it ends; only for local mode without a configured one."""
-    root = tempfile.mkdtemp(prefix="tablework-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+    if not _local_roots:
+        _local_roots.append(tempfile.mkdtemp(prefix="tablework-"))
+        atexit.register(shutil.rmtree, _local_roots[0], ignore_errors=True)
+    return _local_roots[0]
 
 
 def scratch_root(spark: SparkSession) -> str:
