@@ -17,8 +17,6 @@ neither held out nor learned from. Repeated rows are predicted alike; an empty t
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,10 +35,14 @@ _EXHAUSTIVE = 5
 _STEPS = 150
 
 
-@functools.cache
+_tables: dict[str, np.ndarray] = {}
+
+
 def _letters() -> np.ndarray:
     """Whether a code point of the basic plane is a letter; others count as letters if above it."""
-    return np.fromiter((chr(i).isalpha() for i in range(65536)), bool, 65536)
+    if "letters" not in _tables:
+        _tables["letters"] = np.fromiter((chr(i).isalpha() for i in range(65536)), bool, 65536)
+    return _tables["letters"]
 
 
 def features(text: str | None, buckets: int = BUCKETS) -> np.ndarray | None:
