@@ -13,8 +13,7 @@ A notice of rights is a licence sentence too: ``all rights reserved`` and copyri
 DataFrame functions on the row alone: one pass without a shuffle or Python. Texts without any of the
 words that every known sentence and every notice has are not cut.
 
-``SENTENCES``, ``CUES``, ``RULES`` and ``_ENDS`` (a cut at every newline) are what the SQL counterpart is made of; what the operator
-knows beyond them is in ``FURTHER``, ``MORE_CUES``, ``NOTICE``, ``_MARKS`` and the rules around ``RULES``.
+The SQL counterpart is made of the same tables and patterns.
 
 A null or empty text has no licence. Repeated rows are recognised alike; an empty table gives no rows.
 """
@@ -68,7 +67,7 @@ RULES = (
     ("CC-BY-4.0", ("cc_by_ref",)),
     ("BSD", ("bsd_grant",)),
 )
-#: Known beyond the SQL counterpart.
+#: Notices and addresses.
 FURTHER = {
     "all rights reserved": "reserved",
     "all rights are reserved": "reserved",
@@ -94,7 +93,6 @@ ALL_RULES = (
     ("Copyright-Notice", ("copyright",)),
 )
 UNKNOWN = "unknown"
-_ENDS = r"[.!?;:]+[\x20\x09-\x0D]|\n"
 #: Marks for an end of any sentence, an end that a known sentence may run over, and a newline within a sentence.
 _HARD, _SOFT, _LINE = "\x01", "\x02", "\x03"
 _YEAR = r"(?:copyright|©|\(c\))[^\p{L}\n]*(?:\(c\)[^\p{L}\n]*)?(?:19|20)[0-9]{2}\b"
@@ -175,21 +173,45 @@ def op3_licence_rules(spark, sf_dir):
 
 
 def _sql() -> str:
-    known = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
-    cues = " OR ".join(f"contains(s, '{c}')" for c in CUES)
+    """The same recognition in DuckDB: its patterns cannot look around, so lines and fragments are rows there.
+
+    A known sentence is a run of fragments between marks whose joined words equal it; of runs that start alike the longest counts,
+    and none that starts inside an earlier one.
+    """
+    known = ", ".join(f"('{s}', '{i}')" for s, i in KNOWN.items())
+    has = lambda c, cues: "(" + " OR ".join(f"contains({c}, '{x}')" for x in cues) + ")"
+    hard, soft, line = (f"chr({ord(m)})" for m in (_HARD, _SOFT, _LINE))
+    item = r"^[^\p{L}\p{N}\n]*?(?:[-+•][\x20\t]|\*[\x20\t]+\p{Lu}|\(?(?:[0-9]{1,2}|[A-Za-z])[.)][\x20\t])"
     steps, last = [], "r0"
-    for n, (name, seq) in enumerate(RULES, 1):
+    for n, (name, seq) in enumerate(ALL_RULES, 1):
         q = _sequence(seq)
         steps.append(f"r{n} AS (SELECT doc_id, ids, replace(rest, '{q}', '|') AS rest, "
                      f"CASE WHEN contains(rest, '{q}') AND NOT list_contains(names, '{name}') THEN list_append(names, '{name}') ELSE names END AS names FROM {last})")
         last = f"r{n}"
     return f"""
 WITH k(s, id) AS (VALUES {known}),
-d AS (SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '{_ENDS}'),
-    lambda x: trim(regexp_replace(translate(x, '{_UPPER}', '{_LOWER}'), '[^a-z0-9]+', ' ', 'g')))) AS s,
-  generate_subscripts(regexp_split_to_array(text, '{_ENDS}'), 1) AS i FROM documents),
-t AS (SELECT doc_id, list(coalesce(k.id, '{UNKNOWN}') ORDER BY i) AS ids FROM d LEFT JOIN k ON d.s = k.s
-  WHERE {cues.replace("(s,", "(d.s,")} GROUP BY doc_id),
+cued AS (SELECT doc_id, regexp_replace(translate(text, {hard} || {soft} || {line}, '   '), '(?im)^([^\\p{{L}}\\p{{N}}\\n©]*{_YEAR}[^\\n]*)$', {soft} || '\\1' || {soft}, 'g') AS t
+  FROM documents WHERE {has("lower(text)", CUES + SIGNS)}),
+rows AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i, len(string_split(t, chr(10))) AS n FROM cued),
+marked AS (SELECT doc_id, string_agg(CASE WHEN i = 1 THEN l WHEN i < n AND NOT regexp_matches(l, '[\\p{{L}}\\p{{N}}\\x02]') THEN {hard}
+    WHEN regexp_matches(l, '{item}') THEN {soft} || l ELSE chr(10) || l END, '' ORDER BY i) AS t FROM rows GROUP BY doc_id),
+cut AS (SELECT doc_id, replace(regexp_replace(regexp_replace(t, '[.!?][.!?;:]*([\\x20\\x09-\\x0D])', {hard} || '\\1', 'g'), '[;:]+([\\x20\\x09-\\x0D])', {soft} || '\\1', 'g'), chr(10), {line}) AS t FROM marked),
+low AS (SELECT doc_id, regexp_replace(translate(replace(t, '©', ' copyright '), '{_UPPER}', '{_LOWER}'), '[^a-z0-9\\x01-\\x03]+', ' ', 'g') AS t FROM cut),
+part AS (SELECT doc_id, unnest(string_split(t, {hard})) AS t, generate_subscripts(string_split(t, {hard}), 1) AS p FROM low),
+piece AS (SELECT doc_id, p, unnest(string_split(t, {soft})) AS t, generate_subscripts(string_split(t, {soft}), 1) AS q FROM part),
+frag AS (SELECT doc_id, p, q, trim(unnest(string_split(t, {line}))) AS f, generate_subscripts(string_split(t, {line}), 1) AS o FROM piece),
+numbered AS (SELECT doc_id, p, q, f, row_number() OVER (PARTITION BY doc_id ORDER BY p, q, o) AS x FROM frag WHERE f <> ''),
+ahead AS (SELECT *, list(f) OVER (PARTITION BY doc_id, p ORDER BY x ROWS BETWEEN CURRENT ROW AND 80 FOLLOWING) AS fs FROM numbered),
+start AS (SELECT a.doc_id, a.p, a.q, a.x, k.s, k.id, list_filter(range(1, len(fs) + 1), lambda z: array_to_string(fs[1:z], ' ') = k.s)[1] AS z
+  FROM ahead a JOIN k ON starts_with(k.s || ' ', a.f || ' ')),
+longest AS (SELECT * FROM start WHERE z IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, x ORDER BY length(s) DESC) = 1),
+run AS (SELECT * FROM longest l WHERE NOT EXISTS (SELECT 1 FROM longest e WHERE e.doc_id = l.doc_id AND e.x < l.x AND l.x < e.x + e.z)),
+loose AS (SELECT n.*, n.x - row_number() OVER (PARTITION BY n.doc_id, n.p, n.q ORDER BY n.x) AS g FROM numbered n
+  WHERE NOT EXISTS (SELECT 1 FROM run r WHERE r.doc_id = n.doc_id AND r.x <= n.x AND n.x < r.x + r.z)),
+sentence AS (SELECT doc_id, x, s FROM run UNION ALL SELECT doc_id, min(x), string_agg(f, ' ' ORDER BY x) FROM loose GROUP BY doc_id, p, q, g),
+t AS (SELECT doc_id, list(coalesce(k.id, CASE WHEN regexp_matches(e.s, '{RESERVED}') OR regexp_matches(e.s, '{NOTICE}') AND regexp_matches(e.s, '{_CLOSED}') THEN 'reserved'
+    WHEN regexp_matches(e.s, '{NOTICE}') THEN 'copyright' ELSE '{UNKNOWN}' END) ORDER BY x) AS ids
+  FROM sentence e LEFT JOIN k ON e.s = k.s WHERE {has("e.s", CUES + MORE_CUES)} OR regexp_matches(e.s, '{NOTICE}') GROUP BY doc_id),
 r0 AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS rest, CAST([] AS VARCHAR[]) AS names FROM t),
 {", ".join(steps)}
 SELECT documents.doc_id, coalesce(array_to_string(list_sort(names), ','), '') AS licences,

@@ -8,12 +8,13 @@ So neighbouring suffixes that share an anchor travel together, as a segment, and
    Anchors that occur once are dropped after a count.
 2. A segment whose bytes occur twice as a whole is repeated in full; no suffix of it has to be sorted for that.
 3. Of anchors with different segments, one copy of each segment is fetched with its bytes. Splitters sampled by Spark deal them
-   to ranges of (leading bytes at the anchor, anchor, fingerprint), so that a hot anchor spreads over many ranges.
-4. A range is read in buckets of ``BUCKET_ROWS`` segments. Their suffixes are sorted by a multikey quicksort, one character
+   to ranges of (leading bytes at the anchor, anchor, part). An anchor of more than ``BUCKET_ROWS`` segments is cut into parts of
+   about that size by their fingerprints, so that it spreads over ranges; any other is one part and lies in one range.
+4. A range is read in buckets of whole parts, about ``BUCKET_ROWS`` segments each. Their suffixes are sorted by a multikey quicksort, one character
    after the other, only ties going on to the next: first anchor and distance, then blocks of bytes. Suffixes still tied after
    ``WINDOW`` bytes are repeated.
-5. A bucket's first and last anchor may go on in its neighbours. Their suffixes are compared across boundaries, by a count of
-   their fingerprints.
+5. Suffixes of an anchor that was cut are compared across the boundaries of its parts too: every part hands on the hash of each
+   different suffix once, and hashes from two parts are repeated.
 6. Covered bytes are cut out of the texts.
 
 Places are kept per distinct text (128-bit fingerprint), as what is removed depends on the text alone. Bytes are compared
@@ -122,16 +123,17 @@ def _segment_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return docs.select("f1", "f2", "text").mapInArrow(cut, _SEGMENT)
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+def _fetched(docs: DataFrame, wanted: DataFrame, window: int, anchor: int) -> DataFrame:
     """The wanted segments with their bytes, read from one document of each text."""
-    lists = wanted.groupBy("f1", "f2").agg(F.collect_list(F.struct("h", "s", "c", "start", "n", "rel")).alias("wanted"))
+    lists = wanted.groupBy("f1", "f2").agg(F.collect_list(F.struct("h", "s", "c", "start", "n", "rel", "parts", "part")).alias("wanted"))
     one = docs.groupBy("f1", "f2").agg(F.min("row").alias("row"))
     places = common.materialize(lists.join(one, ["f1", "f2"]), "wanted")
     lean = docs.select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), F.col("row").alias("_row"), "text")
     same = (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")) & (F.col("row") == F.col("_row"))
     near = lean.join(_held(places, F.size("wanted") * 40), same).select("f1", "f2", "wanted", "text")
-    names = ["lead", "h", "s", "c", "f1", "f2", "start", "n", "rel", "octets"]
-    kinds = [pa.binary(), *[pa.int64()] * 6, pa.int32(), pa.int32(), pa.binary()]
+    lead = min(_LEAD, anchor)  # the same for all of an anchor
+    names = ["lead", "h", "s", "c", "f1", "f2", "start", "n", "rel", "octets", "parts", "part"]
+    kinds = [pa.binary(), *[pa.int64()] * 6, pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
 
     def cut(batches):
         for batch in batches:
@@ -141,7 +143,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 for w in batch.column(2)[i].as_py():
                     at = w["start"]
                     octets = raw[at:at + w["n"] + window - 1]
-                    rows.append((octets[w["rel"]:w["rel"] + _LEAD], w["h"], w["s"], w["c"], f1, f2, at, w["n"], w["rel"], octets))
+                    rows.append((octets[w["rel"]:w["rel"] + lead], w["h"], w["s"], w["c"], f1, f2, at, w["n"], w["rel"], octets, w["parts"], w["part"]))
                     if len(rows) >= _EMIT_ROWS:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                         rows = []
@@ -149,7 +151,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     return near.mapInArrow(
-        cut, "lead binary, h long, s long, c long, f1 long, f2 long, start long, n int, rel int, octets binary")
+        cut, "lead binary, h long, s long, c long, f1 long, f2 long, start long, n int, rel int, octets binary, parts int, part int")
 
 
 def _held(df: DataFrame, octets) -> DataFrame:
@@ -185,6 +187,7 @@ class Bucket:
         self.window = window
         self.h, self.s, self.c, self.f1, self.f2, self.start = (batch.column(i).to_numpy() for i in range(1, 7))
         self.n = batch.column(7).to_numpy().astype(np.int64)
+        self.parts, self.part = batch.column(10).to_numpy(), batch.column(11).to_numpy()
         rel = batch.column(8).to_numpy().astype(np.int64)
         octets = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint8)
         offsets = np.r_[0, np.cumsum(self.n + window - 1)][:-1]
@@ -218,35 +221,44 @@ class Bucket:
         return pa.RecordBatch.from_arrays([none, none, none, *map(pa.array, places)], names=_FOUND_NAMES)
 
     def edges(self) -> pa.RecordBatch:
-        """All suffixes of the first and the last anchor, with the hash of their bytes."""
-        outer = np.isin(self.h, (self.h[0], self.h[-1]))
-        of = np.flatnonzero(outer[self.row])
-        row, at = self.row[of], self.at[of]
+        """Each different suffix of the anchors that were cut, with the hash of its bytes."""
+        of = np.flatnonzero((self.parts > 1)[self.row])
+        at = self.at[of]
         hashes = self.rolling.pieces(self.totals, at, at + self.window).view(np.int64)
-        first = self.start[row] + self.step[of]
-        columns = (self.h[row], hashes, self.s[row], self.f1[row], self.f2[row], first, first + self.window)
+        own, first = np.unique(hashes, return_index=True)
+        of = of[first]
+        row = self.row[of]
+        start = self.start[row] + self.step[of]
+        columns = (self.h[row], own, self.part[row].astype(np.int64), self.f1[row], self.f2[row], start, start + self.window)
         return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=_FOUND_NAMES)
 
 
 def _buckets(batches):
-    """The rows of a range in record batches of ``BUCKET_ROWS``, each segment once."""
-    held, size, before = [], 0, None
+    """The rows of a range in record batches of whole parts, about ``BUCKET_ROWS`` each; every segment once."""
+
+    def joined(held):
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    held, size, before, part_of = [], 0, None, None
     for batch in batches:
-        for at in range(0, batch.num_rows, BUCKET_ROWS):
-            part = batch.slice(at, BUCKET_ROWS)
-            h, s = part.column(1).to_numpy(), part.column(2).to_numpy()
-            if not len(h):
-                continue
-            new = np.r_[(h[0], s[0]) != before, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
-            before = (h[-1], s[-1])
-            part = part.filter(pa.array(new))
-            held.append(part)
-            size += part.num_rows
-            if size >= BUCKET_ROWS:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        h, s, part = (batch.column(i).to_numpy() for i in (1, 2, 11))
+        if not len(h):
+            continue
+        new = np.r_[(h[0], s[0]) != before, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
+        begins = np.r_[(h[0], part[0]) != part_of, (h[1:] != h[:-1]) | (part[1:] != part[:-1])]
+        before, part_of = (h[-1], s[-1]), (h[-1], part[-1])
+        at = 0
+        for cut in [*np.flatnonzero(begins).tolist(), len(h)]:
+            if cut > at:
+                piece = batch.slice(at, cut - at).filter(pa.array(new[at:cut]))
+                held.append(piece)
+                size += piece.num_rows
+                at = cut
+            if size >= BUCKET_ROWS and cut < len(h):
+                yield joined(held)
                 held, size = [], 0
     if size:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield joined(held)
 
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -261,16 +273,20 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
     whole = shared.join(kinds.filter("c > 1").select("h", "s"), ["h", "s"]).select(
         "f1", "f2", F.col("start").alias("first"), (F.col("start") + F.col("n") + (window - 1)).alias("last"))
 
-    mixed = kinds.filter("mixed").select("h", "s", "c", "rep.*")
+    hot = common.materialize(kinds.filter("mixed").groupBy("h").agg(F.count("*").alias("size")).filter(F.col("size") > BUCKET_ROWS), "hot-anchors")
+    parts = F.coalesce(F.ceil(F.col("size") / BUCKET_ROWS), F.lit(1)).cast("int")
+    mixed = kinds.filter("mixed").join(hot, "h", "left").select("h", "s", "c", "rep.*", parts.alias("parts"))
+    mixed = mixed.withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
     ranges = max(common.partitions(docs.sparkSession), -(-mixed.count() // BUCKET_ROWS))
-    fetched = common.settle(_fetched(long, mixed, window), "fetched")
-    ordered = fetched.repartitionByRange(ranges, "lead", "h", "s").sortWithinPartitions("lead", "h", "s")
+    fetched = common.settle(_fetched(long, mixed, window, anchor), "fetched")
+    ordered = fetched.repartitionByRange(ranges, "lead", "h", "part").sortWithinPartitions("lead", "h", "part", "s")
 
     def sort(batches):
         for rows in _buckets(batches):
             bucket = Bucket(rows, window)
             yield bucket.covered()
-            yield bucket.edges()
+            if (bucket.parts > 1).any():
+                yield bucket.edges()
 
     found = common.settle(ordered.mapInArrow(sort, _FOUND), "found")
     inner = found.filter("h IS NULL").select("f1", "f2", "first", "last")
