@@ -3,8 +3,10 @@
 On a bounded sample of vectors (``SAMPLE`` rows, picked by a hash of the id) the driver builds the graph of
 nearest neighbours, cuts it into equal parts by recursive spectral bisection with swaps, and fits a
 softmax classifier to the parts that a vector's neighbours lie in. Every row of the table then goes to its most
-probable partition; a query goes to its most probable partitions until their probabilities add up
-to ``MASS``, and its candidates there are ranked by exact distance on the original vectors.
+probable partition; a query goes to its most probable partitions, and its candidates there are ranked by exact distance on the
+original vectors. How many partitions that are is measured: part of the sample is held out of graph and classifier, its true
+neighbours in the sample are found, and the fewest partitions count that hold ``TARGET`` of them. On vectors without
+structure that may be nearly all.
 
 A partition's rows are dealt to blocks of about ``BLOCK`` rows and its queries to groups of as many,
 each counted before, so neither a hot partition nor a group of equal vectors is one task's work. A
@@ -27,8 +29,9 @@ from tablework.llm import common
 
 SAMPLE = 4096
 ROWS_PER_PART = 4096
-FEWEST, MOST = 4, 64
-MASS = 0.995
+FEWEST, MOST = 4, 256
+TARGET = 0.97
+HELD_OUT = 512
 BLOCK = 4096
 GRAPH_K = 10
 _EPOCHS = 120
@@ -99,22 +102,43 @@ class Router:
         self.mean, self.scale, self.weights, self.offsets = mean, scale, weights, offsets
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.mean) * self.scale) @ self.weights + self.offsets
+        with np.errstate(over="ignore", invalid="ignore"):
+            z = np.clip(np.nan_to_num((x - self.mean) * self.scale), -1e6, 1e6) @ self.weights + self.offsets
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def ranked(self, x: np.ndarray) -> np.ndarray:
+        """All parts of every vector, the most probable first."""
+        return np.argsort(-self.probabilities(x), axis=1, kind="stable")
+
+
+def visits_for(router: Router, asked: np.ndarray, rows: np.ndarray, target: float, k: int = GRAPH_K) -> int:
+    """Fewest partitions in which the ``asked`` vectors find ``target`` of their true neighbours among ``rows``."""
+    parts = router.weights.shape[1]
+    if not len(asked) or len(rows) <= k or parts < 2:
+        return parts
+    home, order = router.ranked(rows)[:, 0], router.ranked(asked)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(parts)[None, :], axis=1)
+    found = np.zeros(parts)
+    for i, q in enumerate(asked):
+        d = ((rows - q) ** 2).sum(axis=1)
+        found += np.bincount(place[i, home[np.argpartition(d, k)[:k]]], minlength=parts)
+    return int(np.searchsorted(np.cumsum(found) / found.sum(), target)) + 1
+
 
 def fit_router(x: np.ndarray, parts: int, epochs: int = _EPOCHS) -> Router:
     """Partition the sample's neighbour graph and learn which partitions a vector's neighbours are in."""
     mean = x.mean(axis=0) if len(x) else 0.0
-    spread = float(np.sqrt(((x - mean) ** 2).mean())) if len(x) else 0.0
+    wide = float(np.abs(x - mean).max()) if len(x) else 0.0
+    spread = wide * float(np.sqrt((((x - mean) / wide) ** 2).mean())) if 0 < wide < np.inf else 0.0
     scale = 1 / spread if spread > 0 else 1.0
     d = x.shape[1]
     router = Router(mean, scale, np.zeros((d, parts)), np.zeros(parts))
     if parts < 2 or len(x) < 2 * parts:
         router.weights, router.offsets = np.zeros((d, 1)), np.zeros(1)
         return router
-    graph = neighbour_graph(x)
+    graph = neighbour_graph((x - mean) * scale)
     part = balanced_parts(graph, parts)
     hot = np.eye(parts)
     wanted = (hot[part] + hot[part[graph]].sum(axis=1)) / (1 + graph.shape[1])
@@ -146,21 +170,15 @@ def _matrix(array: pa.Array) -> np.ndarray:
     return flat.reshape(len(array), -1) if len(array) else np.empty((0, 0))
 
 
-def _routed(rows: DataFrame, router: Router, mass: float | None) -> DataFrame:
-    """(id, part, v): every row in its most probable part, or with ``mass`` in the parts that add up to it."""
+def _routed(rows: DataFrame, router: Router, visits: int) -> DataFrame:
+    """(id, part, v): every row in each of its ``visits`` most probable parts."""
 
     def route(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            p = router.probabilities(_matrix(batch.column(1)))
-            if mass is None:
-                at, part = np.arange(len(p)), p.argmax(axis=1)
-            else:
-                order = np.argsort(-p, axis=1, kind="stable")
-                sorted_p = np.take_along_axis(p, order, axis=1)
-                at, nth = np.nonzero(np.cumsum(sorted_p, axis=1) - sorted_p < mass)
-                part = order[at, nth]
+            part = router.ranked(_matrix(batch.column(1)))[:, :visits].ravel()
+            at = np.repeat(np.arange(batch.num_rows), len(part) // batch.num_rows)
             taken = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays([taken.column(0), pa.array(part, pa.int32()), taken.column(1)], names=["id", "part", "v"])
 
@@ -169,20 +187,25 @@ def _routed(rows: DataFrame, router: Router, mass: float | None) -> DataFrame:
 
 def best_of(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the ``k`` nearest rows to ``q`` with another id, and their distances, ties to the smaller id."""
-    rough = (x * x).sum(axis=1) - 2 * (x @ q) + q @ q
-    rough[ids == own] = np.inf
-    if len(rough) > k:
-        limit = np.partition(rough, k - 1)[k - 1]
-        near = np.flatnonzero(rough <= limit + 1e-9 * (1.0 + abs(limit) + q @ q))
-    else:
-        near = np.arange(len(rough))
-    near = near[np.isfinite(rough[near])]
-    exact = np.sqrt(((x[near] - q) ** 2).sum(axis=1))
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = (x * x).sum(axis=1) - 2 * (x @ q) + q @ q
+        unsure = ~np.isfinite(rough) & (ids != own)  # squares overflow: ranked by the difference alone
+        rough[unsure | (ids == own)] = np.inf
+        near = np.flatnonzero(ids != own)
+        if np.isfinite(rough).sum() > k:
+            limit = np.partition(rough, k - 1)[k - 1]
+            near = np.flatnonzero(unsure | (rough <= limit + 1e-9 * (1.0 + abs(limit) + q @ q)))
+        gap = x[near] - q
+        exact = np.sqrt((gap ** 2).sum(axis=1))
+        far = ~np.isfinite(exact)
+        if far.any():  # squares overflow where distances do not
+            most = np.abs(gap[far]).max(axis=1)
+            exact[far] = most * np.sqrt(((gap[far] / most[:, None]) ** 2).sum(axis=1))
     order = np.lexsort((ids[near], exact))[:k]
     return near[order], exact[order]
 
 
-def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, mass: float = MASS,
+def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, target: float = TARGET,
             sample: int = SAMPLE, rows_per_part: int = ROWS_PER_PART, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found; ``is_query`` is a condition on the id column."""
     rows = common.materialize(_valid(vectors, key, vector), "vectors")
@@ -192,10 +215,13 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
     x = np.array(sorted(tuple(r["v"]) for r in picked), np.float64)
     x = np.unique(x, axis=0) if len(x) else np.zeros((0, 1))
     parts = 1 << max(int(np.log2(FEWEST)), min(int(np.log2(MOST)), round(np.log2(max(1, n / rows_per_part)))))
-    router = fit_router(x, parts)
+    held = np.zeros(len(x), bool)
+    held[np.random.default_rng(len(x)).permutation(len(x))[:min(HELD_OUT, len(x) // 5)]] = True
+    router = fit_router(x[~held], parts)
+    visits = visits_for(router, x[held], x[~held], target)
 
-    index = common.materialize(_routed(rows, router, None), "index")
-    asked = common.materialize(_routed(rows.filter(is_query(F.col("id"))), router, mass), "asked")
+    index = common.materialize(_routed(rows, router, 1), "index")
+    asked = common.materialize(_routed(rows.filter(is_query(F.col("id"))), router, visits), "asked")
     sizes = index.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     groups = asked.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
     sizes = F.broadcast(common.materialize(sizes.join(groups, "part"), "part-sizes"))  # one row for each of at most MOST parts

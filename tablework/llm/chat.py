@@ -6,9 +6,10 @@ that does not start with the one before it shows that the template rewrites hist
 is flagged and spans come from the final output's probes alone. Where a text lies inside its span is
 found by rendering the prefix with two probe texts instead of it.
 
-Above ``_LONG`` turns a prefix is rendered from its last ``_CONTEXT`` turns, so that time stays linear;
-the spans count only if they add up to the rendering of the whole conversation, and otherwise
-every prefix is rendered in full.
+Every prefix is rendered in full whatever the number of turns, so one rule holds at all lengths and rewriting is seen even if a
+later turn undoes it; the time of a conversation grows with the square of its turns. With a template that is known to look
+back a few turns only, ``context`` says how many, and time is linear: prefixes are then rendered from that many turns before the new
+one, the spans count only if they add up to the rendering of the whole conversation, and rewriting further back is not looked for.
 
 Rows are dealt by conversation and sorted, and each conversation is formatted as it streams by; a
 task holds one conversation, the size of its own output row. A null text or role counts as empty;
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 
 from tablework.llm import common
 
-_LONG, _CONTEXT = 64, 4
 _PROBES = ("0", "1")
 LOSS_ROLE = "assistant"
 
@@ -83,9 +83,8 @@ def text_span(turns, k: int, span: tuple[int, int], template, context: int | Non
     return span[0] + head, max(span[0] + head, span[1] - tail)
 
 
-def render(turns: list[tuple[str, str]], template=marked, loss_role: str = LOSS_ROLE):
+def render(turns: list[tuple[str, str]], template=marked, loss_role: str = LOSS_ROLE, context: int | None = None):
     """(output, turn spans, spans under the loss mask, first rewritten turn or None)."""
-    context = _CONTEXT if len(turns) > _LONG else None
     out, spans, rewritten = _prefix_spans(turns, template, context)
     if context is not None and (rewritten is not None or out != template(turns)):
         context = None
@@ -96,7 +95,7 @@ def render(turns: list[tuple[str, str]], template=marked, loss_role: str = LOSS_
 
 
 def format_conversations(rows: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-                         template=marked, loss_role: str = LOSS_ROLE) -> DataFrame:
+                         template=marked, loss_role: str = LOSS_ROLE, context: int | None = None) -> DataFrame:
     """(id, formatted, turn_spans, loss_spans, rewritten): one row for each conversation, spans in code points.
 
     A conversation whose history the template rewrites has no loss spans: no mask over its final output would be right.
@@ -110,7 +109,7 @@ def format_conversations(rows: DataFrame, key: str = "conv_id", turn: str = "tur
 
         def close():
             if turns:
-                out, spans, loss, rewritten = render(turns, template, loss_role)
+                out, spans, loss, rewritten = render(turns, template, loss_role, context)
                 done.append((at, out, [list(s) for s in spans], [list(s) for s in loss], rewritten))
 
         def flush():

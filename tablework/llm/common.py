@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablework.operators.order import materialize  # noqa: F401  (shared-folder lineage cut)
+from tablework.operators import order
 
 #: A word is a maximal run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,12 +18,57 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 A_TO_Z = bytes.maketrans(_UPPER, _LOWER)
 _SLICE = 512
+#: Rows of the Arrow batches that texts travel in, unless the session has its own number.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Let texts travel in small Arrow batches from now on: a batch of Spark's usual 10,000 rows is some 30 MB of text, which
+    the executor and its Python worker hold several times over. A session with its own number keeps it."""
+    if spark.conf.get(_BATCH, None) in (None, "10000"):
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back, with small Arrow batches on the way."""
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH, None)
+    lean_batches(df.sparkSession)
+    try:
+        return order.materialize(df, name)
+    finally:
+        conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
+
+
+def lean(function):
+    """A ``mapInArrow`` function that gives memory back when its task ends, as idle workers keep what they held."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """``materialize`` for a large step: the driver then forgets the step's plan, so that Spark removes its
     shuffle files from the executors' disks now and not at the next half-hourly collection."""

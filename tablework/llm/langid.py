@@ -6,8 +6,8 @@ is loss-weighted: a language costs sum of log(1 + exp(-bit * margin)) over its b
 wins; a prediction whose runner-up costs less than ``MARGIN`` more is flagged as ambiguous.
 
 Learning uses a bounded sample: at most about ``SAMPLE`` rows in all, the same number of each
-label in expectation, picked by a hash of the id; their features meet on the driver
-(``SAMPLE`` x ``BUCKETS`` floats at most). The model is a few bits x ``BUCKETS`` floats and goes with
+label in expectation and never more than twice that, picked by a hash of id and text, repeated rows once; their features meet on
+the driver (twice ``SAMPLE`` x ``BUCKETS`` floats at most). The model is a few bits x ``BUCKETS`` floats and goes with
 the tasks. Prediction is one pass without a shuffle.
 
 A null text or one without a letter is ``und`` with score 0. Null labels are not learned from. With
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tablework.llm import common
 
@@ -138,8 +139,10 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         return Model(languages, codewords(len(languages)), np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
     wanted = max(2, min(PER_LABEL, sample // len(languages)))
     shares = F.create_map(*[x for name in languages for x in (F.lit(name), F.lit(min(1.0, wanted / counts[name])))])
-    place = F.pmod(F.xxhash64("k"), F.lit(1 << 24)) / float(1 << 24)
-    picked = known.filter(place < shares[F.col("l")])
+    place = F.pmod(F.xxhash64("k", "t"), F.lit(1 << 24)) / float(1 << 24)
+    likely = known.filter(place < shares[F.col("l")]).dropDuplicates(["k", "l", "t"])
+    first = Window.partitionBy("l").orderBy(F.xxhash64("k", "t"), "k")
+    picked = likely.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= 2 * wanted).drop("n")
 
     def build(batches):
         for batch in batches:
@@ -182,11 +185,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", margin: float = M
                 + [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))],
                 names=[f.name for f in kept] + list(names))
 
-    return docs.mapInArrow(decide, schema)
+    return docs.mapInArrow(common.lean(decide), schema)
 
 
-def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", margin: float = 0.05) -> DataFrame:
-    """The rows that have a language and no tie between two, columns as they were."""
+def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", margin: float = MARGIN) -> DataFrame:
+    """The rows that have a language and are not flagged as ambiguous, columns as they were."""
     names = tuple(common.fresh(n, docs.columns) for n in ("lang_pred", "score", "ambiguous"))
     found = predict(docs, learn(docs, key, text, lang), text, margin, names=names)
     return found.filter((F.col(names[0]) != UNKNOWN) & ~F.col(names[2])).select(*[F.col(f"`{c}`") for c in docs.columns])

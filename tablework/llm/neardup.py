@@ -98,7 +98,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(half, pa.list_(pa.int64()))],
                 names=["id", "n", "f1", "f2", "half"])
 
-    return common.materialize(docs.mapInArrow(sketch, _SKETCH), "sketches")
+    return common.materialize(docs.mapInArrow(common.lean(sketch), _SKETCH), "sketches")
 
 
 def _shared(rows: DataFrame, key: str) -> DataFrame:
@@ -131,7 +131,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                  pa.array([int(np.bitwise_count(m).sum()) for m in maps], pa.int64()), common.binary(sets)],
                 names=["id", "n", "bits", "n_bits", "shingles"])
 
-    return common.materialize(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(build, _SETS), "sets")
+    return common.materialize(docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(common.lean(build), _SETS), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity=SIMILARITY) -> DataFrame:
@@ -162,7 +162,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity=SIMILARITY) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-    return met.mapInArrow(compare, "a long, b long").distinct()
+    return met.mapInArrow(common.lean(compare), "a long, b long").distinct()
 
 
 def similar(x: np.ndarray, y: np.ndarray, part: int, whole: int) -> bool:
@@ -204,7 +204,7 @@ def _open_keys(keys: DataFrame, grouped: DataFrame, sets: DataFrame) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(batch.column(0).to_numpy(), [len(o) for o in own])), pa.array(np.concatenate(own))], names=["id", "s"])
 
-    shingles = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(spread, "id long, s long")
+    shingles = sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(common.lean(spread), "id long, s long")
     alone = shingles.groupBy("s").agg(F.min("id").alias("id"), F.max("id").alias("other")).filter("id = other").groupBy("id").agg(F.count("*").alias("u"))
     counted = wide.drop("m").join(common.materialize(alone, "alone"), "id", "left").select(
         "key", "id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("m"), "c")
@@ -281,7 +281,9 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     again = common.materialize(
         docs.select(F.col(f"`{key}`").alias("id")).groupBy("id").count().filter("count > 1 AND id IS NOT NULL").select("id"), "again")
     few = gone.count() <= _BROADCAST_IDS
-    here = F.col(f"`{key}`") == F.col("id")
+    own = common.fresh("_id", docs.columns)
+    gone, again = (d.withColumnRenamed("id", own) for d in (gone, again))
+    here = F.col(f"`{key}`") == F.col(own)
     rows = docs.join(F.broadcast(gone) if few else gone, here, "left_anti")
     if again.isEmpty():
         return rows

@@ -1,15 +1,21 @@
 """Packing: a sharded BM25 inverted index gives each seed document unused neighbours that fill its window.
 
-Documents go to shards by a hash of their id. A task reads its shard in id order, a bounded number
-of tokens at a time (a block), and builds an inverted index over the block's token ids: postings
-sorted by term, each with its BM25 weight. A seed's query is its ``query_terms`` terms of largest
-weight; the best unused neighbours follow it into the window. What no longer fits is cut there and
-starts the next window, for which that document is the seed. A window that is open when a block ends
-goes on with the next block. The last window of a shard is cut into sequences whose lengths are
-powers of two, so nothing is padded.
-
-Bounded memory: one block and its index. No row depends on another task, so a lost executor costs
-its tasks only, and as shard and order come from ids alone, reruns agree.
+1. One pass tokenises every text and stores the ids; each task adds the document frequencies of its ids, so that idf and mean
+   length are those of the whole corpus. Texts are not read again.
+2. A document's shard is its heaviest term by BM25 weight among terms that a second document has, so documents on one subject
+   share a shard. The documents of a term that a task sees are dealt on to a further shard of that term whenever they have
+   filled their part of a block, so a term that is the heaviest of a third of all documents still fills blocks evenly.
+3. A task reads its shards in order, a bounded number of tokens at a time (a block), and builds an inverted index over the block:
+   postings sorted by term, each with its BM25 weight. A seed's query is its ``query_terms`` terms of largest
+   weight; the best unused neighbours follow it into the window. What no longer fits is cut there and
+   starts the next window, for which that document is the seed. A window that is open when a block ends
+   goes on with the next block. The last window of a task is cut into sequences whose lengths are
+   powers of two, so nothing is padded.
+
+A seed searches its block. What it can find there of its true neighbours is measured in the tests and stated in the README.
+
+Bounded memory: one block and its index, and a number for each id of the vocabulary. No row depends on another task, so a lost
+executor costs its tasks only; shards follow from the stored ids and the order in which they lie there, so reruns over the same files agree.
 
 A null text is empty: the document is its end id alone. Repeated rows and copies are packed each for
 itself; a null id stays null. An empty table gives no pieces.
@@ -78,10 +84,29 @@ def encoder(json_path: str, ranks_path: str | None):
     return encode
 
 
+class Weights:
+    """BM25 weights by the statistics of the corpus: its size, mean length and document frequencies."""
+
+    def __init__(self, n: int, length: float, df: np.ndarray):
+        self.df, self.length = df, max(1.0, length)
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    def of(self, terms: np.ndarray, tf: np.ndarray, length) -> np.ndarray:
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.length))
+
+    def heaviest(self, ids: np.ndarray) -> int:
+        """The term of largest weight that a second document has, ties to the smaller one; -1 without any."""
+        terms, tf = np.unique(ids, return_counts=True)
+        shared = self.df[terms] > 1
+        if not shared.any():
+            return -1
+        return int(terms[shared][self.of(terms[shared], tf[shared].astype(np.float32), len(ids)).argmax()])
+
+
 class Index:
     """BM25 postings of one block, by term."""
 
-    def __init__(self, ids: list[np.ndarray], query_terms: int):
+    def __init__(self, ids: list[np.ndarray], query_terms: int, corpus: Weights):
         self.n, self.query_terms = len(ids), query_terms
         terms, counts, sizes = [], [], np.empty(self.n, np.int64)
         for i, own in enumerate(ids):
@@ -96,9 +121,7 @@ class Index:
         length = np.array([len(x) for x in ids], np.float32)
         vocabulary = int(self.terms.max()) + 1
         df = np.bincount(self.terms, minlength=vocabulary)
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = np.repeat(K1 * (1 - B + B * length / length.mean()), sizes)
-        self.weight = idf[self.terms] * tf * (K1 + 1) / (tf + norm)
+        self.weight = corpus.of(self.terms, tf, np.repeat(length, sizes)).astype(np.float32)
         order = np.argsort(self.terms, kind="stable")
         self.docs = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
         self.posted = self.weight[order]
@@ -174,10 +197,10 @@ class Packer:
         self.open = []
 
 
-def pack_block(packer: Packer, keys: list, ids: list[np.ndarray], query_terms: int, neighbours: int) -> None:
+def pack_block(packer: Packer, keys: list, ids: list[np.ndarray], query_terms: int, neighbours: int, corpus: Weights) -> None:
     if not ids:
         return
-    index, unused = Index([x.astype(np.uint16) if int(x.max()) < 65536 else x for x in ids], query_terms), np.ones(len(ids), bool)
+    index, unused = Index(ids, query_terms, corpus), np.ones(len(ids), bool)
     for first in range(len(ids)):
         turn, seed, following = first if unused[first] else None, None, []
         while turn is not None:
@@ -205,13 +228,25 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
     arrow = pa.schema(fields)
     schema = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType()) if n == "ids" else T.LongType()) for n, _ in fields])
 
-    def pack(batches):
-        import public_tokenizers
+    narrow = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
+    stored = common.settle(_tokenised(narrow, json_path), "token-ids")
+    corpus = _corpus_weights(stored)
+    held = stored.filter("df IS NULL").drop("df")
+    quota = max(1, block_tokens // max(1, held.rdd.getNumPartitions()))
 
-        path, ranks = json_path, None
-        if path is None:
-            path, ranks = public_tokenizers.path(f"{MERGES}.json"), public_tokenizers.path(f"{MERGES}.tiktoken")
-        encode, end = encoder(path, ranks), np.array([END_ID], np.uint32)
+    def deal(batches):
+        filled: dict[int, int] = {}
+        for batch in batches:
+            terms, turns = [], []
+            for raw in batch.column(1):
+                ids = np.frombuffer(raw.as_buffer(), _ID)
+                term = corpus.heaviest(ids)
+                filled[term] = filled.get(term, 0) + len(ids)
+                terms.append(term)
+                turns.append((filled[term] - 1) // quota if term >= 0 else filled[term])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(terms, pa.int64()), pa.array(turns, pa.int64())], names=["key", "ids", "term", "turn"])
+
+    def pack(batches):
         packer = Packer(TaskContext.get().partitionId(), window, with_ids)
         keys, held, size = [], [], 0
 
@@ -222,23 +257,73 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields)], schema=arrow)
 
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), common.texts(batch.column(1))):
-                ids = np.concatenate([encode(value or ""), end])
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = np.frombuffer(raw.as_py(), _ID)
                 keys.append(doc)
-                held.append(ids)
+                held.append(ids.astype(np.uint16) if int(ids.max()) < 65536 else ids)
                 size += len(ids)
                 if size >= block_tokens:
-                    pack_block(packer, keys, held, query_terms, neighbours)
+                    pack_block(packer, keys, held, query_terms, neighbours, corpus)
                     keys, held, size = [], [], 0
                     yield from rows()
                     pa.default_memory_pool().release_unused()
-        pack_block(packer, keys, held, query_terms, neighbours)
+        pack_block(packer, keys, held, query_terms, neighbours, corpus)
         packer.finish()
         yield from rows()
 
-    narrow = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    sharded = narrow.repartition(shards, F.xxhash64("_key")).sortWithinPartitions("_key")
-    return sharded.mapInArrow(pack, schema)
+    dealt = held.mapInArrow(common.lean(deal), "key long, ids binary, term long, turn long")
+    sharded = dealt.repartition(shards, F.xxhash64("term", "turn")).sortWithinPartitions("term", "turn", "key")
+    return sharded.select("key", "ids").mapInArrow(common.lean(pack), schema)
+
+
+_ID = np.dtype("<u4")
+
+
+def _tokenised(docs: DataFrame, json_path: str | None) -> DataFrame:
+    """(key, ids, df): the ids of every text, and one row a task with ``df``, pairs of id and document frequency."""
+
+    def encode_all(batches):
+        import public_tokenizers
+
+        path, ranks = json_path, None
+        if path is None:
+            path, ranks = public_tokenizers.path(f"{MERGES}.json"), public_tokenizers.path(f"{MERGES}.tiktoken")
+        encode, end = encoder(path, ranks), np.array([END_ID], np.uint32)
+        df = np.zeros(1 << 16, np.uint32)
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                part, out = batch.slice(at, _ROWS), []
+                for value in common.texts(part.column(1)):
+                    ids = np.concatenate([encode(value or ""), end])
+                    own = np.unique(ids)
+                    if own[-1] >= len(df):
+                        df = np.r_[df, np.zeros(int(own[-1]) + 1 - len(df), np.uint32)]
+                    df[own] += 1
+                    out.append(ids.astype(_ID).tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], names=["key", "ids", "df"])
+        there = np.flatnonzero(df)
+        counts = np.stack([there.astype(np.uint32), df[there]], axis=1).astype(_ID).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, counts), kinds)], names=["key", "ids", "df"])
+
+    return docs.mapInArrow(common.lean(encode_all), "key long, ids binary, df binary")
+
+
+def _corpus_weights(stored: DataFrame) -> Weights:
+    """Sums of the tasks' document frequencies: at most a row for each id of the vocabulary reaches the driver."""
+
+    def spread(batches):
+        for batch in batches:
+            for raw in batch.column(0):
+                pairs = np.frombuffer(raw.as_buffer(), _ID).reshape(-1, 2).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["term", "df"])
+
+    size = stored.filter("df IS NULL").agg(F.count("*").alias("n"), F.sum(F.octet_length("ids")).alias("octets")).first()
+    counts = stored.filter("df IS NOT NULL").select("df").mapInArrow(spread, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    df = np.zeros(max((r["term"] for r in counts), default=0) + 1, np.int64)
+    for r in counts:
+        df[r["term"]] = r["df"]
+    return Weights(size["n"], (size["octets"] or 0) / _ID.itemsize / max(1, size["n"]), df)
 
 
 def op6_lexical_packing(spark, sf_dir):

@@ -193,7 +193,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", classes=CLASSES, allow=ALL
                 + [pa.array([f for f, _ in results], struct), pa.array([n for _, n in results], pa.int64())],
                 names=[*names, findings_col, suppressed_col])
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(common.lean(scan), schema)
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", classes=CLASSES, allow=ALLOW) -> DataFrame:
@@ -217,7 +217,7 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]",
             cleaned = pa.array([clean(t) for t in common.texts(batch.column(at_text))], batch.schema.field(at_text).type)
             yield batch.set_column(at_text, batch.schema.field(at_text), cleaned)
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(common.lean(scan), docs.schema)
 
 
 def span_text(findings_col: Column) -> Column:

@@ -5,6 +5,7 @@ document loses the words of its copy.
 
 1. Anchors: of each window the smallest hash among its ``ANCHOR``-word runs (winnowing). Equal windows have
    equal anchors, so a window can repeat only where its anchor occurs in a second document.
+   Exact copies leave first: all but the smallest id of equal texts lose every window, which needs no search.
 2. Regions: the words around such anchors, as hashes, once per document. All later steps read them
    and not the texts.
 3. References: windows that occur in two documents, at their owner, found by a minimum and a
@@ -43,7 +44,8 @@ SHARD_WORDS = 40_000
 _RUN = 256
 _PIECE_WORDS = 4_000
 _CHUNK = 1 << 16
-_BROADCAST_ITEMS = 4_000_000
+_BROADCAST_BYTES = 32_000_000
+_EMIT_ROWS = 50_000
 
 _MET = ["shard", "run", "kind", "id", "f", "start", "words"]
 _REGION = "id long, f long, start long, words binary"
@@ -143,25 +145,36 @@ class Automaton:
         return found
 
 
+def _gathered(parts, names):
+    """Record batches of about ``_EMIT_ROWS`` rows from tuples of equally long arrays."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= _EMIT_ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+            held, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=names)
+
+
 def _anchor_rows(docs: DataFrame, window: int, run: int) -> DataFrame:
-    def find(batches):
+    def parts(batches):
         for batch in batches:
-            ids, places, hashes = [], [], []
             for key, raw in zip(batch.column(0).to_pylist(), common.raw_texts(batch.column(1))):
                 p, h = anchors(common.hash_words(common.words_of(raw)), window, run)
-                ids.append(np.full(len(p), key, np.int64))
-                places.append(p)
-                hashes.append(h)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(places)), pa.array(np.concatenate(hashes).view(np.int64))],
-                names=["id", "place", "h"])
+                yield np.full(len(p), key, np.int64), p.astype(np.int64), h.view(np.int64)
+
+    def find(batches):
+        yield from _gathered(parts(batches), ["id", "place", "h"])
 
-    return docs.select("id", "text").mapInArrow(find, "id long, place long, h long")
+    return docs.select("id", "text").mapInArrow(common.lean(find), "id long, place long, h long")
 
 
 def _small(df: DataFrame, items) -> DataFrame:
-    """Marked for broadcast if the number of its list items is small."""
-    return F.broadcast(df) if (df.agg(F.sum(items) + F.count("*")).first()[0] or 0) <= _BROADCAST_ITEMS else df
+    """Marked for broadcast if all its rows are counted to be small: 8 bytes an item and 32 a row."""
+    size = df.agg(F.sum(items) * 8 + F.count("*") * 32).first()[0] or 0
+    return F.broadcast(df) if size <= _BROADCAST_BYTES else df
 
 
 def _regions(docs: DataFrame, places: DataFrame, window: int, run: int) -> DataFrame:
@@ -171,41 +184,38 @@ def _regions(docs: DataFrame, places: DataFrame, window: int, run: int) -> DataF
 
     def cut(batches):
         for batch in batches:
-            rows = []
-            for i, raw in enumerate(common.raw_texts(batch.column(2))):
-                hashes = common.hash_words(common.words_of(raw))
-                whole = len(hashes) - window + 1
-                if whole <= 0:
-                    continue
-                open_ = np.zeros(whole, bool)
-                for p in batch.column(3)[i].as_py():  # windows that hold the run
-                    open_[max(0, p + run - window):p + 1] = True
-                for s, e in joined_runs(np.flatnonzero(open_), window, len(hashes)):
-                    rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), s, hashes[s:e].tobytes()))
-            columns = list(zip(*rows)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["id", "f", "start", "words"])
+            for at in range(0, batch.num_rows, 512):
+                part, rows = batch.slice(at, 512), []
+                for i, raw in enumerate(common.raw_texts(part.column(2))):
+                    hashes = common.hash_words(common.words_of(raw))
+                    whole = len(hashes) - window + 1
+                    if whole <= 0:
+                        continue
+                    open_ = np.zeros(whole, bool)
+                    for p in part.column(3)[i].as_py():  # windows that hold the run
+                        open_[max(0, p + run - window):p + 1] = True
+                    for s, e in joined_runs(np.flatnonzero(open_), window, len(hashes)):
+                        rows.append((part.column(0)[i].as_py(), part.column(1)[i].as_py(), s, hashes[s:e].tobytes()))
+                columns = list(zip(*rows)) or [[], [], [], []]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["id", "f", "start", "words"])
 
-    return common.settle(near.mapInArrow(cut, _REGION), "regions")
+    return common.settle(near.mapInArrow(common.lean(cut), _REGION), "regions")
 
 
 def _owned_windows(regions: DataFrame, window: int) -> DataFrame:
     """(id, places): the windows that a second document has, at their owner."""
 
-    def spread(batches):
+    def parts(batches):
         for batch in batches:
-            ids, places, hashes = [], [], []
             for key, start, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 h = common.gram_hashes(np.frombuffer(raw.as_buffer(), np.uint64), window)
-                ids.append(np.full(len(h), key, np.int64))
-                places.append(np.arange(start, start + len(h)))
-                hashes.append(h)
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(places))],
-                    names=["w", "id", "place"])
+                yield h.view(np.int64), np.full(len(h), key, np.int64), np.arange(start, start + len(h))
 
-    rows = regions.mapInArrow(spread, "w long, id long, place long")
+    def spread(batches):
+        yield from _gathered(parts(batches), ["w", "id", "place"])
+
+    rows = regions.mapInArrow(common.lean(spread), "w long, id long, place long")
     best = rows.groupBy("w").agg(F.min("id").alias("id"), F.max("id").alias("other"), F.min_by("place", "id").alias("place")).filter("id < other")
     return common.settle(best.groupBy("id").agg(F.collect_set("place").alias("places")), "owned")
 
@@ -230,7 +240,7 @@ def _references(regions: DataFrame, owned: DataFrame, window: int, run: int) ->
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["id", "words", "hashes"])
 
-    return common.materialize(both.mapInArrow(cut, "id long, words binary, hashes array<long>"), "references")
+    return common.materialize(both.mapInArrow(common.lean(cut), "id long, words binary, hashes array<long>"), "references")
 
 
 def _sharded(references: DataFrame, least: DataFrame) -> DataFrame:
@@ -268,7 +278,7 @@ def _near(met: DataFrame, window: int, run: int) -> DataFrame:
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=_MET)
 
-    return met.mapInArrow(cut, "shard int, run int, kind int, id long, f long, start long, words binary")
+    return met.mapInArrow(common.lean(cut), "shard int, run int, kind int, id long, f long, start long, words binary")
 
 
 def _stream(met: DataFrame, window: int) -> DataFrame:
@@ -294,7 +304,7 @@ def _stream(met: DataFrame, window: int) -> DataFrame:
             columns = list(zip(*rows)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "f", "first", "last"])
 
-    return met.mapInArrow(match, "id long, f long, first long, last long")
+    return met.mapInArrow(common.lean(match), "id long, f long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR) -> DataFrame:
@@ -327,27 +337,34 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = ANCHOR) ->
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, run: int = ANCHOR) -> DataFrame:
     """(id, n_words, n_removed, kept): every row with its remaining words joined by one space, as binary."""
-    named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("f"), F.col(f"`{text}`").alias("text"))
-    spans = repeated_spans(named, window, run)
-    spans = _small(spans, F.size("spans")).select(F.col("id").alias("_id"), F.col("f").alias("_f"), "spans")
-    rows = named.join(spans, (F.col("id") == F.col("_id")) & (F.col("f") == F.col("_f")), "left").select("id", "text", "spans")
+    value = F.col(f"`{text}`")
+    named = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(value).alias("f"), F.xxhash64(F.lit(7), value).alias("f2"), value.alias("text"))
+    classes = named.filter("id IS NOT NULL AND text IS NOT NULL").groupBy("f", "f2").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    copied = common.materialize(classes.filter("least < most").drop("most"), "copied")
+    copied = _small(copied, F.lit(3)).withColumnsRenamed({"f": "_cf", "f2": "_cf2"})
+    marked = named.join(copied, (F.col("f") == F.col("_cf")) & (F.col("f2") == F.col("_cf2")), "left")
+    marked = marked.select("id", "f", "text", F.coalesce(F.col("id") > F.col("least"), F.lit(False)).alias("copy"))
+    spans = repeated_spans(marked.filter("NOT copy").drop("copy"), window, run)
+    spans = _small(spans, F.size("spans") * 2).select(F.col("id").alias("_id"), F.col("f").alias("_f"), "spans")
+    rows = marked.join(spans, (F.col("id") == F.col("_id")) & (F.col("f") == F.col("_f")), "left").select("id", "text", "spans", "copy")
 
     def cut(batches):
         for batch in batches:
-            out = [[], [], []]
-            for raw, spans in zip(common.raw_texts(batch.column(1)), batch.column(2)):
-                words = common.words_of(raw)
-                keep = np.ones(len(words), bool)
-                for s in spans.as_py() or ():
-                    keep[s["first"]:s["last"]] = False
-                left = words if keep.all() else [words[i] for i in np.flatnonzero(keep)]
-                for column, value in zip(out, (len(words), len(words) - len(left), b" ".join(left))):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
-                names=["id", "n_words", "n_removed", "kept"])
-
-    return rows.mapInArrow(cut, "id long, n_words long, n_removed long, kept binary")
+            for at in range(0, batch.num_rows, 512):
+                part, out = batch.slice(at, 512), [[], [], []]
+                for raw, spans, copy in zip(common.raw_texts(part.column(1)), part.column(2), part.column(3).to_pylist()):
+                    words = common.words_of(raw)
+                    keep = np.full(len(words), not copy or len(words) < window)
+                    for s in spans.as_py() or ():
+                        keep[s["first"]:s["last"]] = False
+                    left = words if keep.all() else [words[i] for i in np.flatnonzero(keep)]
+                    for column, value in zip(out, (len(words), len(words) - len(left), b" ".join(left))):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
+                    names=["id", "n_words", "n_removed", "kept"])
+
+    return rows.mapInArrow(common.lean(cut), "id long, n_words long, n_removed long, kept binary")
 
 
 def op7_repeated_spans(spark, sf_dir):

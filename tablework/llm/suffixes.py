@@ -120,7 +120,7 @@ def _segment_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             if held:
                 yield flushed(held)
 
-    return docs.select("f1", "f2", "text").mapInArrow(cut, _SEGMENT)
+    return docs.select("f1", "f2", "text").mapInArrow(common.lean(cut), _SEGMENT)
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -151,7 +151,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, window: int, anchor: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     return near.mapInArrow(
-        cut, "lead binary, h long, s long, c long, f1 long, f2 long, start long, n int, rel int, octets binary, parts int, part int")
+        common.lean(cut), "lead binary, h long, s long, c long, f1 long, f2 long, start long, n int, rel int, octets binary, parts int, part int")
 
 
 def _held(df: DataFrame, octets) -> DataFrame:
@@ -288,7 +288,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
             if (bucket.parts > 1).any():
                 yield bucket.edges()
 
-    found = common.settle(ordered.mapInArrow(sort, _FOUND), "found")
+    found = common.settle(ordered.mapInArrow(common.lean(sort), _FOUND), "found")
     inner = found.filter("h IS NULL").select("f1", "f2", "first", "last")
     outer = found.filter("h IS NOT NULL")
     again = outer.groupBy("h", "w").agg(F.min("s").alias("low"), F.max("s").alias("high")).filter("low < high").select("h", "w")
@@ -312,7 +312,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
                     merged.append([{"first": a, "last": b} for a, b in out])
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(merged, kind)], names=["f1", "f2", "runs"])
 
-    return common.settle(lists.mapInArrow(merge, "f1 long, f2 long, runs array<struct<first:long,last:long>>"), "runs")
+    return common.settle(lists.mapInArrow(common.lean(merge), "f1 long, f2 long, runs array<struct<first:long,last:long>>"), "runs")
 
 
 def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -341,7 +341,7 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
                     [part.column(0), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
                     names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return rows.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.mapInArrow(common.lean(cut), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op12_repeated_bytes(spark, sf_dir):

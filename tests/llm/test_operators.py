@@ -241,7 +241,7 @@ def test_packing_round_trip(corpus, nothing):
 
 def test_bm25_neighbour_is_the_similar_one():
     ids = [np.array([1, 2, 3, 4]), np.array([9, 9, 8, 7]), np.array([3, 4, 5, 6]), np.array([1, 2, 3, 9])]
-    index = packing.Index([x.astype(np.uint16) for x in ids], 32)
+    index = packing.Index([x.astype(np.uint16) for x in ids], 32, packing.Weights(4, 4.0, np.bincount(np.concatenate([np.unique(x) for x in ids]))))
     assert index.neighbours(0, np.array([False, True, True, True]), 2)[0] == 3
     assert index.neighbours(0, np.zeros(4, bool), 2) == []
 
