@@ -2,6 +2,8 @@
 
 Each stage takes the documents that the one before it kept, has one operator decide, and returns the
 columns of documents; the last returns packed pieces with their token ids.
+
+Stages whose texts pass through Python set a smaller Arrow batch for the session, unless it has a number of its own.
 """
 
 from __future__ import annotations
@@ -9,31 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tablework.llm import langid, mixing, neardup, packing, secrets
-from tablework.llm.common import materialize, table
+from tablework.llm.common import lean_batches, materialize, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or with an ambiguous language."""
+    lean_batches(spark)
     return langid.keep_known(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of smallest id of each near-duplicate group."""
+    lean_batches(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; all documents stay."""
+    lean_batches(spark)
     return secrets.redact_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources meet their target weights."""
+    lean_batches(spark)
     return mixing.mix_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut documents into sequences beside their lexical neighbours."""
+    lean_batches(spark)
     return packing.pack_documents(docs, with_ids=True)
 
 
