@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tablework.catalog.registry import (
-    GAPPY_EVENTS_SQL, GAPPY_ORDERS_SQL, gappy_events, gappy_orders, query, rounded, table,
+    QUERIES, SQL, GAPPY_EVENTS_SQL, GAPPY_ORDERS_SQL, gappy_events, gappy_orders, query, rounded, table,
 )
 from tablework.operators import clean
 
@@ -209,6 +209,10 @@ def _(spark, sf):
     return rounded(_cleaned(spark, sf), 4)
 
 
+# The same sequence under the name of the survey.
+QUERIES["clean_pipeline"], SQL["clean_pipeline"] = QUERIES["clean_table"], SQL["clean_table"]
+
+
 _SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 

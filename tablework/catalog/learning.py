@@ -2,7 +2,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from tablework.catalog.registry import SCORED_DOCS_SQL, query, rounded, scored_docs, table
+from tablework.catalog.registry import QUERIES, SCORED_DOCS_SQL, query, rounded, scored_docs, table
 from tablework.ml import baseline, knn, linear, metrics, models, preprocess, split
 from tablework.operators import aggregate
 from tablework.operators.order import scratch_path
@@ -71,12 +71,11 @@ def _order_x(spark, sf):
 @query("baseline_regression", f"""
 WITH d AS {_test_sql('orders', 'o_orderkey')}, m AS (SELECT avg(o_totalprice) AS p FROM d WHERE NOT is_test),
 t AS (SELECT avg(abs(o_totalprice - p)) AS mae, avg((o_totalprice - p) ** 2) AS mse, var_pop(o_totalprice) AS v FROM d, m WHERE is_test)
-SELECT round(p, 4) AS baseline_prediction, 0.0::DOUBLE AS train_r2, round(mae, 4) AS test_mae, round(sqrt(mse), 4) AS test_rmse,
-  round(1 - mse / v, 6) + 0.0 AS test_r2 FROM t, m""")
+SELECT round(p, 4) AS baseline_prediction, (SELECT round(1 - avg((o_totalprice - p) ** 2) / var_pop(o_totalprice), 6) FROM d, m WHERE NOT is_test) AS train_r2,
+  round(mae, 4) AS test_mae, round(sqrt(mse), 4) AS test_rmse, round(1 - mse / v, 6) AS test_r2 FROM t, m""")
 def _(spark, sf):
     out = baseline.baseline_regression(*split.train_test_split(table(spark, sf, "orders"), "o_orderkey"), "o_totalprice")
-    out = rounded(out, 4, test_r2=6)
-    return out.withColumns({"train_r2": F.abs(F.round("train_r2", 6)), "test_r2": F.col("test_r2") + 0.0})
+    return rounded(out, 4, test_r2=6, train_r2=6)
 
 
 @query("baseline_classification", f"""
@@ -102,10 +101,31 @@ def _(spark, sf):
     return rounded(spark.createDataFrame([(gap,)], "scaler_mean_gap double"))
 
 
-@query("leakage_check")
+def _scaled_distance(of: str) -> str:
+    """Euclidean distance of train row t and test row q, scaled by the moments m over the rows of kind ``of``."""
+    gap = lambda c: f"((t.{c} - m.{c}_m) / m.{c}_s - (q.{c} - m.{c}_m) / m.{c}_s) ** 2"
+    return f"sqrt({gap('n_chars')} + {gap('score')})"
+
+
+def _neighbour_accuracy(of: str) -> str:
+    moments = ", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s" for c in ("n_chars", "score"))
+    return f"""(WITH m AS (SELECT {moments} FROM x WHERE {of}),
+n AS (SELECT q.doc_id, q.quality, t.quality AS vote, row_number() OVER (PARTITION BY q.doc_id ORDER BY {_scaled_distance(of)}, t.doc_id) AS k
+  FROM x q, x t, m WHERE q.is_test AND NOT t.is_test),
+v AS (SELECT doc_id, any_value(quality) AS quality, vote, count(*) AS c FROM n WHERE k <= 5 GROUP BY doc_id, vote),
+p AS (SELECT doc_id, any_value(quality) AS quality, arg_min(vote, (-c, vote)) AS vote FROM v GROUP BY doc_id)
+SELECT avg(CASE WHEN quality = vote THEN 1.0 ELSE 0.0 END) FROM p)"""
+
+
+@query("leakage_check", f"""
+WITH x AS (SELECT s.doc_id, s.quality, s.is_test, d.n_chars::DOUBLE AS n_chars, d.score FROM {_STRATIFIED} s JOIN {SCORED_DOCS_SQL} d USING (doc_id)),
+a AS (SELECT {_neighbour_accuracy('true')} AS leaky, {_neighbour_accuracy('NOT is_test')} AS clean,
+  (SELECT greatest({', '.join(f"abs(avg({c}) - avg({c}) FILTER (NOT is_test)) / stddev_pop({c}) FILTER (NOT is_test)" for c in ('n_chars', 'score'))}) FROM x) AS gap)
+SELECT 'classification' AS task, 'accuracy' AS metric, round(leaky, 9) AS leaky_score, round(clean, 9) AS clean_score,
+  round(leaky - clean, 9) AS score_difference, round(gap, 9) AS scaler_mean_gap FROM a""")
 def _(spark, sf):
     docs = scored_docs(spark, sf).select("doc_id", "quality", "n_chars", "score")
-    return baseline.leakage_check(docs, "doc_id", "quality", ["n_chars", "score"])
+    return rounded(baseline.leakage_check(docs, "doc_id", "quality", ["n_chars", "score"]), 9)
 
 
 def _embedding_split(spark, sf):
@@ -132,12 +152,6 @@ def _(spark, sf):
     return knn.knn_predict(train, test, "vec_id", "embedding", "label")
 
 
-@query("experiment_run")
-def _(spark, sf):
-    labels = scored_docs(spark, sf).select("doc_id", "n_chars", "score", "quality")
-    return models.compare_with_baseline("quality", labels, "doc_id", "quality", "classification", {"logistic_regression": ["score"]})
-
-
 # A churn-like table: customers with tenure in months, monthly and total charges, contract and payment.
 def _churn(spark, sf):
     c = table(spark, sf, "customer")
@@ -255,8 +269,8 @@ def _(spark, sf):
 
 
 _PARAMS = "\nUNION ALL ".join(f"""
-SELECT '{c}' AS feature, round(median({c}), 6) AS median, round((SELECT avg(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)) + 3e-8, 6) AS center,
-  round((SELECT stddev_pop(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)) + 3e-8, 6) AS scale FROM t""" for c in ("tenure", "monthly", "total"))
+SELECT '{c}' AS feature, round(median({c}), 9) AS median, round((SELECT avg(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 9) AS center,
+  round((SELECT stddev_pop(coalesce({c}, m)) FROM t, (SELECT median({c}) AS m FROM t)), 9) AS scale FROM t""" for c in ("tenure", "monthly", "total"))
 
 
 @query("save_transformer", f"WITH t AS {_TRAIN_ROWS}\n{_PARAMS}")
@@ -264,9 +278,7 @@ def _(spark, sf):
     """The numeric parameters of the saved transformer, read back."""
     path = scratch_path(spark, "transformer")
     _preprocessor().fit(_churn_split(spark, sf)[0]).save(spark, path)
-    params = preprocess.Preprocessor.load(spark, path).numeric_params(spark)
-    # means of four-decimal amounts may end in an exact 5; the nudge keeps both engines on one side
-    return rounded(params.withColumns({c: F.col(c) + F.lit(3e-8) for c in ("center", "scale")}))
+    return rounded(preprocess.Preprocessor.load(spark, path).numeric_params(spark), 9)
 
 
 @query("load_transformer", _PREPROCESSED)
@@ -449,17 +461,36 @@ def _docs_x(spark, sf):
     return docs.select("doc_id", "quality", "score", F.log1p(F.col("n_chars").cast("double")).alias("size"))
 
 
-def _newton_sql(weight: str, rounds: int = 8) -> str:
-    """Newton steps on the penalised log-loss with one feature, one common table expression each."""
+def _newton_steps(source: str, weight: str, rounds: int = 8) -> list[str]:
+    """Newton steps on the penalised log-loss with one feature, one common table expression each; the last is ``n<rounds>``."""
     p = "(1 / (1 + exp(-(a + b * score))))"
-    steps = [f"d AS MATERIALIZED (SELECT score, quality, {weight} AS w FROM {SCORED_DOCS_SQL})", "n0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    steps = [f"d AS MATERIALIZED (SELECT score, quality, {weight} AS w FROM {source})", "n0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
     for k in range(rounds):
         steps.append(f"""s{k} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(w * ({p} - quality)) AS g0,
   sum(w * ({p} - quality) * score) + any_value(b) AS g1, sum(w * {p} * (1 - {p})) AS h00, sum(w * {p} * (1 - {p}) * score) AS h01,
   sum(w * {p} * (1 - {p}) * score * score) + 1 AS h11 FROM d, n{k})""")
         steps.append(f"n{k + 1} AS (SELECT a - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS a, b - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b FROM s{k})")
-    last = f"n{rounds}"
-    return "WITH " + ",\n".join(steps) + f"\nSELECT 'intercept' AS feature, round(a, 3) AS weight FROM {last} UNION ALL SELECT 'score', round(b, 3) FROM {last}"
+    return steps
+
+
+def _newton_sql(weight: str) -> str:
+    steps = ",\n".join(_newton_steps(SCORED_DOCS_SQL, weight))
+    return f"WITH {steps}\nSELECT 'intercept' AS feature, round(a, 3) AS weight FROM n8 UNION ALL SELECT 'score', round(b, 3) FROM n8"
+
+
+@query("experiment_run", f"""
+WITH x AS MATERIALIZED (SELECT s.doc_id, s.quality, s.is_test, d.score FROM {_STRATIFIED} s JOIN {SCORED_DOCS_SQL} d USING (doc_id)),
+tr AS (SELECT * FROM x WHERE NOT is_test), te AS (SELECT * FROM x WHERE is_test),
+{(","+chr(10)).join(_newton_steps("tr", "1.0"))},
+major AS (SELECT quality AS m FROM tr GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+s AS (SELECT avg(CASE WHEN quality = m THEN 1.0 ELSE 0.0 END) AS base, avg(CASE WHEN quality = CASE WHEN 1 / (1 + exp(-(a + b * score))) > 0.5 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END) AS fitted
+  FROM te, major, n8)
+SELECT 'quality' AS dataset, 'classification' AS task, 2::BIGINT AS n_features, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test,
+  'test_accuracy' AS metric, model, round(score, 9) AS score, round(score - base, 9) AS over_baseline
+FROM (SELECT 'baseline' AS model, base AS score, base FROM s UNION ALL SELECT 'logistic_regression', fitted, base FROM s)""")
+def _(spark, sf):
+    labels = scored_docs(spark, sf).select("doc_id", "n_chars", "score", "quality")
+    return rounded(models.compare_with_baseline("quality", labels, "doc_id", "quality", "classification", {"logistic_regression": ["score"]}), 9)
 
 
 @query("fit_logistic", _newton_sql("1.0"))
@@ -510,15 +541,50 @@ def _(spark, sf):
     return rounded(metrics.threshold_table(scored_docs(spark, sf), "quality", "score", [0.3, 0.5, 0.7]), 9)
 
 
-def _tree(spark, sf, name: str, **options):
-    data = _order_x(spark, sf)
-    return data, models.fit_model(data, _FEATURES, "price", "regression", name, **options)
+# Trees grow on features of few values, where every split is exact.
+_TREE_X = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+_SHORT_X = ["l_quantity", "l_linenumber"]
+_LINES = "(SELECT *, l_orderkey * 10 + l_linenumber AS line_id FROM lineitem)"
 
 
-@query("fit_tree")
+def _lines(spark, sf):
+    return table(spark, sf, "lineitem").withColumn("line_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+
+
+def _tree(spark, sf, depth: int):
+    data = _lines(spark, sf).select(*_TREE_X, "l_extendedprice")
+    return data, models.fit_model(data, _TREE_X, "l_extendedprice", "regression", "decision_tree", depth=depth)
+
+
+def _grown_sql(source: str, features, levels: int) -> str:
+    """Tables t0 ... of rows with their node after every level, and b0 ... of each level's splits, as the text after WITH."""
+    parts = [f"t0 AS MATERIALIZED (SELECT [{', '.join(f'{c}::DOUBLE' for c in features)}] AS x, l_extendedprice AS y, is_train, 1::BIGINT AS node FROM {source})"]
+    for k in range(levels):
+        left = "sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt"
+        parts.append(f"""c{k} AS (SELECT node, f, v, count(*)::DOUBLE AS n, sum(y) AS s, sum(y * y) AS q
+  FROM (SELECT node, y, unnest(range(0, {len(features)})) AS f, unnest(x) AS v FROM t{k} WHERE is_train AND node >= {2 ** k}) GROUP BY ALL),
+w{k} AS (SELECT node, f, v, sum(n) OVER a AS nl, sum(s) OVER a AS sl, sum(n) OVER b AS nt, sum(s) OVER b AS st, sum(q) OVER b AS qt, lead(v) OVER a AS after
+  FROM c{k} WINDOW a AS (PARTITION BY node, f ORDER BY v), b AS (PARTITION BY node, f)),
+b{k} AS MATERIALIZED (SELECT node, f, v + (after - v) / 2 AS cut, round(({left}) / (qt - st * st / nt), 9) AS share, (qt - st * st / nt) AS impurity
+  FROM w{k} WHERE nl < nt AND qt - st * st / nt > 1e-9 * qt AND round(({left}) / (qt - st * st / nt), 9) > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY share DESC, f, v) = 1),
+t{k + 1} AS MATERIALIZED (SELECT x, y, is_train, CASE WHEN b.node IS NULL THEN t.node WHEN x[f + 1] <= cut THEN 2 * t.node ELSE 2 * t.node + 1 END AS node
+  FROM t{k} t LEFT JOIN b{k} b ON t.node = b.node)""")
+    return ",\n".join(parts)
+
+
+_ALL_LINES = f"(SELECT *, true AS is_train FROM {_LINES})"
+_IMPORTANCES = f"""WITH {_grown_sql(_ALL_LINES, _TREE_X, 6)},
+g AS (SELECT f, sum(share * impurity) AS gain FROM ({' UNION ALL '.join(f'SELECT * FROM b{k}' for k in range(6))}) GROUP BY 1),
+n AS (SELECT unnest({_TREE_X}) AS feature, unnest(range(0, 4)) AS f)
+SELECT feature, round(coalesce(gain, 0) / (SELECT sum(gain) FROM g), 6) AS importance FROM n LEFT JOIN g USING (f)"""
+
+
+@query("fit_tree", f"""WITH {_grown_sql(_ALL_LINES, _TREE_X, 6)}, p AS (SELECT y, y - avg(y) OVER (PARTITION BY node) AS e FROM t6)
+SELECT round(avg(abs(e)), 4) AS mae, round(avg(e * e), 2) AS mse, round(sqrt(avg(e * e)), 4) AS rmse, round(1 - avg(e * e) / var_pop(y), 6) AS r2 FROM p""")
 def _(spark, sf):
-    data, model = _tree(spark, sf, "decision_tree")
-    return model.metrics(data, "price")
+    data, model = _tree(spark, sf, 6)
+    return rounded(model.metrics(data, "l_extendedprice"), 4, mse=2, r2=6)
 
 
 @query("fit_forest")
@@ -527,35 +593,51 @@ def _(spark, sf):
     return models.fit_model(docs, ["score", "size"], "quality", "classification", "random_forest").metrics(docs, "quality")
 
 
-@query("feature_importance")
+@query("feature_importance", _IMPORTANCES)
 def _(spark, sf):
-    return models.feature_importance(_tree(spark, sf, "decision_tree")[1], spark)
+    return rounded(models.feature_importance(_tree(spark, sf, 6)[1], spark))
 
 
-@query("importance_data")
+@query("importance_data", f"SELECT * FROM ({_IMPORTANCES}) ORDER BY importance DESC, feature LIMIT 2")
 def _(spark, sf):
-    return models.feature_importance(_tree(spark, sf, "decision_tree")[1], spark, top=2)
+    return rounded(models.feature_importance(_tree(spark, sf, 6)[1], spark, top=2))
 
 
-@query("tree_data")
+@query("tree_data", f"""WITH {_grown_sql(_ALL_LINES, _TREE_X, 3)},
+n AS ({' UNION '.join(f'SELECT node, avg(y) AS prediction, count(*) AS n, var_pop(y) AS impurity FROM t{k} GROUP BY node' for k in range(4))}),
+u AS (SELECT node, any_value(prediction) AS prediction, any_value(n) AS n, any_value(impurity) AS impurity FROM n GROUP BY node),
+b AS ({' UNION ALL '.join(f'SELECT * FROM b{k}' for k in range(3))})
+SELECT u.node, round(prediction, 4) AS prediction, n, round(u.impurity, 1) AS impurity, round(share * u.impurity, 0) AS gain,
+  CASE WHEN b.node IS NOT NULL THEN 2 * u.node END AS left_child, CASE WHEN b.node IS NOT NULL THEN 2 * u.node + 1 END AS right_child,
+  ({_TREE_X})[f + 1] AS feature, cut AS threshold FROM u LEFT JOIN b ON u.node = b.node""")
 def _(spark, sf):
-    model = _tree(spark, sf, "decision_tree", depth=3)[1]
-    return models.tree_nodes(model, spark, scratch_path(spark, "tree"))
+    return rounded(models.tree_nodes(_tree(spark, sf, 3)[1], spark, scratch_path(spark, "tree")), 4, impurity=1, gain=0)
+
+
+def _depth_score(k: int, part: str) -> str:
+    return f"""(SELECT 1 - sum((y - m) ** 2) / sum((y - a) ** 2) FROM (SELECT t.y, m.m, avg(t.y) OVER () AS a
+  FROM t{k} t JOIN (SELECT node, avg(y) AS m FROM t{k} WHERE is_train GROUP BY 1) m ON t.node = m.node WHERE {part}))"""
+
+
+_DEPTHS = f"""WITH {_grown_sql(f"(SELECT *, NOT is_test AS is_train FROM {_test_sql(_LINES, 'line_id')})", _SHORT_X, 24)},
+s AS ({' UNION ALL '.join(f"SELECT '{name}' AS max_depth, {_depth_score(k, 'is_train')} AS a, {_depth_score(k, 'NOT is_train')} AS b"
+                          for name, k in (('1', 1), ('3', 3), ('5', 5), ('None', 24)))})"""
 
 
 def _depths(spark, sf):
-    train, test = split.train_test_split(_order_x(spark, sf), "o_orderkey")
-    return models.compare_depths(train, test, _FEATURES, "price", "regression", [1, 3, 5, None])
+    train, test = split.train_test_split(_lines(spark, sf).select("line_id", *_SHORT_X, "l_extendedprice"), "line_id")
+    return models.compare_depths(train, test, _SHORT_X, "l_extendedprice", "regression", [1, 3, 5, None])
 
 
-@query("depth_analysis")
+@query("depth_analysis", _DEPTHS + "\nSELECT max_depth, round(a, 6) AS train_score, round(b, 6) AS test_score, round(a - b, 6) AS gap FROM s")
 def _(spark, sf):
-    return _depths(spark, sf)
+    return rounded(_depths(spark, sf))
 
 
-@query("depth_curve_data")
+@query("depth_curve_data", _DEPTHS + """
+SELECT max_depth, 'train_score' AS part, round(a, 6) AS score FROM s UNION ALL SELECT max_depth, 'test_score', round(b, 6) FROM s""")
 def _(spark, sf):
-    return _depths(spark, sf).unpivot(["max_depth"], ["train_score", "test_score"], "part", "score")
+    return rounded(_depths(spark, sf).unpivot(["max_depth"], ["train_score", "test_score"], "part", "score"))
 
 
 def _experiment(spark, sf):
@@ -606,6 +688,10 @@ def _(spark, sf):
     return fitted.metrics(test, "churn")
 
 
+# The same under the name of the survey.
+QUERIES["fit_pipeline"] = QUERIES["fit_preprocessed_model"]
+
+
 @query("model_bundle")
 def _(spark, sf):
     data, path = _experiment(spark, sf), scratch_path(spark, "bundle")

@@ -36,7 +36,7 @@ WHERE idx >= n // 2 AND idx < n""")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     n = orders.count()
-    return order.positions_between(orders, ["o_totalprice", "o_orderkey"], n // 2, n, direct_limit=0)
+    return order.positions_between(orders, ["o_totalprice", "o_orderkey"], n // 2, n)
 
 
 @query("loc_rows", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 100 AND 900")

@@ -130,11 +130,21 @@ def _rank(c: str) -> str:
     return f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0)::DOUBLE"
 
 
+def _two_sided(rho: str, n: str) -> str:
+    """p-value of a rank correlation: one less twice the integral of Student's density, by Simpson's rule on 4,000 steps."""
+    nu, t = f"({n} - 2)", f"least(40.0, abs({rho}) * sqrt(({n} - 2) / greatest(1 - {rho} * {rho}, 1e-300)))"
+    weight = "CASE WHEN k IN (0, 4000) THEN 1.0 WHEN k % 2 = 1 THEN 4.0 ELSE 2.0 END"
+    density = f"exp(lgamma(({nu} + 1) / 2) - lgamma({nu} / 2)) / sqrt({nu} * pi())"
+    tail = f"(1 + (k * ({t}) / 4000) ** 2 / {nu}) ** (-({nu} + 1) / 2)"
+    return f"1 - 2 * {density} * ({t}) / 12000 * list_sum(list_transform(range(0, 4001), lambda k: {weight} * {tail}))"
+
+
 @query("corr_report", "\nUNION ALL ".join(f"""
 SELECT '{a}' AS column_a, '{b}' AS column_b, (SELECT round(corr({a}, {b}), 6) FROM lineitem) AS pearson,
-  round(corr(x, y), 6) AS spearman FROM (SELECT {_rank(a)} AS x, {_rank(b)} AS y FROM lineitem)""" for a, b in _PAIRS))
+  round(rho, 6) AS spearman, greatest(0.0, round({_two_sided('rho', 'n')}, 6)) AS p_value
+FROM (SELECT corr(x, y) AS rho, count(*)::DOUBLE AS n FROM (SELECT {_rank(a)} AS x, {_rank(b)} AS y FROM lineitem))""" for a, b in _PAIRS))
 def _(spark, sf):
-    return rounded(stats.corr_report(table(spark, sf, "lineitem"), _NUMBERS).drop("p_value"))
+    return rounded(stats.corr_report(table(spark, sf, "lineitem"), _NUMBERS))
 
 
 @query("corr_extremes", f"""
@@ -153,9 +163,11 @@ def _(spark, sf):
     return rounded(stats.spearman(gappy_orders(spark, sf), "o_totalprice", "o_custkey"))
 
 
-@query("spearman_pvalue")
+@query("spearman_pvalue", f"""
+SELECT round(rho, 6) AS rho, n, round({_two_sided('rho', 'n')}, 6) AS p_value
+FROM (SELECT corr(x, y) AS rho, count(*) AS n FROM (SELECT {_rank('l_discount')} AS x, {_rank('l_tax')} AS y FROM lineitem))""")
 def _(spark, sf):
-    return stats.spearman_pvalue(table(spark, sf, "lineitem"), "l_discount", "l_tax")
+    return rounded(stats.spearman_pvalue(table(spark, sf, "lineitem"), "l_discount", "l_tax"))
 
 
 @query("normal_fit", "\nUNION ALL ".join(
@@ -196,7 +208,7 @@ _LINES = ("l_quantity", "l_extendedprice", "l_discount")
 
 @query("eda_report", "\nUNION ALL ".join([
     "SELECT 'shape' AS section, 'table' AS item, 'n_rows' AS metric, count(*)::DOUBLE AS value FROM lineitem",
-    "SELECT 'value_counts', 'l_returnflag', l_returnflag, count(*)::DOUBLE FROM lineitem GROUP BY ALL",
+    *[f"SELECT 'value_counts', '{c}', {c}, count(*)::DOUBLE FROM lineitem GROUP BY ALL" for c in ("l_returnflag", "l_linestatus")],
     *[f"SELECT 'numeric_profile', '{c}', 'median', round(median({c}), 4) FROM lineitem" for c in _LINES],
     *[f"SELECT 'numeric_profile', '{c}', 'std', round(stddev_samp({c}), 4) FROM lineitem" for c in _LINES],
     *[f"SELECT 'outliers', '{c}', 'n', (count(*) FILTER ({c} < a - 1.5 * (b - a) OR {c} > b + 1.5 * (b - a)))::DOUBLE "
@@ -215,7 +227,7 @@ def _(spark, sf):
     pivot = pivot.unpivot(["l_returnflag"], [c for c in pivot.columns if c != "l_returnflag"], "metric", "value").filter("value IS NOT NULL")
     parts = [
         row(rep["shape"], "shape", F.lit("table"), F.lit("n_rows"), F.col("n_rows")),
-        row(rep["value_counts"].filter("column_name = 'l_returnflag'"), "value_counts", F.col("column_name"), F.col("value"), F.col("n")),
+        row(rep["value_counts"], "value_counts", F.col("column_name"), F.col("value"), F.col("n")),
         row(profile, "numeric_profile", F.col("column_name"), F.lit("median"), F.col("median")),
         row(profile, "numeric_profile", F.col("column_name"), F.lit("std"), F.col("std")),
         row(rep["outliers"], "outliers", F.col("column_name"), F.lit("n"), F.col("n_outliers")),
@@ -335,19 +347,77 @@ def _(spark, sf):
     return rounded(report["ranks"])
 
 
-@query("full_report", """
+_PARTS = ("dashboard_histogram", "dashboard_box", "dashboard_scatter", "dashboard_bar", "heatmap", "histogram", "boxplot", "violin", "scatter",
+          "regression", "bar", "count", "line", "pairplot", "summary")
+
+
+def _bins_sql(part: str, bins: int) -> str:
+    width = f"((b - a) / {bins})"
+    return f"""SELECT '{part}', k::VARCHAR, 'n', (SELECT count(*) FROM o WHERE least(floor((o_totalprice - a) / {width}), {bins - 1}) = k)::DOUBLE FROM e, range({bins}) AS r(k)"""
+
+
+def _box_sql(part: str) -> str:
+    return f"""SELECT '{part}', o_orderpriority, m, v FROM (SELECT o_orderpriority, unnest(['q1', 'median', 'q3', 'n_outliers']) AS m,
+  unnest([any_value(q1), any_value(md), any_value(q3), count(*) FILTER (o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1))::DOUBLE]) AS v
+  FROM o JOIN (SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, median(o_totalprice) AS md, quantile_cont(o_totalprice, 0.75) AS q3 FROM o GROUP BY 1)
+    USING (o_orderpriority) GROUP BY 1)"""
+
+
+@query("full_report", f"""
 WITH o AS (SELECT *, datediff('day', CAST(o_orderdate AS DATE), DATE '2003-01-01')::DOUBLE AS age FROM orders),
 e AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b, min(age) AS c, max(age) AS d FROM o),
-n AS (SELECT count(*) AS n, count(DISTINCT o_orderpriority) AS k, date_diff('month', min(o_orderdate), max(o_orderdate)) + 1 AS m FROM orders),
-h AS (SELECT count(*) AS c FROM (SELECT DISTINCT o_orderpriority, 0 AS f, least(floor((o_totalprice - a) / ((b - a) / 10)), 9) AS bin FROM o, e
-  UNION SELECT DISTINCT o_orderpriority, 1, least(floor((age - c) / ((d - c) / 10)), 9) FROM o, e))
-SELECT part, CASE v WHEN -1 THEN n WHEN -2 THEN k WHEN -3 THEN m WHEN -4 THEN h.c WHEN -5 THEN 100 * k ELSE v END AS n_rows
-FROM n, h, (VALUES ('dashboard_histogram', 15), ('dashboard_box', -2), ('dashboard_scatter', -1), ('dashboard_bar', -2), ('heatmap', 4),
-  ('histogram', 20), ('boxplot', -2), ('violin', -5), ('scatter', -1), ('regression', 100), ('bar', -2), ('count', -2), ('line', -3),
-  ('pairplot', -4), ('summary', 2), ('insights', 10)) AS p(part, v)""")
+f AS (SELECT regr_slope(age, o_totalprice) AS s, corr(age, o_totalprice) AS r FROM o),
+h AS (SELECT 'o_totalprice' AS n, o_orderpriority AS p, least(floor((o_totalprice - a) / ((b - a) / 10)), 9) AS bin FROM o, e
+  UNION ALL SELECT 'age', o_orderpriority, least(floor((age - c) / ((d - c) / 10)), 9) FROM o, e),
+v AS (SELECT 1 AS x),
+parts AS (
+{_bins_sql('dashboard_histogram', 15)}
+UNION ALL {_bins_sql('histogram', 20)}
+UNION ALL {_box_sql('dashboard_box')}
+UNION ALL {_box_sql('boxplot')}
+UNION ALL SELECT unnest(['dashboard_bar', 'bar', 'count']), o_orderpriority, 'height', count(*)::DOUBLE FROM o GROUP BY o_orderpriority
+UNION ALL SELECT unnest(['dashboard_scatter', 'scatter']), 'all', unnest(['points', 'points']), count(*)::DOUBLE FROM o
+UNION ALL SELECT unnest(['dashboard_scatter', 'scatter']), 'all', unnest(['r', 'r']), any_value(r) FROM f
+UNION ALL SELECT 'heatmap', x, y, round(CASE WHEN x = y THEN 1.0 ELSE r END, 2) FROM f, (VALUES ('o_totalprice'), ('age')) AS a(x), (VALUES ('o_totalprice'), ('age')) AS b(y)
+UNION ALL SELECT 'line', CAST(last_day(CAST(o_orderdate AS DATE)) AS VARCHAR), 'total', sum(o_totalprice) FROM o GROUP BY 2
+UNION ALL SELECT 'pairplot', n || ' ' || p, bin::BIGINT::VARCHAR, count(*)::DOUBLE FROM h GROUP BY n, p, bin
+UNION ALL SELECT 'regression', 'all', unnest(['slope', 'r']), unnest([regr_slope(o_totalprice, age), corr(age, o_totalprice)]) FROM o
+UNION ALL SELECT 'summary', n, m, x FROM (SELECT n, unnest(['count', 'mean', 'std', 'min', 'max', 'q25', 'q50', 'q75']) AS m,
+  unnest([count(*)::DOUBLE, avg(w), stddev_samp(w), min(w), max(w), quantile_cont(w, 0.25), median(w), quantile_cont(w, 0.75)]) AS x
+  FROM (SELECT 'o_totalprice' AS n, o_totalprice AS w FROM o UNION ALL SELECT 'age', age FROM o) GROUP BY n)
+UNION ALL SELECT 'violin', o_orderpriority, 'points', 100.0 FROM o GROUP BY 2
+UNION ALL SELECT 'insights', 'all', 'lines', 10.0)
+SELECT part, item, metric, round(value, 4) AS value FROM parts AS p(part, item, metric, value)""")
 def _(spark, sf):
+    """What the report wrote, read back: every number of its tables, but of points and densities their number."""
     from tablework.operators.order import scratch_path
 
     orders = table(spark, sf, "orders").withColumn("age", F.datediff(F.lit("2003-01-01").cast("date"), F.to_date("o_orderdate")).cast("double"))
-    return reports.full_report(orders, scratch_path(spark, "full-report"), "o_totalprice", "age", ["o_totalprice", "age"],
-                               "o_orderpriority", "o_orderdate", "o_orderkey")
+    path = scratch_path(spark, "full-report")
+    reports.full_report(orders, path, "o_totalprice", "age", ["o_totalprice", "age"], "o_orderpriority", "o_orderdate", "o_orderkey")
+    read = {p: spark.read.json(f"{path}/{p}") for p in _PARTS}
+    long = lambda d, part, item, metric, value: d.select(
+        F.lit(part).alias("part"), item.cast("string").alias("item"), metric.cast("string").alias("metric"), value.cast("double").alias("value"))
+    tall = lambda part, item, columns: long(
+        read[part].unpivot([item], list(columns), "metric", "value"), part, F.col(item), F.col("metric"), F.col("value"))
+    out = [long(read[p], p, F.col("bin"), F.lit("n"), F.col("n")) for p in ("dashboard_histogram", "histogram")]
+    boxes = {p: read[p].withColumns({c: F.col(c).cast("double") for c in ("q1", "median", "q3", "n_outliers")}) for p in ("dashboard_box", "boxplot")}
+    out += [long(d.unpivot(["o_orderpriority"], ["q1", "median", "q3", "n_outliers"], "metric", "value"), p, F.col("o_orderpriority"), F.col("metric"), F.col("value"))
+            for p, d in boxes.items()]
+    out += [tall(p, "o_orderpriority", ["height"]) for p in ("dashboard_bar", "bar", "count")]
+    for p in ("dashboard_scatter", "scatter"):
+        out.append(long(read[p].agg(F.count("*").alias("v")), p, F.lit("all"), F.lit("points"), F.col("v")))
+        out.append(long(read[p].agg(F.max("r").alias("v")), p, F.lit("all"), F.lit("r"), F.col("v")))
+    out.append(long(read["heatmap"], "heatmap", F.col("column_a"), F.col("column_b"), F.col("r")))
+    out.append(tall("line", "period", ["total"]))
+    out.append(long(read["pairplot"], "pairplot", F.concat_ws(" ", "column_name", "o_orderpriority"), F.col("bin"), F.col("n")))
+    out += [long(read["regression"].agg(F.max(c).alias("v")), "regression", F.lit("all"), F.lit(c), F.col("v")) for c in ("slope", "r")]
+    numbers = ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]
+    out.append(long(read["summary"].withColumn("count", F.col("count").cast("double")).unpivot(["column_name"], numbers, "metric", "value"),
+                    "summary", F.col("column_name"), F.col("metric"), F.col("value")))
+    out.append(long(read["violin"].groupBy("o_orderpriority").count(), "violin", F.col("o_orderpriority"), F.lit("points"), F.col("count")))
+    out.append(long(spark.read.text(f"{path}/insights").agg(F.count("*").alias("v")), "insights", F.lit("all"), F.lit("lines"), F.col("v")))
+    whole = out[0]
+    for part in out[1:]:
+        whole = whole.unionByName(part)
+    return rounded(whole, 4)

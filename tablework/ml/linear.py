@@ -43,14 +43,24 @@ class Moments:
         return self.cov[:-1, -1]
 
 
-def require_complete(df: DataFrame, names) -> None:
-    """Models are not fitted on a part of the rows: missing values are the caller's to fill."""
-    gaps = [F.col(c).cast("double").isNull() | F.isnan(F.col(c).cast("double")) for c in names]
-    count = df.agg(F.count_if(reduce(lambda a, b: a | b, gaps))).first()[0]
+def _gaps(names) -> Column:
+    """Number of rows that lack a value."""
+    return F.count_if(reduce(lambda a, b: a | b, [F.col(c).cast("double").isNull() | F.isnan(F.col(c).cast("double")) for c in names]))
+
+
+def _refuse(count: int, names) -> None:
     if count:
         raise ValueError(f"{count} row(s) lack a value in one of {list(names)}; fill or remove them before fitting")
 
 
+def require_complete(df: DataFrame, names) -> None:
+    """Models are not fitted on a part of the rows: missing values are the caller's to fill.
+
+    A scan of its own; fits that begin with an aggregation count the gaps there.
+    """
+    _refuse(df.agg(_gaps(names)).first()[0], names)
+
+
 def only_complete(scored: DataFrame, features) -> DataFrame:
     """Every row stays; one that lacks a feature has no prediction."""
     whole = reduce(lambda a, b: a & b, [F.col(c).cast("double").isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
@@ -61,18 +71,19 @@ def moments(df: DataFrame, features, target: str) -> Moments:
     """Second moments in one pass of built-in aggregates, or, for many columns, in two passes
     with one dense block per task."""
     names = [*features, target]
-    require_complete(df, names)
     rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names)])
     d = len(names)
-    means = [F.avg(f"_{i}").alias(f"m{i}") for i in range(d)]
+    means = [_gaps(rows.columns).alias("gaps"), *[F.avg(f"_{i}").alias(f"m{i}") for i in range(d)]]
     if d <= _EXPRESSION_WIDTH:
         pairs = [(i, j) for i in range(d) for j in range(i, d)]
         row = rows.agg(F.count("*").alias("n"), *means, *[F.covar_pop(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+        _refuse(row["gaps"], names)
         cov = np.zeros((d, d))
         for i, j in pairs if row["n"] else ():
             cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
     else:
         row = rows.agg(F.count("*").alias("n"), *means).first()
+        _refuse(row["gaps"], names)
         center = np.array([row[f"m{i}"] or 0.0 for i in range(d)])
         i, j = np.indices((d, d))
 
@@ -222,11 +233,11 @@ def gd_logistic(df: DataFrame, features, target: str, lr: float = 0.1, epochs: i
     """
     _check_descent(lr, epochs)
     features = list(features)
-    require_complete(df, [*features, target])
     rows = df.select(*[F.col(c).cast("double") for c in features], F.col(target).cast("double").alias("_y"))
     rows = rows.persist()
     try:
-        seen = rows.agg(F.count("*").alias("n"), F.count_if(~F.col("_y").isin(0.0, 1.0)).alias("bad")).first()
+        seen = rows.agg(F.count("*").alias("n"), F.count_if(~F.col("_y").isin(0.0, 1.0)).alias("bad"), _gaps(rows.columns).alias("gaps")).first()
+        _refuse(seen["gaps"], [*features, target])
         if not seen["n"]:
             raise ValueError("a model needs at least one complete row")
         if seen["bad"]:
@@ -275,9 +286,9 @@ def fit_logistic(df: DataFrame, features, target: str, c: float = 1.0, balanced:
 
     Returns the fitted library model; its input is the assembled column ``_features``.
     """
-    require_complete(df, [*features, target])
-    rows = _assembled(df, features)
-    n = rows.count()
+    seen = df.agg(F.count("*").alias("n"), _gaps([*features, target]).alias("gaps")).first()
+    _refuse(seen["gaps"], [*features, target])
+    rows, n = _assembled(df, features), seen["n"]
     est = LogisticRegression(featuresCol="_features", labelCol=target, regParam=1.0 / (c * n), elasticNetParam=0.0,
                              standardization=False, maxIter=max_iter, tol=1e-9)
     if balanced:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import json
 import time
-from functools import reduce
 
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +18,7 @@ from tablework.ml import linear
 from tablework.ml.baseline import baseline
 from tablework.ml.metrics import classification_metrics, regression_metrics
 from tablework.ml.split import train_test_split
+from tablework.ml.tree import GrownTree, grow
 from tablework.operators.clean import most_frequent
 from tablework.operators.order import materialize
 
@@ -46,11 +46,9 @@ class FittedModel:
         return regression_metrics(scored, target, "prediction")
 
 
-def _tree(task: str, name: str, depth: int | None, trees: int):
+def _forest(task: str, depth: int | None, trees: int):
     depth = MAX_DEPTH if depth is None else depth
     common = dict(featuresCol="_features", maxDepth=depth, maxBins=256, seed=SEED, maxMemoryInMB=512)
-    if name == "decision_tree":
-        return (DecisionTreeClassifier if task == "classification" else DecisionTreeRegressor)(**common)
     if task == "classification":
         return RandomForestClassifier(numTrees=trees, featureSubsetStrategy="sqrt", **common)
     return RandomForestRegressor(numTrees=trees, featureSubsetStrategy="all", **common)
@@ -79,8 +77,11 @@ def fit_model(df: DataFrame, features, target: str, task: str, name: str, depth:
     if depth == -1:
         depth = 6 if name == "decision_tree" else 10
     linear.require_complete(df, [*features, target])
+    if name == "decision_tree":
+        grown = grow(df, features, target, task, depth)
+        return FittedModel(name, task, features, lambda d: linear.only_complete(grown.predict(d), features), grown)
     assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
-    fitted = _tree(task, name, depth, trees).setLabelCol(target).fit(assembler.transform(df))
+    fitted = _forest(task, depth, trees).setLabelCol(target).fit(assembler.transform(df))
     return FittedModel(name, task, features, lambda d: linear.only_complete(_tree_score(fitted, assembler.transform(d), task), features), fitted)
 
 
@@ -108,42 +109,40 @@ def fit_with_preprocessing(train: DataFrame, preprocessor, target: str, task: st
 
 def feature_importance(model: FittedModel, spark: SparkSession, top: int | None = None) -> DataFrame:
     """Importances that sum to 1, largest first; an error for models without them."""
-    if not hasattr(model.library, "featureImportances"):
+    if isinstance(model.library, GrownTree):
+        values = model.library.importances()
+    elif hasattr(model.library, "featureImportances"):
+        values = model.library.featureImportances.toArray()
+    else:
         raise ValueError(f"{model.name} has no feature importances")
-    values = model.library.featureImportances.toArray()
     rows = [(c, float(v)) for c, v in zip(model.features, values)]
     out = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
     return out.limit(top) if top else out
 
 
-def tree_nodes(model: FittedModel, spark: SparkSession, path: str) -> DataFrame:
-    """Nodes of a fitted tree, read from the saved model: id, children, split and prediction."""
-    model.library.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    if "nodeData" in nodes.columns:
-        nodes = nodes.select("nodeData.*")
-    feature = F.when(F.col("split.featureIndex") >= 0, F.element_at(
-        F.array(*[F.lit(c) for c in model.features]), F.col("split.featureIndex") + 1))
-    return nodes.select(
-        F.col("id").cast("long").alias("node"), "prediction", "impurity", "gain",
-        F.col("leftChild").cast("long").alias("left_child"), F.col("rightChild").cast("long").alias("right_child"),
-        feature.alias("feature"), F.when(feature.isNotNull(), F.element_at("split.leftCategoriesOrThreshold", 1)).alias("threshold"))
+def tree_nodes(model: FittedModel, spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Nodes of a fitted tree: number, prediction, rows, impurity, gain, children, feature and threshold; written to ``path`` if given."""
+    nodes = model.library.table(spark)
+    if path is None:
+        return nodes
+    nodes.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def compare_depths(train: DataFrame, test: DataFrame, features, target: str, task: str, depths) -> DataFrame:
-    """One row per tree depth (None: unlimited): score (accuracy or R2) on either part, and what is lost from train to test."""
+    """One row per tree depth (None: unlimited): score (accuracy or R2) on either part, and what is lost from train to test.
+
+    One tree is grown to the largest depth; the scores at all depths are read off it in one pass over each part.
+    """
     require_choice("task", task, TASKS)
-    metric = "r2" if task == "regression" else "accuracy"
-    train, test, scored = materialize(train, "train"), materialize(test, "test"), []
-    for nth, depth in enumerate(depths):
-        tree = fit_model(train, features, target, task, "decision_tree", depth)
-        sides = [tree.metrics(part, target).select(F.col(metric).cast("double").alias(side))
-                 for part, side in ((train, "train_score"), (test, "test_score"))]
-        scored.append(sides[0].crossJoin(sides[1]).select(  # one row each
-            F.lit(nth).alias("_nth"), F.lit(str(depth)).alias("max_depth"), "*", (F.col("train_score") - F.col("test_score")).alias("gap")))
-    if not scored:
+    depths = list(depths)
+    if not depths:
         raise ValueError("at least one depth is needed")
-    return reduce(DataFrame.unionByName, scored).orderBy("_nth").drop("_nth")
+    linear.require_complete(train, [*features, target])
+    grown = grow(train, features, target, task, None if None in depths else max(depths))
+    sides = [grown.scores(part, target, depths) for part in (train, test)]
+    rows = [(str(d), a, b, a - b) for d, a, b in zip(depths, *sides)]
+    return train.sparkSession.createDataFrame(rows, "max_depth string, train_score double, test_score double, gap double")
 
 
 def compare_models(train: DataFrame, test: DataFrame, features, target: str, task: str, names=None, **options) -> DataFrame:
@@ -214,7 +213,9 @@ def score_lines(runs: DataFrame) -> DataFrame:
 def save_bundle(spark: SparkSession, model: FittedModel, metrics: dict, path: str) -> tuple[str, str]:
     """Write the model and ``metrics`` below one folder; returns both paths."""
     model_path, metrics_path = f"{path}/model", f"{path}/metrics"
-    if hasattr(model.library, "write"):
+    if isinstance(model.library, GrownTree):
+        model.library.table(spark).coalesce(1).write.mode("overwrite").parquet(model_path)
+    elif hasattr(model.library, "write"):
         model.library.write().overwrite().save(model_path)
     elif isinstance(model.library, linear.LinearModel):
         model.library.table(spark).coalesce(1).write.mode("overwrite").parquet(model_path)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import cut, pearson_expr, require_choice, require_number
 from tablework.operators.clean import is_yes
+from tablework.operators.clean import modes as common_values
+from tablework.operators.order import ordered_index
 from tablework.operators.pick import pick_smallest
 from tablework.operators.quantiles import column_quantiles
 
@@ -22,8 +24,6 @@ CONTRACT_ORDER = ("Month-to-month", "One year", "Two year")
 TENURE_BUCKETS = ("0-1yr", "1-2yr", "2-4yr", "4-5yr", "5yr+")
 TENURE_EDGES = (-1.0, 12.0, 24.0, 48.0, 60.0, math.inf)
 
-_LEVEL_LIMIT = 1000
-
 
 def load_raw_churn(df: DataFrame, id_col: str, amount: str, target: str, blank: str | None = None, share: float = 0.02) -> DataFrame:
     """Raw churn table: blank amounts become NULL, the target 0/1, and ``share`` of ``blank`` is emptied."""
@@ -46,16 +46,13 @@ def engineer_features(df: DataFrame, tenure: str, monthly: str, total: str) -> D
 
 
 def _modes_and_levels(df: DataFrame, columns) -> tuple[dict, dict]:
-    """Most frequent value and sorted levels of text columns, from one grouped count."""
+    """Most frequent value and sorted levels of text columns, from one grouped count. Each level becomes a feature column."""
     if not columns:
         return {}, {}
     entries = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     counts = df.select(F.inline(entries)).filter("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
-    rows = counts.limit(_LEVEL_LIMIT * len(columns) + 1).collect()
-    if len(rows) > _LEVEL_LIMIT * len(columns):
-        raise ValueError("a categorical column has too many levels")
     modes, levels = {c: None for c in columns}, {c: [] for c in columns}
-    for r in sorted(rows, key=lambda r: (-r["n"], r["v"])):
+    for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["v"])):
         levels[r["c"]].append(r["v"])
         modes[r["c"]] = r["v"] if modes[r["c"]] is None else modes[r["c"]]
     return modes, {c: sorted(v) for c, v in levels.items()}
@@ -64,7 +61,7 @@ def _modes_and_levels(df: DataFrame, columns) -> tuple[dict, dict]:
 def impute_median_mode(train: DataFrame, df: DataFrame, numeric, text) -> DataFrame:
     """Fill numbers with train medians and text with the most frequent train value."""
     medians = {c: q[0] for c, q in column_quantiles(train, numeric, [0.5]).items()} if numeric else {}
-    modes, _ = _modes_and_levels(train, list(text))
+    modes = common_values(train, list(text)) if text else {}
     return df.withColumns({
         **{c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()},
         **{c: F.coalesce(F.col(c), F.lit(m)) for c, m in modes.items()},
@@ -201,3 +198,22 @@ def select_top_features(df: DataFrame, features, target: str, k: int, task: str)
     require_number("k", k, whole=True)
     scores = anova_f(df, features, target) if task == "classification" else f_regression(df, features, target)
     return scores.orderBy(F.desc_nulls_last("score"), "feature").limit(k)
+
+
+def encode_sparse(train: DataFrame, df: DataFrame, columns, out: str = "features") -> tuple[DataFrame, DataFrame]:
+    """One-hot for any number of levels: ``df`` without ``columns`` but with ``out``, the sorted numbers of its levels, and the
+    dictionary ``(feature_no, column_name, level)`` of the train table, numbered by column, then level.
+
+    The dictionary stays a table joined by level; a value unseen in train has no number.
+    """
+    columns = list(columns)
+    entries = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("level")) for i, c in enumerate(columns)])
+    levels = ordered_index(train.select(F.inline(entries)).filter("level IS NOT NULL").distinct(), ["_c", "level"], "feature_no")
+    rows = df
+    for i, c in enumerate(columns):
+        own = levels.filter(F.col("_c") == i).select(F.col("level").alias(f"_l{i}"), F.col("feature_no").alias(f"_f{i}"))
+        rows = rows.join(own, F.col(c).cast("string") == F.col(f"_l{i}"), "left").drop(f"_l{i}")
+    numbers = F.array_sort(F.array_compact(F.array(*[f"_f{i}" for i in range(len(columns))])))
+    kept = [c for c in df.columns if c not in columns]
+    names = F.element_at(F.array(*map(F.lit, columns)), F.col("_c") + 1)
+    return rows.select(*kept, numbers.alias(out)), levels.select("feature_no", names.alias("column_name"), "level")

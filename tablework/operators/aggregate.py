@@ -11,6 +11,8 @@ from tablework.operators.quantiles import column_quantiles, group_medians, group
 
 _PLANNED_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
 _SALTS = 256
+TERCILES = [0.0, 0.33, 0.66, 1.0]
+TIERS = ["Low", "Medium", "High"]
 
 # Aggregates by name; first and last follow an explicit order, median is an exact quantile.
 AGGREGATES = {
@@ -154,34 +156,43 @@ def category_pct(df: DataFrame, column: str, values) -> DataFrame:
 
 
 def pivot_summary(df: DataFrame, index: str, columns: str, values: str, fn: str, levels=None) -> DataFrame:
-    """Cross-table of an aggregate. Levels without any value disappear."""
+    """Cross-table of an aggregate. Levels without any value disappear. Every level is a column, so the levels are
+    known to the driver; ``pivot_sparse`` has no such need."""
     require_columns(df, [index, columns, values])
     rows = df.filter(F.col(index).isNotNull() & F.col(columns).isNotNull())
     if levels is None:
         found = rows.filter(F.col(values).isNotNull()).select(columns).distinct().orderBy(columns)
-        levels = [r[0] for r in found.limit(10_001).collect()]
-        if len(levels) > 10_000:
-            raise ValueError(f"{columns} has too many levels for a cross-table")
+        levels = [r[0] for r in found.collect()]
     return rows.groupBy(index).pivot(columns, levels).agg(AGGREGATES[fn](values))
 
 
+def pivot_sparse(df: DataFrame, index: str, columns: str, values: str, fn: str) -> tuple[DataFrame, DataFrame]:
+    """Cross-table for any number of levels: ``(index, cells)`` with ``cells`` an array of (level number, value) in order
+    of the number, and the dictionary ``(level_no, level)``, numbered in order of the levels."""
+    require_columns(df, [index, columns, values])
+    rows = df.filter(F.col(index).isNotNull() & F.col(columns).isNotNull() & F.col(values).isNotNull())
+    cells = materialize(rows.groupBy(index, F.col(columns).alias("level")).agg(AGGREGATES[fn](values).alias("value")), "pivot-cells")
+    levels = ordered_index(cells.select("level").distinct(), ["level"], "level_no")
+    wide = cells.join(levels, "level").groupBy(index).agg(F.array_sort(F.collect_list(F.struct("level_no", "value"))).alias("cells"))
+    return wide, levels.select("level_no", "level")
+
+
 def bin_cut(df: DataFrame, column: str, edges, labels, out: str | None = None) -> DataFrame:
     return df.withColumn(out or f"{column}_category", cut(column, edges, labels))
 
 
-def tercile_edges(df: DataFrame, column: str) -> list[float]:
-    """Bin edges at the extremes (widened by 1) and the .33 and .66 quantiles, without repeats; none without values."""
-    lo, q1, q2, hi = column_quantiles(df, [column], [0.0, 0.33, 0.66, 1.0])[column]
+def edges_between(marks) -> list[float]:
+    """Bin edges from minimum, .33 and .66 quantile and maximum: the extremes widened by 1, without repeats; none without values."""
+    lo, q1, q2, hi = marks
     return [] if lo is None else sorted({lo - 1, q1, q2, hi + 1})
 
 
 def bin_terciles(df: DataFrame, column: str) -> DataFrame:
     """How many rows fall into the Low, Medium and High third of a column; no rows for a column without values."""
-    edges = tercile_edges(df, column)
+    edges = edges_between(column_quantiles(df, [column], TERCILES)[column])
     if not edges:
         return df.sparkSession.createDataFrame([], "tier string, n long")
-    labels = ["Low", "Medium", "High"][: len(edges) - 1]
-    binned = bin_cut(df, column, edges, labels, "tier")
+    binned = bin_cut(df, column, edges, TIERS[: len(edges) - 1], "tier")
     return binned.filter(F.col("tier").isNotNull()).groupBy("tier").agg(F.count("*").alias("n"))
 
 

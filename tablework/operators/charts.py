@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablework.functions.semantics import all_not_null, numeric_names, pearson_expr, sum0
 from tablework.operators.aggregate import resample_sum
@@ -14,6 +17,9 @@ from tablework.operators.order import materialize
 from tablework.operators.quantiles import group_quantiles
 from tablework.operators.stats import corr_matrix
 
+_KERNEL_ROWS = 4096
+_FOLDED = 10_000  # categories a task holds at once
+
 
 def histogram_bins(n: int) -> int:
     return min(20, max(5, n // 3))
@@ -137,8 +143,8 @@ def pairplot_hist(df: DataFrame, columns, hue: str, bins: int = 10) -> DataFrame
 def violin_data(df: DataFrame, value: str, by: str, points: int = 100) -> DataFrame:
     """Gaussian density per category on an even grid, two bandwidths past the data.
 
-    The bandwidth is Scott's (sample std x n^-1/5). Equal values are counted first, by category
-    and value, so that a hot category stays spread; kernel sums are combined before they move.
+    The bandwidth is Scott's (sample std x n^-1/5). Every task folds its rows into one array of ``points`` kernel sums a category,
+    and only these arrays move, so a hot category stays spread and neither values nor kernels are rows.
     """
     rows = df.select(by, F.col(value).cast("double").alias("v")).filter(all_not_null([by, "v"]))
     stats = materialize(rows.groupBy(by).agg(
@@ -146,12 +152,40 @@ def violin_data(df: DataFrame, value: str, by: str, points: int = 100) -> DataFr
         (F.stddev_samp("v") * F.pow(F.count("*").cast("double"), F.lit(-0.2))).alias("h"),
     ), "violin").filter("h > 0")
     start, step = F.col("lo") - 2 * F.col("h"), (F.col("hi") - F.col("lo") + 4 * F.col("h")) / (points - 1)
-    grid = stats.select(by, "n", "h", F.posexplode(
-        F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda k: start + k * step)).alias("point", "x"))
-    z = (F.col("x") - F.col("v")) / F.col("h")
-    counts = rows.groupBy(by, "v").agg(F.count("*").alias("c"))
-    return counts.join(grid, by).groupBy(by, "point", "x").agg(
-        (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (F.any_value("n") * F.any_value("h") * math.sqrt(2 * math.pi))).alias("density"))
+
+    def fold(batches):
+        sums: dict = {}
+
+        def flushed():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), kind), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.float64()))], names=[by, "sums"])
+            sums.clear()
+            return out
+
+        kind = None
+        for batch in batches:
+            keys = batch.column(0).dictionary_encode()
+            kind = batch.schema.field(0).type
+            codes = keys.indices.to_numpy()
+            v, lo, gap, h = (batch.column(i).to_numpy() for i in range(1, 5))
+            for code, key in enumerate(keys.dictionary.to_pylist()):
+                own = np.flatnonzero(codes == code)
+                at = lo[own[0]] + np.arange(points) * gap[own[0]]
+                total = sums.setdefault(key, np.zeros(points))
+                distinct, times = np.unique(v[own], return_counts=True)
+                for k in range(0, len(distinct), _KERNEL_ROWS):
+                    z = (at[None, :] - distinct[k:k + _KERNEL_ROWS, None]) / h[own[0]]
+                    total += times[k:k + _KERNEL_ROWS] @ np.exp(-0.5 * z * z)
+            if len(sums) > _FOLDED:
+                yield flushed()
+        if sums:
+            yield flushed()
+
+    schema = T.StructType([T.StructField(by, df.schema[by].dataType), T.StructField("sums", T.ArrayType(T.DoubleType()))])
+    shaped = rows.join(stats.select(by, start.alias("_lo"), step.alias("_step"), "h"), by).select(by, "v", "_lo", "_step", "h")
+    parts = shaped.mapInArrow(fold, schema).select(by, F.posexplode("sums").alias("point", "part")).groupBy(by, "point").agg(F.sum("part").alias("part"))
+    return parts.join(stats, by).select(
+        by, "point", (start + F.col("point") * step).alias("x"), (F.col("part") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def regression_line_data(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tablework.functions.semantics import clip, is_numeric, nan_to_null, numeric_names, require_columns, text_bar
 from tablework.operators.order import carry_fill, materialize
-from tablework.operators.quantiles import column_quantiles
+from tablework.operators.quantiles import column_quantiles, profile
 from tablework.operators.select import TYPE_WIDTH
 
 
@@ -35,24 +35,14 @@ def _cells(columns, build) -> Column:
 
 
 def describe(df: DataFrame, columns=None) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles and max per numeric column."""
+    """count, mean, sample std, min, exact quartiles and max per numeric column: two scans."""
     columns = list(columns or numeric_names(df))
     df = nan_to_null(df, columns)
-    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
-    stats = df.agg(*[
-        F.struct(
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-        ).alias(c)
-        for c in columns
-    ])
-
-    def build(c):
-        q = [F.lit(v).cast("double").alias(n) for v, n in zip(quartiles[c], ("q25", "q50", "q75"))]
-        parts = [F.col(f"`{c}`.{p}").alias(p) for p in ("count", "mean", "std", "min", "max")]
-        return F.struct(F.lit(c).alias("column_name"), *parts, *q)
-
-    return stats.select(_cells(columns, build))
+    info, _ = profile(df, columns, [0.25, 0.5, 0.75], each={"mean": F.avg, "std": F.stddev_samp})
+    rows = [(c, i["n"], i["mean"], i["std"], i["min"], i["max"], *i["q"]) for c, i in ((c, info[((), c)]) for c in columns)]
+    return df.sparkSession.createDataFrame(
+        [tuple(float(v) if at > 1 and v is not None else v for at, v in enumerate(r)) for r in rows],
+        "column_name string, count long, mean double, std double, min double, max double, q25 double, q50 double, q75 double")
 
 
 def _null_counts(df: DataFrame) -> DataFrame:
@@ -91,23 +81,34 @@ def missing_report(df: DataFrame) -> DataFrame:
     return rows.select("column_name", "null_count", share.alias("null_share"), text_bar(share).alias("bar"))
 
 
+def modes(df: DataFrame, columns) -> dict:
+    """Most frequent value of each column, the smallest one among equals, None without values: one count for all of them.
+
+    The count is over a tagged union with a slot for each type, so that no value loses digits and ties are
+    ordered as their type orders them.
+    """
+    columns = list(dict.fromkeys(columns))
+    kinds = {c: df.schema[c].dataType for c in columns}
+    slots = list(dict.fromkeys(k.simpleString() for k in kinds.values()))
+    names = {k: f"v{i}" for i, k in enumerate(slots)}
+    held = lambda c, k: F.col(c) if kinds[c].simpleString() == k else F.lit(None).cast(k)
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).isNotNull().alias("known"), *[held(c, k).alias(names[k]) for k in slots]) for i, c in enumerate(columns)])))
+    values = list(names.values())
+    counts = cells.filter("known").groupBy("c", *values).agg(F.count("*").alias("n"))
+    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), *values)).alias("b")).collect()
+    found = {columns[r["c"]]: r["b"] for r in best}
+    return {c: found[c][names[kinds[c].simpleString()]] if c in found else None for c in columns}
+
+
 def most_frequent(df: DataFrame, column: str):
     """Most frequent value, the smallest one among equals; None without values."""
-    top = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-        .orderBy(F.desc("_n"), column).first()
-    )
-    return top[0] if top else None
+    return modes(df, [column])[column]
 
 
 def numeric_modes(df: DataFrame, columns) -> dict:
-    """Most frequent value of each numeric column, all from one grouped count."""
-    columns = list(columns)
-    cells = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
-    counts = cells.filter("v IS NOT NULL").groupBy("c", "v").agg(F.count("*").alias("n"))
-    best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b")).collect()
-    found = {columns[r["c"]]: r["b"]["v"] for r in best}
-    return {c: found.get(c) for c in columns}
+    """Most frequent value of each numeric column, as doubles."""
+    return {c: None if v is None else float(v) for c, v in modes(df, columns).items()}
 
 
 def _fill(df: DataFrame, column: str, value) -> DataFrame:
@@ -162,8 +163,8 @@ STRATEGIES = (*_AGGREGATED, "drop", "ffill", "bfill")
 def handle_missing(df: DataFrame, strategy: dict, order_by=None) -> DataFrame:
     """Apply ``{column: strategy}`` in order; columns that do not exist are skipped.
 
-    Runs of aggregate strategies are learned together (one pass for all means, one narrowing
-    for all medians); only a row drop in between forces a new look at the data.
+    Runs of aggregate strategies are learned together (one scan for means and the medians' brackets, one to count these, one for
+    all modes); only a row drop in between forces a new look at the data.
     """
     plan = [(c, s) for c, s in strategy.items() if c in df.columns]
     for _, s in strategy.items():
@@ -176,17 +177,11 @@ def handle_missing(df: DataFrame, strategy: dict, order_by=None) -> DataFrame:
     pending: list = []
 
     def settle(frame):
-        means = [c for c, s in pending if s == "mean"]
         medians = [c for c, s in pending if s == "median"]
-        values = {}
-        if means:
-            values.update(frame.agg(*[F.avg(c).alias(c) for c in means]).first().asDict())
-        if medians:
-            values.update({c: q[0] for c, q in column_quantiles(frame, medians, [0.5]).items()})
-        modes = [c for c, s in pending if s == "mode"]
-        countable = [c for c in modes if is_numeric(frame.schema[c].dataType) and not isinstance(frame.schema[c].dataType, (T.LongType, T.DecimalType))]
-        values.update(numeric_modes(frame, countable) if countable else {})  # all in one pass; others would lose digits as doubles
-        values.update({c: most_frequent(frame, c) for c in modes if c not in countable})
+        info, values = profile(frame, medians, [0.5], each={}, also={c: F.avg(c) for c, s in pending if s == "mean"})
+        values |= {c: info[((), c)]["q"][0] if ((), c) in info else None for c in medians}
+        common = [c for c, s in pending if s == "mode"]
+        values.update(modes(frame, common) if common else {})
         for c, _ in pending:
             frame = _fill(frame, c, values[c])
         pending.clear()
@@ -304,14 +299,11 @@ def clean_table(df: DataFrame, types: dict, strategy: dict, order_by=None) -> Da
     return remove_duplicates(filled)
 
 
-def category_levels(df: DataFrame, columns, limit: int = 1000) -> dict[str, list]:
-    """Sorted levels of each categorical column from one pass; a column may have ``limit`` levels."""
+def category_levels(df: DataFrame, columns) -> dict[str, list]:
+    """Sorted levels of each categorical column from one pass, for callers that make a column of each."""
     entries = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
-    rows = df.select(F.inline(entries)).filter("v IS NOT NULL").distinct().limit(limit * len(columns) + 1).collect()
-    if len(rows) > limit * len(columns):
-        raise ValueError(f"too many levels in {list(columns)}")
     out: dict = {c: [] for c in columns}
-    for r in rows:
+    for r in df.select(F.inline(entries)).filter("v IS NOT NULL").distinct().collect():
         out[r["c"]].append(r["v"])
     return {c: sorted(v) for c, v in out.items()}
 

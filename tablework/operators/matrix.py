@@ -7,16 +7,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablework.functions.semantics import col, numeric_names, words
-from tablework.operators.order import local_rows, ordered_index
+from tablework.operators.order import local_rows, materialize, ordered_index
 from tablework.operators.quantiles import column_quantiles, exact_quantiles
 
-_BROADCAST_VALUES = 4_000_000
+_BROADCAST_VALUES = 1_000_000
 _BLOCK_ROWS = 2_000
 _INVERSE_LIMIT = 512
+_BLOCK_SIDE = 256
 
 
 def sum_of_squares(df: DataFrame, column: str) -> DataFrame:
@@ -57,11 +59,52 @@ def to_cells(df: DataFrame, row_id: str, vector: str) -> DataFrame:
         "i", F.col("j").cast("bigint").alias("j"), F.col("v").cast("double").alias("v"))
 
 
-def mat_multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Product of two coordinate matrices: join on the inner index, sum per cell."""
-    left = a.select("i", F.col("j").alias("k"), F.col("v").alias("x"))
-    right = b.select(F.col("i").alias("k"), "j", F.col("v").alias("y"))
-    return left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
+def _blocks(cells: DataFrame, rows: str, columns: str, size: int) -> DataFrame:
+    """Cells grouped into square blocks ``(rows, columns, octets)``: of each cell its place in the block and its value."""
+    at = lambda c: F.floor(F.col(c) / F.lit(size)).cast("long")
+    place = (F.pmod("i", F.lit(size)) * size + F.pmod("j", F.lit(size))).cast("int")
+    known = cells.filter("i IS NOT NULL AND j IS NOT NULL AND v IS NOT NULL")
+    parts = known.groupBy(at("i").alias(rows), at("j").alias(columns), place.alias("p")).agg(F.sum(F.col("v").cast("double")).alias("v"))
+    return parts.groupBy(rows, columns).agg(F.collect_list(F.struct("p", "v")).alias("cells"))
+
+
+def mat_multiply(a: DataFrame, b: DataFrame, size: int = _BLOCK_SIDE, depth: int = 8) -> DataFrame:
+    """Product of two coordinate matrices ``(i, j, v)``, block by block; cells that repeat add up, as they do in a sum of products.
+
+    The result is cut into a grid of ``size`` x ``size`` blocks. A block of ``a`` goes once to every block column where ``b`` has a block
+    of the same inner index, one of ``b`` likewise, so what moves is blocks times the width of the grid, not one
+    row per elementary product. A task multiplies ``depth`` inner blocks of one result block with dense arrays and hands on
+    their sum; an occupancy product keeps cells without any product out of the result.
+    """
+    left = materialize(_blocks(a, "bi", "bk", size), "blocks-a")
+    right = materialize(_blocks(b, "bk", "bj", size), "blocks-b")
+    group = F.floor(F.col("bk") / F.lit(depth))
+    own = lambda df, tag: df.select("bk", "cells", *[F.col(c).alias(f"{c}{tag}") for c in ("bi", "bj", "g")])
+    wide = lambda df, other, key, tag: own(df.join(other.select("bk", key), "bk").withColumn("g", group), tag)
+    kind = "bi long, bj long, p int, v double"
+
+    def dense(cells):
+        out, there = np.zeros(size * size), np.zeros(size * size)
+        places = np.fromiter((c["p"] for c in cells), np.int64, len(cells))
+        out[places] = np.fromiter((c["v"] for c in cells), np.float64, len(cells))
+        there[places] = 1
+        return out.reshape(size, size), there.reshape(size, size)
+
+    def multiply(key, xs, ys):
+        total, hits = np.zeros((size, size)), np.zeros((size, size))
+        other = dict(zip(ys["bk"], ys["cells"]))
+        for k, cells in zip(xs["bk"], xs["cells"]):
+            if k in other:
+                (x, xt), (y, yt) = dense(cells), dense(other[k])
+                total += x @ y
+                hits += xt @ yt
+        p = np.flatnonzero(hits)
+        return pd.DataFrame({"bi": key[0], "bj": key[1], "p": p.astype(np.int32), "v": total.ravel()[p]})
+
+    keyed = lambda df, tag: df.groupBy(*[f"{c}{tag}" for c in ("bi", "bj", "g")])
+    parts = keyed(wide(left, right, "bj", "_a"), "_a").cogroup(keyed(wide(right, left, "bi", "_b"), "_b")).applyInPandas(multiply, kind)
+    summed = parts.groupBy("bi", "bj", "p").agg(F.sum("v").alias("v"))
+    return summed.select((F.col("bi") * size + F.floor(F.col("p") / size)).alias("i"), (F.col("bj") * size + F.col("p") % size).alias("j"), "v")
 
 
 def mat_transpose(a: DataFrame) -> DataFrame:
@@ -181,9 +224,9 @@ def _dimension(df: DataFrame, vector: str) -> int | None:
 def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: str, b_vec: str) -> DataFrame:
     """Euclidean distance of every row of ``a`` to every row of ``b``.
 
-    The result has one row per pair by definition. A ``b`` of at most four million numbers goes
-    to the tasks as one array; otherwise each block of ``b`` meets each slice of ``a`` in its
-    own task.
+    The result has one row per pair by definition. A ``b`` that is counted to hold at most a million numbers is packed into arrays on
+    the executors and goes to the tasks as these (8 MB at most); a larger one is cut into blocks, and each block meets each
+    slice of ``a`` in its own task.
     """
     da, db = _dimension(a, a_vec), _dimension(b, b_vec)
     if da is not None and db is not None and da != db:
@@ -191,12 +234,11 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
     spark = a.sparkSession
     left = a.select(F.col(a_id).alias("_a"), F.col(a_vec).cast("array<double>").alias("_x"))
     right = b.select(F.col(b_id).alias("_b"), F.col(b_vec).cast("array<double>").alias("_y"))
-    limit = _BROADCAST_VALUES // max(db or 1, 1)
-    small = right.limit(limit + 1).collect()
     a_kind, b_kind = a.schema[a_id].dataType.simpleString(), b.schema[b_id].dataType.simpleString()
     schema = f"{a_id} {a_kind}, {b_id} {b_kind}, distance double"
-    if len(small) <= limit:
-        packed = spark.sparkContext.broadcast(([r["_b"] for r in small], np.array([r["_y"] for r in small], dtype="float64")))
+    n_b = b.count()
+    if n_b * (db or 1) <= _BROADCAST_VALUES:
+        packed = spark.sparkContext.broadcast(_packed(right))
 
         def measure(batches):
             ids, ys = packed.value
@@ -208,7 +250,7 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
 
         return left.mapInPandas(measure, schema)
     # a task holds one block of each side and their distances
-    blocks, slices = -(-b.count() // _BLOCK_ROWS), -(-a.count() // _BLOCK_ROWS)
+    blocks, slices = -(-n_b // _BLOCK_ROWS), -(-a.count() // _BLOCK_ROWS)
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = left.withColumn("_s", block("_a", slices)).withColumn("_k", every(blocks))
@@ -222,6 +264,26 @@ def pairwise_distance(a: DataFrame, a_id: str, a_vec: str, b: DataFrame, b_id: s
     return left.groupBy("_s", "_k").cogroup(right.groupBy("_s", "_k")).applyInPandas(meet, schema)
 
 
+def _packed(right: DataFrame) -> tuple[list, np.ndarray]:
+    """Ids and vectors of a small table, packed by its tasks: the driver gets one array a task and builds no rows."""
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, pa.schema([batch.schema.field(0)])) as writer:
+                    writer.write_batch(batch.select([0]))
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()]), pa.array([values.tobytes()])], names=["ids", "values"])
+
+    ids, parts = [], []
+    for row in right.mapInArrow(pack, "ids binary, values binary").collect():
+        own = pa.ipc.open_stream(bytes(row["ids"])).read_all().column(0).to_pylist()
+        ids += own
+        parts.append(np.frombuffer(bytes(row["values"])).reshape(len(own), -1))
+    return ids, np.concatenate(parts) if parts else np.empty((0, 0))
+
+
 def _distances(a_ids, x, b_ids, y, a_id, b_id) -> pd.DataFrame:
     d = np.empty((len(x), len(y)))
     for k in range(len(y)):

@@ -10,6 +10,7 @@ partition ever reaches the driver.
 from __future__ import annotations
 
 import atexit
+import bisect
 import shutil
 import tempfile
 import uuid
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablework.functions.semantics import col
 
@@ -61,12 +63,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """Rows held by the driver as a table, marked for broadcast up to a million of them.
+def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """Rows held by the driver as a table of known size, built from arrays: reading it back takes no job."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if any(isinstance(f.dataType, (T.TimestampType, T.ArrayType, T.MapType, T.StructType)) for f in kind.fields):
+        return spark.createDataFrame(rows, kind)
+    arrow = to_arrow_schema(kind)
+    columns = list(zip(*rows)) or [[]] * len(kind.fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
 
-    Without the mark the planner would take such a table to be of unknown size.
-    """
-    df = spark.createDataFrame(rows, schema)
+
+def local_rows(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """Rows held by the driver as a table, marked for broadcast up to a million of them."""
+    df = local_table(spark, rows, schema)
     return F.broadcast(df) if len(rows) <= _BROADCAST_ROWS else df
 
 
@@ -216,50 +225,156 @@ def carry_fill(df: DataFrame, order_by, columns, by=(), backward: bool = False)
     return out.select(*df.columns)
 
 
-def positions_between(df: DataFrame, order_by, start: int, stop: int, direct_limit: int = 100_000) -> DataFrame:
-    """Rows at positions ``[start, stop)`` of the global order.
+class StoredOrder:
+    """A table written once in global order, a folder for each range, with the number of rows before every range.
 
-    Near the front this is a distributed top-k (each task keeps at most ``stop`` rows);
-    further in it goes through ``ordered_index``.
+    A slice or a list of positions opens only the folders that hold it. The driver keeps two numbers a range.
     """
-    order = [col(c) for c in order_by]
-    if stop <= start:
-        return df.limit(0)
-    if stop <= direct_limit:
-        return df.orderBy(*order).offset(start).limit(stop - start)
-    placed = ordered_index(df, order_by, "_idx")
-    return placed.filter((F.col("_idx") >= start) & (F.col("_idx") < stop)).drop("_idx")
-
 
-def average_ranks(df: DataFrame, columns) -> tuple[DataFrame, dict[int, int]]:
-    """Average 1-based rank of every distinct value: ``(column number, value, rank)``, and the
-    number of distinct values by column number.
-
-    Ties share their mean rank. All columns go through one ordering of distinct values.
+    def __init__(self, df: DataFrame, order_by):
+        order = [col(c) for c in order_by]
+        self.columns = df.columns
+        ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed = ranged.withColumns({"_at": F.monotonically_increasing_id(), "_range": F.spark_partition_id()})
+        path = scratch_path(df.sparkSession, "stored-order")
+        placed.write.partitionBy("_range").parquet(path)
+        self.stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+        sizes = {r["_range"]: r["count"] for r in self.stored.groupBy("_range").count().collect()}
+        self.starts, run = [], 0
+        for pid in sorted(sizes):
+            self.starts.append((pid, run, run + sizes[pid]))
+            run += sizes[pid]
+        self.n = run
+
+    def _of(self, ranges) -> DataFrame:
+        """Rows of the given ranges with ``_idx``, their position."""
+        offset = F.element_at(F.create_map(*[F.lit(x) for pid, first, _ in ranges for x in (pid, first)]), F.col("_range")).cast("long")
+        own = self.stored.filter(F.col("_range").isin([pid for pid, *_ in ranges]))
+        return own.withColumn("_idx", offset + F.col("_at").bitwiseAND(F.lit(_POS_MASK)))
+
+    def between(self, start: int, stop: int) -> DataFrame:
+        """Rows at positions ``[start, stop)``."""
+        ranges = [r for r in self.starts if r[1] < stop and r[2] > start]
+        if not ranges:
+            return self.stored.select(*self.columns).limit(0)
+        return self._of(ranges).filter((F.col("_idx") >= start) & (F.col("_idx") < stop)).select(*self.columns)
+
+    def at(self, positions) -> DataFrame:
+        """Rows at the given positions, each once, with ``_idx``."""
+        wanted = sorted(set(positions))
+        ranges = [r for r in self.starts if bisect.bisect_left(wanted, r[1]) < bisect.bisect_left(wanted, r[2])]
+        if not ranges:
+            return self.stored.select(*self.columns, F.lit(0).cast("long").alias("_idx")).limit(0)
+        rows = local_rows(self.stored.sparkSession, [(p,) for p in wanted], "_idx long")
+        return self._of(ranges).join(rows, "_idx").select(*self.columns, "_idx")
+
+
+def positions_between(df: DataFrame, order_by, start: int, stop: int) -> DataFrame:
+    """Rows at positions ``[start, stop)`` of the global order; several slices of one table share a ``StoredOrder``."""
+    return StoredOrder(df, order_by).between(start, stop)
+
+
+def _rank_rows(batches):
+    """Rows of one range in the order (_c, _v, _row): each with the place and size of its run of ties.
+
+    Only the run that is open is held, as row numbers.
     """
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)
-    ])
-    counts = df.select(F.inline(entries)).filter("_v IS NOT NULL").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
-    placed = prefix_sum(counts, ["_c", "_v"], {"_before": "_n"})
-    parts = placed.groupBy("_c").agg(F.min("_before").alias("start"), F.count("*").alias("size")).collect()
-    start = F.lit(0)
-    for r in parts:
-        start = F.when(F.col("_c") == r["_c"], F.lit(r["start"])).otherwise(start)
-    ranks = placed.select("_c", "_v", (F.col("_before") - start + (F.col("_n") + 1) / 2).alias("_rank"))
-    return ranks, {r["_c"]: r["size"] for r in parts}
+    held, done, start, last_c, prior = [], 0, 0, None, 0
+
+    def bits(values) -> np.ndarray:
+        out = values + 0.0
+        out[np.isnan(out)] = np.nan
+        return out.view(np.int64)
+
+    def emit(c, v, rows, ends):
+        """Closed runs; ``ends`` says whether the column ends behind the last of them."""
+        nonlocal done, start, last_c
+        b = bits(v)
+        first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (b[1:] != b[:-1])])
+        size = np.diff(np.r_[first, len(c)])
+        own = c[first]
+        opens = np.r_[own[0] != last_c, own[1:] != own[:-1]]
+        closes = np.r_[opens[1:], ends]
+        at = done + first
+        begins = np.maximum.accumulate(np.where(opens, at, start))
+        start, done, last_c = int(begins[-1]), done + len(c), int(own[-1])
+        edge = opens.astype(np.int32) + 2 * closes.astype(np.int32)
+        spread = lambda x: np.repeat(x, size)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows), pa.array(c), pa.array(spread(at - begins)), pa.array(spread(size)), pa.array(spread(edge)), pa.array(v, mask=spread(edge == 0))],
+            names=["_row", "_c", "_first", "_n", "_edge", "_v"])
+
+    def taken(upto=None):
+        c, v, rows = (np.concatenate(x) for x in zip(*held))
+        return (c, v, rows) if upto is None else (c[:upto], v[:upto], rows[:upto])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        c, v, rows = (batch.column(i).to_numpy(zero_copy_only=False).copy() for i in range(3))
+        b = bits(v)
+        if held and c[0] == c[-1] == held[-1][0][-1] and b[0] == b[-1] == bits(held[-1][1][-1:])[0]:
+            held.append((c, v, rows))
+            continue
+        held.append((c, v, rows))
+        c, v, rows = taken()
+        b = bits(v)
+        cut = int(np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (b[1:] != b[:-1])])[-1])
+        if cut:
+            yield emit(c[:cut], v[:cut], rows[:cut], c[cut] != c[cut - 1])
+        held = [(c[cut:], v[cut:], rows[cut:])]
+    if held:
+        yield emit(*taken(), True)
+
+
+def _tie_starts(parts) -> list[tuple]:
+    """Per (partition, column): rows of the column before it, and the global start and size of the ties at its ends.
+
+    ``parts`` has (partition, column, rows, first value, its rows, last value, its rows); a run of equal values may cover many partitions.
+    """
+    out, offsets, runs = [], {}, {}
+    parts = sorted(parts, key=lambda p: (p[1], p[0]))
+    key = lambda c, v: (c, "nan" if v != v else v)
+    for pid, c, n, fv, fn, lv, ln in parts:
+        off = offsets.get(c, 0)
+        for v, size, at in [(fv, fn, off)] + ([(lv, ln, off + n - ln)] if key(c, lv) != key(c, fv) else []):
+            begin, total = runs.get(key(c, v), (at, 0))
+            runs[key(c, v)] = (begin, total + size)
+        offsets[c] = off + n
+        out.append((pid, c, off, fv, lv))
+    return [(pid, c, off, *runs[key(c, fv)], *runs[key(c, lv)]) for pid, c, off, fv, lv in out]
+
+
+def average_ranks(df: DataFrame, values: dict, row: str | None = None) -> DataFrame:
+    """One row per row of ``df``: for each ``{name: column}`` its average 1-based rank, missing where the value is, and ``_row``,
+    the row's number, which may be given as a unique bigint column of a stored table.
+
+    All columns go through one global order of (column, value, row), in which a row finds its rank in place: ties share their
+    mean rank, ties over several partitions by counts handed on. One shuffle in, one back by row, whatever the number of
+    columns. Rows without any value are left out.
+    """
+    names = list(values)
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    stored = df.select(number.alias("_row"), *[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(values.values())])
+    if row is None:
+        stored = materialize(stored, "rank-values")
+    entries = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(f"_{i}").alias("_v")) for i in range(len(names))])
+    cells = stored.select("_row", F.inline(entries)).filter("_v IS NOT NULL").select("_c", "_v", "_row")
+    ranged = cells.repartitionByRange("_c", "_v", "_row").sortWithinPartitions("_c", "_v", "_row")
+    placed = ranged.mapInArrow(_rank_rows, "_row long, _c int, _first long, _n long, _edge int, _v double").withColumn("_pid", F.spark_partition_id())
+    placed = materialize(placed, "rank-places")
+    end = lambda bit, what: F.max(F.when(F.col("_edge").bitwiseAND(F.lit(bit)) > 0, F.col(what)))
+    parts = placed.groupBy("_pid", "_c").agg(F.count("*"), end(1, "_v"), end(1, "_n"), end(2, "_v"), end(2, "_n")).collect()
+    starts = local_rows(df.sparkSession, _tie_starts([tuple(r) for r in parts]),
+                        "_pid int, _c int, _off long, _fs long, _ft long, _ls long, _lt long")
+    rank = F.when(F.col("_edge").bitwiseAND(F.lit(1)) > 0, F.col("_fs") + (F.col("_ft") + 1) / 2).when(
+        F.col("_edge") > 0, F.col("_ls") + (F.col("_lt") + 1) / 2).otherwise(F.col("_off") + F.col("_first") + (F.col("_n") + 1) / 2)
+    ranks = placed.join(starts, ["_pid", "_c"]).select("_row", "_c", rank.alias("_rank"))
+    return ranks.groupBy("_row").agg(*[F.max(F.when(F.col("_c") == i, F.col("_rank"))).alias(n) for i, n in enumerate(names)])
 
 
 def with_average_ranks(df: DataFrame, columns, names) -> DataFrame:
-    """Add the average rank of each column; a missing value has no rank.
-
-    Each column is one join with its distinct values: a broadcast when they are counted to be
-    few, and otherwise a join whose hot values adaptive execution splits.
-    """
-    ranks, sizes = average_ranks(df, columns)
-    for i, (c, name) in enumerate(zip(columns, names)):
-        own = ranks.filter(F.col("_c") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_rank").alias(name))
-        if sizes.get(i, 0) <= _BROADCAST_ROWS:
-            own = F.broadcast(own)
-        df = df.join(own, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
-    return df
+    """Add the average rank of each column; a missing value has no rank."""
+    held = materialize(df.withColumn("_key", F.monotonically_increasing_id()), "ranked-rows")
+    ranks = average_ranks(held, dict(zip(names, columns)), "_key").withColumnRenamed("_row", "_key")
+    return held.join(ranks, "_key", "left").drop("_key")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablework.functions.semantics import numeric_names, require_columns
-from tablework.operators.order import local_rows, ordered_index, positions_between
+from tablework.operators.order import StoredOrder, local_rows, ordered_index
 
 # Bytes per value of the fixed-width types.
 TYPE_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 4,
@@ -41,14 +41,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def slice_rows_cols(df: DataFrame, order_by, rows: tuple[int, int], columns: tuple[int, int] | None = None) -> DataFrame:
     """Half-open positional slice of rows and, optionally, of columns."""
     start, stop = rows
-    if start < 0 or start >= df.count():
-        raise IndexError(f"row {start} is out of range")
     names = df.columns
     if columns is not None:
         if columns[0] < 0 or columns[0] >= len(names):
             raise IndexError(f"column {columns[0]} is out of range")
         names = names[columns[0]:columns[1]]
-    return positions_between(df, order_by, start, stop).select(*names)
+    placed = StoredOrder(df, order_by)
+    if start < 0 or start >= placed.n:
+        raise IndexError(f"row {start} is out of range")
+    return placed.between(start, stop).select(*names)
 
 
 def loc_rows(df: DataFrame, label: str, first, last, columns) -> DataFrame:
@@ -115,15 +116,14 @@ def select_rows_by_index(df: DataFrame, order_by, positions) -> DataFrame:
 
     The result carries the request number as ``ord``.
     """
-    n = df.count()
-    rows = []
+    placed = StoredOrder(df, order_by)
+    n, rows = placed.n, []
     for number, p in enumerate(positions):
         if not -n <= p < n:
             raise IndexError(f"position {p} is out of range for {n} rows")
         rows.append((number, p % n))
     wanted = local_rows(df.sparkSession, rows, "ord long, _idx long")
-    placed = ordered_index(df, order_by, "_idx")
-    return placed.join(wanted, "_idx").drop("_idx").orderBy("ord")
+    return placed.at([p for _, p in rows]).join(wanted, "_idx").drop("_idx").orderBy("ord")
 
 
 def filter_mean_deviation(df: DataFrame, column: str, threshold: float) -> DataFrame:

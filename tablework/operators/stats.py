@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 
 from tablework.functions.semantics import flag, nan_to_null, numeric_names, pearson_expr, require_choice
 from tablework.operators.clean import numeric_modes
-from tablework.operators.order import local_rows, prefix_sum, with_average_ranks
-from tablework.operators.quantiles import column_quantiles, exact_quantiles
+from tablework.operators.order import average_ranks, local_rows, local_table, prefix_sum
+from tablework.operators.quantiles import column_quantiles, exact_quantiles, profile
 
 _PAIR_BATCH = 300
 _NORMAL_TAIL = 1_000_000
+SPREADS = ("var_pop", "var_samp", "stddev_pop", "stddev_samp")
+PROFILE_MOMENTS = {"mean": F.avg, "std": F.stddev_samp}
 
 
-def _require_rows(info: dict, column: str, least: int = 1) -> dict:
+def require_rows(info: dict, column: str, least: int = 1) -> dict:
     got = info.get(((), column))
     if got is None or got["n"] < least:
         raise ValueError(f"{column} needs at least {least} value(s)")
@@ -32,7 +34,7 @@ def percentile_linear(df: DataFrame, column: str, percents) -> DataFrame:
     percents = list(percents)
     if any(not 0 <= p <= 100 for p in percents):
         raise ValueError("percentiles lie between 0 and 100")
-    got = _require_rows(exact_quantiles(df, [column], [p / 100 for p in percents]), column)
+    got = require_rows(exact_quantiles(df, [column], [p / 100 for p in percents]), column)
     return df.sparkSession.createDataFrame([(float(p), v) for p, v in zip(percents, got["q"])], "pct double, value double")
 
 
@@ -40,10 +42,10 @@ def central_tendency(df: DataFrame, columns) -> DataFrame:
     """Mean, median and mode (smallest among equals) per column."""
     columns = list(columns)
     df = nan_to_null(df, columns)
-    info = exact_quantiles(df, columns, [0.5])
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    info, _ = profile(df, columns, [0.5], each={"mean": F.avg})
+    found = {c: require_rows(info, c) for c in columns}
     modes = numeric_modes(df, columns)
-    rows = [(c, _require_rows(info, c)["q"][0], modes[c], float(means[c])) for c in columns]
+    rows = [(c, got["q"][0], modes[c], float(got["mean"])) for c, got in found.items()]
     return df.sparkSession.createDataFrame(rows, "column_name string, median double, mode double, mean double")
 
 
@@ -51,32 +53,30 @@ def spread(df: DataFrame, columns) -> DataFrame:
     """Population and sample variance and std, range and interquartile range per column."""
     columns = list(columns)
     df = nan_to_null(df, columns)
-    info = exact_quantiles(df, columns, [0.25, 0.75])
-    rows = []
-    for c in columns:
-        got = _require_rows(info, c, 2)
-        rows.append((c, got["max"] - got["min"], got["q"][1] - got["q"][0]))
-    extent = local_rows(df.sparkSession, rows, "column_name string, value_range double, iqr double")
-    parts = ("var_pop", "var_samp", "stddev_pop", "stddev_samp")
-    wide = df.agg(*[F.struct(*[getattr(F, p)(c).alias(p) for p in parts]).alias(c) for c in columns])
-    long = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}`.{p}").alias(p) for p in parts]) for c in columns
-    ])))
-    return long.join(extent, "column_name")
+    info, _ = profile(df, columns, [0.25, 0.75], each={p: getattr(F, p) for p in SPREADS})
+    found = {c: require_rows(info, c, 2) for c in columns}
+    rows = [(c, *[float(i[p]) for p in SPREADS], i["max"] - i["min"], i["q"][1] - i["q"][0]) for c, i in found.items()]
+    return df.sparkSession.createDataFrame(
+        rows, f"column_name string, {', '.join(f'{p} double' for p in SPREADS)}, value_range double, iqr double")
 
 
 def numeric_profile(df: DataFrame, columns=None) -> DataFrame:
     """Mean, median, sample std, extremes and quartiles of every numeric column."""
     columns = list(columns or numeric_names(df))
     df = nan_to_null(df, columns)
-    info = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    stats = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")).alias(c) for c in columns]).first()
+    info, _ = profile(df, columns, [0.25, 0.5, 0.75], each=PROFILE_MOMENTS)
+    return profile_rows(df.sparkSession, columns, info)
+
+
+def profile_rows(spark, columns, info: dict) -> DataFrame:
+    """``numeric_profile`` from what ``profile`` found with ``PROFILE_MOMENTS`` and the quartiles first among its probabilities."""
     rows = []
     for c in columns:
-        got = info.get(((), c), {"q": [None] * 3, "min": None, "max": None})
-        rows.append((c, stats[c]["mean"], got["q"][1], stats[c]["std"], got["min"], got["max"], got["q"][0], got["q"][2]))
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, mean double, median double, std double, min double, max double, q25 double, q75 double")
+        i = info[((), c)]
+        mean, std = (None if v is None else float(v) for v in (i["mean"], i["std"]))
+        rows.append((c, mean, i["q"][1], std, i["min"], i["max"], i["q"][0], i["q"][2]))
+    return local_table(
+        spark, rows, "column_name string, mean double, median double, std double, min double, max double, q25 double, q75 double")
 
 
 def simple_probability(df: DataFrame, event: Column, out: str = "probability") -> DataFrame:
@@ -171,11 +171,19 @@ def zscore_counts(df: DataFrame, columns, threshold: float) -> DataFrame:
     return df.agg(*[F.count_if(beyond(c)).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "n_outliers")
 
 
+def fences(quartiles, factor: float = 1.5) -> tuple:
+    """Bounds ``factor`` interquartile ranges outside the first and third of (q25, q50, q75, ...); None without values."""
+    q1, q3 = quartiles[0], quartiles[2]
+    return (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
+
+
+def beyond(column: str, low, high) -> Column:
+    """Number of rows below or above the bounds."""
+    return F.count_if((F.col(column) < F.lit(low)) | (F.col(column) > F.lit(high)))
+
+
 def iqr_bounds(df: DataFrame, columns, factor: float = 1.5) -> dict:
-    out = {}
-    for c, (q1, q3) in column_quantiles(df, columns, [0.25, 0.75]).items():
-        out[c] = (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
-    return out
+    return {c: fences((q1, None, q3), factor) for c, (q1, q3) in column_quantiles(df, columns, [0.25, 0.75]).items()}
 
 
 def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
@@ -187,11 +195,8 @@ def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
 
 
 def outlier_counts(df: DataFrame, columns) -> DataFrame:
-    """Number of rows outside the IQR fences per column: one narrowing, one count pass."""
-    bounds = iqr_bounds(df, columns)
-    wide = df.agg(*[
-        F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(c) for c, (lo, hi) in bounds.items()
-    ])
+    """Number of rows outside the IQR fences per column: the two scans of the quartiles, one to count."""
+    wide = df.agg(*[beyond(c, *bounds).alias(c) for c, bounds in iqr_bounds(df, columns).items()])
     return wide.unpivot([], list(columns), "column_name", "n_outliers")
 
 
@@ -234,31 +239,32 @@ def corr_matrix(df: DataFrame, columns=None) -> DataFrame:
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation of two numeric columns over complete rows, with mean ranks for ties."""
-    complete = df.select(F.col(x).alias("x"), F.col(y).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
-    ranked = with_average_ranks(complete, ["x", "y"], ["rx", "ry"])
+    complete = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    ranked = average_ranks(complete, {"rx": x, "ry": y})
     return ranked.agg(pearson_expr("rx", "ry").alias("rho"), F.count("*").alias("n"))
 
 
 def rank_correlations(df: DataFrame, columns) -> dict[tuple[str, str], tuple]:
-    """``{(a, b): (rho, n)}`` for every pair.
+    """``{(a, b): (rho, n)}`` for every pair, all ranked in one global order.
 
-    Columns without gaps share one ranking and one aggregation pass; a pair with gaps is
-    ranked over its own complete rows.
+    A column without gaps is ranked once; a pair with gaps adds two rankings over its own complete rows.
     """
     columns = list(columns)
     holes = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    full = [c for c in columns if not holes[c]]
-    out: dict = {}
-    if len(full) > 1:
-        names = [f"_r{i}" for i in range(len(full))]
-        ranked = with_average_ranks(df.select(*full), full, names)
-        label = dict(zip(names, full))
-        for r in pair_correlations(ranked, names).collect():
-            out[(label[r["column_a"]], label[r["column_b"]])] = (r["r"], holes["_n"])
+    values, sides = {}, {}
     for a, b in combinations(columns, 2):
-        if (a, b) not in out:
-            row = spearman(df, a, b).first()
-            out[(a, b)] = (row["rho"], row["n"])
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        for own in (a, b):
+            whole = not (holes[a] or holes[b])
+            name = f"_r{columns.index(own)}" if whole else f"_r{columns.index(own)}_{columns.index(a)}_{columns.index(b)}"
+            values[name] = F.col(own) if whole else F.when(both, F.col(own))
+            sides.setdefault((a, b), []).append(name)
+    out: dict = {}
+    ranked, pairs = average_ranks(df, values) if values else None, list(sides.items())
+    for start in range(0, len(pairs), _PAIR_BATCH):
+        part = pairs[start:start + _PAIR_BATCH]
+        row = ranked.agg(*[F.struct(pearson_expr(x, y).alias("r"), F.count(x).alias("n")).alias(f"p{i}") for i, (_, (x, y)) in enumerate(part)]).first()
+        out.update({pair: (row[f"p{i}"]["r"], row[f"p{i}"]["n"]) for i, (pair, _) in enumerate(part)})
     return out
 
 

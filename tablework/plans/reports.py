@@ -7,21 +7,26 @@ column, category or pair) are turned into sentences.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablework.functions.semantics import numeric_names
+from tablework.functions.semantics import cut, nan_to_null, numeric_names, pearson_expr
 from tablework.operators import charts, stats
 from tablework.operators.aggregate import (
-    at_risk, bin_terciles, category_pct, group_extremes, pivot_summary, rank_rows, row_mean, top_k, value_counts,
+    AGGREGATES, TERCILES, TIERS, at_risk, bin_terciles, category_pct, edges_between, group_extremes, pivot_summary, rank_rows, row_mean, top_k, value_counts,
 )
 from tablework.operators.clean import describe
 from tablework.operators.matrix import axis_stats
-from tablework.operators.quantiles import group_quantiles
+from tablework.operators.order import local_table
+from tablework.operators.quantiles import profile
 from tablework.sources.writers import write_json, write_report
 
+MOST_CATEGORIES = 100_000
+MOST_CELLS = 100_000
+
 
 def lines_table(spark: SparkSession, lines) -> DataFrame:
     return spark.createDataFrame([(i + 1, s) for i, s in enumerate(lines)], "line_no long, line string")
@@ -38,26 +43,83 @@ def eda_report(df: DataFrame, pivots=None, tier_column: str | None = None) -> di
 
     ``pivots`` lists ``(index, columns, values, function)``; without it the first two
     categorical columns and the first numeric one are crossed, if they exist.
+
+    The sections share their scans: row count, moments, sketches and all correlations come from one aggregation, exact quartiles
+    and tier edges from one count of their brackets, outliers and tiers from one more, and value counts and cross-tables of
+    text columns from one grouped count in long form. Sections that would have more than ``MOST_CELLS`` cells are grouped
+    on their own, when they are read.
     """
     spark = df.sparkSession
     numbers, texts = numeric_names(df), text_columns(df)
-    out = {"shape": spark.createDataFrame([(df.count(), len(df.columns))], "n_rows long, n_cols long")}
+    df = nan_to_null(df, numbers)
+    tier = tier_column or (numbers[0] if numbers else None)
+    probs = {c: [0.25, 0.5, 0.75, *(TERCILES if c == tier else ())] for c in dict.fromkeys([*numbers, *([tier] if tier else [])])}
+    pairs = list(combinations(numbers, 2))
+    also = {"n_rows": F.count("*"), **{pair: pearson_expr(*pair) for pair in pairs}}
+    info, shared = profile(df, list(probs), probs, each=stats.PROFILE_MOMENTS, also=also)
+
+    out = {"shape": local_table(spark, [(shared["n_rows"], len(df.columns))], "n_rows long, n_cols long")}
+    fences = {c: stats.fences(info[((), c)]["q"]) for c in numbers}
+    edges = edges_between(info[((), tier)]["q"][3:]) if tier else []
+    counts = [stats.beyond(c, *fences[c]).alias(f"_o{i}") for i, c in enumerate(numbers)]
+    labels = TIERS[: max(0, len(edges) - 1)]
+    counts += [F.count_if(cut(F.col(tier), edges, labels) == t).alias(f"_t{i}") for i, t in enumerate(labels)]
+    third = df.agg(*counts).first() if counts else None
     if numbers:
-        out["numeric_profile"] = stats.numeric_profile(df, numbers)
-        out["outliers"] = stats.outlier_counts(df, numbers)
-    if texts:
-        out["value_counts"] = value_counts(df, texts)
-    if len(numbers) > 1:
-        out["correlation"] = stats.corr_matrix(df, numbers)
+        out["numeric_profile"] = stats.profile_rows(spark, numbers, info)
+        out["outliers"] = local_table(spark, [(c, third[f"_o{i}"]) for i, c in enumerate(numbers)], "column_name string, n_outliers long")
+    if pairs:
+        cells = [(a, b, shared[(a, b)]) for a, b in pairs]
+        cells += [(b, a, r) for a, b, r in cells] + [(c, c, 1.0) for c in numbers]
+        out["correlation"] = local_table(spark, cells, "column_a string, column_b string, r double")
     if pivots is None:
         pivots = []
         if len(texts) >= 2 and numbers:
             pivots = [(texts[0], texts[1], numbers[0], "mean"), (texts[1], texts[0], numbers[0], "count")]
-    for index, columns, values, fn in pivots:
-        out[f"pivot_{index}_by_{columns}_{fn}_{values}"] = pivot_summary(df, index, columns, values, fn)
-    tier = tier_column or (numbers[0] if numbers else None)
+    out |= _category_sections(df, texts, pivots)
     if tier:
-        out["tiers"] = bin_terciles(df, tier)
+        tiers = [(t, third[f"_t{i}"]) for i, t in enumerate(labels) if third[f"_t{i}"]]
+        out["tiers"] = local_table(spark, tiers, "tier string, n long")
+    return out
+
+
+def _category_sections(df: DataFrame, texts, pivots) -> dict[str, DataFrame]:
+    """Value counts of text columns and cross-tables between them, from one grouped count of tagged key pairs."""
+    spark, strings = df.sparkSession, {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
+    fused = [p for p in pivots if {p[0], p[1]} <= strings and (p[2] in doubles or p[3] in ("mean", "count", "std", "var"))]
+    name = lambda p: f"pivot_{p[0]}_by_{p[1]}_{p[3]}_{p[2]}"
+    entry = lambda tag, a, b, v: F.struct(
+        F.lit(tag).alias("tag"), F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"), F.col(v).cast("double").alias("v"))
+    entries = [F.struct(F.lit(f"c{i}").alias("tag"), F.col(c).cast("string").alias("a"), F.lit("").alias("b"), F.lit(None).cast("double").alias("v"))
+               for i, c in enumerate(texts)]
+    entries += [entry(f"p{i}", *p[:3]) for i, p in enumerate(fused)]
+    out = {}
+    if entries:
+        functions = list(dict.fromkeys(p[3] for p in fused))
+        long = df.select(F.inline(F.array(*entries))).filter("a IS NOT NULL AND b IS NOT NULL").groupBy("tag", "a", "b").agg(
+            F.count("*").alias("n"), F.count("v").alias("known"), *[AGGREGATES[fn]("v").alias(f"_{fn}") for fn in functions])
+        got = long.limit(MOST_CELLS + 1).collect()
+        if len(got) > MOST_CELLS:
+            fused, got = [], None
+        if texts and got is None:
+            out["value_counts"] = value_counts(df, texts)
+        elif texts:
+            counts = sorted(((r["tag"], -r["n"], r["a"]) for r in got if r["tag"][0] == "c"), key=lambda r: (texts[int(r[0][1:])], *r[1:]))
+            out["value_counts"] = local_table(spark, [(texts[int(t[1:])], a, -n) for t, n, a in counts], "column_name string, value string, n long")
+        for i, p in enumerate(fused):
+            own = [r for r in got if r["tag"] == f"p{i}"]
+            levels = sorted({r["b"] for r in own if r["known"]})
+            cells: dict = {r["a"]: {} for r in own}
+            for r in own:
+                cells[r["a"]][r["b"]] = r[f"_{p[3]}"]
+            kind = "long" if p[3] in ("count", "nunique") else "double"
+            rows = [(a, *[row.get(b) for b in levels]) for a, row in sorted(cells.items())]
+            schema = T.StructType([T.StructField(p[0], T.StringType())] + [T.StructField(b, T.LongType() if kind == "long" else T.DoubleType()) for b in levels])
+            out[name(p)] = local_table(spark, rows, schema)
+    for p in pivots:
+        if name(p) not in out:
+            out[name(p)] = pivot_summary(df, *p)
     return out
 
 
@@ -104,26 +166,34 @@ class StatsSummary:
     cheapest: tuple
 
 
-def _ends(groups: DataFrame, key: str, size: str) -> tuple[tuple, tuple]:
-    """First and last group in the order (size descending, key ascending), as (key, size)."""
-    place = F.struct((-F.col(size)).alias("s"), F.col(key).alias("k"))
-    row = groups.agg(F.min(place).alias("a"), F.max(place).alias("b")).first()
-    return (row["a"]["k"], -row["a"]["s"]), (row["b"]["k"], -row["b"]["s"])
-
-
 def stats_summary(df: DataFrame, columns, value: str, quantity: str, category: str) -> StatsSummary:
+    """Everything the findings need: moments, correlations and sketches of one scan, their brackets in a second, outliers in a
+    third, modes in a fourth, and two scans grouped by category. More than ``MOST_CATEGORIES`` categories raise."""
     columns = list(columns)
-    by_name = lambda d: {r["column_name"]: r.asDict() for r in d.collect()}
-    beyond = stats.zscore_counts(df, columns, 2.0).agg(F.sum("n_outliers")).first()[0]
-    busiest, quietest = _ends(charts.bar_data(df, category), category, "height")
-    dearest, cheapest = _ends(group_quantiles(df, [category], value, [0.5], ["m"]), category, "m")
+    rows = nan_to_null(df, columns)
+    pairs = list(combinations(columns, 2))
+    moments = {"mean": F.avg, **{p: getattr(F, p) for p in stats.SPREADS}}
+    also = {"n_rows": F.count("*"), **{pair: pearson_expr(*pair) for pair in pairs}}
+    info, shared = profile(rows, columns, [0.25, 0.5, 0.75], each=moments, also=also)
+    found = {c: stats.require_rows(info, c, 2) for c in columns}
+    for c, i in found.items():
+        if not i["stddev_pop"]:
+            raise ValueError(f"{c} has no spread")
+    modes = stats.numeric_modes(rows, columns)
+    far = rows.agg(*[F.count_if(F.abs(F.try_divide(F.col(c) - F.lit(i["mean"]), F.lit(i["stddev_pop"]))) > 2.0).alias(c) for c, i in found.items()]).first()
+    groups, _ = profile(df, [value], [0.5], by=[category], each={"rows": lambda _: F.count("*")}, max_groups=MOST_CATEGORIES)
+    sizes = sorted((-g["rows"], key[0][0]) for key, g in groups.items())
+    medians = sorted((-g["q"][0], key[0][0]) for key, g in groups.items() if g["n"])
+    ends = lambda ordered: [(k, -v) for v, k in (ordered[0], ordered[-1])]
+    (busiest, quietest), (dearest, cheapest) = ends(sizes), ends(medians)
     return StatsSummary(
-        n_rows=df.count(),
-        central=by_name(stats.central_tendency(df, columns)),
-        spread=by_name(stats.spread(df, columns)),
-        pairs=[r.asDict() for r in stats.pair_correlations(df, columns).orderBy(F.desc(F.abs("r")), "column_a", "column_b").collect()],
+        n_rows=shared["n_rows"],
+        central={c: {"mean": float(i["mean"]), "median": i["q"][1], "mode": modes[c]} for c, i in found.items()},
+        spread={c: {**{p: i[p] for p in stats.SPREADS}, "value_range": i["max"] - i["min"], "iqr": i["q"][2] - i["q"][0]} for c, i in found.items()},
+        pairs=sorted(({"column_a": a, "column_b": b, "r": shared[(a, b)]} for a, b in pairs),
+                     key=lambda p: (p["r"] is None, -abs(p["r"] or 0), p["column_a"], p["column_b"])),
         normality={c: stats.normality_test(df, c).first().asDict() for c in (quantity, value)},
-        outliers=beyond, busiest=busiest, quietest=quietest, dearest=dearest, cheapest=cheapest,
+        outliers=sum(far), busiest=busiest, quietest=quietest, dearest=dearest, cheapest=cheapest,
     )
 
 

@@ -65,3 +65,17 @@ def test_nan_is_missing_in_fills_and_profiles(spark):
         assert (row["mean"], row["max"]) == (2.0, 3.0)
     assert stats.central_tendency(df, ["x"]).first()["mean"] == 2.0
     assert stats.spread(df, ["x"]).first()["stddev_samp"] == pytest.approx(2 ** 0.5)
+
+
+def test_entry_without_the_training_data_folders(tmp_path):
+    """Only the pipeline's file is left of them: the entry module must still list the other queries."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "tests", "__pycache__", "*.json"))
+    code = "import __spark_entry__ as e; names = set(e.queries()); assert len(names) > 200 and set(e.oracle_sql()) <= names; print(any(n.startswith('op1') for n in names))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+    assert done.returncode == 0 and done.stdout.strip() == "False", done.stderr

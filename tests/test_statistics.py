@@ -11,16 +11,16 @@ from tests.conftest import rows
 
 @pytest.fixture(scope="module")
 def ten(spark):
-    return spark.createDataFrame([(float(v),) for v in (12, 15, 12, 20, 18, 25, 12, 30, 22, 100)], "v double")
+    return spark.createDataFrame([(float(v),) for v in (4, 9, 4, 31, 16, 27, 4, 50, 13, 83)], "v double")
 
 
 def test_descriptive(ten):
     v = np.array([r["v"] for r in ten.collect()])
     got = stats.central_tendency(ten, ["v"]).first()
-    assert (got["mode"], got["median"]) == (12.0, np.median(v)) and got["mean"] == pytest.approx(v.mean())
+    assert (got["mode"], got["median"]) == (4.0, np.median(v)) and got["mean"] == pytest.approx(v.mean())
     s = stats.spread(ten, ["v"]).first()
     assert s["var_pop"] == pytest.approx(v.var()) and s["stddev_samp"] == pytest.approx(v.std(ddof=1))
-    assert s["value_range"] == 88 and s["iqr"] == pytest.approx(np.subtract(*np.percentile(v, [75, 25])))
+    assert s["value_range"] == 79 and s["iqr"] == pytest.approx(np.subtract(*np.percentile(v, [75, 25])))
     got = dict(rows(stats.percentile_linear(ten, "v", [10, 37.5])))
     assert got == pytest.approx({10.0: np.percentile(v, 10), 37.5: np.percentile(v, 37.5)})
 
@@ -98,21 +98,21 @@ def test_corr_report_and_extremes(spark):
 
 
 def test_outliers(spark):
-    values = [10 + (i % 5) * 0.1 for i in range(30)] + [60.0]
+    values = [200 + i % 7 for i in range(30)] + [900.0]
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     flagged = stats.zscore_outliers(df, "v")
-    assert sorted((r["threshold"], r["v"]) for r in flagged.collect()) == [(2.0, 60.0), (3.0, 60.0)]
+    assert sorted((r["threshold"], r["v"]) for r in flagged.collect()) == [(2.0, 900.0), (3.0, 900.0)]
     assert stats.zscore_counts(df, ["v"], 2.0).first()["n_outliers"] == 1
     with pytest.raises(ValueError):
         stats.zscores(df.limit(0).union(spark.createDataFrame([(1.0,), (1.0,)], "v double")), "v")
-    iqr = spark.createDataFrame([(v,) for v in (10, 12, 11, 13, 12, 11, 10, 12, 100, -50)], "v long")
-    assert sorted(r["v"] for r in stats.iqr_outliers(iqr, "v").collect()) == [-50, 100]
+    iqr = spark.createDataFrame([(v,) for v in (21, 24, 22, 26, 24, 23, 21, 25, 140, -75)], "v long")
+    assert sorted(r["v"] for r in stats.iqr_outliers(iqr, "v").collect()) == [-75, 140]
     with pytest.raises(ValueError):
         stats.iqr_outliers(iqr, "absent")
 
 
 def test_zscore_normalize(spark):
-    df = spark.createDataFrame([(10.0, 200.0, 1.0), (20.0, 250.0, 2.0), (30.0, 300.0, 3.0), (40.0, 350.0, 4.0)], "a double, b double, c double")
+    df = spark.createDataFrame([(3.0, 41.0, 9.0), (5.0, 44.0, 1.0), (8.0, 40.0, 4.0), (6.0, 52.0, 2.0)], "a double, b double, c double")
     out = stats.zscore_normalize(df, ["a", "b", "c"]).toPandas()
     np.testing.assert_allclose(out.mean(), 0, atol=1e-8)
     np.testing.assert_allclose(out.std(ddof=0), 1, atol=1e-8)
@@ -222,10 +222,10 @@ def test_violin_against_direct_density(shop):
 
 
 def test_box_outliers(spark):
-    df = spark.createDataFrame([("a", float(v)) for v in (10, 12, 11, 13, 12, 11, 10, 12, 100)], "c string, v double")
+    df = spark.createDataFrame([("a", float(v)) for v in (7, 9, 8, 10, 9, 8, 7, 9, 61)], "c string, v double")
     row = charts.box_data(df, "v", "c").first()
-    assert (row["whisker_low"], row["whisker_high"], row["n_outliers"]) == (10.0, 13.0, 1)
-    assert [r["v"] for r in charts.box_outliers(df, "v", "c").collect()] == [100.0]
+    assert (row["whisker_low"], row["whisker_high"], row["n_outliers"]) == (7.0, 10.0, 1)
+    assert [r["v"] for r in charts.box_outliers(df, "v", "c").collect()] == [61.0]
 
 
 def test_confusion_has_all_cells(spark):
@@ -235,17 +235,17 @@ def test_confusion_has_all_cells(spark):
 
 def test_eda_report_on_narrow_tables(spark):
     df = spark.createDataFrame(
-        [("A", "North", 10.0, "Delivered"), ("A", "North", 12.0, "Delivered"), ("B", "South", 11.0, "Cancelled"), ("B", "South", 13.0, "Delivered"),
-         ("A", "South", 12.0, "Delivered"), ("B", "North", 200.0, "Cancelled")], "category string, region string, value double, status string")
+        [("tea", "east", 5.0, "open"), ("tea", "east", 9.0, "open"), ("soap", "west", 6.0, "shut"), ("soap", "west", 8.0, "open"),
+         ("tea", "west", 7.0, "open"), ("soap", "east", 150.0, "shut")], "kind string, side string, amount double, state string")
     report = reports.eda_report(df)
-    pivot = report["pivot_category_by_region_mean_value"]
-    assert {r["category"]: r["North"] for r in pivot.collect()}["A"] == 11.0
+    pivot = report["pivot_kind_by_side_mean_amount"]
+    assert {r["kind"]: r["east"] for r in pivot.collect()}["tea"] == 7.0
     assert report["outliers"].first()["n_outliers"] == 1
     counts = {(r["column_name"], r["value"]): r["n"] for r in report["value_counts"].collect()}
-    assert counts[("status", "Delivered")] == 4
-    assert "pivot" not in "".join(reports.eda_report(df.select("value")))
-    assert set(reports.eda_report(df.select("category"))) == {"shape", "value_counts"}
-    lines = [r["line"] for r in reports.eda_insights(df, "value", "category", "status", "Delivered", "Cancelled").collect()]
+    assert counts[("state", "open")] == 4
+    assert "pivot" not in "".join(reports.eda_report(df.select("amount")))
+    assert set(reports.eda_report(df.select("kind"))) == {"shape", "value_counts"}
+    lines = [r["line"] for r in reports.eda_insights(df, "amount", "kind", "state", "open", "shut").collect()]
     assert "right-skewed" in lines[0] and "66.7% of rows" in lines[3]
 
 
