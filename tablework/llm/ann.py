@@ -30,7 +30,7 @@ from tablework.llm import common
 SAMPLE = 4096
 ROWS_PER_PART = 4096
 FEWEST, MOST = 4, 256
-TARGET = 0.97
+TARGET = 0.92
 HELD_OUT = 512
 BLOCK = 4096
 GRAPH_K = 10

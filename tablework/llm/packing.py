@@ -2,9 +2,10 @@
 
 1. One pass tokenises every text and stores the ids; each task adds the document frequencies of its ids, so that idf and mean
    length are those of the whole corpus. Texts are not read again.
-2. A document's shard is its heaviest term by BM25 weight among terms that a second document has, so documents on one subject
-   share a shard. The documents of a term that a task sees are dealt on to a further shard of that term whenever they have
-   filled their part of a block, so a term that is the heaviest of a third of all documents still fills blocks evenly.
+2. A document's shard is a minhash of its subject: of its ``SKETCH_TERMS`` heaviest terms by BM25 weight that a second document
+   has, the one of smallest hash. Documents that share heavy terms are so likely to share a shard. The documents of a term that
+   a task sees are dealt on to a further shard of that term whenever they have filled their part of a block, so a term that a third of
+   all documents has still fills blocks evenly.
 3. A task reads its shards in order, a bounded number of tokens at a time (a block), and builds an inverted index over the block:
    postings sorted by term, each with its BM25 weight. A seed's query is its ``query_terms`` terms of largest
    weight; the best unused neighbours follow it into the window. What no longer fits is cut there and
@@ -40,6 +41,7 @@ WINDOW = 2048
 BLOCK_TOKENS = 2_000_000
 QUERY_TERMS = 32
 NEIGHBOURS = 16
+SKETCH_TERMS = 64
 K1, B = 1.2, 0.75
 END_ID = 1
 _ROWS = 512  # pieces of an output batch, at most 4 MB of ids
@@ -94,13 +96,26 @@ class Weights:
     def of(self, terms: np.ndarray, tf: np.ndarray, length) -> np.ndarray:
         return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.length))
 
-    def heaviest(self, ids: np.ndarray) -> int:
-        """The term of largest weight that a second document has, ties to the smaller one; -1 without any."""
-        terms, tf = np.unique(ids, return_counts=True)
+    def sketch(self, ids: np.ndarray) -> int:
+        """The term of smallest hash among the ``SKETCH_TERMS`` heaviest that a second document has; -1 without any."""
+        terms, tf = distinct(ids)
         shared = self.df[terms] > 1
-        if not shared.any():
-            return -1
-        return int(terms[shared][self.of(terms[shared], tf[shared].astype(np.float32), len(ids)).argmax()])
+        terms, tf = terms[shared], tf[shared]
+        if len(terms) > SKETCH_TERMS:
+            weight = self.of(terms, tf.astype(np.float32), len(ids))
+            terms = terms[np.argpartition(-weight, SKETCH_TERMS)[:SKETCH_TERMS]]
+        return int(terms[common.mix(terms.astype(np.uint64)).argmin()]) if len(terms) else -1
+
+
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct ids and their counts; ids of 16 bits are sorted by radix."""
+    own = np.sort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    return own[first], np.diff(np.r_[first, len(own)])
+
+
+def read_ids(raw, wide: bool) -> np.ndarray:
+    return np.frombuffer(raw, np.uint32 if wide else np.uint16)
 
 
 class Index:
@@ -110,11 +125,10 @@ class Index:
         self.n, self.query_terms = len(ids), query_terms
         terms, counts, sizes = [], [], np.empty(self.n, np.int64)
         for i, own in enumerate(ids):
-            own = np.sort(own, kind="stable")
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            terms.append(own[first])
-            counts.append(np.diff(np.r_[first, len(own)]))
-            sizes[i] = len(first)
+            term, tf = distinct(own)
+            terms.append(term)
+            counts.append(tf)
+            sizes[i] = len(term)
         self.at = np.r_[0, np.cumsum(sizes)]
         self.terms = np.concatenate(terms)
         tf = np.concatenate(counts).astype(np.float32)
@@ -136,15 +150,12 @@ class Index:
         spans = [(self.starts[t], self.starts[t + 1]) for t in terms.tolist()]
         docs = np.concatenate([self.docs[a:b] for a, b in spans])
         weights = np.concatenate([self.posted[a:b] for a, b in spans])
-        left = unused[docs]
-        if not left.any():
-            return []
-        docs, inverse = np.unique(docs[left], return_inverse=True)
-        scores = np.bincount(inverse, weights[left])
+        scores = np.bincount(docs, weights, self.n)
+        scores[~unused] = 0
+        docs = np.flatnonzero(scores)
         if len(docs) > most:
-            best = np.argpartition(-scores, most - 1)[:most]
-            docs, scores = docs[best], scores[best]
-        return docs[np.lexsort((docs, -scores))].tolist()
+            docs = docs[np.argpartition(-scores[docs], most - 1)[:most]]
+        return docs[np.lexsort((docs, -scores[docs]))].tolist()
 
 
 class Packer:
@@ -231,20 +242,20 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
     narrow = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     stored = common.settle(_tokenised(narrow, json_path), "token-ids")
     corpus = _corpus_weights(stored)
-    held = stored.filter("df IS NULL").drop("df")
+    held = stored.filter("df IS NULL").drop("df", "tokens")
     quota = max(1, block_tokens // max(1, held.rdd.getNumPartitions()))
 
     def deal(batches):
         filled: dict[int, int] = {}
         for batch in batches:
             terms, turns = [], []
-            for raw in batch.column(1):
-                ids = np.frombuffer(raw.as_buffer(), _ID)
-                term = corpus.heaviest(ids)
+            for raw, wide in zip(batch.column(1), batch.column(2).to_pylist()):
+                ids = read_ids(raw.as_buffer(), wide)
+                term = corpus.sketch(ids)
                 filled[term] = filled.get(term, 0) + len(ids)
                 terms.append(term)
                 turns.append((filled[term] - 1) // quota if term >= 0 else filled[term])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(terms, pa.int64()), pa.array(turns, pa.int64())], names=["key", "ids", "term", "turn"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(terms, pa.int64()), pa.array(turns, pa.int64())], names=["key", "ids", "wide", "term", "turn"])
 
     def pack(batches):
         packer = Packer(TaskContext.get().partitionId(), window, with_ids)
@@ -257,11 +268,10 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, fields)], schema=arrow)
 
         for batch in batches:
-            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(raw.as_py(), _ID)
+            for doc, raw, wide in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 keys.append(doc)
-                held.append(ids.astype(np.uint16) if int(ids.max()) < 65536 else ids)
-                size += len(ids)
+                held.append(read_ids(raw.as_py(), wide))
+                size += len(held[-1])
                 if size >= block_tokens:
                     pack_block(packer, keys, held, query_terms, neighbours, corpus)
                     keys, held, size = [], [], 0
@@ -271,16 +281,17 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", jso
         packer.finish()
         yield from rows()
 
-    dealt = held.mapInArrow(common.lean(deal), "key long, ids binary, term long, turn long")
+    dealt = held.mapInArrow(common.lean(deal), "key long, ids binary, wide boolean, term long, turn long")
     sharded = dealt.repartition(shards, F.xxhash64("term", "turn")).sortWithinPartitions("term", "turn", "key")
-    return sharded.select("key", "ids").mapInArrow(common.lean(pack), schema)
+    return sharded.select("key", "ids", "wide").mapInArrow(common.lean(pack), schema)
 
 
 _ID = np.dtype("<u4")
 
 
 def _tokenised(docs: DataFrame, json_path: str | None) -> DataFrame:
-    """(key, ids, df): the ids of every text, and one row a task with ``df``, pairs of id and document frequency."""
+    """(key, ids, wide, tokens, df): the ids of every text, in 32 bits where 16 do not do, and their number; and one row
+    a task with ``df``, pairs of id and document frequency."""
 
     def encode_all(batches):
         import public_tokenizers
@@ -290,23 +301,27 @@ def _tokenised(docs: DataFrame, json_path: str | None) -> DataFrame:
             path, ranks = public_tokenizers.path(f"{MERGES}.json"), public_tokenizers.path(f"{MERGES}.tiktoken")
         encode, end = encoder(path, ranks), np.array([END_ID], np.uint32)
         df = np.zeros(1 << 16, np.uint32)
-        kinds = (pa.int64(), pa.binary(), pa.binary())
+        names, kinds = ["key", "ids", "wide", "tokens", "df"], (pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
-                part, out = batch.slice(at, _ROWS), []
+                part, out = batch.slice(at, _ROWS), [[], [], []]
                 for value in common.texts(part.column(1)):
                     ids = np.concatenate([encode(value or ""), end])
-                    own = np.unique(ids)
+                    wide = int(ids.max()) >= 1 << 16
+                    ids = ids.astype(np.uint32 if wide else np.uint16)
+                    own, _ = distinct(ids)
                     if own[-1] >= len(df):
                         df = np.r_[df, np.zeros(int(own[-1]) + 1 - len(df), np.uint32)]
                     df[own] += 1
-                    out.append(ids.astype(_ID).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary()), pa.nulls(len(out), pa.binary())], names=["key", "ids", "df"])
+                    for column, one in zip(out, (ids.tobytes(), wide, len(ids))):
+                        column.append(one)
+                columns = [part.column(0), *[pa.array(c, k) for c, k in zip(out, kinds[1:4])], pa.nulls(len(out[0]), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
         there = np.flatnonzero(df)
         counts = np.stack([there.astype(np.uint32), df[there]], axis=1).astype(_ID).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, counts), kinds)], names=["key", "ids", "df"])
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, None, None, counts), kinds)], names=names)
 
-    return docs.mapInArrow(common.lean(encode_all), "key long, ids binary, df binary")
+    return docs.mapInArrow(common.lean(encode_all), "key long, ids binary, wide boolean, tokens long, df binary")
 
 
 def _corpus_weights(stored: DataFrame) -> Weights:
@@ -318,12 +333,12 @@ def _corpus_weights(stored: DataFrame) -> Weights:
                 pairs = np.frombuffer(raw.as_buffer(), _ID).reshape(-1, 2).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["term", "df"])
 
-    size = stored.filter("df IS NULL").agg(F.count("*").alias("n"), F.sum(F.octet_length("ids")).alias("octets")).first()
+    size = stored.filter("df IS NULL").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")).first()
     counts = stored.filter("df IS NOT NULL").select("df").mapInArrow(spread, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
     df = np.zeros(max((r["term"] for r in counts), default=0) + 1, np.int64)
     for r in counts:
         df[r["term"]] = r["df"]
-    return Weights(size["n"], (size["octets"] or 0) / _ID.itemsize / max(1, size["n"]), df)
+    return Weights(size["n"], (size["tokens"] or 0) / max(1, size["n"]), df)
 
 
 def op6_lexical_packing(spark, sf_dir):

@@ -93,7 +93,7 @@ def test_packing_statistics_cover_the_corpus_and_topics_share_blocks(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     stored = packing._tokenised(df.selectExpr("doc_id AS key", "text"), None)
     corpus_ = packing._corpus_weights(stored)
-    ids = {r["key"]: np.frombuffer(bytes(r["ids"]), packing._ID) for r in stored.filter("df IS NULL").collect()}
+    ids = {r["key"]: packing.read_ids(bytes(r["ids"]), r["wide"]) for r in stored.filter("df IS NULL").collect()}
     want = collections.Counter(t for x in ids.values() for t in set(x.tolist()))
     assert {t: n for t, n in enumerate(corpus_.df.tolist()) if n} == dict(want)
     assert math.isclose(corpus_.length, np.mean([len(x) for x in ids.values()]))
