@@ -90,7 +90,8 @@ def profile(df: DataFrame, columns, probs, by=(), max_groups: int = 2000, each=N
         own, points = F.col(f"_s{i}"), F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in inner[c] for d in (-half, half)])
         marks = F.when(own["n"] > few, F.kll_sketch_get_quantile_double(own["sketch"], points)) if inner[c] else F.lit(None)
         read.append(F.struct(own["n"].alias("n"), own["lo"].alias("lo"), own["hi"].alias("hi"), marks.alias("marks"), *[own[e].alias(e) for e in each]).alias(f"_s{i}"))
-    got = rows.select(*by, *read, *[f"_a{i}" for i in range(len(also))]).limit(max_groups + 1).collect()
+    rows = rows.select(*by, *read, *[f"_a{i}" for i in range(len(also))])
+    got = (rows.limit(max_groups + 1) if by else rows).collect()
     if len(got) > max_groups:
         raise TooManyGroups(f"more than {max_groups} groups")
 

@@ -99,7 +99,7 @@ def _category_sections(df: DataFrame, texts, pivots) -> dict[str, DataFrame]:
         functions = list(dict.fromkeys(p[3] for p in fused))
         long = df.select(F.inline(F.array(*entries))).filter("a IS NOT NULL AND b IS NOT NULL").groupBy("tag", "a", "b").agg(
             F.count("*").alias("n"), F.count("v").alias("known"), *[AGGREGATES[fn]("v").alias(f"_{fn}") for fn in functions])
-        got = long.limit(MOST_CELLS + 1).collect()
+        got = long.coalesce(1).limit(MOST_CELLS + 1).collect()  # one task, which stops at the limit
         if len(got) > MOST_CELLS:
             fused, got = [], None
         if texts and got is None:
