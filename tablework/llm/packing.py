@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 
 import numpy as np
@@ -47,8 +48,8 @@ END_ID = 1
 _ROWS = 512  # pieces of an output batch, at most 4 MB of ids
 MERGES = "byte_bpe_50k"
 _SPECIAL = "<|endoftext|>"
-#: Letters and marks below this code point are old enough that both tokenizer libraries class them alike.
-_COMMON = "԰"
+#: Letters and marks below these code points are old enough that both tokenizer libraries class them alike.
+_LATER = re.compile("[\u0530-\U0010ffff]")
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
           ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 
@@ -79,7 +80,7 @@ def encoder(json_path: str, ranks_path: str | None):
     def encode(text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint32)
-        if _SPECIAL in text or max(text) >= _COMMON:
+        if _SPECIAL in text or not text.isascii() and _LATER.search(text):
             return slow(text)
         return fast.encode_to_numpy(text, disallowed_special=())
 
