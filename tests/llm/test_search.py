@@ -124,6 +124,54 @@ def test_repeated_bytes_over_chunks(spark, monkeypatch):
     test_repeated_bytes(spark, ([(0, "x")], None), spark.createDataFrame([], SCHEMA), monkeypatch, 24, 8, 60)
 
 
+def test_repeated_bytes_rows_follow_segments(spark, monkeypatch):
+    """An anchor with more different segments than a bucket must not become a row for each of its suffixes."""
+    made = {}
+
+    def settle(df, name, plain=suffixes.common.settle):
+        out = plain(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffixes.common, "settle", settle)
+    monkeypatch.setattr(suffixes, "BUCKET_ROWS", 20)
+    draw = random.Random(9)
+    line, other = prose(draw, 30, 10**6)[:150], prose(draw, 300, 10**6)[:900]
+    texts = [prose(draw, 60, 10**6) + line + prose(draw, 60, 10**6) for _ in range(150)]
+    texts += [prose(draw, 20 + i % 30, 10**6) + other[i % 7 * 20:700 + i % 11 * 20] + prose(draw, 20, 10**6) for i in range(120)]
+    texts += [texts[i][at:at + 450] for i, at in ((3, 100), (5, 60), (5, 90), (130, 40), (200, 80), (201, 0))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA).repartition(4)
+    left = suffixes.remove_repeated_bytes(df)
+    got = sorted((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in left.collect())
+    assert got == [(i, *w) for i, w in enumerate(removed_bytes([t.encode() for t in texts], suffixes.WINDOW))]
+    assert sum(r[2] > 0 for r in got) > 100 and made["fetched"] > 300
+    assert made["found"] <= 2 * made["fetched"] and made.get("halves", 0) <= 6 * made["fetched"], made
+
+
+@pytest.mark.parametrize("window,anchor", [(24, 8), (400, 120)])
+def test_halves_keep_equal_strings_together(window, anchor):
+    draw = random.Random(window)
+    spread = window - anchor
+    for _ in range(50):
+        rel = draw.randrange(spread + 1)
+        n = draw.randrange(1, rel + 2)
+        octets = bytes(draw.choices(b"ab", k=n + window - 1))
+        live = [(0, n, 0, spread)]
+        while any(low < high for *_, low, high in live):
+            after = []
+            for first, count, low, high in live:
+                own = octets[first:first + count + window - 1]
+                for shared, at, size, least, most in suffixes.halves(own, count, rel - first, low, high, window):
+                    after.append((first + at, size, least, most))
+                    for i in range(first + at, first + at + size):
+                        distance = rel - i
+                        assert low <= least <= distance <= most <= high
+                        assert octets[i:i + window][distance - least:distance + window - most] == shared
+            assert sorted(i for first, size, *_ in after for i in range(first, first + size)) == list(range(n))
+            live = after
+        assert all(size == 1 for _, size, *_ in live)
+
+
 def test_multikey_ties():
     draw = np.random.default_rng(2)
     labels, chars = draw.integers(0, 4, 500), draw.integers(0, 4, (500, 3)).astype(np.uint64)
